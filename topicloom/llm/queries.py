@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import decontaminate, language, mixing, records, simhash
+from topicloom.llm import decontaminate, language, licenses, lines, mixing, records, secrets, simhash, substrings
 from topicloom.llm.common import table
 
 
@@ -17,11 +17,33 @@ def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.encoded(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("_id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op4_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lines.judge(docs, lines.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share")
+
+
+def op5_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
     return found.select(F.col("_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_at", "longest_item")
 
 
+def op7_secret_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.fit(docs))
+    return found.select(F.col("_id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -33,7 +55,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_temperature_mix, op2_token_records, op6_decontaminate, op8_simhash, op10_language)}
+    return {f.__name__: f for f in (op1_temperature_mix, op2_token_records, op3_license_diagonals, op4_line_labels, op5_relative_parse, op6_decontaminate, op7_secret_models, op8_simhash, op10_language)}
 
 
 OP1_SQL = r"""
@@ -60,4 +82,4 @@ SELECT doc_id, source, n AS n_tokens, epoch, before::BIGINT AS before,
 FROM placed WHERE epoch < full_passes OR (n_tokens > 0 AND budget > full_passes * n_tokens AND before < budget)
 """
 
-ORACLES = {"op1_temperature_mix": OP1_SQL}
+ORACLES = {"op1_temperature_mix": OP1_SQL, "op3_license_diagonals": licenses.SQL}
