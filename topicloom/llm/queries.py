@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import decontaminate, language, licenses, lines, mixing, records, secrets, simhash, substrings
+from topicloom.llm import decontaminate, language, licenses, lines, mixing, records, secrets, simhash, substrings, suffix_tree
 from topicloom.llm.common import table
 
 
@@ -49,13 +49,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_tree.score(table(spark, sf_dir, "documents"))
+    return found.select(F.col("_id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_temperature_mix, op2_token_records, op3_license_diagonals, op4_line_labels, op5_relative_parse, op6_decontaminate, op7_secret_models, op8_simhash, op10_language)}
+    return {f.__name__: f for f in (op1_temperature_mix, op2_token_records, op3_license_diagonals, op4_line_labels, op5_relative_parse, op6_decontaminate, op7_secret_models, op8_simhash, op9_suffix_tree, op10_language)}
 
 
 OP1_SQL = r"""
