@@ -73,8 +73,8 @@ search(step, low, high) AS (
   UNION ALL
   SELECT step + 1, CASE WHEN ok THEN low ELSE mid END, CASE WHEN ok THEN mid ELSE high END FROM (
     SELECT step, low, high, (low + high) / 2 AS mid,
-      (SELECT max(pow(p, (low + high) / 2) / p) / sum(pow(p, (low + high) / 2)) FROM known) <= 1.25 AS ok FROM search WHERE step < 40)),
-alpha AS (SELECT CASE WHEN (SELECT max(1 / p) / count(*) FROM known) <= 1.25 THEN 0 ELSE round((low + high) / 2, 6) END AS a FROM search WHERE step = 40),
+      (SELECT max(pow(p, (low + high) / 2) / p) / min(pow(p, (low + high) / 2) / p) FROM known) <= 1.25 AS ok FROM search WHERE step < 40)),
+alpha AS (SELECT CASE WHEN (SELECT max(p) / min(p) FROM known) <= 1.25 THEN 0 ELSE round((low + high) / 2, 6) END AS a FROM search WHERE step = 40),
 powers AS (SELECT source, n_tokens, CASE WHEN n_tokens > 0 THEN pow(n_tokens / (SELECT sum(n_tokens) FROM totals)::DOUBLE, a) ELSE 0 END AS w FROM totals, alpha),
 shares AS (SELECT source, n_tokens, round((SELECT max(n_tokens / w) FROM powers WHERE n_tokens > 0) * w)::BIGINT AS budget FROM powers),
 passes AS (SELECT *, CASE WHEN n_tokens > 0 THEN budget // n_tokens ELSE 1 END AS full_passes FROM shares),
