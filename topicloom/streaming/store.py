@@ -34,7 +34,7 @@ def _store(spark, store: str, batch: DataFrame, number: int) -> DataFrame:
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(folder):
         return batch.limit(0)
-    return spark.read.schema(batch.schema.add("batch", "int")).parquet(store).where(F.col("batch") < number)
+    return spark.read.schema(batch.schema.add("batch", "integer")).parquet(store).where(F.col("batch") < number)
 
 
 def read_store(spark, store: str) -> DataFrame:
@@ -43,4 +43,4 @@ def read_store(spark, store: str) -> DataFrame:
 
 def counts_by_day(events: DataFrame, ts: str = "ts", outlet: str = "event_type", late: str = "1 day") -> DataFrame:
     """Counts by (day, outlet) of a stream, with late rows up to a watermark."""
-    return events.withWatermark(ts, late).groupBy(F.window(ts, "1 day").alias("w"), outlet).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("w.start").alias("day"), outlet, "n")
+    return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).groupBy(F.window(ts, "1 day").alias("w"), outlet).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("w.start").alias("day"), outlet, "n")
