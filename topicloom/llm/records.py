@@ -11,11 +11,13 @@ size for shuffled reads.
 
 from __future__ import annotations
 
+import string
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -28,7 +30,11 @@ from topicloom.llm.common import remove_path, shared_path, slices, texts
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
 #: Chunks of text whose ids a worker remembers.
-MEMORY = 200_000
+MEMORY = 400_000
+#: ASCII punctuation that no pattern of the splitter joins to letters: all but the apostrophe.
+PUNCTUATION = string.punctuation.replace("'", "")
+#: Text bytes that are encoded at once.
+PIECE = 2 << 20
 #: Text bytes that go into a file, about.
 FILE_BYTES = 24 << 20
 HEAD, TAIL, DOC = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<BqB")
@@ -74,32 +80,111 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def parted(texts: list[bytes]) -> list[bytes]:
+    """The texts in ASCII lower case, with a space between an ASCII letter and a full stop or comma after it."""
+    data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
+    stop = (data == 0x2C) | (data == 0x2E)
+    letter = (data >= 0x61) & (data <= 0x7A)
+    place = np.flatnonzero(stop[1:] & letter[:-1]) + 1
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    ends += np.searchsorted(place, ends)
+    out = np.insert(data, place, 0x20).tobytes()
+    return [out[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+
 class Encoder:
     """Ids of whole texts, from those of their chunks between ASCII white space.
 
     The vocabulary's normaliser and splitter never join what white space parts (canonical composition doesn't cross
-    it, no pattern spans it), so a text's ids are its chunks' ids in order. Chunks are encoded once and remembered."""
+    it, no pattern spans it), so a text's ids are its chunks' ids in order. Nor do they join an ASCII letter to a full stop
+    or comma after it, so those are parted too, and ASCII case is dropped first. Chunks are encoded once and remembered. Runs of letters or of punctuation, also those of chunks of letters and then punctuation,
+    are encoded many in a string, as each has one end mark; if the marks don't add up, and for other chunks, one by one."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[bytes, bytes] = {}
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = self.plain.encode_special_tokens = True
+        # the same model for runs that its normaliser would leave alone and its splitter would leave whole
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.tokenizer.get_vocab()
+        self.width = 2 if max(vocab.values()) < 1 << 16 else 4
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, f"<u{self.width}")  # by chunk: first id, ids; all ids
+
+    def _each(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), self.flat.dtype, int(size.sum())), size
+
+    def _joined(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs of letters or of punctuation, each of which has one end mark."""
+        whole = " ".join(runs)
+        same = unicodedata.is_normalized("NFC", whole) and whole.lower() == whole
+        lines = [" ".join(runs[at : at + 256]) for at in range(0, len(runs), 256)]
+        found = (self.plain if same else self.tokenizer).encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, self.flat.dtype) for e in found])
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(runs) or stops[-1] != len(ids):
+            return self._each(runs)
+        return ids, np.diff(stops, prepend=0)
+
+    def learn(self, chunks: list[bytes]) -> None:
+        runs, split, other = set(), [], []
+        for chunk in chunks:
+            text = chunk.decode()
+            core = text.rstrip(PUNCTUATION)
+            if core and not core.isalpha():
+                other.append(text)
+            elif not core or len(core) == len(text):
+                runs.add(text)
+            else:
+                split.append((chunk, core.encode(), text[len(core) :].encode()))
+        runs.update(part.decode() for _, *parts in split for part in parts if part not in self.known)
+        for encode, part, all_of in ((self._joined, 20_000, list(runs)), (self._each, 5_000, other)):
+            for at in range(0, len(all_of), part):
+                some = all_of[at : at + part]
+                self._store([x.encode() for x in some], *encode(some))
+        if split:
+            parts = np.array([[self.known[core], self.known[tail]] for _, core, tail in split]).ravel()
+            self._store([chunk for chunk, _, _ in split], self._ids(parts), self.size[parts].reshape(-1, 2).sum(axis=1))
+
+    def _ids(self, index: np.ndarray) -> np.ndarray:
+        """Ids of known chunks in a row."""
+        size = self.size[index]
+        return self.flat[np.repeat(self.start[index] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+
+    def _store(self, chunks: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
+        self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.flat = np.append(self.flat, ids)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        chunks = [t.split() for t in texts]
+        chunks = [t.split() for t in parted(texts)]
+        n = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        flat = list(chain.from_iterable(chunks))
+        del chunks
         if len(self.known) > MEMORY:
-            self.known = {}
-        new = list(set(chain.from_iterable(chunks)) - self.known.keys())
-        kind = f"<u{self.width}"
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(found.ids, kind).tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+            self.forget()
+        index = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(index < 0).tolist()
+        if new:
+            new_chunks = [flat[k] for k in new]
+            self.learn(list(set(new_chunks)))
+            index[new] = np.fromiter(map(self.known.__getitem__, new_chunks), np.int64, len(new))
+        ids = self._ids(index)
+        edges = np.append(0, np.cumsum(self.size[index]))[np.append(0, np.cumsum(n))]
+        return [ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -119,7 +204,7 @@ def write_records(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         end = np.array([end_id], f"<u{encode.width}").tobytes()
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", PIECE):
             records = [frame(pack(doc, ids + end, encode.width)) for doc, ids in zip(batch.column("_id").to_pylist(), encode(texts(batch, "_text")), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
@@ -159,10 +244,12 @@ def with_starts(records: DataFrame) -> DataFrame:
 
 
 def export(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Write records and the offset index under ``path`` (``records`` and ``index``); gives back the index, as read from storage."""
+    """Write records and the offset index under ``path`` (``records`` and ``index``); gives back the index with
+    ``start``, as read from storage."""
+    spark = docs.sparkSession
     write_records(docs, f"{path}/records", id_col, text_col, **options)
-    with_starts(read_records(docs.sparkSession, f"{path}/records")).write.mode("overwrite").parquet(f"{path}/index")
-    return docs.sparkSession.read.parquet(f"{path}/index")
+    read_records(spark, f"{path}/records").write.mode("overwrite").parquet(f"{path}/index")  # all ids are read once, for this
+    return with_starts(spark.read.parquet(f"{path}/index"))
 
 
 def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
