@@ -24,6 +24,8 @@ from topicloom.llm.common import Ids, cut, slices
 WORD = re.compile(r"[^\W\d_]+")
 #: Words are scored in parts of so many characters, so that products stay above the least double.
 PART = 30
+#: Text bytes that are scored at once: their words' lattices are held together.
+PIECE = 2 << 20
 #: Least probability of a piece, and that of a character without a piece.
 FLOOR, UNKNOWN = 1e-9, 1e-9
 SPACE = "▁"
@@ -230,7 +232,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = state.value
         vocab = pieces(m.path)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", PIECE):
             ids, tokens, sizes, lettered = Ids(), [], [], []
             get = ids.__getitem__
             for text in batch.column("_text").to_pylist():
