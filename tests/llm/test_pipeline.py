@@ -1,0 +1,143 @@
+"""The pipeline against a brute-force one, stage by stage and as a whole; and the contract of the corpus queries."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from tests.llm import cases
+from tests.llm.test_first_five import expected_components, expected_hits, expected_prints, expected_records
+from topicloom.llm import mixing, queries
+
+
+def brute_language(docs):
+    return [d for d in docs if any(map(str.isalpha, d["text"] or ""))]
+
+
+def brute_dedup(docs):
+    ids = list(range(len(docs)))
+    group = expected_components(ids, expected_prints([d["text"] for d in docs]))
+    heads = {}
+    for d, g in zip(docs, group, strict=True):
+        rank = (d["doc_id"] is None, d["doc_id"] or 0)
+        if g not in heads or rank < heads[g][0]:
+            heads[g] = (rank, d)
+    return [d for _, d in heads.values()]
+
+
+def brute_decontaminate(docs, items):
+    return [d for d, h in zip(docs, expected_hits([(d["doc_id"], d["text"]) for d in docs], items), strict=True) if not h[-1]]
+
+
+def brute_mix(docs, limit=1.25):
+    tokens = lambda d: len(re.findall(r"[^\x20\x09-\x0D]+", d["text"] or ""))
+    sizes = Counter()
+    by_source = defaultdict(list)
+    for d in docs:
+        sizes[d["source"]] += tokens(d)
+        by_source[d["source"]].append(d)
+    known = {s: n for s, n in sizes.items() if n}
+    total = sum(known.values())
+    rate = lambda a: [(n / total) ** a / (n / total) for n in known.values()]
+    low, high = 0.0, 1.0
+    for _ in range(40):
+        mid = (low + high) / 2
+        low, high = (low, mid) if max(rate(mid)) / min(rate(mid)) <= limit else (mid, high)
+    alpha = 0.0 if max(rate(0)) / min(rate(0)) <= limit else round((low + high) / 2, 6)
+    scale = max(n / (n / total) ** alpha for n in known.values())
+    out = []
+    for s, rows in by_source.items():
+        if not sizes[s]:
+            out += rows
+            continue
+        budget = int(scale * (sizes[s] / total) ** alpha + 0.5)
+        passes, rest = divmod(budget, sizes[s])
+        key = lambda d: hashlib.md5(f"mix|{passes}|{'null' if d['doc_id'] is None else d['doc_id']}".encode()).hexdigest()  # noqa: B023, E731
+        ahead, head = 0, []
+        for d in sorted(rows, key=key):
+            if ahead >= rest:
+                break
+            head.append(d)
+            ahead += tokens(d)
+        out += rows * passes + head
+    return out
+
+
+def dicts(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def same(got, want):
+    assert sorted(map(repr, (sorted(r.items()) for r in got))) == sorted(map(repr, (sorted(r.items()) for r in want)))
+
+
+def test_stage_list():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "mixing", "token_records"]
+
+
+def test_whole_pipeline(spark, sf_dir):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    docs = dicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    kept = brute_mix(brute_decontaminate(brute_dedup(brute_language(docs)), items))
+    want = expected_records(sorted(((d["doc_id"], d["text"]) for d in kept), key=lambda d: d[0]))
+    got = corpus_pipeline.run(spark, sf_dir).orderBy("start").select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert [tuple(r) for r in got] == want
+    assert 0 < len({d["doc_id"] for d in kept}) < len(docs)
+
+
+@pytest.fixture
+def awkward(spark):
+    """Without repeated rows under one id, whose copies the brute-force mix would order freely."""
+    df = cases.frame(spark, ["alpha beta gamma"] * 3)
+    for name in ("epoch", "copies", "component_id", "lang_pred", "hits", "start"):
+        df = df.withColumn(name, df["n_words"])
+    return df
+
+
+def test_stages_awkward(spark, sf_dir, awkward):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    docs = dicts(awkward)
+    for stage, brute in ((corpus_pipeline.language_stage, brute_language), (corpus_pipeline.decontaminate_stage, lambda d: brute_decontaminate(d, items))):
+        out = stage(spark, awkward, sf_dir)
+        assert out.columns == awkward.columns
+        same(dicts(out), brute(docs))
+    out = corpus_pipeline.near_dedup_stage(spark, awkward, sf_dir)
+    assert out.columns == awkward.columns
+    first = lambda rows: sorted(repr((r["doc_id"], r["text"])) for r in rows)
+    assert first(dicts(out)) == first(brute_dedup(docs))
+    mixed = corpus_pipeline.mix_stage(spark, awkward, sf_dir)
+    assert mixed.columns == awkward.columns and {repr(r["doc_id"]) for r in dicts(mixed)} == {repr(d["doc_id"]) for d in docs}
+    assert corpus_pipeline.records_stage(spark, awkward, sf_dir).count() == len(docs)
+
+
+def test_mix_like_brute_force(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    same(dicts(mixing.mix(df).drop("epoch")), brute_mix(dicts(df)))
+
+
+def test_stages_on_nothing(spark, sf_dir):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, cases.empty(spark), sf_dir).count() == 0
+
+
+def test_queries_are_registered():
+    found = contract.queries()
+    numbers = {int(n[2:].split("_")[0]) for n in found if re.match(r"op\d+_", n)}
+    assert numbers == set(range(1, 11)) and "pipeline" in found and set(queries.queries()) <= set(found)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_matches_sql(spark, sf_dir, name):
+    import duckdb
+
+    db = duckdb.connect()
+    for table in ("documents", "benchmark", "labels"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
+    want = db.execute(queries.ORACLES[name])
+    names = [d[0] for d in want.description]
+    got = queries.queries()[name](spark, sf_dir)
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(repr([r[c] for c in names]) for r in got.collect()) == sorted(repr(list(r)) for r in want.fetchall())

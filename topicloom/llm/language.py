@@ -217,13 +217,13 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     return LanguageModel(path, langs, prob, prior)
 
 
-def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (the language's posterior probability) to the columns in ``keep``.
+def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None, add: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Add two columns to those in ``keep``: the language and its posterior probability.
 
     Whole texts are scored. Null texts, texts without a letter and all texts of a model without
     languages get ``und`` and 0. Rows, repeated or not, are judged each by itself; no shuffle.
-    Columns of those two names that the input has already are replaced."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    Columns of the names in ``add`` that the input has already are replaced."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in add]
     names = [f"_k{i}" for i in range(len(keep))]
     source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(text_col).alias("_text"))
     state = docs.sparkSession.sparkContext.broadcast(model)
@@ -256,7 +256,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
 
     out = source.mapInArrow(run, schema)
-    return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "lang_pred", "score")
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], *[F.col(a).alias(b) for a, b in zip(("lang_pred", "score"), add, strict=True)])
 
 
 def held_out(id_col: str = "doc_id"):

@@ -226,10 +226,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = near_duplicates(docs, id_col, text_col, size, radius)
     order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("_th").alias("t"))
     heads = found.groupBy("_root").agg(F.min(order).alias("o"))
-    counts = found.groupBy(F.col(id_col).alias("i"), F.col("_th").alias("t")).agg(F.count(F.lit(1)).alias("copies"))
+    counts = found.groupBy(F.col(id_col).alias("i"), F.col("_th").alias("t")).agg(F.count(F.lit(1)).alias("_copies"))
     best = heads.select(F.col("o.i").alias("i"), F.col("o.t").alias("t"))
-    best = best.join(counts, best["i"].eqNullSafe(counts["i"]) & (best["t"] == counts["t"])).select(best["i"].alias("_hi"), best["t"].alias("_ht"), "copies")
+    best = best.join(counts, best["i"].eqNullSafe(counts["i"]) & (best["t"] == counts["t"])).select(best["i"].alias("_hi"), best["t"].alias("_ht"), "_copies")
     kept = docs.withColumn("_th", F.xxhash64(text_col)).join(best, F.col(id_col).eqNullSafe(F.col("_hi")) & (F.col("_th") == F.col("_ht")))
-    once = kept.where("copies = 1").select(*docs.columns)
-    again = kept.where("copies > 1").dropDuplicates(["_hi", "_ht"]).select(*docs.columns)
+    once = kept.where("_copies = 1").select(*docs.columns)
+    again = kept.where("_copies > 1").dropDuplicates(["_hi", "_ht"]).select(*docs.columns)
     return once.unionByName(again)
