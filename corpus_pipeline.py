@@ -20,7 +20,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go; the others stay as they are."""
     model = language.fit(docs.where(~language.held_out()))
-    return language.predict(docs, model).where(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    return language.predict(docs, model, add=("_lang", "_odds")).where(F.col("_lang") != language.UNDETERMINED).select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; those of smaller sources are repeated to meet the weights."""
-    return mixing.mix(docs).select(*docs.columns)
+    return mixing.mix(docs, epoch_col="_epoch").drop("_epoch")
 
 
 def records_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
