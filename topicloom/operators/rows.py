@@ -1,8 +1,8 @@
 """Which rows stay: deduplication, lookups, merges, anti-joins, and the account of dropped rows.
 
-Winners are found by a grouped minimum or maximum of the position and a join on (key,
-position). Both are combined before the shuffle or spread by position, so a key that holds
-a large share of all rows doesn't land in one task.
+Winners are found by a grouped minimum or maximum of whole rows by position: one scan and
+one shuffle, combined before it, so a key that holds a large share of all rows doesn't land
+in one task. Select the columns that are needed before.
 """
 
 from __future__ import annotations
@@ -20,18 +20,19 @@ def present(key: Column) -> Column:
 
 
 def _winner(df: DataFrame, key: str, pos: str, pick) -> DataFrame:
-    best = df.groupBy(key).agg(pick(pos).alias("_best")).withColumnRenamed(key, "_key")
-    return df.join(best, df[key].eqNullSafe(best["_key"]) & (df[pos] == best["_best"]), "left_semi")
+    others = [c for c in df.columns if c != key]
+    best = df.groupBy(key).agg(pick(F.struct(*others), F.struct(pos)).alias("_row"))
+    return best.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def first_wins(df: DataFrame, key: str, pos: str, blank: bool = False) -> DataFrame:
     """The first row of each key; rows without a key are dropped unless ``blank``."""
-    return _winner(df if blank else df.where(present(F.col(key))), key, pos, F.min)
+    return _winner(df if blank else df.where(present(F.col(key))), key, pos, F.min_by)
 
 
 def last_wins(df: DataFrame, key: str, pos: str) -> DataFrame:
     """The last row of each key; a missing (null) key has no row."""
-    return _winner(df.where(F.col(key).isNotNull()), key, pos, F.max)
+    return _winner(df.where(F.col(key).isNotNull()), key, pos, F.max_by)
 
 
 def distinct_in_order(df: DataFrame, key: str, pos: str) -> DataFrame:

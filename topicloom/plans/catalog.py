@@ -59,13 +59,13 @@ def strict_documented(spark, sf_dir):
 
 
 def dedupe_first_wins(spark, sf_dir):
-    return rows.first_wins(articles(spark, sf_dir), "url", "pos").select("pos", "url")
+    return rows.first_wins(articles(spark, sf_dir).select("pos", "url"), "url", "pos")
 
 
 def dedupe_after_filter(spark, sf_dir):
-    found = articles(spark, sf_dir)
+    found = articles(spark, sf_dir).select("pos", "url")
     existing = found.where("pos % 10 = 3").select("url")
-    return rows.accepted_first(found, F.col("pos") % 3 == 1, "url", "pos", existing).select("pos", "url")
+    return rows.accepted_first(found, F.col("pos") % 3 == 1, "url", "pos", existing)
 
 
 def distinct_urls(spark, sf_dir):
