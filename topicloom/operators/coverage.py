@@ -47,10 +47,9 @@ def day_status(grid: DataFrame, have: DataFrame, expected: DataFrame) -> DataFra
     rows = grid.join(got, "day", "left").join(want, "day", "left")
     available = F.when(F.col("_bad") == 0, F.col("_sum"))
     rows = rows.select("day", F.coalesce("downloaded", F.lit(0)).alias("downloaded"), available.alias("available"))
-    status = F.when(F.col("available").isNull(), "unknown").when(F.col("downloaded") >= F.col("available"), "complete").when(F.col("downloaded") > 0, "partial").otherwise("missing")
-    rows = rows.withColumn("status", status)
-    total = rows.agg(F.sum("downloaded").alias("downloaded"), F.sum("available").alias("available"))
-    return rows.unionByName(total.select(F.lit(None).cast("date").alias("day"), "downloaded", "available", F.lit("total").alias("status")))
+    rows = rows.rollup("day").agg(F.sum("downloaded").alias("downloaded"), F.sum("available").alias("available"), F.grouping("day").alias("_total"))
+    status = F.when(F.col("_total") == 1, "total").when(F.col("available").isNull(), "unknown").when(F.col("downloaded") >= F.col("available"), "complete").when(F.col("downloaded") > 0, "partial").otherwise("missing")
+    return rows.select("day", "downloaded", "available", status.alias("status"))
 
 
 def daily_runs(runs: DataFrame) -> DataFrame:
