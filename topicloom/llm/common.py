@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Text bytes that one Python step holds at once; one longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
+#: Bytes of an Arrow batch on its way to Python.
+BATCH_BYTES = 4 << 20
+
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z, on UTF-8 bytes: every other byte is a separator.
 #: Bytes from 0x80 only occur inside code points above U+007F, all of which are word characters.
 ALNUM_TABLE = bytes(
@@ -50,6 +53,15 @@ def texts(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(text).cast(pa.large_binary()).to_pylist()]
 
 
+def bounded(docs: DataFrame) -> DataFrame:
+    """The same frame, in a session whose Arrow batches hold BATCH_BYTES at most: rows differ in size by orders of magnitude."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark = docs.sparkSession
+    if spark.conf.get(key, None) != str(BATCH_BYTES):
+        spark.conf.set(key, str(BATCH_BYTES))
+    return docs
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import slices
+from topicloom.llm.common import bounded, slices
 
 #: The patterns of the base rules.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: i
         rows = [(k, a, b, n) for k, c in counts.items() for (a, b), n in c.items()]
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (list(zip(*rows, strict=True)) or [()] * 4)], names=["k", "a", "b", "n"])
 
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull()).join(chosen, "_id", "left_semi").select("_text")
+    source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull()).join(chosen, "_id", "left_semi").select("_text")
     pairs: dict[int, Counter] = {0: Counter(), 1: sum(map(steps, made_strings()), Counter())}
     for r in source.mapInArrow(run, "k long, a long, b long, n long").groupBy("k", "a", "b").agg(F.sum("n").alias("n")).collect():  # pairs of characters
         pairs[r["k"]][r["a"], r["b"]] += r["n"]
@@ -141,7 +141,7 @@ SCHEMA = "_id {id}, n_assign long, n_access long, n_hex long, base_sha256 string
 
 def scan(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of each whole text as kind:start:end in code points, by start, then kind. Null is the empty text; a row for each row."""
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     state = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +165,7 @@ def redact(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: st
     state = docs.sparkSession.sparkContext.broadcast(models)
     others = [c for c in docs.columns if c != text_col]
     names = [f"_k{i}" for i in range(len(others))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)], F.col(text_col).alias("_text"))
+    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)], F.col(text_col).alias("_text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import cut, slices, texts
+from topicloom.llm.common import bounded, cut, slices, texts
 
 BITS, SEED = 64, 42
 #: Fingerprints of a bucket that are compared in one piece; larger buckets are split into pairs of tiles.
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             prints = np.array([fingerprint(t.lower().split(), size) for t in texts(batch, "_text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(prints)], names=["_id", "_th", "_fp"])
 
-    source = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).alias("_text"))
+    source = bounded(docs).select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).alias("_text"))
     return source.mapInArrow(run, source.select("_id", "_th").schema.add("_fp", "long"))
 
 

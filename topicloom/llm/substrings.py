@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import mix64, remove_path, shared_path, slices, texts
+from topicloom.llm.common import bounded, mix64, remove_path, shared_path, slices, texts
 
 WINDOW, GRAM = 35, 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -104,7 +104,7 @@ class Parsed:
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(``_i`` id, never null; ``_t`` hash of the text and of whether the id is null; ``_id``; ``_text``)."""
     text_hash = F.xxhash64(F.col(text_col), F.col(id_col).isNull())
-    return docs.select(F.coalesce(F.col(id_col), F.lit(0)).alias("_i"), text_hash.alias("_t"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return bounded(docs).select(F.coalesce(F.col(id_col), F.lit(0)).alias("_i"), text_hash.alias("_t"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
 
 def signed(x: np.ndarray) -> pa.Array:
