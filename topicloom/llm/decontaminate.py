@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import alnum_words, slices, texts
+from topicloom.llm.common import alnum_words, bounded, slices, texts
 
 WINDOW = 13
 #: Bytes of benchmark text sent to executors at once; a larger benchmark is searched in blocks of about this size.
@@ -167,13 +167,17 @@ def shard_hits(q: Queries, docs: list[np.ndarray]) -> list[tuple[list[tuple[int,
     return out
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark's items with a text, collected in blocks of about ``block_bytes`` (a longer item alone)."""
+def block_count(benchmark: DataFrame, text_col: str, block_bytes: int) -> int:
+    """How many blocks of about ``block_bytes`` the benchmark has; one for an empty one."""
+    total = benchmark.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(1, -(-total // block_bytes))
+
+
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, parts: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark's items with a text, collected block by block."""
     source = benchmark.where(F.col(text_col).isNotNull()).select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text_col).alias("t"))
-    total = source.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    parts = -(-total // block_bytes)
-    for k in range(max(1, parts)):
-        block = source if parts <= 1 else source.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k)
+    for k in range(parts):
+        block = source if parts == 1 else source.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k)
         yield [(r["i"], r["t"].encode()) for r in block.orderBy("i", "t").collect()]
 
 
@@ -183,9 +187,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
     Null and wordless texts have no words and no hits; items with a null or wordless text have no windows. Repeated
     documents are rows of their own, repeated item ids count once. No shuffle for a benchmark of one block."""
-    source = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).alias("_text"))
+    source = bounded(docs).select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).alias("_text"))
     schema = SCHEMA.format(id=source.schema["_id"].dataType.simpleString())
-    found = [source.mapInArrow(_scanner(docs, Queries(items, window)), schema) for items in blocks(benchmark, item_col, item_text_col, block_bytes)]
+    found = [source.mapInArrow(_scanner(docs, Queries(items, window)), schema) for items in blocks(benchmark, item_col, item_text_col, block_count(benchmark, item_text_col, block_bytes))]
     if len(found) == 1:
         return found[0]
     # several blocks: equal rows have equal results, so those of all blocks are put together by (id, text hash)
@@ -222,8 +226,29 @@ def judged(found: DataFrame) -> DataFrame:
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents, with all their columns, that aren't contaminated."""
-    bad = judged(matches(docs, benchmark, id_col, text_col, **options)).where("contaminated").select(F.col("_id").alias("_bi"), F.col("_th").alias("_bt")).distinct()
-    rows = docs.withColumn("_th", F.xxhash64(text_col))
-    return rows.join(bad, rows[id_col].eqNullSafe(bad["_bi"]) & (rows["_th"] == bad["_bt"]), "left_anti").select(*docs.columns)
+def is_contaminated(n_words: int, spans: list[tuple[int, int]]) -> bool:
+    hit = sum(b - a for a, b in spans)
+    return hit > 0 and 20 * hit >= n_words
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents, with all their columns, that aren't contaminated. A benchmark of one block needs no shuffle: rows
+    are judged where they are read. Otherwise hits of all blocks are put together first."""
+    if block_count(benchmark, item_text_col, block_bytes) > 1:
+        found = judged(matches(docs, benchmark, id_col, text_col, item_col, item_text_col, window, block_bytes))
+        bad = found.where("contaminated").select(F.col("_id").alias("_bi"), F.col("_th").alias("_bt")).distinct()
+        rows = docs.withColumn("_th", F.xxhash64(text_col))
+        return rows.join(bad, rows[id_col].eqNullSafe(bad["_bi"]) & (rows["_th"] == bad["_bt"]), "left_anti").select(*docs.columns)
+    state = docs.sparkSession.sparkContext.broadcast(Queries(next(blocks(benchmark, item_col, item_text_col, 1)), window))
+    names = [f"_k{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index(text_col)]
+    source = bounded(docs).toDF(*names)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = state.value
+        for batch in slices(batches, text):
+            words = [q.words(t) for t in texts(batch, text)]
+            keep = [not is_contaminated(len(w), hits[0]) for w, hits in zip(words, shard_hits(q, words), strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return source.mapInArrow(run, source.schema).toDF(*docs.columns)
