@@ -17,7 +17,8 @@ import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
+from operator import not_
 
 import numpy as np
 import public_tokenizers
@@ -25,18 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import remove_path, shared_path, slices, texts
+from topicloom.llm.common import bounded, remove_path, shared_path, slices, texts
 
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
 #: Chunks of text whose ids a worker remembers.
-MEMORY = 400_000
+MEMORY = 700_000
 #: ASCII punctuation that no pattern of the splitter joins to letters: all but the apostrophe.
 PUNCTUATION = string.punctuation.replace("'", "")
 #: Text bytes that are encoded at once.
 PIECE = 2 << 20
-#: Text bytes that go into a file, about.
-FILE_BYTES = 24 << 20
 HEAD, TAIL, DOC = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<BqB")
 
 
@@ -120,17 +119,16 @@ class Encoder:
         self.known: dict[bytes, int] = {}
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, f"<u{self.width}")  # by chunk: first id, ids; all ids
 
-    def _each(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _each(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks in a row, and how many each has."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), self.flat.dtype, int(size.sum())), size
 
-    def _joined(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same for runs of letters or of punctuation, each of which has one end mark."""
-        whole = " ".join(runs)
-        same = unicodedata.is_normalized("NFC", whole) and whole.lower() == whole
-        lines = [" ".join(runs[at : at + 256]) for at in range(0, len(runs), 256)]
+        lines = [b" ".join(runs[at : at + 256]).decode() for at in range(0, len(runs), 256)]
+        same = all(unicodedata.is_normalized("NFC", x) and x.lower() == x for x in lines)
         found = (self.plain if same else self.tokenizer).encode_batch_fast(lines, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, self.flat.dtype) for e in found])
         stops = np.flatnonzero(self.ends[ids]) + 1
@@ -139,21 +137,25 @@ class Encoder:
         return ids, np.diff(stops, prepend=0)
 
     def learn(self, chunks: list[bytes]) -> None:
-        runs, split, other = set(), [], []
-        for chunk in chunks:
+        """Encode distinct chunks that aren't known."""
+        letters = list(map(bytes.isalpha, chunks))
+        runs, more, split, other = list(compress(chunks, letters)), set(), [], []
+        for chunk in compress(chunks, map(not_, letters)):
             text = chunk.decode()
             core = text.rstrip(PUNCTUATION)
             if core and not core.isalpha():
-                other.append(text)
+                other.append(chunk)
             elif not core or len(core) == len(text):
-                runs.add(text)
+                more.add(chunk)
             else:
-                split.append((chunk, core.encode(), text[len(core) :].encode()))
-        runs.update(part.decode() for _, *parts in split for part in parts if part not in self.known)
-        for encode, part, all_of in ((self._joined, 20_000, list(runs)), (self._each, 5_000, other)):
+                head = core.encode()
+                split.append((chunk, head, chunk[len(head) :]))
+        more.update(part for _, *parts in split for part in parts if part not in self.known)
+        runs += more.difference(runs)
+        for encode, part, all_of in ((self._joined, 20_000, runs), (self._each, 5_000, other)):
             for at in range(0, len(all_of), part):
                 some = all_of[at : at + part]
-                self._store([x.encode() for x in some], *encode(some))
+                self._store(some, *encode(some))
         if split:
             parts = np.array([[self.known[core], self.known[tail]] for _, core, tail in split]).ravel()
             self._store([chunk for chunk, _, _ in split], self._ids(parts), self.size[parts].reshape(-1, 2).sum(axis=1))
@@ -195,11 +197,18 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def write_records(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
+def file_size(spark: SparkSession) -> int:
+    """Text bytes that go into a file: half of what the session reads as one partition, since a file is read back at once."""
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return max(1, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting) // 2)
+
+
+def write_records(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID, file_bytes: int | None = None) -> None:
     """Encode every whole text (null: empty), append ``end_id``, and write the records in ascending order of id (null
     first, then by text): file names in order, and records in each file. Ids must be integers. Repeated rows are
     repeated records; an empty table leaves no files."""
     tokenizer = tokenizer or tokenizer_path()
+    file_bytes = file_bytes or file_size(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
@@ -208,7 +217,7 @@ def write_records(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             records = [frame(pack(doc, ids + end, encode.width)) for doc, ids in zip(batch.column("_id").to_pylist(), encode(texts(batch, "_text")), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
+    source = bounded(docs).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     size = source.agg(F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)) + 16)).first()[0] or 0
     ordered = source.repartitionByRange(max(1, -(-size // file_bytes)), F.col("_id").asc_nulls_first()).sortWithinPartitions(F.col("_id").asc_nulls_first(), "_text")
     # a text column takes bytes as they are; the line feed of a frame is the writer's separator
