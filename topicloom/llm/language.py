@@ -18,14 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import Ids, cut, slices
+from topicloom.llm.common import Ids, bounded, cut, slices
 
 #: Letter runs; digits and underscores part words.
 WORD = re.compile(r"[^\W\d_]+")
 #: Words are scored in parts of so many characters, so that products stay above the least double.
 PART = 30
-#: Text bytes that are scored at once: their words' lattices are held together.
+#: Text bytes that are scored at once.
 PIECE = 2 << 20
+#: Words, and bytes of words, whose lattices are held together.
+TOGETHER, WORD_BYTES = 20_000, 1 << 18
 #: Least probability of a piece, and that of a character without a piece.
 FLOOR, UNKNOWN = 1e-9, 1e-9
 SPACE = "▁"
@@ -148,12 +150,12 @@ def parts_of(words: Iterable[str]) -> tuple[list[str], list[int]]:
 
 def word_log(vocab: Pieces, prob: np.ndarray, words: list[str]) -> np.ndarray:
     """Natural log of each word's probability, by language."""
-    parts, owner = parts_of(words)
     out = np.zeros((len(words), prob.shape[1]))
-    if parts:
+    for at in range(0, len(words), TOGETHER):
+        parts, owner = parts_of(words[at : at + TOGETHER])
         lattice = Lattice(vocab, parts)
         starts = np.flatnonzero(np.diff(np.array([-1, *owner])))
-        out[:] = np.add.reduceat(np.log(np.maximum(lattice.forward(prob)[lattice.stop], 1e-300)), starts)
+        out[at : at + TOGETHER] = np.add.reduceat(np.log(np.maximum(lattice.forward(prob)[lattice.stop], 1e-300)), starts)
     return out
 
 
@@ -172,7 +174,7 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     """Train on rows with text and language. ``per_lang`` bounds the sample of labelled rows of a language that
     the piece probabilities are fitted on; priors count all rows. Needs the languages to be few (hundreds)."""
     path = path or vocabulary_path()
-    known = train.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
+    known = bounded(train).where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
     counts = {r["_lang"]: r["n"] for r in known.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(counts)
     vocab = pieces(path)
@@ -198,7 +200,7 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
 
         def expect(batches: Iterable[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             total = np.zeros((size, len(place)))
-            for batch in slices(batches, "word", 1 << 20):
+            for batch in slices(batches, "word", WORD_BYTES):
                 parts, owner = parts_of(batch.column("word").to_pylist())
                 weight = np.zeros((batch.num_rows, len(place)))
                 weight[np.arange(batch.num_rows), [place[x] for x in batch.column("lang").to_pylist()]] = batch.column("n").to_numpy()
@@ -225,7 +227,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
     Columns of the names in ``add`` that the input has already are replaced."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in add]
     names = [f"_k{i}" for i in range(len(keep))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(text_col).alias("_text"))
+    source = bounded(docs).select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(text_col).alias("_text"))
     state = docs.sparkSession.sparkContext.broadcast(model)
     schema = source.select(*names).schema.add("lang_pred", "string").add("score", "double")
 
