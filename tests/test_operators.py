@@ -184,12 +184,14 @@ def test_status(spark):
 
 def test_manifest(spark):
     runs = spark.createDataFrame([(date(2024, 1, 1), "09:00", "full"), (date(2024, 1, 1), "08:00", "auto"), (date(2024, 1, 4), "07:00", "auto")], "day date, time string, mode string")
-    m = coverage.manifest("t", "2024-01-01", runs, 7, "now").first()
-    assert m["dates_collected"] == ["2024-01-01", "2024-01-04"] and m["gaps"] == ["2024-01-02", "2024-01-03"] and m["record_count"] == 7
-    assert m["daily_runs"]["2024-01-01"].asDict() == {"count": 2, "first": "08:00", "last": "09:00", "mode": "auto"}
-    assert m["coverage"].asDict() == {"start_date": "2024-01-01", "end_date": "2024-01-04", "last_updated": "now"}
-    none = coverage.manifest("t", "2024-01-01", runs.limit(0), 0, "now").first()
+    days = day_frame(spark, [date(2024, 1, 2), date(2024, 1, 5), date(2024, 1, 5)])
+    m = coverage.manifest("t", "2024-01-01", runs, days, 7, "now").first()
+    assert m["dates_collected"] == ["2024-01-02", "2024-01-05"] and m["gaps"] == ["2024-01-01", "2024-01-03", "2024-01-04"] and m["record_count"] == 7
+    assert m["daily_runs"]["2024-01-01"].asDict() == {"count": 2, "first": "08:00", "last": "09:00", "mode": "auto"} and set(m["daily_runs"]) == {"2024-01-01", "2024-01-04"}
+    assert m["coverage"].asDict() == {"start_date": "2024-01-01", "end_date": "2024-01-05", "last_updated": "now"}
+    none = coverage.manifest("t", "2024-01-01", runs.limit(0), days.limit(0), 0, "now").first()
     assert none["dates_collected"] == [] and none["gaps"] == [] and none["coverage"]["end_date"] is None
+    assert [str(r["day"]) for r in coverage.gaps(days, "2024-01-01", "2024-01-06").orderBy("day").collect()] == ["2024-01-01", "2024-01-03", "2024-01-04", "2024-01-06"]
     head = coverage.header(frame(spark), "t", F.col("tag"), "now").first()
     assert head["record_count"] == 7 and head["dates_collected"] == ["x", "y", "z"] and head["date_range"].asDict() == {"start": "x", "end": "z"}
 

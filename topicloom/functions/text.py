@@ -13,6 +13,9 @@ SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{202
 #: Entities that are decoded by replacement, the ampersand last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
+#: Parts of outlets' names that aren't shown, in the order of their removal.
+ENDINGS = ("www.", ".com", ".org", ".co.uk", ".net")
+
 
 def text_of(*columns: Column) -> Column:
     """Lower-cased columns joined by a space; null counts as empty."""
@@ -87,7 +90,7 @@ def domain(url: Column) -> Column:
 def display_name(outlet: Column) -> Column:
     """An outlet's name without www. and endings, cut to 25 characters."""
     short = outlet
-    for part in ("www.", ".com", ".org", ".net"):
+    for part in ENDINGS:
         short = F.replace(short, F.lit(part), F.lit(""))
     return F.when(F.length(short) > 25, F.concat(F.substring(short, 1, 22), F.lit("..."))).otherwise(short)
 

@@ -16,9 +16,10 @@ def to_collect(collected: DataFrame, start: str, today: str) -> DataFrame:
     return date_grid(collected.sparkSession, start, today).join(collected.select("day").distinct(), "day", "left_anti")
 
 
-def gaps(collected: DataFrame) -> DataFrame:
-    """Days between the first and the last collected one that are missing; none for no days."""
-    ends = collected.agg(F.min("day").alias("a"), F.max("day").alias("b")).where("a is not null")
+def gaps(collected: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Days from start (default: the first collected one) to end (default: the last) that are missing; none for no days."""
+    edge = lambda day, pick: F.lit(day).cast("date") if day else pick("day")
+    ends = collected.agg(edge(start, F.min).alias("a"), edge(end, F.max).alias("b"), F.count("day").alias("n")).where("n > 0 and b >= a")
     grid = ends.select(F.explode(F.sequence("a", "b")).alias("day"))
     return grid.join(collected.select("day").distinct(), "day", "left_anti")
 
@@ -57,13 +58,13 @@ def daily_runs(runs: DataFrame) -> DataFrame:
     return runs.groupBy("day").agg(F.count(F.lit(1)).alias("count"), F.min("time").alias("first"), F.max("time").alias("last"), F.min_by("mode", "time").alias("mode"))
 
 
-def manifest(topic: str, start: str, runs: DataFrame, records: int, updated: str) -> DataFrame:
-    """The manifest as one row, from its runs: coverage, days, runs by day, record count, gaps. No runs: the empty manifest."""
-    days = runs.select("day").distinct()
+def manifest(topic: str, start: str, runs: DataFrame, collected: DataFrame, records: int, updated: str) -> DataFrame:
+    """The manifest as one row: coverage from ``start`` to the last collected day, days, runs by their own day, record
+    count, gaps. runs: day, time, mode; collected: day. Without runs and days it is the empty manifest."""
     by_day = daily_runs(runs).withColumn("day", F.col("day").cast("string"))
-    one = runs.agg(F.sort_array(F.collect_set(F.col("day").cast("string"))).alias("dates_collected"), F.max("day").cast("string").alias("_end"))
+    one = collected.agg(F.sort_array(F.collect_set(F.col("day").cast("string"))).alias("dates_collected"), F.max("day").cast("string").alias("_end"))
     maps = by_day.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("day", F.struct("count", "first", "last", "mode"))))).alias("daily_runs"))
-    holes = gaps(days).agg(F.sort_array(F.collect_list(F.col("day").cast("string"))).alias("gaps"))
+    holes = gaps(collected, start).agg(F.sort_array(F.collect_list(F.col("day").cast("string"))).alias("gaps"))
     row = one.join(maps).join(holes)
     return row.select(F.lit(topic).alias("topic"), F.struct(F.lit(start).alias("start_date"), F.col("_end").alias("end_date"), F.lit(updated).alias("last_updated")).alias("coverage"), "dates_collected", "daily_runs", F.lit(records).alias("record_count"), "gaps")
 

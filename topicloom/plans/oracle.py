@@ -122,7 +122,7 @@ UNION ALL SELECT NULL, sum(downloaded)::BIGINT, sum(available)::BIGINT, 'total'
     "data_loss": f"WITH {VERSIONS}, c AS (SELECT arg_min(n, idx) AS current, max(n) AS largest FROM versions) SELECT current, largest, largest > 2 * current AS lost, (SELECT min(idx) FROM versions WHERE n > 1.5 * current) AS first_larger FROM c",
     "truncate_words": f"WITH {ARTICLES} SELECT pos, {short('description')} AS short, len({words('description')}) AS n_words FROM articles",
     "keyword_counts": f"WITH {ARTICLES} SELECT pos, {count_of('lower(description)', 'the')} AS n_the, {count_of('lower(description)', 'ere')} AS n_ere FROM articles",
-    "query_hash": f"""WITH {ARTICLES}, named AS (SELECT *, replace(replace(replace(replace(url, 'www.', ''), '.com', ''), '.org', ''), '.net', '') AS name_ FROM articles)
+    "query_hash": f"""WITH {ARTICLES}, named AS (SELECT *, replace(replace(replace(replace(replace(url, 'www.', ''), '.com', ''), '.org', ''), '.co.uk', ''), '.net', '') AS name_ FROM articles)
 SELECT pos, substr(md5(title), 1, 12) AS query, sha256(url) AS id, CASE WHEN length(title) > 100 THEN substr(title, 1, 100) || '...' ELSE title END AS preview,
 CASE WHEN length(name_) > 25 THEN substr(name_, 1, 22) || '...' ELSE name_ END AS name FROM named""",
     "recency_cutoff": "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN strftime(ts, '%Y-%m-%d') END AS publish_date FROM events WHERE event_id % 3 = 2 OR date_trunc('second', ts) + (CASE WHEN event_id % 3 = 0 THEN 5 ELSE 0 END) * INTERVAL 1 HOUR >= TIMESTAMP '2024-01-20 00:00:00'",
