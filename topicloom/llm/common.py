@@ -46,6 +46,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = S
             to = max(at + 1, int(np.searchsorted(end, done + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
 def texts(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:

@@ -102,10 +102,10 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = self.plain.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
         # the same model for runs that its normaliser would leave alone and its splitter would leave whole
-        self.plain.normalizer = None
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
