@@ -102,3 +102,54 @@ def test_longest_suffix_scores(spark):
     tried = [w.encode() for w in [*words, "theother", "x", "", "日日日"]]
     want = [sum(math.log(step(tree, (b" " + w + b"\n")[:i], (b" " + w + b"\n")[i])) for i in range(1, len(w) + 2)) for w in tried]
     assert np.allclose(tree.word_log(tried), want)
+
+
+def test_order_and_rare_contexts_count(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(3000)]
+    learnt = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(400, 900) if zlib.crc32(str(i).encode()) % 7 == 2]
+    passage = "one odd passage of words stands here but twice in all the texts".split()
+    texts = {i: " ".join(rng.choice(words, 300)) for i in learnt}
+    for i in learnt[:2]:
+        texts[i] += " " + " ".join(passage)
+    asked = [" ".join(passage), " ".join(reversed(passage)), "one odd w99999", "w7 odd w99999"]
+    texts |= dict(zip(held, asked, strict=False))
+    got = {r["_id"]: r for r in suffix_tree.score(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()}
+    forward, back, *_ = (got[i]["score"] for i in held[: len(asked)])
+    assert math.isclose(got[held[0]]["base_score"], got[held[1]]["base_score"])
+    assert forward > back + 10  # the same words in another order; their contexts occur twice, less than 2e-6 of a large corpus
+
+
+def test_next_tokens_by_brute_force(spark):
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(60, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    texts = {i: ["a b c a b d", "b a c c a b c", "a b c", "d d b b a c"][i % 4] for i in learnt}
+    asked = ["a b c", "a b d", "a b unseen", "c c unseen d", "unseen a", "d", ""]
+    given = texts | dict(zip(held, asked, strict=False))
+    got = {r["_id"]: r["score"] for r in suffix_tree.score(spark.createDataFrame([*given.items()], "doc_id long, text string")).collect()}
+    tokens = [(*t.split(), None) for t in texts.values()]
+    runs = Counter(t[i:j] for t in tokens for i in range(len(t)) for j in range(i + 1, min(i + 3, len(t)) + 1))
+    follow = lambda s: {r[-1]: n for r, n in runs.items() if len(r) == len(s) + 1 and r[:-1] == s and n >= suffix_tree.MIN_COUNT}
+    total = sum(map(len, tokens))
+    count = lambda s: runs[s] if s else total
+    gain = lambda s: sum(n * math.log(n / count(s) * count(s[1:]) / runs[(*s[1:], x)]) for x, n in follow(s).items())
+    kept = {s for s in runs if None not in s and len(s) <= 2 and follow(s) and gain(s) >= suffix_tree.GAIN_NATS}
+    kept |= {s[1:] for s in kept if len(s) == 2}
+    assert any(len(s) == 2 for s in kept)
+    words = {w: runs[w,] for w in "abcd"}
+    _, tree = Counter(), suffix_tree.grow(spark.createDataFrame([(bytearray(w.encode()), n) for w, n in words.items()], "word binary, c long"), p_min=0, pair_min=0, gain=-9)
+    spelt = dict(zip(words, np.exp(tree.word_log([w.encode() for w in words])), strict=True))
+    spare = 0.75 * 5 / total
+
+    def p(s, x):
+        if not s:
+            return max(runs[x,] - 0.75, 0) / total + spare * (spelt.get(x, 0) if x in words or x is None else 1 - sum(spelt.values()))
+        if s not in kept:
+            return p(s[1:], x)
+        rest = 1 - sum(n - 0.75 for n in follow(s).values()) / count(s)
+        return max(follow(s).get(x, 0.75) - 0.75, 0) / count(s) + rest * p(s[1:], x)
+
+    for i, text in zip(held, asked, strict=False):
+        t = (*text.split(), None)
+        assert math.isclose(got[i], sum(math.log10(p(t[max(0, k - 2) : k], t[k])) for k in range(len(t))), rel_tol=0.01), text

@@ -1,16 +1,22 @@
 """Language-model scores by a probabilistic suffix tree.
 
-A text is a run of tokens (words, then one end). A word is spelt in bytes from a start mark
-to an end mark; the tree's nodes are the contexts, of up to DEPTH bytes back to the start
-mark, that the next byte depends on. A context is retained if it is frequent enough (P_MIN,
-which bounds their number) and its next-byte distribution diverges enough from that of its
-suffix (GAIN), or if it is the suffix of one retained. Distributions are smoothed by
-absolute discounting, interpolated with the suffix's. A byte is scored in the longest suffix
-state of its history. Counts cover all training words, a word's weighted by its count.
-
-Before a token the state is the empty one, whose next symbols are the tokens learnt, smoothed
-in the same way: their discounted counts, and what that leaves times the tree's spelling. A
-word that was not learnt is the unknown symbol: all that the tree gives to other spellings.
+A text is a run of tokens (words, then one end). The tree's contexts are runs of up to TOKENS
+preceding tokens of the text, so a score depends on the order of words. A context is retained if it
+stands before a token at least MIN_COUNT times and its next-token distribution diverges from that
+of its suffix by GAIN_NATS in sum over its occurrences, or if it is the suffix of one retained.
+Both bounds are absolute, so the tree grows with the corpus; it is kept in tables that are joined
+by context, never on the driver. Next tokens seen MIN_COUNT times are listed. Distributions are
+smoothed by absolute discounting, interpolated with the suffix's. Every token, learnt or not, is
+scored in the longest suffix state of its history.
+
+Below the empty state, a token has its discounted count, and what that leaves times its spelling:
+bytes from a start mark to an end mark, each in the longest state of up to DEPTH bytes before it,
+by a tree of the same kind over the training words, weighted by their counts. A token that was not
+learnt is the unknown symbol, as in the base: below the empty state it has all that the spelling
+gives to other words, whatever its own. The spelling's contexts of up to TOP bytes are bounded by the
+alphabet and known everywhere; the deeper ones are partitioned by their last TOP + 1 bytes.
+
+Tokens and their runs are known by hashes of 64 bits.
 """
 
 from __future__ import annotations
@@ -23,10 +29,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import Ids, bounded, remove_path, shared_path, slices
+from topicloom.llm.common import Ids, bounded, mix64, remove_path, shared_path, slices
 from topicloom.llm.substrings import release
 
 DEPTH = 6
+#: The three shares are those of ``grow``, which puts a small tree in one place; ``score`` doesn't use them.
 #: Least share of all predicted bytes that a context stands before: at most 1 / P_MIN contexts of a depth are retained.
 P_MIN = 2e-6
 #: Least share of all predicted bytes for a context's next byte to be listed: at most 1 / PAIR_MIN are of a depth.
@@ -34,6 +41,20 @@ PAIR_MIN = 2e-7
 #: Least gain of a retained context over its suffix, in nats for each predicted byte of the whole.
 GAIN = 2e-8
 DISCOUNT = 0.75
+#: Preceding tokens that a context has at most.
+TOKENS = 2
+#: Least count of a retained context, and of a listed next token.
+MIN_COUNT = 2
+#: Least gain of a retained context over its suffix, in nats over all that follows it.
+GAIN_NATS = 3.0
+#: Spelling contexts of up to so many bytes are bounded by the alphabet.
+TOP = 2
+#: Hash of a text's end, as a token.
+END = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of distinct words whose places a task scores together.
+SPELT_BYTES = 4 << 20
+#: Rounds in which runs are counted, and in which documents are scored: what is shuffled at once is so much less.
+ROUNDS = 4
 START, STOP = 0x20, 0x0A
 #: Depths that are counted together; those after the first group only below contexts that are frequent enough.
 GROUPS = ((0, 1, 2), (3, 4), (5, 6))
@@ -136,15 +157,6 @@ def training(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 7 != 2, F.lit(True))
 
 
-def in_order(words: list[bytes]) -> np.ndarray:
-    """Places of distinct words in an order that only the words decide: that of their hashes, of equal ones their own."""
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    order = np.argsort(h, kind="stable")
-    if (np.diff(h[order]) == 0).any():
-        order = np.array(sorted(range(len(words)), key=lambda k: (h[k], words[k])), np.int64)
-    return order
-
-
 def token_lists(batch: pa.RecordBatch) -> list[list[bytes]]:
     return [(t or b"").lower().split() for t in batch.column("_text").cast(pa.large_binary()).to_pylist()]
 
@@ -257,91 +269,315 @@ def grow(words: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, pair_min: f
     return Tree(rows, totals)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+class Level:
+    """Spelling contexts of one depth: sorted (context, byte) pairs with counts; totals of the contexts, and which are retained."""
+
+    def __init__(self, pairs: np.ndarray, n: np.ndarray):
+        self.pairs, where = np.unique(pairs, return_inverse=True)
+        self.n = np.bincount(where, n, len(self.pairs))
+        self.contexts, self.of = np.unique(self.pairs >> 8, return_inverse=True)
+        self.total = np.bincount(self.of, self.n, len(self.contexts))
+        self.rest = 1 - np.bincount(self.of, self.n - DISCOUNT, len(self.contexts)) / self.total
+        self.kept = np.ones(len(self.contexts), bool)
+
+    def gains(self, below: Level, bits: int) -> np.ndarray:
+        at = member(below.pairs, self.pairs & ((1 << bits) - 1))
+        return np.bincount(self.of, self.n * np.log(self.n / self.total[self.of] * below.total[below.of[at]] / below.n[at]), len(self.contexts))
+
+
+def spelling(top: list[tuple[np.ndarray, np.ndarray]], at: np.ndarray, back: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Natural log of places' bytes. at: DEPTH bytes of history and the byte; back: history there is; c: count of the place.
+    top: pairs and counts of depths to TOP of the whole; of the deeper contexts, all places have to be here."""
+    pair_of = lambda d: at & ((1 << 8 * (d + 1)) - 1)
+    levels = [Level(*t) for t in top]
+    for d in range(TOP + 1, DEPTH + 1):
+        on = back >= d
+        levels.append(Level(pair_of(d)[on], c[on]))
+    for d in range(DEPTH, TOP, -1):
+        here = levels[d]
+        here.kept = (here.total >= MIN_COUNT) & (here.gains(levels[d - 1], 8 * d) >= GAIN_NATS)
+        if d < DEPTH:  # suffixes of those retained
+            longer = levels[d + 1]
+            here.kept[member(here.contexts, np.unique(longer.contexts[longer.kept] & ((1 << 8 * d) - 1)))] = True
+    root = np.ones(256)
+    root[levels[0].pairs] += levels[0].n
+    p = [root / root.sum()]
+    for d in range(1, DEPTH + 1):
+        here = levels[d]
+        suffix = here.pairs & ((1 << 8 * d) - 1)
+        lower = p[0][suffix] if d == 1 else p[d - 1][member(levels[d - 1].pairs, suffix)]
+        p.append((here.n - DISCOUNT) / here.total[here.of] + here.rest[here.of] * lower)
+    log, live = np.zeros(len(at)), np.arange(len(at))
+    for d in range(DEPTH, 0, -1):
+        here, pairs = levels[d], pair_of(d)[live]
+        state = np.where(back[live] >= d, member(here.contexts, pairs >> 8), -1)
+        state[state >= 0] = np.where(here.kept[state[state >= 0]], state[state >= 0], -1)
+        pair = np.where(state >= 0, member(here.pairs, pairs), -1)
+        log[live[pair >= 0]] += np.log(p[d][pair[pair >= 0]])
+        apart = (state >= 0) & (pair < 0)
+        log[live[apart]] += np.log(here.rest[state[apart]])
+        live = live[pair < 0]
+    log[live] += np.log(p[0][at[live] & 255])
+    return log
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def spelt(words: DataFrame, size: int) -> DataFrame:
+    """(key, c, log) of words (word, c) with c > 0: hash, count, natural log of the spelling. size: bytes of all words."""
+    spark = words.sparkSession
+    counted = context_counts(words, tuple(range(TOP + 1)), None).toPandas()  # as many as the alphabet allows
+    top = []
+    for d in range(TOP + 1):
+        of = counted[counted["depth"] == d]
+        top.append((of["context"].to_numpy(np.int64) << 8 | of["byte"].to_numpy(np.int64), of["n"].to_numpy(np.float64)))
+    state = spark.sparkContext.broadcast(top)
+
+    parts = max(-(-size // SPELT_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = words.select(F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int").alias("part"), "word", "c").repartition(parts, "part")
+
+    def distinct_places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (history, byte), their history's size, where they stand, whose they are."""
+        s = Spelt(words, DEPTH)
+        at, back = np.zeros(len(s.at), np.int64), np.minimum(s.back, DEPTH)
+        for k in range(1, DEPTH + 1):
+            at = np.where(back == k, s.context(k), at)
+        found, one, where = np.unique(at << 8 | s.next, return_index=True, return_inverse=True)  # a start mark stands in no word
+        return found, back[one], where, s.word
+
+    def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            of = batch.column("part").to_numpy()
+            for part in np.unique(of):
+                held.setdefault(int(part), []).append(batch.filter(pa.array(of == part)))
+        for part, some in held.items():
+            whole = pa.Table.from_batches(some)
+            at, back, where, word = distinct_places(whole.column("word").to_pylist())
+            c = np.bincount(where, whole.column("c").to_numpy()[word], len(at)).astype(np.int64)
+            group = np.where(back > TOP, (at >> 8) & ((1 << 8 * (TOP + 1)) - 1), at)
+            columns = [group, np.full(len(at), part, np.int32), np.arange(len(at), dtype=np.int32), c, at, back.astype(np.int8)]
+            for k in range(0, len(at), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in columns], names=["group", "part", "place", "c", "at", "back"])
+
+    def judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            whole = pa.Table.from_batches(held)
+            at, back, c = (whole.column(k).to_numpy() for k in ("at", "back", "c"))
+            log = pa.array(spelling(state.value, at, back.astype(np.int64), c))
+            yield from whole.select(["part", "place"]).append_column("log", log).to_batches(100_000)
+
+    def summed(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = left.column("word").to_pylist()
+        at, _, where, word = distinct_places(found)
+        log = np.zeros(len(at))
+        log[right.column("place").to_numpy()] = right.column("log").to_numpy()
+        return pa.table({"key": pa.array(hashes(found).view(np.int64)), "c": left.column("c"), "log": pa.array(np.bincount(word, log[where], len(found)))})
+
+    asked = dealt.mapInArrow(places, "group long, part int, place int, c long, at long, back byte")
+    answers = asked.repartition(parts, "group").drop("group").mapInArrow(judged, "part int, place int, log double")
+    return dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(summed, "key long, c long, log double")
+
+
+def joined_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of a run of tokens, from those of the run without its last and without its first."""
+    with np.errstate(over="ignore"):
+        return mix64(mix64(left) * np.uint64(0x9FB21C651E98DF25) + right)
+
+
+class Runs:
+    """Tokens of texts in a row, each text's end too. keys[m]: hashes of the runs of m + 1 tokens that end at a place with
+    ``place`` m or more, else 0."""
+
+    def __init__(self, lists: list[list[bytes]], tokens: int):
+        ids = Ids()
+        flat = np.fromiter((ids[w] for r in lists for w in r), np.int64, sum(map(len, lists)))
+        self.size = np.fromiter(map(len, lists), np.int64, len(lists)) + 1
+        self.last = np.cumsum(self.size) - 1
+        self.doc = np.repeat(np.arange(len(lists)), self.size)
+        self.place = np.arange(len(self.doc)) - (self.last - self.size + 1)[self.doc]
+        first = np.full(len(self.doc), END)
+        first[np.delete(np.arange(len(self.doc)), self.last)] = hashes(list(ids))[flat]
+        self.keys = [first]
+        for m in range(1, tokens + 1):
+            low, key = self.keys[-1], np.zeros(len(first), np.uint64)
+            on = np.flatnonzero(self.place >= m)
+            key[on] = joined_keys(low[on - 1], low[on])
+            self.keys.append(key)
+
+
+def run_counts(docs: DataFrame, tokens: int, turn: int = 0, rounds: int = 1) -> DataFrame:
+    """(m, key, ctx, suf, n): runs of m + 1 tokens with MIN_COUNT occurrences in docs (``_text``); ctx and suf are the runs
+    without their last and first token. Only those whose hash is ``turn`` modulo ``rounds``."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text"):
+            runs = Runs(token_lists(batch), tokens)
+            for m in range(1, tokens + 1):
+                on = np.flatnonzero((runs.place >= m) & (runs.keys[m] % np.uint64(rounds) == turn))
+                if len(on):
+                    _, at, n = np.unique(runs.keys[m][on], return_index=True, return_counts=True)
+                    low, at = runs.keys[m - 1].view(np.int64), on[at]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), m, np.int8)), pa.array(low[at - 1]), pa.array(low[at]), pa.array(n)], names=["m", "ctx", "suf", "n"])
+
+    def name(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = joined_keys(*(batch.column(k).to_numpy().view(np.uint64) for k in ("ctx", "suf")))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key.view(np.int64))], names=["m", "ctx", "suf", "n", "key"])
+
+    counted = docs.mapInArrow(count, "m byte, ctx long, suf long, n long").groupBy("m", "ctx", "suf").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= MIN_COUNT).mapInArrow(name, "m byte, ctx long, suf long, n long, key long")
+
+
+def states(first: DataFrame, runs: DataFrame, train_tokens: int, tokens: int, paths: list[str]) -> DataFrame:
+    """(key, c, p, rest), one row a run: log probability of its last token in the state of the others (null: not listed), log
+    weight of the suffix in the run's own state (null: not retained). first: (key, c, p) of tokens learnt. paths: what was written."""
+    spark = first.sparkSession
+
+    def keep(df: DataFrame) -> DataFrame:
+        paths.append(shared_path(spark, "states"))
+        df.write.parquet(paths[-1])
+        return spark.read.parquet(paths[-1])
+
+    whole = F.lit(train_tokens).cast("long")
+    lower = first.select("key", F.col("c").alias("n"), whole.alias("nc"), F.lit(None).cast("long").alias("suf"))
+    rows, stats = {}, {}
+    for m in range(1, tokens + 1):
+        context = lower.select(F.col("key").alias("ctx"), F.col("n").alias("nc"), F.col("suf").alias("sctx"))
+        suffix = lower.select(F.col("key").alias("suf"), F.col("n").alias("sn"), F.col("nc").alias("snc"))
+        rows[m] = lower = keep(runs.where(F.col("m") == m).select("key", "ctx", "suf", "n").join(context, "ctx").join(suffix, "suf"))
+        gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("nc") * F.col("snc") / F.col("sn")))
+        stats[m] = lower.groupBy("ctx").agg(F.first("sctx").alias("sctx"), gain.alias("gain"), (1 - F.sum(F.col("n") - DISCOUNT) / F.first("nc")).alias("rest"))
+    kept = {}
+    for m in range(tokens, 0, -1):
+        found, good = stats[m], F.col("gain") >= GAIN_NATS
+        if m < tokens:  # suffixes of those retained
+            found = found.join(kept[m + 1].select(F.col("sctx").alias("ctx"), F.lit(True).alias("needed")).distinct(), "ctx", "left")
+            good |= F.col("needed")
+        kept[m] = keep(found.where(good).select("ctx", "sctx", "rest"))
+    out, below = first.select("key", "c", F.log("p").alias("p"), F.lit(None).cast("double").alias("rest")), first.select(F.col("key").alias("suf"), F.col("p").alias("sp"))
+    for m in range(1, tokens + 1):
+        p = (F.col("n") - DISCOUNT) / F.col("nc") + F.col("rest") * F.col("sp")
+        listed = keep(rows[m].join(kept[m].select("ctx", "rest"), "ctx").join(below, "suf").select("key", p.alias("p")))
+        below = listed.select(F.col("key").alias("suf"), F.col("p").alias("sp"))
+        out = out.unionByName(listed.select("key", F.lit(0).cast("long").alias("c"), F.log("p").alias("p"), F.lit(None).cast("double").alias("rest")))
+        out = out.unionByName(kept[m].select(F.col("ctx").alias("key"), F.lit(0).cast("long").alias("c"), F.lit(None).cast("double").alias("p"), F.log("rest").alias("rest")))
+    return out.groupBy("key").agg(F.max("c").alias("c"), F.max("p").alias("p"), F.max("rest").alias("rest"))
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens: int = TOKENS) -> DataFrame:
     """``_id``, held_out, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
-    base_score: add-one unigrams of tokens, log10. score: log10 probability of the tokens by the model. Null and wordless
-    texts are an end only. Nothing learnt (no training rows): the base is that of no counts, and every token is the
-    unknown symbol. Rows, repeated ones too, are kept.
-    Words are numbered in blocks of documents, so that a word is looked up once in a block, however often it stands there."""
+    base_score: add-one unigrams of tokens, log10. score: log10 probability of the tokens by the model, contexts of up to
+    ``tokens`` tokens. Null and wordless texts are an end only. Nothing learnt (no training rows): the base is that of no
+    counts, and every token is the unknown symbol. Rows, repeated ones too, are kept.
+    Runs of tokens are numbered in blocks of documents, so that one is looked up once in a block, however often it stands there."""
     spark = docs.sparkSession
     source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), training(F.col(id_col)).alias("_train"))
     size, n_docs, n_train = source.agg(F.sum(F.octet_length("_text")), F.count(F.lit(1)), F.count_if("_train")).first()
     vocab_path = shared_path(spark, "vocabulary")
-    vocabulary(source.select("_text", "_train")).write.parquet(vocab_path)
+    vocabulary(source.where("_train").select("_text", "_train")).write.parquet(vocab_path)
     release(spark)
     words = spark.read.parquet(vocab_path)
-    n_words, distinct = words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
+    n_words, distinct, word_bytes = words.agg(F.sum("c"), F.count(F.lit(1)), F.sum(F.octet_length("word") + 1)).first()
     n_words = n_words or 0
     train_tokens, vocab = n_words + n_train, distinct + (n_train > 0)
-    tree = grow(words.where("c > 0"), **options)
-    release(spark)
-    state = spark.sparkContext.broadcast(tree)
-
-    def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "word", WORD_BYTES):
-            log = state.value.word_log(batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(log)], names=["word", "c", "log"])
-
-    spelt_path = shared_path(spark, "spelt")
-    words.mapInArrow(spell, "word binary, c long, log double").write.parquet(spelt_path)
+    spare = DISCOUNT * vocab / train_tokens if train_tokens else 1.0
+    spelt_path, run_path, state_path, paths = shared_path(spark, "spelt"), shared_path(spark, "runs"), shared_path(spark, "suffix-states"), []
+    spelt(words, word_bytes or 0).write.parquet(spelt_path)
     remove_path(spark, vocab_path)
+    release(spark)
+    for turn in range(ROUNDS):
+        run_counts(source.where("_train").select("_text"), tokens, turn, ROUNDS).write.mode("append").parquet(run_path)
+        release(spark)
     scored = spark.read.parquet(spelt_path)
-    covered = scored.where("c > 0").agg(F.sum(F.exp("log"))).first()[0] or 0.0
-    other = max(1 - covered, 1e-9)
-    spare = DISCOUNT * vocab / train_tokens if train_tokens else 1.0
-
-    def model_of(c: np.ndarray, log: np.ndarray) -> np.ndarray:
-        """log10 probability of tokens: learnt ones by count and spelling, others as the unknown symbol."""
-        learnt = np.maximum(c - DISCOUNT, 0) / max(train_tokens, 1) + spare * np.exp(log)
-        return np.log10(np.where(c > 0, learnt, spare * other))
-
-    ending = float(model_of(np.array([n_train]), np.array([-np.inf]))[0])
+    covered = scored.agg(F.sum(F.exp("log"))).first()[0] or 0.0
+    unknown = np.log(spare * max(1 - covered, 1e-9))
+    end = spark.createDataFrame([(int(END.view(np.int64)), n_train, (n_train - DISCOUNT) / max(train_tokens, 1))] if n_train else [], "key long, c long, p double")
+    own = (F.col("c") - DISCOUNT) / max(train_tokens, 1) + spare * F.exp("log")
+    first = scored.select("key", "c", own.alias("p")).unionByName(end)
+    states(first, spark.read.parquet(run_path), train_tokens, tokens, paths).write.parquet(state_path)
+    for p in (*paths, run_path, spelt_path):
+        remove_path(spark, p)
+    release(spark)
+    known = spark.read.parquet(state_path)
 
     blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
-    parts = max(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))  # fewer would be dealt out once more
-    dealt = source.select(F.pmod(F.xxhash64(F.col("_id").cast("string"), "_text"), F.lit(blocks)).cast("int").alias("_block"), "_id", "_text", "_train").repartition(parts, "_block")
+    rounds = min(ROUNDS, blocks)
+    parts = max(-(-blocks // rounds), int(spark.conf.get("spark.sql.shuffle.partitions")))  # fewer would be dealt out once more
+    dealt = source.select(F.pmod(F.xxhash64(F.col("_id").cast("string"), "_text"), F.lit(blocks)).cast("int").alias("_block"), "_id", "_text", "_train")
+
+    def distinct_keys(runs: Runs) -> np.ndarray:
+        return np.unique(np.concatenate([k[runs.place >= m] for m, k in enumerate(runs.keys)]))
 
     def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(block: int, words: set[bytes]) -> pa.RecordBatch:
-            found = list(words)
-            place = np.empty(len(found), np.int32)
-            place[in_order(found)] = np.arange(len(found))
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(found), block, np.int32)), pa.array(place), pa.array(found, pa.binary())], names=["_block", "place", "word"])
+        def out(block: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            found = np.unique(np.concatenate(held)).view(np.int64)
+            for k in range(0, len(found), 200_000):
+                some = found[k : k + 200_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block, np.int32)), pa.array(np.arange(k, k + len(some), dtype=np.int32)), pa.array(some)], names=["_block", "place", "key"])
 
-        block, words = -1, set()
+        block, held = -1, []
         for batch in slices(batches, "_text"):
-            for now, r in zip(batch.column("_block").to_pylist(), token_lists(batch), strict=True):
-                if now != block:
-                    if words:
-                        yield out(block, words)
-                    block, words = now, set()
-                words.update(r)
-        if words:
-            yield out(block, words)
-
-    # all columns go along, so that the text's shuffle is one that both uses share
-    asked = dealt.sortWithinPartitions("_block").mapInArrow(number, "_block int, place int, word binary")
-    answers = asked.join(scored, "word").select("_block", "place", "c", "log")
+            lists, of = token_lists(batch), batch.column("_block").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if of[a] != block:
+                    if held:
+                        yield from out(block, held)
+                    block, held = of[a], []
+                held.append(distinct_keys(Runs(lists[a:b], tokens)))
+        if held:
+            yield from out(block, held)
+
     base_of = lambda c: np.log10((c + 1) / (train_tokens + vocab + 1))
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, rows, batches = Ids(), [], list(slices(left.to_batches(), "_text"))
-        for batch in batches:
-            rows.append([np.fromiter(map(ids.__getitem__, r), np.int32, len(r)) for r in token_lists(batch)])
-        order, at = in_order(list(ids)), right.column("place").to_numpy()
-        c, log = np.zeros(len(ids), np.int64), np.zeros(len(ids))
-        c[order[at]], log[order[at]] = right.column("c").to_numpy(), right.column("log").to_numpy()
-        base, model, seen, parts = base_of(c), model_of(c, log), c > 0, []
-        for batch, found in zip(batches, rows, strict=True):
-            out = [(len(r) + 1, int(seen[r].sum()) + (n_train > 0), base[r].sum() + base_of(n_train), model[r].sum() + ending) for r in found]
-            tokens, known, low, high = zip(*out, strict=True)
+        batches = list(slices(left.to_batches(), "_text"))
+        texts = [Runs(token_lists(b), tokens) for b in batches]
+        every = np.unique(np.concatenate([distinct_keys(r) for r in texts]))
+        at = right.column("place").to_numpy()
+        c, p, rest = np.zeros(len(every), np.int64), np.full(len(every), np.nan), np.zeros(len(every))
+        c[at] = right.column("c").to_numpy()
+        p[at] = right.column("p").to_numpy()  # null is not a number
+        rest[at] = np.nan_to_num(right.column("rest").to_numpy())
+        parts = []
+        for batch, runs in zip(batches, texts, strict=True):
+            log, live = np.zeros(len(runs.doc)), np.arange(len(runs.doc))
+            for m in range(tokens, 0, -1):
+                on = runs.place[live] >= m
+                own = np.full(len(live), np.nan)
+                own[on] = p[np.searchsorted(every, runs.keys[m][live[on]])]
+                listed = ~np.isnan(own)
+                log[live[listed]] += own[listed]
+                apart = live[on & ~listed]
+                log[apart] += rest[np.searchsorted(every, runs.keys[m - 1][apart - 1])]
+                live = live[~listed]
+            token = np.searchsorted(every, runs.keys[0])
+            log[live] += np.nan_to_num(p[token[live]], nan=unknown)
+            n, count = len(runs.size), c[token]
+            known_n = np.bincount(runs.doc, count > 0, n).astype(np.int64)
             held = pa.array(~batch.column("_train").to_numpy(zero_copy_only=False))
-            parts.append(pa.RecordBatch.from_arrays([batch.column("_id"), held, pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array([train_tokens] * batch.num_rows, pa.int64()), pa.array(low, pa.float64()), pa.array(high, pa.float64())], names=NAMES))
+            columns = [batch.column("_id"), held, pa.array(runs.size), pa.array(known_n), pa.array(np.full(n, train_tokens, np.int64)), pa.array(np.bincount(runs.doc, base_of(count), n)), pa.array(np.bincount(runs.doc, log, n) / np.log(10))]
+            parts.append(pa.RecordBatch.from_arrays(columns, names=NAMES))
         return pa.Table.from_batches(parts, pa.schema([("_id", left.schema.field("_id").type), *REST]))
 
     kind = source.schema["_id"].dataType.simpleString()
-    return dealt.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(judge, f"_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    result = shared_path(spark, "scores")
+    for turn in range(rounds):
+        some = dealt.where(F.col("_block") % rounds == turn).repartition(parts, "_block")
+        # all columns go along, so that the text's shuffle is one that both uses share
+        asked = some.sortWithinPartitions("_block").mapInArrow(number, "_block int, place int, key long")
+        answers = asked.join(known, "key").select("_block", "place", "c", "p", "rest")
+        found = some.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(judge, f"_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        found.write.mode("append").parquet(result)
+        del some, asked, answers, found
+        release(spark)
+    remove_path(spark, state_path)
+    return spark.read.parquet(result)
 
 
 REST = [("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
