@@ -153,3 +153,19 @@ def test_next_tokens_by_brute_force(spark):
     for i, text in zip(held, asked, strict=False):
         t = (*text.split(), None)
         assert math.isclose(got[i], sum(math.log10(p(t[max(0, k - 2) : k], t[k])) for k in range(len(t))), rel_tol=0.01), text
+
+
+def test_contexts_grow_with_the_corpus(spark):
+    def kept(copies):
+        texts = [(f"x{k} y{k} z{k}",) for k in range(copies) for _ in range(2)]
+        docs = spark.createDataFrame(texts, "_text string")
+        tokens = docs.selectExpr("explode(split(_text, ' ')) AS w").groupBy("w").count()
+        words = {r["w"]: r["count"] for r in tokens.collect()}
+        own = suffix_tree.hashes([w.encode() for w in words]).view(np.int64)
+        total = 4 * 2 * copies
+        first = [(int(h), n, n / total) for h, n in zip(own, words.values(), strict=True)] + [(int(suffix_tree.END.view(np.int64)), 2 * copies, 0.25)]
+        paths = []
+        found = suffix_tree.states(spark.createDataFrame(first, "key long, c long, p double"), suffix_tree.run_counts(docs, 2), total, 2, paths)
+        return found.where("rest is not null").count()
+
+    assert kept(2000) == 2 * kept(1000) > 2000  # each context has two uses; a share of all bytes would drop them as the corpus grows
