@@ -28,6 +28,8 @@ from topicloom.llm.common import bounded, mix64, remove_path, shared_path, slice
 
 WINDOW, GRAM = 35, 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a minimizer's key that hold its place; longer texts are parsed in runs that overlap.
+PLACE_BITS = 24
 #: Text bytes in a partition of the two shuffles by document.
 PART_BYTES = 32 << 20
 
@@ -67,6 +69,17 @@ def sliding_least(keys: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(run[: len(keys) - size + 1], run[size - have :][: len(keys) - size + 1])
 
 
+def least_places(grams: np.ndarray, size: int) -> np.ndarray:
+    """Where the least of each ``size`` consecutive hashes stands, the leftmost of equal ones."""
+    # the place in the low bits, in runs that these can number: of equal hashes the leftmost is the least
+    bits, run, out = np.uint64(PLACE_BITS), 1 << PLACE_BITS, []
+    for at in range(0, len(grams) - size + 1, run - size + 1):
+        some = grams[at : at + run]
+        keys = (some >> bits << bits) | np.arange(len(some), dtype=np.uint64)
+        out.append((sliding_least(keys, size) & np.uint64(run - 1)).astype(np.int64) + at)
+    return np.concatenate(out)
+
+
 class Parsed:
     """The windows and phrases of a slice's texts."""
 
@@ -83,11 +96,7 @@ class Parsed:
             self.anchor = self.phrase = self.window = np.zeros(0, np.uint64)
             return
         grams = rolled(flat, gram)
-        # the place in the low bits: of equal hashes the leftmost is the least, and the anchor tells where it is
-        bits = np.uint64(24)
-        keys = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
-        least = sliding_least(keys, window - gram + 1)
-        place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
+        place = least_places(grams, window - gram + 1)
         whole = doc[:count] == doc[window - 1 :]
         new = np.ones(count, bool)
         new[1:] = (place[1:] != place[:-1]) | (doc[1:count] != doc[: count - 1])
