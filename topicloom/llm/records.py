@@ -11,6 +11,7 @@ size for shuffled reads.
 
 from __future__ import annotations
 
+import re
 import string
 import struct
 import unicodedata
@@ -97,18 +98,23 @@ class Encoder:
     The vocabulary's normaliser and splitter never join what white space parts (canonical composition doesn't cross
     it, no pattern spans it), so a text's ids are its chunks' ids in order. Nor do they join an ASCII letter to a full stop
     or comma after it, so those are parted too, and ASCII case is dropped first. Chunks are encoded once and remembered. Runs of letters or of punctuation, also those of chunks of letters and then punctuation,
-    are encoded many in a string, as each has one end mark; if the marks don't add up, and for other chunks, one by one."""
+    are encoded many in a string, as each has one end mark; if the marks don't add up, and for other chunks, one by one.
+
+    A call takes the vocabulary's special tokens as text, in chunks; ``whole`` gives them their own ids, as the library does."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = {t.content.encode(): np.array([i]) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.special = re.compile(b"(%b)" % b"|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.tokenizer.encode_special_tokens = True  # for chunks, which are in lower case
         # the same model for runs that its normaliser would leave alone and its splitter would leave whole
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
+        self.special_ids = {t: i.astype(f"<u{self.width}").tobytes() for t, i in special.items()}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         if suffix:
@@ -189,6 +195,16 @@ class Encoder:
         return [ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
+    def whole(self, texts: list[bytes]) -> list[bytes]:
+        """The ids that the library gives to texts by default: the exact strings of special tokens part a text, before its
+        case is dropped, and have their own ids."""
+        if self.special is None or not any(map(self.special.search, texts)):
+            return self(texts)
+        split = [self.special.split(t) for t in texts]  # text and special token in turn
+        ids = iter(self([part for parts in split for part in parts[::2]]))
+        return [b"".join(self.special_ids[part] if k % 2 else next(ids) for k, part in enumerate(parts)) for parts in split]
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     import os
@@ -214,7 +230,7 @@ def write_records(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         encode = encoder(tokenizer)
         end = np.array([end_id], f"<u{encode.width}").tobytes()
         for batch in slices(batches, "_text", PIECE):
-            records = [frame(pack(doc, ids + end, encode.width)) for doc, ids in zip(batch.column("_id").to_pylist(), encode(texts(batch, "_text")), strict=True)]
+            records = [frame(pack(doc, ids + end, encode.width)) for doc, ids in zip(batch.column("_id").to_pylist(), encode.whole(texts(batch, "_text")), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
     source = bounded(docs).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
