@@ -1,4 +1,4 @@
-"""The suffix tree against brute force: unigram base, counts of contexts, longest suffixes, probabilities that add up."""
+"""The suffix tree against brute force: unigram base, spellings, longest suffix states, probabilities that add up."""
 
 import math
 import re
@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tests.llm.cases import empty, frame, rows
 from topicloom.llm import queries, suffix_tree
@@ -15,157 +16,177 @@ LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 COLUMNS = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
 
 
+def in_fold(doc):
+    return doc is not None and zlib.crc32(str(doc).encode()) % 7 == 2
+
+
+def tokens_of(text):
+    return (*SPACE.findall((text or "").translate(LOWER)), None)
+
+
 def expected_base(docs):
-    tokens = [[*SPACE.findall((t or "").translate(LOWER)), None] for _, t in docs]
-    held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in docs]
+    tokens, held = [tokens_of(t) for _, t in docs], [in_fold(d) for d, _ in docs]
     count = Counter(w for ws, h in zip(tokens, held, strict=True) if not h for w in ws)
     n, v = sum(count.values()), len(count)
     return [(d, h, len(ws), sum(count[w] > 0 for w in ws), n, round(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in ws), 6)) for (d, _), h, ws in zip(docs, held, tokens, strict=True)]
 
 
+class Plain:
+    """The model, straight from its definition, in dictionaries."""
+
+    def __init__(self, texts, depth=suffix_tree.TOKENS):
+        self.depth, runs = depth, [tokens_of(t) for t in texts]
+        self.n = Counter(r[i:j] for r in runs for i in range(len(r)) for j in range(i + 1, min(i + depth + 1, len(r)) + 1))
+        self.whole, self.words = sum(map(len, runs)), {k[0] for k in self.n if len(k) == 1}
+        self.follow: dict = {}
+        for k, n in self.n.items():
+            if len(k) > 1 and n >= suffix_tree.MIN_COUNT:
+                self.follow.setdefault(k[:-1], {})[k[-1]] = n
+        of = lambda s: self.n[s] if s else self.whole
+        gain = lambda s: sum(n * math.log(n / of(s) * of(s[1:]) / self.n[(*s[1:], x)]) for x, n in self.follow[s].items())
+        self.kept = {s for s in self.follow if gain(s) >= suffix_tree.GAIN_NATS}
+        self.spell = Spelling([w for w in self.words if w is not None])
+
+    def p(self, history, x):
+        for d in range(min(self.depth, len(history)), 0, -1):
+            s = history[-d:]
+            if s in self.kept:
+                seen, n = self.follow[s], self.n[s]
+                return max(seen.get(x, 0) - 0.75, 0) / n + (1 - sum(c - 0.75 for c in seen.values()) / n) * self.p(s[1:], x)
+        spare = 0.75 * len(self.words) / self.whole
+        return max(self.n[x,] - 0.75, 0) / self.whole + spare * (0 if x is None else self.spell.p(x.encode()))
+
+    def score(self, text):
+        t = tokens_of(text)
+        return sum(math.log10(self.p(t[max(0, k - self.depth) : k], x)) for k, x in enumerate(t))
+
+
+class Spelling:
+    def __init__(self, words):
+        self.n: dict = {}
+        for w in words:
+            run = b" " + w.encode() + b"\n"
+            for i in range(1, len(run)):
+                for d in range(min(i, suffix_tree.DEPTH) + 1):
+                    at = self.n.setdefault(run[i - d : i], Counter())
+                    at[run[i]] += 1
+        total = {s: sum(c.values()) for s, c in self.n.items()}
+        gain = lambda s: sum(n * math.log(n / total[s] * total[s[1:]] / self.n[s[1:]][b]) for b, n in self.n[s].items())
+        good = {s for s in self.n if len(s) > suffix_tree.TOP and total[s] >= 2 and gain(s) >= suffix_tree.GAIN_NATS}
+        self.kept = {s[k:] for s in good for k in range(len(s))} | {s for s in self.n if len(s) <= suffix_tree.TOP}
+        self.total = total
+
+    def step(self, history, b):
+        for d in range(min(suffix_tree.DEPTH, len(history)), 0, -1):
+            s = history[-d:]
+            if s in self.kept:
+                seen = self.n[s]
+                return max(seen[b] - 0.75, 0) / self.total[s] + 0.75 * len(seen) / self.total[s] * self.step(s[1:], b)
+        root, allowed = self.n.get(b"", Counter()), len(suffix_tree.ALPHABET)
+        return (root[b] + 1) / (sum(root.values()) + allowed)
+
+    def p(self, word):
+        run = b" " + word + b"\n"
+        return math.prod(self.step(run[:i], run[i]) for i in range(1, len(run)))
+
+
 def test_base_all_documents(spark, sf_dir):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     found = queries.op9_suffix_tree(spark, sf_dir).collect()
     assert sorted((r["doc_id"], *[r[c] for c in COLUMNS[:-1]], round(r["base_score"], 6)) for r in found) == sorted(expected_base(docs))
-    fold = [r for r in found if r["held_out"]]
-    assert sum(r["score"] for r in fold) > sum(r["base_score"] for r in fold)
     assert all(r["score"] < 0 for r in found)
+    model = Plain([t for d, t in docs if not in_fold(d)])
+    text = dict(docs)
+    for r in found:
+        assert math.isclose(r["score"], model.score(text[r["doc_id"]]), rel_tol=1e-9)
 
 
 def test_awkward(spark, monkeypatch):
     want = expected_base([r[:2] for r in rows()])
+    model = Plain([t for d, t, *_ in rows() if not in_fold(d)])
+    scores = sorted(round(model.score(t), 6) for _, t, *_ in rows())
     for block in (suffix_tree.BLOCK_BYTES, 5000):
         monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", block)
         found = suffix_tree.score(frame(spark)).collect()
         assert sorted(repr((r["_id"], *[r[c] for c in COLUMNS[:-1]], round(r["base_score"], 6))) for r in found) == sorted(map(repr, want))
+        assert np.allclose(sorted(r["score"] for r in found), scores)
     assert suffix_tree.score(empty(spark)).count() == 0
-    unseen = suffix_tree.score(frame(spark).where("doc_id = 10")).collect()  # in the held-out fold or not, a lone document is scored
-    assert len(unseen) == 1 and math.isfinite(unseen[0]["score"])
-
-
-def small_tree(spark, **options):
-    words = Counter("the then there other mother the the then a at ate é日".split())
-    data = spark.createDataFrame([(bytearray(w.encode()), n) for w, n in words.items()], "word binary, c long")
-    return words, suffix_tree.grow(data, p_min=0.01, pair_min=0.005, **options)
+    for only in (10, 12):  # in the held-out fold or not, a lone document is scored
+        alone = suffix_tree.score(frame(spark).where(f"doc_id = {only}")).collect()
+        assert len(alone) == 1 and math.isfinite(alone[0]["score"])
 
 
-def test_counts_and_probabilities(spark):
-    words, tree = small_tree(spark, gain=0.0)
-    runs = [(b" " + w.encode() + b"\n", n) for w, n in words.items()]
-    total = sum((len(r) - 1) * n for r, n in runs)
-    seen = Counter()
-    for r, n in runs:
-        for i in range(1, len(r)):
-            for d in range(1, min(i, suffix_tree.DEPTH) + 1):
-                seen[r[i - d : i]] += n
-    states = {int(c).to_bytes(d, "big") for d in range(1, tree.depth + 1) for c in tree.states[d - 1]}
-    assert states <= {c for c, n in seen.items() if n >= 0.01 * total}
-    assert all(s[1:] in states or len(s) == 1 for s in states)  # suffixes are retained
-    # the next byte's probabilities add up to one after any history: all words of one more letter, and those that end
-    for history in (b"", b"th", b"the", b"moth", b"zz", b"at"):
-        every = [history + bytes([b]) for b in range(256) if b not in (0x0A,)]
-        logs = tree.word_log([history, *every])
-        ends = np.exp(logs[0])
-        stop = suffix_stop(tree, every)
-        assert math.isclose(ends + sum(np.exp(logs[1:]) / stop), prefix_probability(tree, history), rel_tol=1e-6)
+def test_long_words_and_texts(spark):
+    texts = [(1, "x" * 3000 + " y"), (2, "ab " * 400_000), (3, "x" * 3000), (4, "q" * 2000 + " é")]
+    found = {r["_id"]: r["score"] for r in suffix_tree.score(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    model = Plain([t for d, t in texts if not in_fold(d)])
+    spelt = [k for k, t in texts if in_fold(k)]
+    assert all(math.isfinite(x) for x in found.values()) and math.isclose(found[2], model.score(texts[1][1]), rel_tol=1e-9), spelt
 
 
-def step(tree, history, byte):
-    """Probability of a byte after a history, straight from the definition."""
-    for d in range(tree.depth, 0, -1):
-        if len(history) >= d and (c := int.from_bytes(history[-d:], "big")) in set(tree.states[d - 1].tolist()):
-            return descend(tree, d, c, byte)
-    return math.exp(tree.root[byte])
+@pytest.fixture(scope="module")
+def small():
+    texts = ["a b c a b d", "b a c c a b c", "a b c", "d d b b a c"] * 6
+    return texts, Plain(texts)
 
 
-def descend(tree, d, c, byte):
-    if d == 0:
-        return math.exp(tree.root[byte])
-    pairs = dict(zip(tree.keys[d - 1].tolist(), tree.value[d - 1].tolist(), strict=True))
-    if (c << 8 | byte) in pairs:
-        return math.exp(pairs[c << 8 | byte])
-    weight = dict(zip(tree.states[d - 1].tolist(), tree.weight[d - 1].tolist(), strict=True))[c]
-    return math.exp(weight) * descend(tree, d - 1, c & ((1 << 8 * (d - 1)) - 1), byte)
+def scores(spark, texts, asked):
+    given = [*zip((i for i in range(100_000) if not in_fold(i)), texts, strict=False)]
+    asked = [*zip((i for i in range(100_000) if in_fold(i)), asked, strict=False)]
+    got = {r["_id"]: r["score"] for r in suffix_tree.score(spark.createDataFrame([*given, *asked], "doc_id long, text string")).collect()}
+    return [got[i] for i, _ in asked]
 
 
-def prefix_probability(tree, history):
-    run = b" " + history
-    return math.prod(step(tree, run[:i], run[i]) for i in range(1, len(run)))
+def test_next_tokens_by_brute_force(spark, small):
+    texts, model = small
+    asked = ["a b c", "a b d", "a b unseen", "c c unseen d", "unseen a", "d", "", "dog a cat"]
+    assert any(len(s) == 2 for s in model.kept)
+    assert np.allclose(scores(spark, texts, asked), [model.score(t) for t in asked])
 
 
-def suffix_stop(tree, words):
-    return np.array([step(tree, b" " + w, 0x0A) for w in words])
+def test_probabilities_add_up(spark, small):
+    texts, model = small
+    # of a token after a history: the end, words learnt, and all other words by their spelling
+    letters = [bytes([b]) for b in suffix_tree.ALPHABET if b != suffix_tree.STOP]
+    prefix = lambda s: math.prod(model.spell.step((b" " + s)[:i], (b" " + s)[i]) for i in range(1, len(s) + 1))
+    for history in (b"", b"a", b"ab"):  # a spelling goes on or stops
+        assert math.isclose(model.spell.p(history) + sum(prefix(history + x) for x in letters), prefix(history))
+    for s in ((), ("a",), ("a", "b"), ("zz",)):
+        spare = model.p(s, "unseen") / model.spell.p(b"unseen")
+        known = sum(model.p(s, x) - (spare * model.spell.p(x.encode()) if x else 0) for x in model.words)
+        assert math.isclose(known + spare, 1)
+    # the same by scores of texts: what a word's unseen spelling has goes by its letters
+    one, two = scores(spark, texts, ["a b unseen", "a b unsean"])
+    assert math.isclose(one - two, math.log10(model.spell.p(b"unseen") / model.spell.p(b"unsean")), rel_tol=1e-6) and one != two
 
 
-def test_longest_suffix_scores(spark):
-    words, tree = small_tree(spark)
-    tried = [w.encode() for w in [*words, "theother", "x", "", "日日日"]]
-    want = [sum(math.log(step(tree, (b" " + w + b"\n")[:i], (b" " + w + b"\n")[i])) for i in range(1, len(w) + 2)) for w in tried]
-    assert np.allclose(tree.word_log(tried), want)
+def test_the_tree_is_the_model(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    fold = lambda df: sum(r["score"] for r in df.where("held_out").collect())
+    tree = fold(suffix_tree.score(docs))
+    assert tree > fold(suffix_tree.score(docs, tokens=0)) + 500  # contexts of tokens
+    flat = Plain([r["text"] for r in docs.collect() if not in_fold(r["doc_id"])])
+    flat.spell.step = lambda history, b: 1 / len(suffix_tree.ALPHABET)
+    assert tree > sum(flat.score(r["text"]) for r in docs.collect() if in_fold(r["doc_id"])) + 1000  # spellings, against even bytes
 
 
 def test_order_and_rare_contexts_count(spark):
     rng = np.random.default_rng(5)
     words = [f"w{k}" for k in range(3000)]
-    learnt = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
-    held = [i for i in range(400, 900) if zlib.crc32(str(i).encode()) % 7 == 2]
     passage = "one odd passage of words stands here but twice in all the texts".split()
-    texts = {i: " ".join(rng.choice(words, 300)) for i in learnt}
-    for i in learnt[:2]:
+    texts = [" ".join(rng.choice(words, 300)) for _ in range(300)]
+    for i in range(2):
         texts[i] += " " + " ".join(passage)
-    asked = [" ".join(passage), " ".join(reversed(passage)), "one odd w99999", "w7 odd w99999"]
-    texts |= dict(zip(held, asked, strict=False))
-    got = {r["_id"]: r for r in suffix_tree.score(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()}
-    forward, back, *_ = (got[i]["score"] for i in held[: len(asked)])
-    assert math.isclose(got[held[0]]["base_score"], got[held[1]]["base_score"])
-    assert forward > back + 10  # the same words in another order; their contexts occur twice, less than 2e-6 of a large corpus
-
-
-def test_next_tokens_by_brute_force(spark):
-    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
-    held = [i for i in range(60, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
-    texts = {i: ["a b c a b d", "b a c c a b c", "a b c", "d d b b a c"][i % 4] for i in learnt}
-    asked = ["a b c", "a b d", "a b unseen", "c c unseen d", "unseen a", "d", ""]
-    given = texts | dict(zip(held, asked, strict=False))
-    got = {r["_id"]: r["score"] for r in suffix_tree.score(spark.createDataFrame([*given.items()], "doc_id long, text string")).collect()}
-    tokens = [(*t.split(), None) for t in texts.values()]
-    runs = Counter(t[i:j] for t in tokens for i in range(len(t)) for j in range(i + 1, min(i + 3, len(t)) + 1))
-    follow = lambda s: {r[-1]: n for r, n in runs.items() if len(r) == len(s) + 1 and r[:-1] == s and n >= suffix_tree.MIN_COUNT}
-    total = sum(map(len, tokens))
-    count = lambda s: runs[s] if s else total
-    gain = lambda s: sum(n * math.log(n / count(s) * count(s[1:]) / runs[(*s[1:], x)]) for x, n in follow(s).items())
-    kept = {s for s in runs if None not in s and len(s) <= 2 and follow(s) and gain(s) >= suffix_tree.GAIN_NATS}
-    kept |= {s[1:] for s in kept if len(s) == 2}
-    assert any(len(s) == 2 for s in kept)
-    words = {w: runs[w,] for w in "abcd"}
-    _, tree = Counter(), suffix_tree.grow(spark.createDataFrame([(bytearray(w.encode()), n) for w, n in words.items()], "word binary, c long"), p_min=0, pair_min=0, gain=-9)
-    spelt = dict(zip(words, np.exp(tree.word_log([w.encode() for w in words])), strict=True))
-    spare = 0.75 * 5 / total
-
-    def p(s, x):
-        if not s:
-            return max(runs[x,] - 0.75, 0) / total + spare * (spelt.get(x, 0) if x in words or x is None else 1 - sum(spelt.values()))
-        if s not in kept:
-            return p(s[1:], x)
-        rest = 1 - sum(n - 0.75 for n in follow(s).values()) / count(s)
-        return max(follow(s).get(x, 0.75) - 0.75, 0) / count(s) + rest * p(s[1:], x)
-
-    for i, text in zip(held, asked, strict=False):
-        t = (*text.split(), None)
-        assert math.isclose(got[i], sum(math.log10(p(t[max(0, k - 2) : k], t[k])) for k in range(len(t))), rel_tol=0.01), text
+    forward, back = scores(spark, texts, [" ".join(passage), " ".join(reversed(passage))])
+    assert forward > back + 10  # the same words in another order; their contexts occur twice
 
 
 def test_contexts_grow_with_the_corpus(spark):
-    def kept(copies):
-        texts = [(f"x{k} y{k} z{k}",) for k in range(copies) for _ in range(2)]
-        docs = spark.createDataFrame(texts, "_text string")
-        tokens = docs.selectExpr("explode(split(_text, ' ')) AS w").groupBy("w").count()
-        words = {r["w"]: r["count"] for r in tokens.collect()}
-        own = suffix_tree.hashes([w.encode() for w in words]).view(np.int64)
-        total = 4 * 2 * copies
-        first = [(int(h), n, n / total) for h, n in zip(own, words.values(), strict=True)] + [(int(suffix_tree.END.view(np.int64)), 2 * copies, 0.25)]
-        paths = []
-        found = suffix_tree.states(spark.createDataFrame(first, "key long, c long, p double"), suffix_tree.run_counts(docs, 2), total, 2, paths)
-        return found.where("rest is not null").count()
-
-    assert kept(2000) == 2 * kept(1000) > 2000  # each context has two uses; a share of all bytes would drop them as the corpus grows
+    def retained(copies):
+        model = Plain([f"x{k} y{k} z{k}" for k in range(copies) for _ in range(2)])
+        return model, len(model.kept)
+
+    model, many = retained(200)
+    assert many == 2 * retained(100)[1] > 200  # two uses are enough at any size
+    texts = [f"x{k} y{k} z{k}" for k in range(200) for _ in range(2)]
+    assert np.allclose(scores(spark, texts, ["x7 y7 z7", "x7 z7 y7"]), [model.score("x7 y7 z7"), model.score("x7 z7 y7")])

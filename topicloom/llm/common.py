@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,21 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes a query's shuffle files when it ends, here: steps that go on from written tables don't need them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute once and forget the lineage, by a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)

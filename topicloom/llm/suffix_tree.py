@@ -1,22 +1,23 @@
 """Language-model scores by a probabilistic suffix tree.
 
-A text is a run of tokens (words, then one end). The tree's contexts are runs of up to TOKENS
-preceding tokens of the text, so a score depends on the order of words. A context is retained if it
-stands before a token at least MIN_COUNT times and its next-token distribution diverges from that
-of its suffix by GAIN_NATS in sum over its occurrences, or if it is the suffix of one retained.
-Both bounds are absolute, so the tree grows with the corpus; it is kept in tables that are joined
-by context, never on the driver. Next tokens seen MIN_COUNT times are listed. Distributions are
-smoothed by absolute discounting, interpolated with the suffix's. Every token, learnt or not, is
-scored in the longest suffix state of its history.
-
-Below the empty state, a token has its discounted count, and what that leaves times its spelling:
-bytes from a start mark to an end mark, each in the longest state of up to DEPTH bytes before it,
-by a tree of the same kind over the training words, weighted by their counts. A token that was not
-learnt is the unknown symbol, as in the base: below the empty state it has all that the spelling
-gives to other words, whatever its own. The spelling's contexts of up to TOP bytes are bounded by the
-alphabet and known everywhere; the deeper ones are partitioned by their last TOP + 1 bytes.
-
-Tokens and their runs are known by hashes of 64 bits.
+A text is a run of tokens: its words, then one end. Contexts are runs of up to TOKENS preceding
+tokens, so a score depends on the order of words. A context is retained if its next-token
+distribution diverges from that of its suffix: next tokens seen MIN_COUNT times or more gain
+GAIN_NATS at least, in sum over their occurrences. Both bounds are absolute, so the tree grows
+with the corpus. Distributions are smoothed by absolute discounting, interpolated with that of
+the longest retained suffix; every token is scored in the longest suffix state of its history.
+
+In the empty state a token has its discounted count, and what the discounts leave times its
+spelling: bytes from a start mark to an end mark, each in the longest state of up to DEPTH bytes
+before it, by a tree of the same kind over the distinct words learnt. So a word that wasn't learnt
+has the probability of its own spelling, and the probabilities of all words add up to one.
+
+Where it runs. Texts become blocks, a table of token numbers. For each level of the tree a block
+asks about its own distinct contexts and what follows them: the questions are dealt by the
+context's hash, so that one task has all of a context, counted once for a block; the answers go
+back to the block. Questions and answers are arrays in binary columns, a row for each block and
+part. Nothing of the tree is on the driver but byte pairs after at most TOP bytes (the alphabet
+bounds them). Tokens and their runs are known by hashes of 64 bits.
 """
 
 from __future__ import annotations
@@ -26,259 +27,206 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import Ids, bounded, mix64, remove_path, shared_path, slices
-from topicloom.llm.substrings import release
-
-DEPTH = 6
-#: The three shares are those of ``grow``, which puts a small tree in one place; ``score`` doesn't use them.
-#: Least share of all predicted bytes that a context stands before: at most 1 / P_MIN contexts of a depth are retained.
-P_MIN = 2e-6
-#: Least share of all predicted bytes for a context's next byte to be listed: at most 1 / PAIR_MIN are of a depth.
-PAIR_MIN = 2e-7
-#: Least gain of a retained context over its suffix, in nats for each predicted byte of the whole.
-GAIN = 2e-8
+from topicloom.llm.common import Ids, bounded, freeing, mix64, remove_path, shared_path, slices
+
+#: Bytes, and preceding tokens, that a context has at most.
+DEPTH, TOKENS = 6, 2
 DISCOUNT = 0.75
-#: Preceding tokens that a context has at most.
-TOKENS = 2
-#: Least count of a retained context, and of a listed next token.
+#: Least count of a listed next token, and of a context.
 MIN_COUNT = 2
 #: Least gain of a retained context over its suffix, in nats over all that follows it.
 GAIN_NATS = 3.0
-#: Spelling contexts of up to so many bytes are bounded by the alphabet.
+#: Spelling contexts of up to so many bytes are bounded by the alphabet, and known everywhere.
 TOP = 2
 #: Hash of a text's end, as a token.
 END = np.uint64(0x9E3779B97F4A7C15)
-#: Bytes of distinct words whose places a task scores together.
-SPELT_BYTES = 4 << 20
-#: Rounds in which runs are counted, and in which documents are scored: what is shuffled at once is so much less.
-ROUNDS = 4
+#: Text bytes of a block, and of what a part of the questions stands for.
+BLOCK_BYTES, PART_BYTES = 4 << 20, 4 << 20
+#: Rounds in which a level's questions are asked: what is shuffled at once is so much less.
+ROUNDS = 3
 START, STOP = 0x20, 0x0A
-#: Depths that are counted together; those after the first group only below contexts that are frequent enough.
-GROUPS = ((0, 1, 2), (3, 4), (5, 6))
-#: Text bytes of a block of documents that look up their words together.
-BLOCK_BYTES = 8 << 20
-#: Distinct words whose counts a task holds.
-HELD_WORDS = 300_000
-#: Bytes of words that a step holds.
-WORD_BYTES = 1 << 20
+#: Bytes that lower-cased words, or their stop, are made of.
+ALPHABET = np.array([b for b in range(256) if b not in b" \t\v\f\r" and not 0x41 <= b <= 0x5A])
+BLOBS = "block long, part int, a binary, b binary, c binary, d binary, e binary"
+SHAPE = pa.schema([("block", pa.int64()), ("part", pa.int32()), *[(k, pa.binary()) for k in "abcde"]])
 
 
-class Spelt:
-    """The predicted bytes of a list of words, and their contexts as numbers (the last byte lowest)."""
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 by their bytes' places, lowest first: small, and what is small mostly compresses well."""
+    wide = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    return bytes([wide]) + np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :wide].T).tobytes()
+
+
+def unplanes(data: bytes) -> np.ndarray:
+    wide = data[0]
+    some = np.frombuffer(data, np.uint8, offset=1).reshape(wide, -1)
+    out = np.zeros((some.shape[1], 8), np.uint8)
+    out[:, :wide] = some.T
+    return out.reshape(-1).view("<i8")
+
+
+def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each distinct key, in order, one place; of each key, its number."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(key), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
-    def __init__(self, words: list[bytes], depth: int):
-        data = b"".join(b" %b\n" % w for w in words)
-        raw = np.frombuffer(data, np.uint8).astype(np.int64)
-        size = np.fromiter(map(len, words), np.int64, len(words)) + 2
-        begin = np.cumsum(size) - size
-        mask = np.ones(len(raw), bool)
-        mask[begin] = False
-        self.at = np.flatnonzero(mask)
-        self.word = np.repeat(np.arange(len(words)), size - 1)
-        self.back = self.at - begin[self.word]  # bytes of history, start mark included
-        self.next = raw[self.at]
-        self.raw, self.depth = raw, depth
 
-    def context(self, k: int) -> np.ndarray:
-        """Contexts of k bytes; -1 where the history is shorter."""
-        out = np.zeros(len(self.at), np.int64)
-        for j in range(1, k + 1):
-            out |= self.raw[np.maximum(self.at - j, 0)] << (8 * (j - 1))
-        return np.where(self.back >= k, out, -1)
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of runs, one run after another."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
 
 
-def member(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def member(ordered: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Places in a sorted array; -1 where there is none."""
-    if not len(sorted_keys):
+    if not len(ordered):
         return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
-
-
-class Tree:
-    """By depth: sorted contexts, their log weight of the suffix, sorted (context, byte) keys and their log probability."""
-
-    def __init__(self, rows: list[tuple[int, int, int, int]], totals: dict[tuple[int, int], int]):
-        """rows: (depth, context, byte, count) of the root and of retained contexts; totals: their counts, by (depth, context)."""
-        self.depth = max((d for d, _ in totals), default=0)
-        counts: dict[tuple[int, int], dict[int, int]] = {k: {} for k in totals}
-        counts.setdefault((0, 0), {})
-        for d, c, b, n in rows:
-            counts[d, c][b] = n
-        full = {k: totals.get(k, 0) for k in counts}
-        root = counts[0, 0]
-        n = sum(root.values())
-        self.root = np.log((np.array([root.get(b, 0) for b in range(256)]) + 1) / (n + 256))
-        self.states, self.weight, self.keys, self.value = [], [], [], []
-        linear: dict[tuple[int, int], tuple[float, dict[int, float]]] = {}
-        for d in range(1, self.depth + 1):
-            states = sorted(c for k, c in counts if k == d)
-            weight, keys = [], {}
-            for c in states:
-                have, total = counts[d, c], full[d, c]
-                rest = 1 - sum(max(n - DISCOUNT, 0) for n in have.values()) / total
-                own = {b: max(n - DISCOUNT, 0) / total + rest * self._probability(linear, d - 1, c & ((1 << 8 * (d - 1)) - 1), b) for b, n in have.items()}
-                linear[d, c] = (rest, own)
-                weight.append(rest)
-                keys |= {c << 8 | b: p for b, p in own.items()}
-            order = sorted(keys)
-            self.states.append(np.array(states, np.int64))
-            self.weight.append(np.log(np.maximum(np.array(weight, float), 1e-300)))
-            self.keys.append(np.array(order, np.int64))
-            self.value.append(np.log(np.array([keys[k] for k in order], float)))
-
-    def _probability(self, linear: dict, d: int, c: int, b: int) -> float:
-        if d == 0:
-            return float(np.exp(self.root[b]))
-        rest, own = linear[d, c]
-        return own[b] if b in own else rest * self._probability(linear, d - 1, c & ((1 << 8 * (d - 1)) - 1), b)
-
-    def word_log(self, words: list[bytes]) -> np.ndarray:
-        """Natural log of each word's probability as a spelling."""
-        spelt = Spelt(words, self.depth)
-        log, live = np.zeros(len(spelt.at)), np.arange(len(spelt.at))
-        for d in range(self.depth, 0, -1):
-            context = spelt.context(d)[live]
-            state = member(self.states[d - 1], context)
-            pair = np.where(state >= 0, member(self.keys[d - 1], context << 8 | spelt.next[live]), -1)
-            log[live[pair >= 0]] += self.value[d - 1][pair[pair >= 0]]
-            apart = (state >= 0) & (pair < 0)
-            log[live[apart]] += self.weight[d - 1][state[apart]]
-            live = live[pair < 0]
-        log[live] += self.root[spelt.next[live]]
-        return np.bincount(spelt.word, log, len(words))
+    at = np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)
+    return np.where(ordered[at] == keys, at, -1)
 
 
-def training(id_col: Column) -> Column:
-    """Documents to learn from: crc32 of the id as text, modulo 7, isn't 2. A null id is learnt from."""
-    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 7 != 2, F.lit(True))
+def joined_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of a run of tokens, from those of its start and of its last token."""
+    with np.errstate(over="ignore"):
+        return mix64(mix64(left) * np.uint64(0x9FB21C651E98DF25) + right)
 
 
-def token_lists(batch: pa.RecordBatch) -> list[list[bytes]]:
-    return [(t or b"").lower().split() for t in batch.column("_text").cast(pa.large_binary()).to_pylist()]
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def edges_of(parts: int) -> np.ndarray:
+    """The least hash of each part: parts are ranges of hashes."""
+    return np.array([(p << 64) // parts for p in range(parts)], np.uint64)
+
 
+def row(block: int | None, part: int | None, *blobs: bytes) -> pa.RecordBatch:
+    some = [*blobs, *[None] * (5 - len(blobs))]
+    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((block, part, *some), SHAPE.types, strict=True)], schema=SHAPE)
 
-def vocabulary(docs: DataFrame) -> DataFrame:
-    """(word, c): all words, with their counts in training documents. docs: ``_text``, ``_train``."""
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, total = Ids(), np.zeros(0, np.int64)
-        for batch in slices(batches, "_text"):
-            found = [np.fromiter(map(ids.__getitem__, r), np.int64, len(r)) for r in token_lists(batch)]
-            weight = np.repeat(batch.column("_train").to_numpy(zero_copy_only=False).astype(np.int64), [len(f) for f in found])
-            n = np.bincount(np.concatenate(found), weight, len(ids)).astype(np.int64)
-            n[: len(total)] += total
-            total = n
-            if len(ids) > HELD_WORDS:
-                yield row(ids, total)
-                ids, total = Ids(), np.zeros(0, np.int64)
-        yield row(ids, total)
+def columns(table: pa.Table, kinds: str) -> Iterator[tuple]:
+    """(block, part, blobs ...) of each row, in the order of block and part. kinds: by column, u for hashes, i for planes, f for
+    singles, d for doubles, b for bytes."""
+    read = {"u": lambda x: np.frombuffer(x, np.uint64), "i": unplanes, "f": lambda x: np.frombuffer(x, np.float32), "d": lambda x: np.frombuffer(x, np.float64), "b": bytes}
+    blocks, parts = table.column("block").to_pylist(), table.column("part").to_pylist()
+    for k in sorted(range(len(blocks)), key=lambda k: (blocks[k] or 0, parts[k])):
+        yield blocks[k], parts[k], *[read[kind](table.column(name)[k].as_buffer()) for name, kind in zip("abcde", kinds, strict=False)]
 
-    def row(ids: Ids, total: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(ids), pa.binary()), pa.array(total)], names=["word", "c"])
 
-    return docs.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def training(id_col: Column) -> Column:
+    """Documents to learn from: crc32 of the id as text, modulo 7, isn't 2. A null id is learnt from."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 7 != 2, F.lit(True))
 
 
-def context_counts(words: DataFrame, depths: tuple[int, ...], frontier: np.ndarray | None) -> DataFrame:
-    """(depth, context, byte, n) over words (word, c); frontier: contexts of the depth before the first that all must end with."""
+def blocks_of(source: DataFrame, path: str, parts: int) -> None:
+    """Write the blocks, and their questions about words. source: ``_id``, ``_text``, ``_train``.
 
-    def reduce(parts: list[np.ndarray]) -> np.ndarray:
-        key = np.concatenate([p[:, 0] for p in parts])
-        found, where = np.unique(key, return_inverse=True)
-        return np.stack([found, np.bincount(where, np.concatenate([p[:, 1] for p in parts]), len(found)).astype(np.int64)], axis=1)
+    ``kind=0``: a: token numbers (0: end), b: tokens by document, c: whether it is learnt from, d: hashes by number; ids.
+    ``kind=1``, by part: a: hashes of words, b: their sizes, c: their bytes, d: uses in training."""
+    kind = source.schema["_id"].dataType.simpleString()
+    least = edges_of(parts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {d: [] for d in depths}
-        size = 0
-        for batch in slices(batches, "word", WORD_BYTES):
-            spelt = Spelt(batch.column("word").to_pylist(), depths[-1])
-            weight = batch.column("c").to_numpy()[spelt.word]
-            allowed = np.ones(len(spelt.at), bool) if frontier is None else member(frontier, spelt.context(depths[0] - 1)) >= 0
-            for d in depths:
-                context = spelt.context(d)
-                on = np.flatnonzero(allowed & (context >= 0))
-                held[d].append(reduce([np.stack([context[on] << 8 | spelt.next[on], weight[on]], axis=1)]))
-            size += sum(len(p[-1]) for p in held.values())
-            if size > 2_000_000:  # a bound of what a task holds
-                held = {d: [reduce(p)] for d, p in held.items() if p}
-                size = sum(len(p[0]) for p in held.values())
-                if size > 1_000_000:
-                    for d in depths:
-                        yield row(d, held[d][0])
-                    held, size = {d: [] for d in depths}, 0
-        for d, p in held.items():
-            if p:
-                yield row(d, reduce(p))
-
-    def row(d: int, p: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(p), d)), pa.array(p[:, 0] >> 8), pa.array(p[:, 0] & 255), pa.array(p[:, 1])], names=["depth", "context", "byte", "n"])
-
-    return words.mapInArrow(run, "depth long, context long, byte long, n long").groupBy("depth", "context", "byte").agg(F.sum("n").alias("n"))
-
-
-def grow(words: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, pair_min: float = PAIR_MIN, gain: float = GAIN) -> Tree:
-    """The tree of words (word, c) with c > 0. What the driver gets is bounded by p_min and pair_min, whatever the corpus."""
-    spark = words.sparkSession
-    counts, paths, frontier, total = None, [], None, 0
-    for group in GROUPS:
-        depths = tuple(d for d in group if d <= depth)
-        if not depths:
-            break
-        path = shared_path(spark, "contexts")
-        context_counts(words, depths, frontier).write.parquet(path)
-        paths.append(path)
-        part = spark.read.parquet(path)
-        if 0 in depths:
-            total = part.where("depth = 0").agg(F.sum("n")).first()[0] or 0
-        often = part.groupBy("depth", "context").agg(F.sum("n").alias("total")).where(F.col("total") >= p_min * total)
-        last = [r["context"] for r in often.where(F.col("depth") == depths[-1]).select("context").collect()]  # 1 / p_min at most
-        frontier = np.array(sorted(last), np.int64)
-        kept = part.join(often, ["depth", "context"])
-        counts = kept if counts is None else counts.unionByName(kept)
-    if not total:
-        return Tree([], {(0, 0): 0})
-    path = shared_path(spark, "frequent-contexts")
-    counts.write.parquet(path)
-    paths.append(path)
-    counts = spark.read.parquet(path)
-    # divergence from the suffix's distribution, weighted by the context's count
-    suffix = counts.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("suffix"), "byte", F.col("n").alias("sn"), F.col("total").alias("st"))
-    own = counts.where("depth > 0").withColumn("suffix", F.expr("context & (shiftleft(1L, cast(8 * (depth - 1) as int)) - 1)"))
-    nats = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") * F.col("st") / F.col("sn")))
-    diverging = own.join(suffix, ["depth", "suffix", "byte"]).groupBy("depth", "context", "total").agg(nats.alias("nats")).where(F.col("nats") >= gain * total)
-    chosen = {(r["depth"], r["context"]) for r in diverging.select("depth", "context").collect()}  # 1 / p_min at most by depth
-    for d, c in list(chosen):
-        while d > 1:
-            d, c = d - 1, c & ((1 << 8 * (d - 1)) - 1)
-            if (d, c) in chosen:
-                break
-            chosen.add((d, c))
-    chosen.add((0, 0))
-    pairs = counts.where((F.col("n") >= pair_min * total) | (F.col("depth") == 0)).select("depth", "context", "byte", "n", "total").toPandas()
-    rows, totals = [], {}
-    for d, c, b, n, t in pairs.itertuples(index=False, name=None):
-        if (d, c) in chosen:
-            rows.append((d, c, b, n))
-            totals[d, c] = t
-    for p in paths:
-        remove_path(spark, p)
-    return Tree(rows, totals)
+        block = TaskContext.get().partitionId() << 32
+        for batch in slices(batches, "_text", BLOCK_BYTES):
+            ids = Ids({b"": 0})
+            lists = [(t or b"").lower().split() for t in batch.column("_text").cast(pa.large_binary()).to_pylist()]
+            size = np.fromiter(map(len, lists), np.int64, len(lists)) + 1
+            tokens = np.fromiter((ids[w] for words in lists for w in (*words, b"")), np.int64, int(size.sum()))
+            learnt = batch.column("_train").to_numpy(zero_copy_only=False)
+            words = list(ids)
+            keys = hashes(words)
+            keys[0] = END
+            uses = np.bincount(tokens, np.repeat(learnt, size), len(words)).astype(np.int64)
+            own = batch.column("_id")
+            yield both(0, pa.array([own.to_pylist()], pa.list_(own.type)), row(block, None, planes(tokens), planes(size), planes(learnt), keys.tobytes()))
+            order = np.argsort(keys)
+            cuts = np.searchsorted(keys[order], least)
+            for part, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(words)], strict=True)):
+                if b > a:
+                    some = order[a:b]
+                    data = [words[k] for k in some]
+                    yield both(1, pa.nulls(1, pa.list_(own.type)), row(block, part, keys[some].tobytes(), planes(np.array([*map(len, data)])), b"".join(data), planes(uses[some])))
+            block += 1
+
+    def both(number: int, ids: pa.Array, rest: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), ids, *rest.columns], names=["kind", "ids", *SHAPE.names])
+
+    save(source.mapInArrow(run, f"kind int, ids array<{kind}>, {BLOBS}"), path)
+
+
+def save(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write rows of blobs, by kind if they have one; small row groups, so that a few blocks are a task."""
+    writer = df.write.mode(mode).option("compression", "zstd").option("parquet.block.size", 8 << 20)
+    with freeing(df.sparkSession):
+        (writer.partitionBy("kind") if "kind" in df.columns else writer).parquet(path)
+
+
+def vocabulary(words: DataFrame, path: str) -> None:
+    """Write, by part: ``kind=0``: a: distinct hashes, b: sizes, c: bytes, d: counts; their sum and how many are learnt in x and y.
+    ``kind=1``, by block: a: numbers of the block's words in the part."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found = list(columns(table, "uibi"))
+        keys, size, uses = (np.concatenate([f[k] for f in found]) for k in (2, 3, 5))
+        data, part = b"".join(f[4] for f in found), found[0][1]
+        one, number = grouped(keys)
+        count = np.bincount(number, uses, len(one)).astype(np.int64)
+        raw = np.frombuffer(data, np.uint8)[spread((np.cumsum(size) - size)[one], size[one])]
+        out = [(0, row(None, part, keys[one].tobytes(), planes(size[one]), raw.tobytes(), planes(count)), int(count.sum()), int((count > 0).sum()))]
+        at = 0
+        for f in found:
+            out.append((1, row(f[0], part, planes(number[at : at + len(f[2])])), None, None))
+            at += len(f[2])
+        whole = pa.Table.from_batches([r for _, r, _, _ in out])
+        whole = whole.add_column(0, "kind", pa.array([o[0] for o in out], pa.int32()))
+        return whole.append_column("x", pa.array([o[2] for o in out], pa.int64())).append_column("y", pa.array([o[3] for o in out], pa.int64()))
+
+    save(words.groupBy("part").applyInArrow(run, f"kind int, {BLOBS}, x long, y long"), path)
+
+
+class Spelt:
+    """The distinct places of words: ``at``: up to DEPTH bytes of history and the byte, ``back``: bytes of history; where the
+    words' bytes stand among them, and whose they are."""
+
+    def __init__(self, size: np.ndarray, data: bytes):
+        n = len(size)
+        raw = np.empty(len(data) + 2 * n, np.int64)
+        begin = np.cumsum(size + 2) - size - 2
+        raw[begin], raw[begin + size + 1] = START, STOP
+        raw[spread(begin + 1, size)] = np.frombuffer(data, np.uint8)
+        mask = np.ones(len(raw), bool)
+        mask[begin] = False
+        place = np.flatnonzero(mask)
+        self.word = np.repeat(np.arange(n), size + 1)
+        back = np.minimum(place - begin[self.word], DEPTH)
+        at = raw[place]
+        for k in range(1, DEPTH + 1):
+            at |= np.where(back >= k, raw[np.maximum(place - k, 0)], 0) << (8 * k)  # a start mark stands in no word: distinct histories differ
+        one, self.where = grouped(at)
+        self.at, self.back = at[one], back[one]
 
 
 class Level:
     """Spelling contexts of one depth: sorted (context, byte) pairs with counts; totals of the contexts, and which are retained."""
 
     def __init__(self, pairs: np.ndarray, n: np.ndarray):
-        self.pairs, where = np.unique(pairs, return_inverse=True)
-        self.n = np.bincount(where, n, len(self.pairs))
-        self.contexts, self.of = np.unique(self.pairs >> 8, return_inverse=True)
-        self.total = np.bincount(self.of, self.n, len(self.contexts))
-        self.rest = 1 - np.bincount(self.of, self.n - DISCOUNT, len(self.contexts)) / self.total
-        self.kept = np.ones(len(self.contexts), bool)
+        one, where = grouped(pairs)
+        self.pairs, self.n = pairs[one], np.bincount(where, n, len(one))
+        one, self.of = grouped(self.pairs >> 8)
+        self.contexts = self.pairs[one] >> 8
+        self.total = np.bincount(self.of, self.n, len(one))
+        self.rest = 1 - np.bincount(self.of, self.n - DISCOUNT, len(one)) / self.total
+        self.kept = np.ones(len(one), bool)
 
     def gains(self, below: Level, bits: int) -> np.ndarray:
         at = member(below.pairs, self.pairs & ((1 << bits) - 1))
@@ -286,12 +234,12 @@ class Level:
 
 
 def spelling(top: list[tuple[np.ndarray, np.ndarray]], at: np.ndarray, back: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Natural log of places' bytes. at: DEPTH bytes of history and the byte; back: history there is; c: count of the place.
-    top: pairs and counts of depths to TOP of the whole; of the deeper contexts, all places have to be here."""
+    """Natural log of places' bytes. c: words learnt that have the place. top: pairs and counts of depths to TOP of the whole;
+    of the deeper contexts, all places have to be here."""
     pair_of = lambda d: at & ((1 << 8 * (d + 1)) - 1)
     levels = [Level(*t) for t in top]
     for d in range(TOP + 1, DEPTH + 1):
-        on = back >= d
+        on = (back >= d) & (c > 0)
         levels.append(Level(pair_of(d)[on], c[on]))
     for d in range(DEPTH, TOP, -1):
         here = levels[d]
@@ -299,7 +247,8 @@ def spelling(top: list[tuple[np.ndarray, np.ndarray]], at: np.ndarray, back: np.
         if d < DEPTH:  # suffixes of those retained
             longer = levels[d + 1]
             here.kept[member(here.contexts, np.unique(longer.contexts[longer.kept] & ((1 << 8 * d) - 1)))] = True
-    root = np.ones(256)
+    root = np.zeros(256)
+    root[ALPHABET] = 1
     root[levels[0].pairs] += levels[0].n
     p = [root / root.sum()]
     for d in range(1, DEPTH + 1):
@@ -321,151 +270,204 @@ def spelling(top: list[tuple[np.ndarray, np.ndarray]], at: np.ndarray, back: np.
     return log
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
-def spelt(words: DataFrame, size: int) -> DataFrame:
-    """(key, c, log) of words (word, c) with c > 0: hash, count, natural log of the spelling. size: bytes of all words."""
-    spark = words.sparkSession
-    counted = context_counts(words, tuple(range(TOP + 1)), None).toPandas()  # as many as the alphabet allows
-    top = []
-    for d in range(TOP + 1):
-        of = counted[counted["depth"] == d]
-        top.append((of["context"].to_numpy(np.int64) << 8 | of["byte"].to_numpy(np.int64), of["n"].to_numpy(np.float64)))
-    state = spark.sparkContext.broadcast(top)
-
-    parts = max(-(-size // SPELT_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = words.select(F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int").alias("part"), "word", "c").repartition(parts, "part")
-
-    def distinct_places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (history, byte), their history's size, where they stand, whose they are."""
-        s = Spelt(words, DEPTH)
-        at, back = np.zeros(len(s.at), np.int64), np.minimum(s.back, DEPTH)
-        for k in range(1, DEPTH + 1):
-            at = np.where(back == k, s.context(k), at)
-        found, one, where = np.unique(at << 8 | s.next, return_index=True, return_inverse=True)  # a start mark stands in no word
-        return found, back[one], where, s.word
+def spelt(vocab: DataFrame, parts: int) -> DataFrame:
+    """By part of the vocabulary, a: natural logs of its words' spellings; those of the end are minus infinity."""
+    spark = vocab.sparkSession
 
-    def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[pa.RecordBatch]] = {}
+    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of = batch.column("part").to_numpy()
-            for part in np.unique(of):
-                held.setdefault(int(part), []).append(batch.filter(pa.array(of == part)))
-        for part, some in held.items():
-            whole = pa.Table.from_batches(some)
-            at, back, where, word = distinct_places(whole.column("word").to_pylist())
-            c = np.bincount(where, whole.column("c").to_numpy()[word], len(at)).astype(np.int64)
-            group = np.where(back > TOP, (at >> 8) & ((1 << 8 * (TOP + 1)) - 1), at)
-            columns = [group, np.full(len(at), part, np.int32), np.arange(len(at), dtype=np.int32), c, at, back.astype(np.int8)]
-            for k in range(0, len(at), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in columns], names=["group", "part", "place", "c", "at", "back"])
-
-    def judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if held:
-            whole = pa.Table.from_batches(held)
-            at, back, c = (whole.column(k).to_numpy() for k in ("at", "back", "c"))
-            log = pa.array(spelling(state.value, at, back.astype(np.int64), c))
-            yield from whole.select(["part", "place"]).append_column("log", log).to_batches(100_000)
-
-    def summed(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = left.column("word").to_pylist()
-        at, _, where, word = distinct_places(found)
-        log = np.zeros(len(at))
-        log[right.column("place").to_numpy()] = right.column("log").to_numpy()
-        return pa.table({"key": pa.array(hashes(found).view(np.int64)), "c": left.column("c"), "log": pa.array(np.bincount(word, log[where], len(found)))})
-
-    asked = dealt.mapInArrow(places, "group long, part int, place int, c long, at long, back byte")
-    answers = asked.repartition(parts, "group").drop("group").mapInArrow(judged, "part int, place int, log double")
-    return dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(summed, "key long, c long, log double")
-
-
-def joined_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Hash of a run of tokens, from those of the run without its last and without its first."""
-    with np.errstate(over="ignore"):
-        return mix64(mix64(left) * np.uint64(0x9FB21C651E98DF25) + right)
+            for _, _, keys, size, data, count in columns(pa.Table.from_batches([batch]), "uibi"):
+                s = Spelt(size, data)
+                c = np.bincount(s.where, ((count > 0) & (keys != END))[s.word], len(s.at))
+                for d in range(TOP + 1):
+                    on = (s.back >= d) & (c > 0)
+                    pair = s.at[on] & ((1 << 8 * (d + 1)) - 1)
+                    one, number = grouped(pair)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), d)), pa.array(pair[one]), pa.array(np.bincount(number, c[on], len(one)).astype(np.int64))], names=["depth", "pair", "n"])
+
+    blobs = vocab.select("block", "part", "a", "b", "c", "d")
+    counted = blobs.mapInArrow(first, "depth long, pair long, n long").groupBy("depth", "pair").agg(F.sum("n").alias("n")).toPandas()  # bounded by the alphabet
+    top = [(of["pair"].to_numpy(np.int64), of["n"].to_numpy(np.float64)) for _, of in ((d, counted[counted["depth"] == d].sort_values("pair")) for d in range(TOP + 1))]
+    state = spark.sparkContext.broadcast(top)
+    least = edges_of(parts)
 
+    def groups(s: Spelt) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the order of their groups (the last TOP + 1 bytes of history), and where parts begin."""
+        key = mix64(np.where(s.back > TOP, (s.at >> 8) & ((1 << 8 * (TOP + 1)) - 1), 0).astype(np.uint64) + np.uint64(1))
+        order = np.argsort(key, kind="stable")
+        return order, np.searchsorted(key[order], least)
 
-class Runs:
-    """Tokens of texts in a row, each text's end too. keys[m]: hashes of the runs of m + 1 tokens that end at a place with
-    ``place`` m or more, else 0."""
-
-    def __init__(self, lists: list[list[bytes]], tokens: int):
-        ids = Ids()
-        flat = np.fromiter((ids[w] for r in lists for w in r), np.int64, sum(map(len, lists)))
-        self.size = np.fromiter(map(len, lists), np.int64, len(lists)) + 1
-        self.last = np.cumsum(self.size) - 1
-        self.doc = np.repeat(np.arange(len(lists)), self.size)
-        self.place = np.arange(len(self.doc)) - (self.last - self.size + 1)[self.doc]
-        first = np.full(len(self.doc), END)
-        first[np.delete(np.arange(len(self.doc)), self.last)] = hashes(list(ids))[flat]
-        self.keys = [first]
-        for m in range(1, tokens + 1):
-            low, key = self.keys[-1], np.zeros(len(first), np.uint64)
-            on = np.flatnonzero(self.place >= m)
-            key[on] = joined_keys(low[on - 1], low[on])
-            self.keys.append(key)
-
-
-def run_counts(docs: DataFrame, tokens: int, turn: int = 0, rounds: int = 1) -> DataFrame:
-    """(m, key, ctx, suf, n): runs of m + 1 tokens with MIN_COUNT occurrences in docs (``_text``); ctx and suf are the runs
-    without their last and first token. Only those whose hash is ``turn`` modulo ``rounds``."""
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            runs = Runs(token_lists(batch), tokens)
-            for m in range(1, tokens + 1):
-                on = np.flatnonzero((runs.place >= m) & (runs.keys[m] % np.uint64(rounds) == turn))
-                if len(on):
-                    _, at, n = np.unique(runs.keys[m][on], return_index=True, return_counts=True)
-                    low, at = runs.keys[m - 1].view(np.int64), on[at]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), m, np.int8)), pa.array(low[at - 1]), pa.array(low[at]), pa.array(n)], names=["m", "ctx", "suf", "n"])
-
-    def name(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = joined_keys(*(batch.column(k).to_numpy().view(np.uint64) for k in ("ctx", "suf")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key.view(np.int64))], names=["m", "ctx", "suf", "n", "key"])
-
-    counted = docs.mapInArrow(count, "m byte, ctx long, suf long, n long").groupBy("m", "ctx", "suf").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= MIN_COUNT).mapInArrow(name, "m byte, ctx long, suf long, n long, key long")
-
-
-def states(first: DataFrame, runs: DataFrame, train_tokens: int, tokens: int, paths: list[str]) -> DataFrame:
-    """(key, c, p, rest), one row a run: log probability of its last token in the state of the others (null: not listed), log
-    weight of the suffix in the run's own state (null: not retained). first: (key, c, p) of tokens learnt. paths: what was written."""
-    spark = first.sparkSession
-
-    def keep(df: DataFrame) -> DataFrame:
-        paths.append(shared_path(spark, "states"))
-        df.write.parquet(paths[-1])
-        return spark.read.parquet(paths[-1])
-
-    whole = F.lit(train_tokens).cast("long")
-    lower = first.select("key", F.col("c").alias("n"), whole.alias("nc"), F.lit(None).cast("long").alias("suf"))
-    rows, stats = {}, {}
-    for m in range(1, tokens + 1):
-        context = lower.select(F.col("key").alias("ctx"), F.col("n").alias("nc"), F.col("suf").alias("sctx"))
-        suffix = lower.select(F.col("key").alias("suf"), F.col("n").alias("sn"), F.col("nc").alias("snc"))
-        rows[m] = lower = keep(runs.where(F.col("m") == m).select("key", "ctx", "suf", "n").join(context, "ctx").join(suffix, "suf"))
-        gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("nc") * F.col("snc") / F.col("sn")))
-        stats[m] = lower.groupBy("ctx").agg(F.first("sctx").alias("sctx"), gain.alias("gain"), (1 - F.sum(F.col("n") - DISCOUNT) / F.first("nc")).alias("rest"))
-    kept = {}
-    for m in range(tokens, 0, -1):
-        found, good = stats[m], F.col("gain") >= GAIN_NATS
-        if m < tokens:  # suffixes of those retained
-            found = found.join(kept[m + 1].select(F.col("sctx").alias("ctx"), F.lit(True).alias("needed")).distinct(), "ctx", "left")
-            good |= F.col("needed")
-        kept[m] = keep(found.where(good).select("ctx", "sctx", "rest"))
-    out, below = first.select("key", "c", F.log("p").alias("p"), F.lit(None).cast("double").alias("rest")), first.select(F.col("key").alias("suf"), F.col("p").alias("sp"))
-    for m in range(1, tokens + 1):
-        p = (F.col("n") - DISCOUNT) / F.col("nc") + F.col("rest") * F.col("sp")
-        listed = keep(rows[m].join(kept[m].select("ctx", "rest"), "ctx").join(below, "suf").select("key", p.alias("p")))
-        below = listed.select(F.col("key").alias("suf"), F.col("p").alias("sp"))
-        out = out.unionByName(listed.select("key", F.lit(0).cast("long").alias("c"), F.log("p").alias("p"), F.lit(None).cast("double").alias("rest")))
-        out = out.unionByName(kept[m].select(F.col("ctx").alias("key"), F.lit(0).cast("long").alias("c"), F.lit(None).cast("double").alias("p"), F.log("rest").alias("rest")))
-    return out.groupBy("key").agg(F.max("c").alias("c"), F.max("p").alias("p"), F.max("rest").alias("rest"))
+            for _, part, keys, size, data, count in columns(pa.Table.from_batches([batch]), "uibi"):
+                s = Spelt(size, data)
+                c = np.bincount(s.where, ((count > 0) & (keys != END))[s.word], len(s.at)).astype(np.int64)
+                order, cuts = groups(s)
+                for group, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(order)], strict=True)):
+                    if b > a:
+                        yield row(part, group, planes(s.at[order[a:b]]), planes(s.back[order[a:b]]), planes(c[order[a:b]]))
+
+    def judge(table: pa.Table) -> pa.Table:
+        found = list(columns(table, "iii"))
+        at, back, c = (np.concatenate([f[k] for f in found]) for k in (2, 3, 4))
+        log = spelling(state.value, at, back, c)
+        ends = np.cumsum([len(f[2]) for f in found])
+        return pa.Table.from_batches([row(f[0], f[1], x.tobytes()) for f, x in zip(found, np.split(log, ends[:-1]), strict=True)])
+
+    def gather(left: pa.Table, right: pa.Table) -> pa.Table:
+        (_, part, keys, size, data, _), = columns(left, "uibi")
+        s = Spelt(size, data)
+        log = np.empty(len(s.at))
+        log[groups(s)[0]] = np.concatenate([x for *_, x in columns(right, "d")])
+        whole = np.bincount(s.word, log[s.where], len(size))
+        return pa.Table.from_batches([row(None, part, np.where(keys == END, -np.inf, whole).tobytes())])
+
+    answers = blobs.mapInArrow(ask, BLOBS).groupBy("part").applyInArrow(judge, BLOBS)
+    return blobs.groupBy("part").cogroup(answers.select(F.col("block").cast("int").alias("of"), "*").groupBy("of")).applyInArrow(gather, BLOBS)
+
+
+def word_answers(index: DataFrame, vocab: DataFrame, logs: DataFrame) -> DataFrame:
+    """By block and part, a: counts, b: logs of spellings of the block's words. Level 0."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return SHAPE.empty_table()
+        have = right.column("a").to_pylist(), right.column("b").to_pylist()
+        count = next(unplanes(x) for x in have[0] if x is not None)
+        log = next(np.frombuffer(x, np.float64) for x in have[1] if x is not None)
+        return pa.Table.from_batches([row(block, part, planes(count[k]), log[k].tobytes()) for block, part, k in columns(left, "i")])
+
+    both = vocab.select("part", F.col("d").alias("a"), F.lit(None).cast("binary").alias("b")).unionByName(logs.select("part", F.lit(None).cast("binary").alias("a"), F.col("a").alias("b")))
+    return index.groupBy("part").cogroup(both.groupBy("part")).applyInArrow(run, BLOBS)
+
+
+class Asked:
+    """A level's questions of a block: the places of contexts, their distinct contexts by hash, and what follows them."""
+
+    def __init__(self, view: View, m: int):
+        run, key, count = view.runs[m - 1]
+        # contexts: runs of m tokens, ended by none of the ends, that may have been learnt
+        on = np.flatnonzero((view.place >= m) & (np.append(-1, run[:-1]) >= 0))
+        context, follows = run[on - 1], view.tokens[on]
+        lower = view.follow[m - 1][on]  # count of what follows after the suffix
+        one, number = grouped(context)
+        order = np.argsort(key[context[one]])
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.on, self.of, self.one = on, rank[number], one[order]
+        self.key, self.count = key[context[self.one]], count[context[self.one]]
+        # the suffix's count: that of all tokens after the empty one
+        if m == 1:
+            suffix = np.full(len(order), view.whole)
+        else:
+            short, _, short_count = view.runs[m - 2]
+            suffix = short_count[short[on[self.one] - 1]]
+        self.offset = np.log(np.maximum(suffix, 1)) - np.log(np.maximum(self.count, 1))
+        maybe = np.flatnonzero(lower >= MIN_COUNT)
+        code = self.of[maybe] << 32 | follows[maybe]
+        one, number = grouped(code)
+        self.maybe, self.item = maybe, number
+        self.item_context, self.follows, self.lower = code[one] >> 32, view.keys[follows[maybe[one]]], lower[maybe[one]]
+        self.uses = np.bincount(number, view.learnt[on[maybe]], len(one)).astype(np.int64)
+        self.size = np.bincount(self.item_context, minlength=len(order)).astype(np.int64)
+
+    def rows(self, block: int, least: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
+        cuts = np.append(np.searchsorted(self.key, least), len(self.key))
+        ends = np.append(0, np.cumsum(self.size))
+        for part in range(turn, len(least), ROUNDS):
+            a, b = cuts[part], cuts[part + 1]
+            if b > a:
+                i, j = ends[a], ends[b]
+                yield row(block, part, self.key[a:b].tobytes() + self.follows[i:j].tobytes(), self.offset[a:b].astype(np.float32).tobytes(), planes(self.size[a:b]), planes(self.lower[i:j]), planes(self.uses[i:j]))
+
+
+def answered(table: pa.Table) -> pa.Table:
+    """A part's answers to all blocks, a: counts of what follows (0: not listed), b, c: by context, listed uses, and how many are
+    listed (0: the context isn't retained)."""
+    found = list(columns(table, "ufiii"))
+    sizes = [f[4] for f in found]
+    contexts = np.concatenate([f[2][: len(s)] for f, s in zip(found, sizes, strict=True)])
+    follows = np.concatenate([f[2][len(s) :] for f, s in zip(found, sizes, strict=True)])
+    offset, size, lower, uses = (np.concatenate([f[k] for f in found]) for k in (3, 4, 5, 6))
+    one, number = grouped(contexts)
+    item_one, item = grouped(joined_keys(np.repeat(contexts, size), follows))
+    n = np.bincount(item, uses, len(item_one)).astype(np.int64)
+    listed = n >= MIN_COUNT
+    of, n_listed = np.repeat(number, size)[item_one[listed]], n[listed]
+    gain = np.bincount(of, n_listed * np.log(n_listed / lower[item_one[listed]]), len(one))
+    total, distinct = np.bincount(of, n_listed, len(one)).astype(np.int64), np.bincount(of, minlength=len(one)).astype(np.int64)
+    kept = gain + total * offset[one] >= GAIN_NATS
+    total, distinct = (total * kept)[number], (distinct * kept)[number]
+    n = np.where(listed, n, 0)[item]
+    out, at, i = [], 0, 0
+    for f, s in zip(found, sizes, strict=True):
+        j, b = i + int(s.sum()), at + len(s)
+        out.append(row(f[0], f[1], planes(n[i:j]), planes(total[at:b]), planes(distinct[at:b])))
+        at, i = b, j
+    return pa.Table.from_batches(out)
+
+
+class View:
+    """A block (left), and what the answers (right) of levels 0 to ``depth`` say of its tokens. whole: all tokens learnt."""
+
+    def __init__(self, left: pa.Table, right: pa.Table, whole: int, depth: int):
+        tokens, size, learnt, keys = (left.column(k)[0].as_buffer() for k in "abcd")
+        self.block, self.whole = left.column("block")[0].as_py(), whole
+        self.tokens, self.size, self.held = unplanes(tokens), unplanes(size), unplanes(learnt) == 0
+        self.keys = np.frombuffer(keys, np.uint64)
+        self.doc = np.repeat(np.arange(len(self.size)), self.size)
+        self.place = np.arange(len(self.doc)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        self.learnt = ~self.held[self.doc]
+        levels = right.column("level").to_numpy()
+        given = lambda m, kinds: [np.concatenate(x) for x in list(zip(*columns(right.filter(pa.array(levels == m)), kinds), strict=True))[2:]]
+        order = np.argsort(self.keys)
+        self.count, self.log = np.empty(len(order), np.int64), np.empty(len(order))
+        self.count[order], self.log[order] = given(0, "id")
+        # by level: the run that ends at each place (-1: not learnt often enough, or ended by an end), hashes and counts of the runs
+        run = np.where((self.tokens > 0) & (self.count[self.tokens] >= MIN_COUNT), self.tokens, -1)
+        self.runs, self.follow, self.asked, self.used = [(run, self.keys, self.count)], [self.count[self.tokens]], [], []
+        for m in range(1, depth + 1):
+            asked = Asked(self, m)
+            n, total, distinct = given(m, "iii") if len(asked.key) else (np.zeros(0, np.int64),) * 3
+            self.asked.append(asked)
+            self.used.append((total, distinct))
+            follow = np.zeros(len(self.tokens), np.int64)
+            follow[asked.on[asked.maybe]] = n[asked.item]
+            run = np.full(len(self.tokens), -1)
+            run[asked.on[asked.maybe]] = asked.item
+            run[(follow < MIN_COUNT) | (self.tokens == 0)] = -1
+            self.follow.append(follow)
+            self.runs.append((run, joined_keys(asked.key[asked.item_context], asked.follows), n))
+
+    def score(self, vocab: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By document: tokens learnt, log10 of the base and of the tree."""
+        n, whole = len(self.size), self.whole
+        spare = DISCOUNT * vocab / whole if whole else 1.0
+        p = (np.maximum(self.count - DISCOUNT, 0) / max(whole, 1) + spare * np.exp(self.log))[self.tokens]
+        log = np.log(np.maximum(p, 1e-300))
+        rare = p < 1e-300  # the logs of long spellings are exact
+        log[rare] = np.log(spare) + self.log[self.tokens[rare]]
+        log = np.maximum(log, -1e6)  # nothing learnt: an end has no probability
+        for m, (asked, (total, distinct)) in enumerate(zip(self.asked, self.used, strict=True), 1):
+            kept = distinct[asked.of] > 0
+            at, of = asked.on[kept], asked.of[kept]
+            rest = 1 - (total - DISCOUNT * distinct)[of] / asked.count[of]
+            seen = np.maximum(self.follow[m][at] - DISCOUNT, 0) / asked.count[of]
+            with np.errstate(divide="ignore"):
+                log[at] = np.logaddexp(np.log(seen), np.log(rest) + log[at])
+        base = np.log10((self.count + 1) / (whole + vocab + 1))[self.tokens]
+        known = np.bincount(self.doc, self.count[self.tokens] > 0, n).astype(np.int64)
+        return known, np.bincount(self.doc, base, n), np.bincount(self.doc, log, n) / np.log(10)
+
+
+def asker(whole: int, parts: int, m: int, turn: int):
+    """A block's questions of level m and a round."""
+
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        view = View(left, right, whole, m - 1)
+        return pa.Table.from_batches([*Asked(view, m).rows(view.block, edges_of(parts), turn)], SHAPE)
+
+    return ask
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens: int = TOKENS) -> DataFrame:
@@ -473,112 +475,51 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", token
 
     base_score: add-one unigrams of tokens, log10. score: log10 probability of the tokens by the model, contexts of up to
     ``tokens`` tokens. Null and wordless texts are an end only. Nothing learnt (no training rows): the base is that of no
-    counts, and every token is the unknown symbol. Rows, repeated ones too, are kept.
-    Runs of tokens are numbered in blocks of documents, so that one is looked up once in a block, however often it stands there."""
+    counts, words have an even spelling, and an end scores -1e6 nats. Rows, repeated ones too, are kept; a text longer than a block is a
+    block of its own. Other columns aren't looked at."""
     spark = docs.sparkSession
     source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), training(F.col(id_col)).alias("_train"))
-    size, n_docs, n_train = source.agg(F.sum(F.octet_length("_text")), F.count(F.lit(1)), F.count_if("_train")).first()
-    vocab_path = shared_path(spark, "vocabulary")
-    vocabulary(source.where("_train").select("_text", "_train")).write.parquet(vocab_path)
-    release(spark)
-    words = spark.read.parquet(vocab_path)
-    n_words, distinct, word_bytes = words.agg(F.sum("c"), F.count(F.lit(1)), F.sum(F.octet_length("word") + 1)).first()
-    n_words = n_words or 0
-    train_tokens, vocab = n_words + n_train, distinct + (n_train > 0)
-    spare = DISCOUNT * vocab / train_tokens if train_tokens else 1.0
-    spelt_path, run_path, state_path, paths = shared_path(spark, "spelt"), shared_path(spark, "runs"), shared_path(spark, "suffix-states"), []
-    spelt(words, word_bytes or 0).write.parquet(spelt_path)
-    remove_path(spark, vocab_path)
-    release(spark)
-    for turn in range(ROUNDS):
-        run_counts(source.where("_train").select("_text"), tokens, turn, ROUNDS).write.mode("append").parquet(run_path)
-        release(spark)
-    scored = spark.read.parquet(spelt_path)
-    covered = scored.agg(F.sum(F.exp("log"))).first()[0] or 0.0
-    unknown = np.log(spare * max(1 - covered, 1e-9))
-    end = spark.createDataFrame([(int(END.view(np.int64)), n_train, (n_train - DISCOUNT) / max(train_tokens, 1))] if n_train else [], "key long, c long, p double")
-    own = (F.col("c") - DISCOUNT) / max(train_tokens, 1) + spare * F.exp("log")
-    first = scored.select("key", "c", own.alias("p")).unionByName(end)
-    states(first, spark.read.parquet(run_path), train_tokens, tokens, paths).write.parquet(state_path)
-    for p in (*paths, run_path, spelt_path):
+    kind = source.schema["_id"].dataType.simpleString()
+    rest = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    size = source.agg(F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)) + 1)).first()[0]
+    if not size:
+        return spark.createDataFrame([], f"_id {kind}, {rest}")
+    parts = max(-(-size // PART_BYTES), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path, vocab_path, answer_path, result = (shared_path(spark, x) for x in ("blocks", "words", "answers", "scores"))
+    blocks_of(source, path, parts)
+    vocabulary(spark.read.parquet(f"{path}/kind=1"), vocab_path)
+    remove_path(spark, f"{path}/kind=1")
+    vocab = spark.read.parquet(f"{vocab_path}/kind=0")
+    whole, distinct = vocab.agg(F.sum("x"), F.sum("y")).first()
+    logs_path = shared_path(spark, "spelt")
+    save(spelt(vocab, parts), logs_path)
+    save(word_answers(spark.read.parquet(f"{vocab_path}/kind=1").select(*SHAPE.names), vocab, spark.read.parquet(logs_path)), f"{answer_path}/level=0")
+    for p in (vocab_path, logs_path):
         remove_path(spark, p)
-    release(spark)
-    known = spark.read.parquet(state_path)
-
-    blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
-    rounds = min(ROUNDS, blocks)
-    parts = max(-(-blocks // rounds), int(spark.conf.get("spark.sql.shuffle.partitions")))  # fewer would be dealt out once more
-    dealt = source.select(F.pmod(F.xxhash64(F.col("_id").cast("string"), "_text"), F.lit(blocks)).cast("int").alias("_block"), "_id", "_text", "_train")
-
-    def distinct_keys(runs: Runs) -> np.ndarray:
-        return np.unique(np.concatenate([k[runs.place >= m] for m, k in enumerate(runs.keys)]))
-
-    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(block: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            found = np.unique(np.concatenate(held)).view(np.int64)
-            for k in range(0, len(found), 200_000):
-                some = found[k : k + 200_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block, np.int32)), pa.array(np.arange(k, k + len(some), dtype=np.int32)), pa.array(some)], names=["_block", "place", "key"])
-
-        block, held = -1, []
-        for batch in slices(batches, "_text"):
-            lists, of = token_lists(batch), batch.column("_block").to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if of[a] != block:
-                    if held:
-                        yield from out(block, held)
-                    block, held = of[a], []
-                held.append(distinct_keys(Runs(lists[a:b], tokens)))
-        if held:
-            yield from out(block, held)
-
-    base_of = lambda c: np.log10((c + 1) / (train_tokens + vocab + 1))
 
-    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        batches = list(slices(left.to_batches(), "_text"))
-        texts = [Runs(token_lists(b), tokens) for b in batches]
-        every = np.unique(np.concatenate([distinct_keys(r) for r in texts]))
-        at = right.column("place").to_numpy()
-        c, p, rest = np.zeros(len(every), np.int64), np.full(len(every), np.nan), np.zeros(len(every))
-        c[at] = right.column("c").to_numpy()
-        p[at] = right.column("p").to_numpy()  # null is not a number
-        rest[at] = np.nan_to_num(right.column("rest").to_numpy())
-        parts = []
-        for batch, runs in zip(batches, texts, strict=True):
-            log, live = np.zeros(len(runs.doc)), np.arange(len(runs.doc))
-            for m in range(tokens, 0, -1):
-                on = runs.place[live] >= m
-                own = np.full(len(live), np.nan)
-                own[on] = p[np.searchsorted(every, runs.keys[m][live[on]])]
-                listed = ~np.isnan(own)
-                log[live[listed]] += own[listed]
-                apart = live[on & ~listed]
-                log[apart] += rest[np.searchsorted(every, runs.keys[m - 1][apart - 1])]
-                live = live[~listed]
-            token = np.searchsorted(every, runs.keys[0])
-            log[live] += np.nan_to_num(p[token[live]], nan=unknown)
-            n, count = len(runs.size), c[token]
-            known_n = np.bincount(runs.doc, count > 0, n).astype(np.int64)
-            held = pa.array(~batch.column("_train").to_numpy(zero_copy_only=False))
-            columns = [batch.column("_id"), held, pa.array(runs.size), pa.array(known_n), pa.array(np.full(n, train_tokens, np.int64)), pa.array(np.bincount(runs.doc, base_of(count), n)), pa.array(np.bincount(runs.doc, log, n) / np.log(10))]
-            parts.append(pa.RecordBatch.from_arrays(columns, names=NAMES))
-        return pa.Table.from_batches(parts, pa.schema([("_id", left.schema.field("_id").type), *REST]))
+    blocks = spark.read.parquet(f"{path}/kind=0")
+    pair = lambda: blocks.groupBy("block").cogroup(spark.read.parquet(answer_path).groupBy("block"))
+    for m in range(1, tokens + 1):
+        next_path = shared_path(spark, "next-answers")
+        for turn in range(ROUNDS):
+            save(pair().applyInArrow(asker(whole, parts, m, turn), BLOBS).groupBy("part").applyInArrow(answered, BLOBS), next_path, "append")
+        move(spark, next_path, f"{answer_path}/level={m}")
 
-    kind = source.schema["_id"].dataType.simpleString()
-    result = shared_path(spark, "scores")
-    for turn in range(rounds):
-        some = dealt.where(F.col("_block") % rounds == turn).repartition(parts, "_block")
-        # all columns go along, so that the text's shuffle is one that both uses share
-        asked = some.sortWithinPartitions("_block").mapInArrow(number, "_block int, place int, key long")
-        answers = asked.join(known, "key").select("_block", "place", "c", "p", "rest")
-        found = some.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(judge, f"_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-        found.write.mode("append").parquet(result)
-        del some, asked, answers, found
-        release(spark)
-    remove_path(spark, state_path)
+    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        view = View(left, right, whole, tokens)
+        known, base, own = view.score(distinct)
+        ids = left.column("ids").combine_chunks().flatten()
+        return pa.table({"_id": ids, "held_out": view.held, "n_tokens": view.size, "n_known": known, "train_tokens": np.full(len(known), whole), "base_score": base, "score": own})
+
+    with freeing(spark):
+        pair().applyInArrow(judge, f"_id {kind}, {rest}").write.parquet(result)
+    for p in (path, answer_path):
+        remove_path(spark, p)
     return spark.read.parquet(result)
 
 
-REST = [("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
-NAMES = ["_id", *[n for n, _ in REST]]
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """A finished table gets its place among the answers."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(a, b)
