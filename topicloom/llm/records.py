@@ -81,10 +81,16 @@ def tokenizer_path() -> str:
 
 
 def parted(texts: list[bytes]) -> list[bytes]:
-    """The texts in ASCII lower case, with a space between an ASCII letter and a full stop or comma after it."""
-    data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
+    """The texts in ASCII lower case, with a space between an ASCII letter and a full stop or comma after it. Texts with
+    combining marks (U+0300 to U+037F) keep their case: a small letter may compose with a mark where a capital doesn't."""
+    whole = b"\n".join([*texts, b""])
+    if b"\xcc" in whole or b"\xcd" in whole:
+        whole = b"\n".join([*[t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts], b""])
+    else:
+        whole = whole.lower()
+    data = np.frombuffer(whole, np.uint8)
     stop = (data == 0x2C) | (data == 0x2E)
-    letter = (data >= 0x61) & (data <= 0x7A)
+    letter = (data | 0x20 >= 0x61) & (data | 0x20 <= 0x7A)
     place = np.flatnonzero(stop[1:] & letter[:-1]) + 1
     ends = np.cumsum([len(t) + 1 for t in texts])
     ends += np.searchsorted(place, ends)
@@ -97,8 +103,10 @@ class Encoder:
 
     The vocabulary's normaliser and splitter never join what white space parts (canonical composition doesn't cross
     it, no pattern spans it), so a text's ids are its chunks' ids in order. Nor do they join an ASCII letter to a full stop
-    or comma after it, so those are parted too, and ASCII case is dropped first. Chunks are encoded once and remembered. Runs of letters or of punctuation, also those of chunks of letters and then punctuation,
-    are encoded many in a string, as each has one end mark; if the marks don't add up, and for other chunks, one by one.
+    or comma after it, so those are parted too, and ASCII case is dropped first. Chunks are encoded once and remembered. Runs of
+    letters or of punctuation, also those of chunks of letters and then punctuation, are encoded many in a string, as each has one
+    end mark; if the marks don't add up, and for other chunks, one by one. A letter is what the library's own normaliser and splitter
+    leave as one piece before punctuation: U+0130, whose small form ends in a mark that joins it, is none.
 
     A call takes the vocabulary's special tokens as text, in chunks; ``whole`` gives them their own ids, as the library does."""
 
@@ -114,6 +122,7 @@ class Encoder:
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
+        self.letters: dict[str, bool] = {}
         self.special_ids = {t: i.astype(f"<u{self.width}").tobytes() for t, i in special.items()}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -142,6 +151,15 @@ class Encoder:
             return self._each(runs)
         return ids, np.diff(stops, prepend=0)
 
+    def lettered(self, text: str) -> bool:
+        """Whether a run is made of letters only."""
+        if text.isascii():
+            return text.isalpha()
+        for c in set(text).difference(self.letters):
+            pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(c + "."))
+            self.letters[c] = c.isalpha() and len(pieces) == 2 and pieces[1][0] == "."
+        return all(map(self.letters.__getitem__, text))
+
     def learn(self, chunks: list[bytes]) -> None:
         """Encode distinct chunks that aren't known."""
         letters = list(map(bytes.isalpha, chunks))
@@ -149,7 +167,7 @@ class Encoder:
         for chunk in compress(chunks, map(not_, letters)):
             text = chunk.decode()
             core = text.rstrip(PUNCTUATION)
-            if core and not core.isalpha():
+            if core and not self.lettered(core):
                 other.append(chunk)
             elif not core or len(core) == len(text):
                 more.add(chunk)
@@ -221,8 +239,8 @@ def file_size(spark: SparkSession) -> int:
 
 def write_records(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID, file_bytes: int | None = None) -> None:
     """Encode every whole text (null: empty), append ``end_id``, and write the records in ascending order of id (null
-    first, then by text): file names in order, and records in each file. Ids must be integers. Repeated rows are
-    repeated records; an empty table leaves no files."""
+    first, then by the text's hash): file names in order, and records in each file. Ids must be integers. Repeated rows are
+    repeated records, and may be in several files; a very long text is encoded at once. An empty table leaves no files."""
     tokenizer = tokenizer or tokenizer_path()
     file_bytes = file_bytes or file_size(docs.sparkSession)
 
@@ -235,7 +253,10 @@ def write_records(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     source = bounded(docs).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     size = source.agg(F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)) + 16)).first()[0] or 0
-    ordered = source.repartitionByRange(max(1, -(-size // file_bytes)), F.col("_id").asc_nulls_first()).sortWithinPartitions(F.col("_id").asc_nulls_first(), "_text")
+    # rows that agree in id and text are alike, so any order of them will do: their places in the input part a hot id
+    keys = [F.col("_id").asc_nulls_first(), F.col("_hash"), F.col("_row")]
+    keyed = source.withColumn("_hash", F.xxhash64("_text")).withColumn("_row", F.monotonically_increasing_id())
+    ordered = keyed.repartitionByRange(max(1, -(-size // file_bytes)), *keys).sortWithinPartitions(*keys).select("_id", "_text")
     # a text column takes bytes as they are; the line feed of a frame is the writer's separator
     ordered.mapInArrow(run, "record binary").select(F.expr("cast(substring(record, 1, length(record) - 1) as string)").alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
 
