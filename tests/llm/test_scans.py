@@ -162,13 +162,35 @@ def test_substrings_awkward(spark):
     parts = run.split()
     extra = ["a b c " * 60, "z " * 34, "z " * 36, "q " + run, " ".join(parts[:34]), " ".join(parts[:35]), "n " + " ".join(parts[40:90]) + " m " + " ".join(parts[60:119]), " ".join(parts[80:]) + " " + " ".join(parts[:50])]
     extra += [f"u{k} v{k} " + " ".join(parts[20:60]) + f" w{k}" for k in range(40)]
-    got = substrings.remove_repeats(frame(spark, extra))
-    match(got.select("_id", "n_words", "n_removed", "kept_sha256").collect(), expected_kept([r[:2] for r in rows(extra)]))
+    for hot in (1, substrings.HOT):  # with blocks split into windows, and without
+        got = substrings.remove_repeats(frame(spark, extra), hot=hot)
+        match(got.select("_id", "n_words", "n_removed", "kept_sha256").collect(), expected_kept([r[:2] for r in rows(extra)]))
     for r in got.collect():
         assert sum(f["words"] for f in r["factors"]) == r["n_removed"] and all(f["words"] >= 35 for f in r["factors"])
     assert substrings.remove_repeats(empty(spark)).count() == 0
 
 
+def test_thousands_of_equal_rows(spark):
+    text = " ".join(f"w{k}" for k in range(400))
+    docs = [(None, text)] * 5000 + [(1, "x " + text[:-9] + " y")] * 3
+    got = substrings.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
+    match(got.select("_id", "n_words", "n_removed", "kept_sha256").collect(), expected_kept(docs))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), min_size=5, max_size=12), min_size=1, max_size=6))
+def test_greedy_parse(phrases):
+    """Longest matches and factors against brute force, windows of 5 words."""
+    flat, size = np.array([x for p in phrases for x in p], np.uint64), np.array([*map(len, phrases)])
+    starts = [(k, i) for k, p in enumerate(phrases) for i in range(len(p) - 4)]
+    same = lambda a, b: next((n for n in range(len(a)) if n >= len(b) or a[n] != b[n]), len(a))
+    want = [max((same(phrases[k][i:], phrases[q][j:]) for q, j in starts if (q, j) != (k, i)), default=0) for k, i in starts]
+    phrase, place, longest = substrings.longest_matches(flat, size, 5)
+    assert [*zip(phrase.tolist(), place.tolist(), strict=True)] == starts and longest.tolist() == want
+    inside = {(k, i) for k, i, n in zip(*map(np.ndarray.tolist, substrings.parse(flat, size, 5)), strict=True) for i in range(i, i + n - 4)}
+    assert inside == {s for s, n in zip(starts, want, strict=True) if n >= 5}
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 8, 35])
 def test_rolled(size):
     words = np.array([3, 5, 3, 5, 3, 5, 9] * 12, np.uint64)

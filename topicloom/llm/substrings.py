@@ -1,37 +1,45 @@
 """Exact removal of repeated word sequences by relative Lempel-Ziv parsing.
 
-The reference is the whole corpus, indexed in blocks: a block holds all phrases with one
-anchor. An anchor is the least hash of the k-word grams of a window (its minimizer), a
-phrase the stretch of words under consecutive windows with one anchor in one place; so any
-two equal windows have equal anchors at equal places, and a document's phrases overlap by
-all but one word of a window. Documents are parsed greedily, left to right, into phrases.
-A phrase that occurs elsewhere as a whole is one factor: all of its windows repeat. Where
-only its anchor occurs elsewhere, a factor ends inside of it; at these factor boundaries
-windows are checked one by one against the block. Factors that meet are merged into the
-longest ones. Nothing is shuffled but 64-bit hashes of anchors that repeat, and the text
-twice by document.
+The reference is the whole corpus, indexed in blocks. A document is cut into phrases: the stretch
+of words under consecutive windows with one anchor in one place. An anchor is the least hash of
+the k-word grams of a window (its minimizer), so equal windows have equal anchors at equal places,
+and a document meets just the reference blocks of its own anchors: all others have no match of a
+window's length. A block has all phrases with an anchor, each distinct one once. Its index is a
+suffix array over the words; every phrase is parsed greedily, left to right, into its longest
+matches with the rest of the block. A match of a window or more is a factor; where one ends, the
+parse goes on at the first window that isn't inside of it. Factors are duplicate spans; those
+that meet or overlap are merged. A phrase that occurs several times is one factor as a whole.
+
+Texts and phrases are kept in blocks of documents (see ``blobs``): they ask once for each distinct
+phrase, so neither a frequent anchor nor repeated rows are hot. An anchor with more than HOT
+distinct phrases has its block split: they are cut into windows, dealt out by the window's hash.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import bounded, mix64, remove_path, shared_path, slices, texts
+from topicloom.llm.blobs import BLOBS, SHAPE, columns, edges_of, grouped, planes, row, save, spread, unplanes
+from topicloom.llm.common import SLICE_BYTES, bounded, mix64, remove_path, shared_path, slices, texts
 
 WINDOW, GRAM = 35, 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of a minimizer's key that hold its place; longer texts are parsed in runs that overlap.
 PLACE_BITS = 24
-#: Text bytes in a partition of the two shuffles by document.
-PART_BYTES = 32 << 20
+#: Text bytes that a part of the questions stands for.
+PART_BYTES = 4 << 20
+#: Distinct phrases of an anchor that are indexed together.
+HOT = 4096
+#: What is known of a phrase: it occurs elsewhere as a whole; its words are shown to its block; its block is split.
+WHOLE, SHOWN, SPLIT = 1, 2, 4
 
 
 def rolled(words: np.ndarray, size: int) -> np.ndarray:
@@ -110,115 +118,243 @@ class Parsed:
             self.phrase = mix64(self.window[first] * BASE + self.window[stop] + mix64(self.size.astype(np.uint64) * np.uint64(64) + (place[first] - first).astype(np.uint64)))
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``_i`` id, never null; ``_t`` hash of the text and of whether the id is null; ``_id``; ``_text``)."""
-    text_hash = F.xxhash64(F.col(text_col), F.col(id_col).isNull())
-    return bounded(docs).select(F.coalesce(F.col(id_col), F.lit(0)).alias("_i"), text_hash.alias("_t"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-
-
-def signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
+def longest_matches(words: np.ndarray, size: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each place where a window starts: phrase, place, and the words of its longest match that starts elsewhere in the block.
+
+    words: of all phrases in a row; size: words by phrase. The suffix array is sorted by names of runs of 1, 2, 4 ... words,
+    which are equal for equal runs and ordered like them; phrases end in a word of their own, so no match leaves one."""
+    n = len(size)
+    ends = np.cumsum(size + 1) - 1
+    flat = np.empty(len(words) + n, np.int64)
+    inside = np.ones(len(flat), bool)
+    inside[ends] = False
+    one, flat[inside] = grouped(words)
+    flat[ends] = len(one) + np.arange(n)
+    names, run = [flat], 1
+    while run * 2 <= window:
+        last = names[-1]
+        code = last << 32
+        code[: len(last) - run] |= last[run:]
+        names.append(grouped(code)[1])
+        run *= 2
+    count = size - window + 1
+    phrase = np.repeat(np.arange(n), count)
+    start = spread(ends - size, count)
+    top, reach = names[-1], int(size.max(initial=0))
+    at = lambda k: top[np.minimum(start + k, len(top) - 1)]
+    order = np.lexsort([at(k) for k in range((reach - 1) // run * run, -1, -run)])
+    a, b = start[order[:-1]], start[order[1:]]
+    common, live = np.zeros(len(a), np.int64), np.arange(len(a))
+    while len(live):  # whole runs first
+        same = top[np.minimum(a[live] + common[live], len(top) - 1)] == top[np.minimum(b[live] + common[live], len(top) - 1)]
+        live = live[same]
+        common[live] += run
+    for k in range(len(names) - 2, -1, -1):
+        i, j = a + common, b + common
+        common += (names[k][np.minimum(i, len(top) - 1)] == names[k][np.minimum(j, len(top) - 1)]) * (1 << k)
+    longest = np.zeros(len(start), np.int64)
+    longest[order[1:]] = common
+    longest[order[:-1]] = np.maximum(longest[order[:-1]], common)
+    return phrase, start - (ends - size)[phrase], longest
+
+
+def parse(words: np.ndarray, size: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The factors of a window or more of a greedy parse of each phrase against the block: phrase, start, words."""
+    phrase, _, longest = longest_matches(words, size, window)
+    count = size - window + 1
+    end = np.cumsum(count)
+    base = end - count
+    at, out = base.copy(), [(np.zeros(0, np.int64),) * 3]
+    live = np.flatnonzero(at < end)
+    while len(live):
+        here = at[live]
+        found = longest[here] >= window
+        out.append((live[found], (here - base[live])[found], longest[here][found]))
+        at[live] += np.where(found, longest[here] - window + 1, 1)  # windows that begin inside a factor and leave it come next
+        live = live[at[live] < end[live]]
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def blocks_of(source: DataFrame, path: str, parts: int, window: int, gram: int) -> None:
+    """Write the blocks, and their questions about phrases. source: ``_id``, ``_text``.
+
+    ``kind=0``: a: texts, b: their bytes, c, d, e: document, start, and number of the distinct phrase, by phrase; ids.
+    ``kind=1``, by part of the anchor: a: anchors, b: phrases, c: uses in the block."""
+    kind = source.schema["_id"].dataType.simpleString()
+    least = edges_of(parts)
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(``_i``, ``_t``, start, n): from word ``start`` on, ``n`` windows of the document occur elsewhere too. Equal rows share
-    their spans; that they are several counts."""
-    spark = docs.sparkSession
-    source = keyed(docs, id_col, text_col)
-
-    def phrases(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            p = Parsed(texts(batch, "_text"), window, gram)
-            at = pa.array(p.doc)
-            yield pa.RecordBatch.from_arrays([batch.column("_i").take(at), batch.column("_t").take(at), pa.array((p.start - p.base[p.doc]).astype(np.int32)), pa.array(p.size.astype(np.int32)), signed(p.anchor), signed(p.phrase)], names=["_i", "_t", "start", "n", "anchor", "phrase"])
-
-    kind = source.schema["_i"].dataType.simpleString()
-    index_path = shared_path(spark, "phrases")
-    source.select("_i", "_t", "_text").mapInArrow(phrases, f"_i {kind}, _t long, start int, n int, anchor long, phrase long").write.parquet(index_path)
-    index = spark.read.parquet(index_path)
-    repeated = index.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    often_path = shared_path(spark, "repeated-phrases")
-    index.join(repeated, "anchor", "left_semi").withColumn("place", F.xxhash64("_i", "_t", "start")).write.parquet(often_path)
-    release(spark)
-    remove_path(spark, index_path)
-
-    often = spark.read.parquet(often_path)
-    by_phrase = often.groupBy("anchor", "phrase").agg(F.count(F.lit(1)).alias("c"), F.min("place").alias("head"))
-    blocks = by_phrase.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    in_block = by_phrase.join(blocks.select(F.col("anchor").alias("a2")), F.col("anchor") == F.col("a2"), "left")
-    verdict = in_block.select("anchor", "phrase", (F.col("c") > 1).alias("whole"), F.col("a2").isNotNull().alias("open"), "head").where("whole or open")
-    judged_path = shared_path(spark, "judged-phrases")
-    # one occurrence of each phrase shows its windows to the block
-    judged = often.join(verdict, ["anchor", "phrase"]).withColumn("shown", F.col("open") & (F.col("place") == F.col("head")))
-    judged.where("whole or shown").select("_i", "_t", "start", "n", "anchor", "whole", "shown").write.parquet(judged_path)
-    release(spark)
-    remove_path(spark, often_path)
-
-    judged = spark.read.parquet(judged_path)
-    shown = judged.where("shown").groupBy("_i", "_t").agg(F.collect_list(F.struct("start", "n", "anchor", "whole")).alias("shown"))  # bounded by the document
-
-    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            words = [t.split() for t in texts(batch, "_text")]
-            rows, starts, anchors, hashes, whole = [], [], [], [], []
-            for k, (w, marks) in enumerate(zip(words, batch.column("shown").to_pylist(), strict=True)):
-                h = rolled(np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)), window)
-                at = np.concatenate([np.arange(m["start"], m["start"] + m["n"]) for m in marks])
-                size = [m["n"] for m in marks]
-                rows.append(np.full(len(at), k))
-                starts.append(at.astype(np.int32))
-                anchors.append(np.repeat(np.array([m["anchor"] for m in marks], np.int64), size))
-                whole.append(np.repeat([m["whole"] for m in marks], size))
-                hashes.append(h[at])
-            if rows:
-                at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([batch.column("_i").take(at), batch.column("_t").take(at), pa.array(np.concatenate(starts)), pa.array(np.concatenate(anchors)), signed(np.concatenate(hashes)), pa.array(np.concatenate(whole))], names=["_i", "_t", "start", "anchor", "hash", "whole"])
-
-    window_path = shared_path(spark, "windows")
-    source.select("_i", "_t", "_text").dropDuplicates(["_i", "_t"]).join(shown, ["_i", "_t"]).mapInArrow(windows, f"_i {kind}, _t long, start int, anchor long, hash long, whole boolean").write.parquet(window_path)
-    release(spark)
-    checked = spark.read.parquet(window_path)
-    twice = checked.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor", "hash")
-    found = checked.where("not whole").join(twice, ["anchor", "hash"], "left_semi").select("_i", "_t", "start", F.lit(1).alias("n"))
-    return judged.where("whole").select("_i", "_t", "start", "n").unionByName(found)
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in slices(batches, "_text", SLICE_BYTES):
+            data = texts(batch, "_text")
+            p = Parsed(data, window, gram)
+            one, number = grouped(p.phrase)
+            order = np.argsort(p.anchor[one])
+            rank = np.empty(len(one), np.int64)
+            rank[order] = np.arange(len(one))
+            one, number = one[order], rank[number]
+            uses = np.bincount(number, minlength=len(one)).astype(np.int64)
+            own = batch.column("_id")
+            shape = planes(p.doc), planes(p.start - p.base[p.doc]), planes(number)
+            yield both(0, pa.array([own.to_pylist()], pa.list_(own.type)), row(block, None, b"".join(data), planes(np.array([*map(len, data)], np.int64)), *shape))
+            anchors = p.anchor[one]
+            cuts = np.append(np.searchsorted(anchors, least), len(one))
+            for part in np.flatnonzero(np.diff(cuts)):
+                a, b = cuts[part], cuts[part + 1]
+                yield both(1, pa.nulls(1, pa.list_(own.type)), row(block, int(part), anchors[a:b].tobytes(), p.phrase[one[a:b]].tobytes(), planes(uses[a:b])))
+            block += 1
+
+    def both(number: int, ids: pa.Array, rest: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), ids, *rest.columns], names=["kind", "ids", *SHAPE.names])
+
+    save(source.mapInArrow(run, f"kind int, ids array<{kind}>, {BLOBS}"), path)
+
+
+def comparer(hot: int):
+    """Answers of a part of the anchors."""
+
+    def compared(table: pa.Table) -> pa.Table:
+        """By block, a: what is known of its distinct phrases of a part. The first block that asks shows a phrase."""
+        found = list(columns(table, "uui"))
+        anchor, phrase, uses = (np.concatenate([f[k] for f in found]) for k in (2, 3, 4))
+        order = np.argsort(phrase, kind="stable")  # the first to ask comes first
+        new = np.ones(len(order), bool)
+        new[1:] = phrase[order[1:]] != phrase[order[:-1]]
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        first = order[new]
+        whole = np.bincount(number, uses, len(first)) > 1
+        one, of = grouped(anchor[first])
+        several = np.bincount(of, minlength=len(one))[of]  # distinct phrases of the anchor
+        known = np.where(whole, WHOLE, 0)[number]
+        known[first] |= np.where(several > 1, SHOWN, 0) | np.where(several > hot, SPLIT, 0)
+        ends = np.cumsum([len(f[2]) for f in found])
+        return pa.Table.from_batches([row(f[0], f[1], planes(x)) for f, x in zip(found, np.split(known, ends[:-1]), strict=True)])
+
+    return compared
+
+
+class Texts:
+    """A block's texts and phrases, with what is known of the phrases (rows of ``compared``)."""
+
+    def __init__(self, left: pa.Table, right: pa.Table):
+        data, size, doc, start, number = (left.column(k)[0].as_buffer() for k in "abcde")
+        self.block, self.data, self.size = left.column("block")[0].as_py(), memoryview(data), unplanes(size)
+        self.doc, self.start, number = unplanes(doc), unplanes(start), unplanes(number)
+        known = np.concatenate([np.zeros(0, np.int64), *[x for *_, x in columns(right, "i")]])
+        self.known = known[number]
+        # one place of each distinct phrase shows it
+        at = np.flatnonzero(self.known & SHOWN)
+        self.shown = at[grouped(number[at])[0]]
+
+    def words(self, doc: int) -> list[bytes]:
+        at = int(self.size[:doc].sum()) if doc else 0
+        return bytes(self.data[at : at + int(self.size[doc])]).split()
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``_id``, n_words, n_removed, kept_sha256, ``kept`` (kept words, joined by one space), ``factors`` (merged runs of removed words: start, words).
 
     Null and wordless texts have no words; a text under a window's length loses none; repeated rows lose all but
-    the words outside of any window, and stay rows of their own. Ids must be integers."""
-    source = keyed(docs, id_col, text_col)
-    spans = repeated_spans(docs, id_col, text_col, window, gram).groupBy("_i", "_t").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            n_words, removed, digests, kept_texts, factors = [], [], [], [], []
-            for text, marks in zip(texts(batch, "_text"), batch.column("spans").to_pylist(), strict=True):
-                words = text.split()
-                gone, runs = 0, []
-                if marks:
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edge, [m["start"] for m in marks], 1)
-                    np.add.at(edge, [m["start"] + m["n"] + window - 1 for m in marks], -1)
-                    out = np.cumsum(edge)[:-1] > 0
-                    cuts = np.flatnonzero(np.diff(out, prepend=False, append=False))
-                    runs = [(int(a), int(b - a)) for a, b in cuts.reshape(-1, 2)]
-                    gone = int(out.sum())
-                    words = [words[k] for k in np.flatnonzero(~out)]
-                kept = b" ".join(words)
-                n_words.append(len(words) + gone)
-                removed.append(gone)
-                digests.append(hashlib.sha256(kept).hexdigest())
-                kept_texts.append(kept.decode())
-                factors.append([{"start": a, "words": n} for a, n in runs])
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests), pa.array(kept_texts, pa.string()), pa.array(factors, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())])))], names=["_id", "n_words", "n_removed", "kept_sha256", "kept", "factors"])
-
+    the words outside of any window, and stay rows of their own. Ids of any type; a text of any length is parsed at once, in
+    a block of its own beyond SLICE_BYTES. Other columns aren't looked at. The result is computed when it is read, from
+    tables in the shared folder."""
+    spark = docs.sparkSession
+    source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = source.schema["_id"].dataType.simpleString()
-    return source.join(spans, ["_i", "_t"], "left").select("_id", "_text", "spans").mapInArrow(run, f"_id {kind}, n_words long, n_removed long, kept_sha256 string, kept string, factors array<struct<start:long,words:long>>")
+    size = source.agg(F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)) + 1)).first()[0]
+    schema = f"_id {kind}, n_words long, n_removed long, kept_sha256 string, kept string, factors array<struct<start:long,words:long>>"
+    if not size:
+        return spark.createDataFrame([], schema)
+    parts = max(-(-size // PART_BYTES), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path, known_path, factor_path = (shared_path(spark, x) for x in ("texts", "known-phrases", "factors"))
+    blocks_of(source, path, parts, window, gram)
+    save(spark.read.parquet(f"{path}/kind=1").groupBy("part").applyInArrow(comparer(hot), BLOBS), known_path)
+    remove_path(spark, f"{path}/kind=1")
+
+    def show(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A block's phrases, by part: a: words, b: words by phrase, c: place of the phrase, d: window that it begins with, e: keys."""
+        t = Texts(left, right)
+        least, shown = edges_of(parts), np.zeros(len(t.doc), bool)
+        shown[t.shown] = True
+        flat, sizes, places, firsts, keys = [], [], [], [], []
+        edges = np.flatnonzero(np.diff(t.doc, prepend=-1))
+        for a, b in zip(edges, [*edges[1:], len(t.doc)], strict=True):
+            if shown[a:b].any():
+                words = np.fromiter(map(xxhash.xxh3_64_intdigest, t.words(t.doc[a])), np.uint64)
+                stop = np.append(t.start[a + 1 : b], len(words) - window + 1)  # of the windows of each phrase
+                grams, whole = rolled(words, gram), rolled(words, window)
+                for k in np.flatnonzero(shown[a:b]):
+                    i, j = int(t.start[a + k]), int(stop[k])
+                    if t.known[a + k] & SPLIT:
+                        pieces = [(s, s + window, whole[s]) for s in range(i, j)]
+                    else:
+                        pieces = [(i, j + window - 1, grams[least_places(grams[i : j + window - gram], window - gram + 1)[0] + i])]
+                    for first, last, key in pieces:
+                        flat.append(words[first:last])
+                        sizes.append(last - first)
+                        places.append(a + k)
+                        firsts.append(first - i)
+                        keys.append(key)
+        if not flat:
+            return SHAPE.empty_table()
+        keys, sizes, places, firsts = np.array(keys, np.uint64), np.array(sizes), np.array(places), np.array(firsts)
+        order = np.argsort(keys, kind="stable")
+        cuts = np.append(np.searchsorted(keys[order], least), len(keys))
+        out = []
+        for part in np.flatnonzero(np.diff(cuts)):
+            some = order[cuts[part] : cuts[part + 1]]
+            out.append(row(t.block, int(part), np.concatenate([flat[k] for k in some]).tobytes(), planes(sizes[some]), planes(places[some]), planes(firsts[some])))
+        return pa.Table.from_batches(out)
+
+    def match(table: pa.Table) -> pa.Table:
+        """By block, a: places of phrases, b: starts of factors in them, c: words of the factors."""
+        found = list(columns(table, "uiii"))
+        words, sizes = (np.concatenate([f[k] for f in found]) for k in (2, 3))
+        phrase, start, length = parse(words, sizes, window)
+        ends = np.cumsum([len(f[3]) for f in found])
+        of = np.searchsorted(ends, phrase, "right")
+        places, firsts = (np.concatenate([f[k] for f in found])[phrase] for k in (4, 5))
+        return pa.Table.from_batches([row(f[0], f[1], planes(places[of == k]), planes((firsts + start)[of == k]), planes(length[of == k])) for k, f in enumerate(found) if (of == k).any()], SHAPE)
+
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        factor = right.column("factor").to_numpy(zero_copy_only=False)
+        t = Texts(left, right.filter(pa.array(~factor)))
+        found = list(columns(right.filter(pa.array(factor)), "iii"))
+        place, first, length = (np.concatenate([np.zeros(0, np.int64), *[f[k] for f in found]]) for k in (2, 3, 4))
+        doc, start = t.doc[place], t.start[place] + first
+        whole = np.flatnonzero(t.known & WHOLE)
+        same = np.append(t.doc[1:] == t.doc[:-1], False)
+        n_words, removed, digests, kept_texts, factors = [], [], [], [], []
+        by_factor, by_whole = np.argsort(doc, kind="stable"), np.searchsorted(t.doc[whole], np.arange(len(t.size) + 1))
+        factor_cuts = np.searchsorted(doc[by_factor], np.arange(len(t.size) + 1))
+        ends = np.cumsum(t.size)
+        for d in range(len(t.size)):
+            words = bytes(t.data[ends[d] - t.size[d] : ends[d]]).split()
+            gone, runs = 0, []
+            f, w = by_factor[factor_cuts[d] : factor_cuts[d + 1]], whole[by_whole[d] : by_whole[d + 1]]
+            if len(f) or len(w):
+                edge = np.zeros(len(words) + 1, np.int64)
+                last = np.where(same[w], np.append(t.start[1:], 0)[w] - 1, len(words) - window)  # a phrase's last window
+                np.add.at(edge, np.concatenate([start[f], t.start[w]]), 1)
+                np.add.at(edge, np.concatenate([start[f] + length[f], last + window]), -1)
+                out = np.cumsum(edge)[:-1] > 0
+                bounds = np.flatnonzero(np.diff(out, prepend=False, append=False))
+                runs = [(int(a), int(b - a)) for a, b in bounds.reshape(-1, 2)]
+                gone = int(out.sum())
+                words = [words[k] for k in np.flatnonzero(~out)]
+            kept = b" ".join(words)
+            n_words.append(len(words) + gone)
+            removed.append(gone)
+            digests.append(hashlib.sha256(kept).hexdigest())
+            kept_texts.append(kept.decode())
+            factors.append([{"start": a, "words": n} for a, n in runs])
+        ids = left.column("ids").combine_chunks().flatten()
+        lists = pa.array(factors, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())])))
+        return pa.table({"_id": ids, "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": digests, "kept": pa.array(kept_texts, pa.string()), "factors": lists})
+
+    blocks, known = spark.read.parquet(f"{path}/kind=0"), spark.read.schema(BLOBS).parquet(known_path)
+    save(blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(show, BLOBS).groupBy("part").applyInArrow(match, BLOBS), factor_path)
+    factors = spark.read.schema(BLOBS).parquet(factor_path)
+    answers = known.withColumn("factor", F.lit(False)).unionByName(factors.withColumn("factor", F.lit(True)))
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(cut, schema)
