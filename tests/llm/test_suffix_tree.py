@@ -98,7 +98,7 @@ def test_base_all_documents(spark, sf_dir):
     model = Plain([t for d, t in docs if not in_fold(d)])
     text = dict(docs)
     for r in found:
-        assert math.isclose(r["score"], model.score(text[r["doc_id"]]), rel_tol=1e-9)
+        assert math.isclose(r["score"], model.score(text[r["doc_id"]]), rel_tol=1e-6)
 
 
 def test_awkward(spark, monkeypatch):
@@ -121,7 +121,7 @@ def test_long_words_and_texts(spark):
     found = {r["_id"]: r["score"] for r in suffix_tree.score(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     model = Plain([t for d, t in texts if not in_fold(d)])
     spelt = [k for k, t in texts if in_fold(k)]
-    assert all(math.isfinite(x) for x in found.values()) and math.isclose(found[2], model.score(texts[1][1]), rel_tol=1e-9), spelt
+    assert all(math.isfinite(x) for x in found.values()) and math.isclose(found[2], model.score(texts[1][1]), rel_tol=1e-6), spelt
 
 
 @pytest.fixture(scope="module")
@@ -157,7 +157,7 @@ def test_probabilities_add_up(spark, small):
         assert math.isclose(known + spare, 1)
     # the same by scores of texts: what a word's unseen spelling has goes by its letters
     one, two = scores(spark, texts, ["a b unseen", "a b unsean"])
-    assert math.isclose(one - two, math.log10(model.spell.p(b"unseen") / model.spell.p(b"unsean")), rel_tol=1e-6) and one != two
+    assert math.isclose(one - two, math.log10(model.spell.p(b"unseen") / model.spell.p(b"unsean")), rel_tol=1e-4) and one != two
 
 
 def test_the_tree_is_the_model(spark, sf_dir, monkeypatch):
@@ -190,3 +190,12 @@ def test_contexts_grow_with_the_corpus(spark):
     assert many == 2 * retained(100)[1] > 200  # two uses are enough at any size
     texts = [f"x{k} y{k} z{k}" for k in range(200) for _ in range(2)]
     assert np.allclose(scores(spark, texts, ["x7 y7 z7", "x7 z7 y7"]), [model.score("x7 y7 z7"), model.score("x7 z7 y7")])
+
+
+def test_words_and_their_hashes():
+    texts = [b"", b" The\tcat ", b"x" * 5000 + b" y\x0bz \xc3\x89a", b"\n\n", b"sat", b"12345678 123456789 1234567 12345678 " + b"x" * 5000]
+    data, start, size, n = suffix_tree.words_of(texts)
+    found = [data[a : a + b] for a, b in zip(start, size, strict=True)]
+    assert found == [w for t in texts for w in t.lower().split()] and n.tolist() == [len(t.split()) for t in texts]
+    keys = suffix_tree.word_keys(data, start, size).tolist()
+    assert len({*zip(found, keys, strict=True)}) == len(set(found)) == len(set(keys))

@@ -40,7 +40,7 @@ def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(key), bool)
     new[1:] = ordered[1:] != ordered[:-1]
     number = np.empty(len(key), np.int64)
-    number[order] = np.cumsum(new) - 1
+    number[order] = np.cumsum(new, dtype=np.int64) - 1
     return order[new], number
 
 
@@ -79,4 +79,13 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     """A finished table gets its place among the answers."""
     jvm = spark.sparkContext._jvm
     a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(a, b)
+    files = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(b.getParent())
+    if not files.rename(a, b):
+        raise OSError(f"{source} can't be renamed to {target}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)

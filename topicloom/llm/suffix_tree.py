@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.blobs import BLOBS, SHAPE, columns, edges_of, grouped, move, planes, row, save, spread, unplanes
-from topicloom.llm.common import Ids, bounded, freeing, mix64, remove_path, shared_path, slices
+from topicloom.llm.blobs import BLOBS, SHAPE, columns, edges_of, exists, grouped, move, planes, row, save, spread, unplanes
+from topicloom.llm.common import bounded, freeing, mix64, remove_path, shared_path, slices, texts
 
 #: Bytes, and preceding tokens, that a context has at most.
 DEPTH, TOKENS = 6, 2
@@ -43,12 +43,10 @@ MIN_COUNT = 2
 GAIN_NATS = 3.0
 #: Spelling contexts of up to so many bytes are bounded by the alphabet, and known everywhere.
 TOP = 2
-#: Hash of a text's end, as a token.
-END = np.uint64(0x9E3779B97F4A7C15)
-#: Text bytes of a block, and of what a part of the questions stands for.
-BLOCK_BYTES, PART_BYTES = 4 << 20, 4 << 20
-#: Rounds in which a level's questions are asked: what is shuffled at once is so much less.
-ROUNDS = 3
+#: Text bytes of a block, and of what a part of the questions stands for; bytes of distinct words whose places a part spells.
+BLOCK_BYTES, PART_BYTES, SPELT_BYTES = 4 << 20, 8 << 20, 1 << 20
+#: Words of more bytes are hashed by themselves.
+LONG = 4096
 START, STOP = 0x20, 0x0A
 #: Bytes that lower-cased words, or their stop, are made of.
 ALPHABET = np.array([b for b in range(256) if b not in b" \t\v\f\r" and not 0x41 <= b <= 0x5A])
@@ -68,8 +66,37 @@ def joined_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return mix64(mix64(left) * np.uint64(0x9FB21C651E98DF25) + right)
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def word_keys(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of words in UTF-8 bytes, eight bytes at a time, all words at once."""
+    eights = np.ndarray((len(data) + 1,), "<u8", buffer=data + bytes(8), strides=(1,))
+    factor = np.uint64(0x9FB21C651E98DF25)
+    with np.errstate(over="ignore"):
+        key = mix64(size.astype(np.uint64) + np.uint64(1))
+        live, at = np.flatnonzero(size <= LONG), 0
+        while len(live):
+            left = size[live] - at
+            some = eights[start[live] + at]
+            short = left < 8
+            some[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+            key[live] = mix64((key[live] ^ some) * factor)
+            live, at = live[left > 8], at + 8
+    for k in np.flatnonzero(size > LONG):
+        key[k] = xxhash.xxh3_64_intdigest(data[start[k] : start[k] + size[k]])
+    return key
+
+
+def words_of(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts in lower case, where their words begin, the words' bytes, and words by text."""
+    data = b"\n".join([*texts, b""]).lower()
+    solid = np.ones(256, bool)
+    solid[list(b" \t\n\v\f\r")] = False
+    inside = solid[np.frombuffer(data, np.uint8)]
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        edge = np.append(0, edge)
+    start, stop = edge[::2], edge[1::2]
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return data, start, stop - start, np.diff(np.searchsorted(start, ends), prepend=0)
 
 
 def training(id_col: Column) -> Column:
@@ -80,32 +107,27 @@ def training(id_col: Column) -> Column:
 def blocks_of(source: DataFrame, path: str, parts: int) -> None:
     """Write the blocks, and their questions about words. source: ``_id``, ``_text``, ``_train``.
 
-    ``kind=0``: a: token numbers (0: end), b: tokens by document, c: whether it is learnt from, d: hashes by number; ids.
-    ``kind=1``, by part: a: hashes of words, b: their sizes, c: their bytes, d: uses in training."""
+    ``kind=0``: a: token numbers (0: end; words from 1 in the order of their hashes), b: tokens by document, c: whether it is
+    learnt from; ids. ``kind=1``, by part: a: hashes of words, b: their sizes, c: their bytes, d: uses in training."""
     kind = source.schema["_id"].dataType.simpleString()
     least = edges_of(parts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in slices(batches, "_text", BLOCK_BYTES):
-            ids = Ids({b"": 0})
-            lists = [(t or b"").lower().split() for t in batch.column("_text").cast(pa.large_binary()).to_pylist()]
-            size = np.fromiter(map(len, lists), np.int64, len(lists)) + 1
-            tokens = np.fromiter((ids[w] for words in lists for w in (*words, b"")), np.int64, int(size.sum()))
-            learnt = batch.column("_train").to_numpy(zero_copy_only=False)
-            words = list(ids)
-            keys = hashes(words)
-            keys[0] = END
-            uses = np.bincount(tokens, np.repeat(learnt, size), len(words)).astype(np.int64)
+            data, start, width, n = words_of(texts(batch, "_text"))
+            keys = word_keys(data, start, width)
+            one, number = grouped(keys)
+            keys, learnt = keys[one], batch.column("_train").to_numpy(zero_copy_only=False)
+            uses = np.bincount(number, np.repeat(learnt, n), len(one)).astype(np.int64)
+            tokens = np.insert(number + 1, np.cumsum(n), 0)
             own = batch.column("_id")
-            yield both(0, pa.array([own.to_pylist()], pa.list_(own.type)), row(block, None, planes(tokens), planes(size), planes(learnt), keys.tobytes()))
-            order = np.argsort(keys)
-            cuts = np.searchsorted(keys[order], least)
-            for part, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(words)], strict=True)):
-                if b > a:
-                    some = order[a:b]
-                    data = [words[k] for k in some]
-                    yield both(1, pa.nulls(1, pa.list_(own.type)), row(block, part, keys[some].tobytes(), planes(np.array([*map(len, data)])), b"".join(data), planes(uses[some])))
+            yield both(0, pa.array([own.to_pylist()], pa.list_(own.type)), row(block, None, planes(tokens), planes(n + 1), planes(learnt)))
+            start, width, raw = start[one], width[one], np.frombuffer(data, np.uint8)
+            cuts = np.append(np.searchsorted(keys, least), len(keys))
+            for part in np.flatnonzero(np.diff(cuts)):
+                a, b = cuts[part], cuts[part + 1]
+                yield both(1, pa.nulls(1, pa.list_(own.type)), row(block, int(part), keys[a:b].tobytes(), planes(width[a:b]), raw[spread(start[a:b], width[a:b])].tobytes(), planes(uses[a:b])))
             block += 1
 
     def both(number: int, ids: pa.Array, rest: pa.RecordBatch) -> pa.RecordBatch:
@@ -115,8 +137,8 @@ def blocks_of(source: DataFrame, path: str, parts: int) -> None:
 
 
 def vocabulary(words: DataFrame, path: str) -> None:
-    """Write, by part: ``kind=0``: a: distinct hashes, b: sizes, c: bytes, d: counts; their sum and how many are learnt in x and y.
-    ``kind=1``, by block: a: numbers of the block's words in the part."""
+    """Write, by part: ``kind=0``: b: sizes, c: bytes, d: counts of the distinct words; how many, the sum of their counts, how many
+    are learnt, and their bytes in n, x, y and z. ``kind=1``, by block: a: numbers of the block's words in the part."""
 
     def run(table: pa.Table) -> pa.Table:
         found = list(columns(table, "uibi"))
@@ -125,16 +147,16 @@ def vocabulary(words: DataFrame, path: str) -> None:
         one, number = grouped(keys)
         count = np.bincount(number, uses, len(one)).astype(np.int64)
         raw = np.frombuffer(data, np.uint8)[spread((np.cumsum(size) - size)[one], size[one])]
-        out = [(0, row(None, part, keys[one].tobytes(), planes(size[one]), raw.tobytes(), planes(count)), int(count.sum()), int((count > 0).sum()))]
-        at = 0
+        out, at = [row(None, part, b"", planes(size[one]), raw.tobytes(), planes(count))], 0
         for f in found:
-            out.append((1, row(f[0], part, planes(number[at : at + len(f[2])])), None, None))
+            out.append(row(f[0], part, planes(number[at : at + len(f[2])])))
             at += len(f[2])
-        whole = pa.Table.from_batches([r for _, r, _, _ in out])
-        whole = whole.add_column(0, "kind", pa.array([o[0] for o in out], pa.int32()))
-        return whole.append_column("x", pa.array([o[2] for o in out], pa.int64())).append_column("y", pa.array([o[3] for o in out], pa.int64()))
+        whole = pa.Table.from_batches(out).add_column(0, "kind", pa.array([0] + [1] * len(found), pa.int32()))
+        for name, value in (("n", len(one)), ("x", int(count.sum())), ("y", int((count > 0).sum())), ("z", len(raw))):
+            whole = whole.append_column(name, pa.array([value] + [None] * len(found), pa.int64()))
+        return whole
 
-    save(words.groupBy("part").applyInArrow(run, f"kind int, {BLOBS}, x long, y long"), path)
+    save(words.groupBy("part").applyInArrow(run, f"kind int, {BLOBS}, n long, x long, y long, z long"), path)
 
 
 class Spelt:
@@ -213,15 +235,15 @@ def spelling(top: list[tuple[np.ndarray, np.ndarray]], at: np.ndarray, back: np.
     return log
 
 
-def spelt(vocab: DataFrame, parts: int) -> DataFrame:
-    """By part of the vocabulary, a: natural logs of its words' spellings; those of the end are minus infinity."""
+def spelt(vocab: DataFrame, groups: int) -> DataFrame:
+    """By part of the vocabulary, a: natural logs of its words' spellings. groups: parts that places are dealt to."""
     spark = vocab.sparkSession
 
     def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, keys, size, data, count in columns(pa.Table.from_batches([batch]), "uibi"):
+            for _, _, _, size, data, count in columns(pa.Table.from_batches([batch]), "bibi"):
                 s = Spelt(size, data)
-                c = np.bincount(s.where, ((count > 0) & (keys != END))[s.word], len(s.at))
+                c = np.bincount(s.where, (count > 0)[s.word], len(s.at))
                 for d in range(TOP + 1):
                     on = (s.back >= d) & (c > 0)
                     pair = s.at[on] & ((1 << 8 * (d + 1)) - 1)
@@ -232,9 +254,9 @@ def spelt(vocab: DataFrame, parts: int) -> DataFrame:
     counted = blobs.mapInArrow(first, "depth long, pair long, n long").groupBy("depth", "pair").agg(F.sum("n").alias("n")).toPandas()  # bounded by the alphabet
     top = [(of["pair"].to_numpy(np.int64), of["n"].to_numpy(np.float64)) for _, of in ((d, counted[counted["depth"] == d].sort_values("pair")) for d in range(TOP + 1))]
     state = spark.sparkContext.broadcast(top)
-    least = edges_of(parts)
+    least = edges_of(groups)
 
-    def groups(s: Spelt) -> tuple[np.ndarray, np.ndarray]:
+    def dealt(s: Spelt) -> tuple[np.ndarray, np.ndarray]:
         """Places in the order of their groups (the last TOP + 1 bytes of history), and where parts begin."""
         key = mix64(np.where(s.back > TOP, (s.at >> 8) & ((1 << 8 * (TOP + 1)) - 1), 0).astype(np.uint64) + np.uint64(1))
         order = np.argsort(key, kind="stable")
@@ -242,10 +264,10 @@ def spelt(vocab: DataFrame, parts: int) -> DataFrame:
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, part, keys, size, data, count in columns(pa.Table.from_batches([batch]), "uibi"):
+            for _, part, _, size, data, count in columns(pa.Table.from_batches([batch]), "bibi"):
                 s = Spelt(size, data)
-                c = np.bincount(s.where, ((count > 0) & (keys != END))[s.word], len(s.at)).astype(np.int64)
-                order, cuts = groups(s)
+                c = np.bincount(s.where, (count > 0)[s.word], len(s.at)).astype(np.int64)
+                order, cuts = dealt(s)
                 for group, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(order)], strict=True)):
                     if b > a:
                         yield row(part, group, planes(s.at[order[a:b]]), planes(s.back[order[a:b]]), planes(c[order[a:b]]))
@@ -258,30 +280,32 @@ def spelt(vocab: DataFrame, parts: int) -> DataFrame:
         return pa.Table.from_batches([row(f[0], f[1], x.tobytes()) for f, x in zip(found, np.split(log, ends[:-1]), strict=True)])
 
     def gather(left: pa.Table, right: pa.Table) -> pa.Table:
-        (_, part, keys, size, data, _), = columns(left, "uibi")
+        ((_, part, _, size, data, _),) = columns(left, "bibi")
         s = Spelt(size, data)
         log = np.empty(len(s.at))
-        log[groups(s)[0]] = np.concatenate([x for *_, x in columns(right, "d")])
+        log[dealt(s)[0]] = np.concatenate([x for *_, x in columns(right, "d")])
         whole = np.bincount(s.word, log[s.where], len(size))
-        return pa.Table.from_batches([row(None, part, np.where(keys == END, -np.inf, whole).tobytes())])
+        return pa.Table.from_batches([row(None, part, whole.tobytes())])
 
     answers = blobs.mapInArrow(ask, BLOBS).groupBy("part").applyInArrow(judge, BLOBS)
     return blobs.groupBy("part").cogroup(answers.select(F.col("block").cast("int").alias("of"), "*").groupBy("of")).applyInArrow(gather, BLOBS)
 
 
-def word_answers(index: DataFrame, vocab: DataFrame, logs: DataFrame) -> DataFrame:
-    """By block and part, a: counts, b: logs of spellings of the block's words. Level 0."""
+def word_answers(index: DataFrame, vocab: DataFrame, logs: DataFrame, first: dict[int, int]) -> DataFrame:
+    """By block and part, of the block's words: ``kind=0``: a: numbers in the whole vocabulary, b: counts; ``kind=1``: a: logs of
+    spellings. first: by part, the first number of its words."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return SHAPE.empty_table()
         have = right.column("a").to_pylist(), right.column("b").to_pylist()
         count = next(unplanes(x) for x in have[0] if x is not None)
         log = next(np.frombuffer(x, np.float64) for x in have[1] if x is not None)
-        return pa.Table.from_batches([row(block, part, planes(count[k]), log[k].tobytes()) for block, part, k in columns(left, "i")])
+        out = []
+        for block, part, k in columns(left, "i"):
+            out += [row(block, part, planes(first[part] + k), planes(count[k])), row(block, part, log[k].astype(np.float32).tobytes())]
+        return pa.Table.from_batches(out, SHAPE).add_column(0, "kind", pa.array([0, 1] * (len(out) // 2), pa.int32()))
 
     both = vocab.select("part", F.col("d").alias("a"), F.lit(None).cast("binary").alias("b")).unionByName(logs.select("part", F.lit(None).cast("binary").alias("a"), F.col("a").alias("b")))
-    return index.groupBy("part").cogroup(both.groupBy("part")).applyInArrow(run, BLOBS)
+    return index.groupBy("part").cogroup(both.groupBy("part")).applyInArrow(run, f"kind int, {BLOBS}")
 
 
 class Asked:
@@ -289,130 +313,121 @@ class Asked:
 
     def __init__(self, view: View, m: int):
         run, key, count = view.runs[m - 1]
-        # contexts: runs of m tokens, ended by none of the ends, that may have been learnt
-        on = np.flatnonzero((view.place >= m) & (np.append(-1, run[:-1]) >= 0))
-        context, follows = run[on - 1], view.tokens[on]
-        lower = view.follow[m - 1][on]  # count of what follows after the suffix
-        one, number = grouped(context)
-        order = np.argsort(key[context[one]])
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.on, self.of, self.one = on, rank[number], one[order]
-        self.key, self.count = key[context[self.one]], count[context[self.one]]
-        # the suffix's count: that of all tokens after the empty one
-        if m == 1:
-            suffix = np.full(len(order), view.whole)
-        else:
+        # contexts: runs of m tokens, ended by none of the ends, that are learnt often enough
+        before = np.append(-1, run[:-1])
+        self.on = np.flatnonzero(before >= 0)
+        context = before[self.on]
+        used = np.zeros(len(key), bool)
+        used[context] = True
+        used = np.flatnonzero(used)
+        used = used[np.argsort(key[used])]
+        rank = np.empty(len(key), np.int64)
+        rank[used] = np.arange(len(used))
+        self.of, self.key, self.count = rank[context], key[used], count[used]
+        lower = view.follow[m - 1][self.on]  # count of what follows, after the suffix
+        self.maybe = np.flatnonzero(lower >= MIN_COUNT)
+        of, follows = self.of[self.maybe], view.tokens[self.on[self.maybe]]
+        one, self.item = grouped(of << 32 | follows)
+        self.context, self.follows, self.lower = of[one], follows[one], lower[self.maybe[one]]
+        # a context's suffix: the empty one has all tokens
+        self.suffix = np.full(len(used), view.whole)
+        if m > 1:
             short, _, short_count = view.runs[m - 2]
-            suffix = short_count[short[on[self.one] - 1]]
-        self.offset = np.log(np.maximum(suffix, 1)) - np.log(np.maximum(self.count, 1))
-        maybe = np.flatnonzero(lower >= MIN_COUNT)
-        code = self.of[maybe] << 32 | follows[maybe]
-        one, number = grouped(code)
-        self.maybe, self.item = maybe, number
-        self.item_context, self.follows, self.lower = code[one] >> 32, view.keys[follows[maybe[one]]], lower[maybe[one]]
-        self.uses = np.bincount(number, view.learnt[on[maybe]], len(one)).astype(np.int64)
-        self.size = np.bincount(self.item_context, minlength=len(order)).astype(np.int64)
-
-    def rows(self, block: int, least: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
+            self.suffix[self.of] = short_count[short[self.on - 1]]
+
+    def rows(self, view: View, least: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """a: contexts, b: log of the suffix's count by the context's, c: how many follow, d: their counts after the suffix, e: uses in
+        training and, all after these, numbers in the vocabulary."""
+        uses = np.bincount(self.item, view.learnt[self.on[self.maybe]], len(self.context)).astype(np.int64)
+        size = np.bincount(self.context, minlength=len(self.key))
+        offset = np.log(np.maximum(self.suffix, 1) / np.maximum(self.count, 1)).astype(np.float32)
+        number = view.number[self.follows]
         cuts = np.append(np.searchsorted(self.key, least), len(self.key))
-        ends = np.append(0, np.cumsum(self.size))
-        for part in range(turn, len(least), ROUNDS):
+        ends = np.append(0, np.cumsum(size))
+        for part in np.flatnonzero(np.diff(cuts)):
             a, b = cuts[part], cuts[part + 1]
-            if b > a:
-                i, j = ends[a], ends[b]
-                yield row(block, part, self.key[a:b].tobytes() + self.follows[i:j].tobytes(), self.offset[a:b].astype(np.float32).tobytes(), planes(self.size[a:b]), planes(self.lower[i:j]), planes(self.uses[i:j]))
+            i, j = ends[a], ends[b]
+            yield row(view.block, int(part), self.key[a:b].tobytes(), offset[a:b].tobytes(), planes(size[a:b]), planes(self.lower[i:j]), planes(np.append(uses[i:j], number[i:j])))
 
 
 def answered(table: pa.Table) -> pa.Table:
     """A part's answers to all blocks, a: counts of what follows (0: not listed), b, c: by context, listed uses, and how many are
     listed (0: the context isn't retained)."""
     found = list(columns(table, "ufiii"))
-    sizes = [f[4] for f in found]
-    contexts = np.concatenate([f[2][: len(s)] for f, s in zip(found, sizes, strict=True)])
-    follows = np.concatenate([f[2][len(s) :] for f, s in zip(found, sizes, strict=True)])
-    offset, size, lower, uses = (np.concatenate([f[k] for f in found]) for k in (3, 4, 5, 6))
+    contexts, offset, size, lower = (np.concatenate([f[k] for f in found]) for k in (2, 3, 4, 5))
+    uses, follows = (np.concatenate([f[6].reshape(2, -1)[k] for f in found]) for k in (0, 1))
     one, number = grouped(contexts)
-    item_one, item = grouped(joined_keys(np.repeat(contexts, size), follows))
+    of = np.repeat(number, size)
+    item_one, item = grouped(joined_keys(contexts[one][of], follows.astype(np.uint64)))
     n = np.bincount(item, uses, len(item_one)).astype(np.int64)
     listed = n >= MIN_COUNT
-    of, n_listed = np.repeat(number, size)[item_one[listed]], n[listed]
-    gain = np.bincount(of, n_listed * np.log(n_listed / lower[item_one[listed]]), len(one))
-    total, distinct = np.bincount(of, n_listed, len(one)).astype(np.int64), np.bincount(of, minlength=len(one)).astype(np.int64)
+    some = item_one[listed]
+    gain = np.bincount(of[some], n[listed] * np.log(n[listed] / lower[some]), len(one))
+    total, distinct = np.bincount(of[some], n[listed], len(one)).astype(np.int64), np.bincount(of[some], minlength=len(one))
     kept = gain + total * offset[one] >= GAIN_NATS
     total, distinct = (total * kept)[number], (distinct * kept)[number]
     n = np.where(listed, n, 0)[item]
     out, at, i = [], 0, 0
-    for f, s in zip(found, sizes, strict=True):
-        j, b = i + int(s.sum()), at + len(s)
+    for f in found:
+        b, j = at + len(f[2]), i + len(f[5])
         out.append(row(f[0], f[1], planes(n[i:j]), planes(total[at:b]), planes(distinct[at:b])))
         at, i = b, j
     return pa.Table.from_batches(out)
 
 
 class View:
-    """A block (left), and what the answers (right) of levels 0 to ``depth`` say of its tokens. whole: all tokens learnt."""
+    """A block (left), and what the answers (right) of levels 0 to ``depth`` say of its tokens. whole, ends: all tokens learnt, and
+    the ends among them."""
 
-    def __init__(self, left: pa.Table, right: pa.Table, whole: int, depth: int):
-        tokens, size, learnt, keys = (left.column(k)[0].as_buffer() for k in "abcd")
+    def __init__(self, left: pa.Table, right: pa.Table, whole: int, ends: int, depth: int):
+        tokens, size, learnt = (left.column(k)[0].as_buffer() for k in "abc")
         self.block, self.whole = left.column("block")[0].as_py(), whole
         self.tokens, self.size, self.held = unplanes(tokens), unplanes(size), unplanes(learnt) == 0
-        self.keys = np.frombuffer(keys, np.uint64)
         self.doc = np.repeat(np.arange(len(self.size)), self.size)
-        self.place = np.arange(len(self.doc)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
         self.learnt = ~self.held[self.doc]
         levels = right.column("level").to_numpy()
-        given = lambda m, kinds: [np.concatenate(x) for x in list(zip(*columns(right.filter(pa.array(levels == m)), kinds), strict=True))[2:]]
-        order = np.argsort(self.keys)
-        self.count, self.log = np.empty(len(order), np.int64), np.empty(len(order))
-        self.count[order], self.log[order] = given(0, "id")
+        none = np.zeros(0, np.int64)
+        self.given = lambda m, kinds: [np.concatenate([none, *x]) for x in list(zip(*[c[2:] for c in columns(right.filter(pa.array(levels == m)), kinds)], strict=True)) or [[]] * len(kinds)]
+        number, count = self.given(0, "ii")
+        self.number, self.count = np.append(0, number + 1), np.append(ends, count)
         # by level: the run that ends at each place (-1: not learnt often enough, or ended by an end), hashes and counts of the runs
-        run = np.where((self.tokens > 0) & (self.count[self.tokens] >= MIN_COUNT), self.tokens, -1)
-        self.runs, self.follow, self.asked, self.used = [(run, self.keys, self.count)], [self.count[self.tokens]], [], []
+        often = self.count >= MIN_COUNT
+        often[0] = False
+        run = np.where(often[self.tokens], self.tokens, -1)
+        self.runs, self.follow, self.asked, self.used = [(run, mix64(self.number.astype(np.uint64)), self.count)], [self.count[self.tokens]], [], []
         for m in range(1, depth + 1):
             asked = Asked(self, m)
-            n, total, distinct = given(m, "iii") if len(asked.key) else (np.zeros(0, np.int64),) * 3
+            n, total, distinct = self.given(m, "iii")
             self.asked.append(asked)
             self.used.append((total, distinct))
-            follow = np.zeros(len(self.tokens), np.int64)
-            follow[asked.on[asked.maybe]] = n[asked.item]
-            run = np.full(len(self.tokens), -1)
-            run[asked.on[asked.maybe]] = asked.item
-            run[(follow < MIN_COUNT) | (self.tokens == 0)] = -1
+            at = asked.on[asked.maybe]
+            follow, run = np.zeros(len(self.tokens), np.int64), np.full(len(self.tokens), -1)
+            follow[at] = n[asked.item]
+            often = (n >= MIN_COUNT) & (asked.follows > 0)
+            run[at] = np.where(often[asked.item], asked.item, -1)
             self.follow.append(follow)
-            self.runs.append((run, joined_keys(asked.key[asked.item_context], asked.follows), n))
+            self.runs.append((run, joined_keys(asked.key[asked.context], self.number[asked.follows].astype(np.uint64)), n))
 
     def score(self, vocab: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """By document: tokens learnt, log10 of the base and of the tree."""
+        """By document: tokens learnt, log10 of the base and of the tree. Level -1 of the answers: logs of the words' spellings."""
         n, whole = len(self.size), self.whole
         spare = DISCOUNT * vocab / whole if whole else 1.0
-        p = (np.maximum(self.count - DISCOUNT, 0) / max(whole, 1) + spare * np.exp(self.log))[self.tokens]
-        log = np.log(np.maximum(p, 1e-300))
-        rare = p < 1e-300  # the logs of long spellings are exact
-        log[rare] = np.log(spare) + self.log[self.tokens[rare]]
-        log = np.maximum(log, -1e6)  # nothing learnt: an end has no probability
-        for m, (asked, (total, distinct)) in enumerate(zip(self.asked, self.used, strict=True), 1):
-            kept = distinct[asked.of] > 0
-            at, of = asked.on[kept], asked.of[kept]
-            rest = 1 - (total - DISCOUNT * distinct)[of] / asked.count[of]
-            seen = np.maximum(self.follow[m][at] - DISCOUNT, 0) / asked.count[of]
-            with np.errstate(divide="ignore"):
-                log[at] = np.logaddexp(np.log(seen), np.log(rest) + log[at])
+        spelt = np.append(-np.inf, self.given(-1, "f")[0])
+        p = np.maximum(self.count - DISCOUNT, 0) / max(whole, 1) + spare * np.exp(spelt)
+        with np.errstate(divide="ignore"):
+            own = np.where(p > 1e-300, np.log(p), np.log(spare) + spelt)  # the logs of long spellings are as good
+            log = np.maximum(own, -1e6)[self.tokens]  # nothing learnt: an end has no probability
+            for m, (asked, (total, distinct)) in enumerate(zip(self.asked, self.used, strict=True), 1):
+                kept = distinct[asked.of] > 0
+                at, of = asked.on[kept], asked.of[kept]
+                rest = np.log(1 - (total - DISCOUNT * distinct) / asked.count)[of]
+                seen = np.log(np.maximum(self.follow[m][at] - DISCOUNT, 0) / asked.count[of])
+                log[at] = np.logaddexp(seen, rest + log[at])
         base = np.log10((self.count + 1) / (whole + vocab + 1))[self.tokens]
         known = np.bincount(self.doc, self.count[self.tokens] > 0, n).astype(np.int64)
         return known, np.bincount(self.doc, base, n), np.bincount(self.doc, log, n) / np.log(10)
 
 
-def asker(whole: int, parts: int, m: int, turn: int):
-    """A block's questions of level m and a round."""
-
-    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-        view = View(left, right, whole, m - 1)
-        return pa.Table.from_batches([*Asked(view, m).rows(view.block, edges_of(parts), turn)], SHAPE)
-
-    return ask
-
-
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens: int = TOKENS) -> DataFrame:
     """``_id``, held_out, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
@@ -424,38 +439,54 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", token
     source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), training(F.col(id_col)).alias("_train"))
     kind = source.schema["_id"].dataType.simpleString()
     rest = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    size = source.agg(F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)) + 1)).first()[0]
+    size, ends = source.agg(F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)) + 1), F.count_if("_train")).first()
     if not size:
         return spark.createDataFrame([], f"_id {kind}, {rest}")
-    parts = max(-(-size // PART_BYTES), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path, vocab_path, answer_path, result = (shared_path(spark, x) for x in ("blocks", "words", "answers", "scores"))
+    parts = max(-(-size // PART_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path, vocab_path, logs_path, answer_path, result = (shared_path(spark, x) for x in ("blocks", "words", "spelt", "answers", "scores"))
     blocks_of(source, path, parts)
-    vocabulary(spark.read.parquet(f"{path}/kind=1"), vocab_path)
-    remove_path(spark, f"{path}/kind=1")
-    vocab = spark.read.parquet(f"{vocab_path}/kind=0")
-    whole, distinct = vocab.agg(F.sum("x"), F.sum("y")).first()
-    logs_path = shared_path(spark, "spelt")
-    save(spelt(vocab, parts), logs_path)
-    save(word_answers(spark.read.parquet(f"{vocab_path}/kind=1").select(*SHAPE.names), vocab, spark.read.parquet(logs_path)), f"{answer_path}/level=0")
-    for p in (vocab_path, logs_path):
-        remove_path(spark, p)
+    vocab, whole, distinct = None, ends, int(ends > 0)
+    if exists(spark, f"{path}/kind=1"):
+        vocabulary(spark.read.parquet(f"{path}/kind=1"), vocab_path)
+        remove_path(spark, f"{path}/kind=1")
+        vocab = spark.read.parquet(f"{vocab_path}/kind=0")
+        first, at, width = {}, 0, 0
+        for r in vocab.select("part", "n", "x", "y", "z").orderBy("part").collect():  # a row for each part
+            first[r["part"]], at, whole, distinct, width = at, at + r["n"], whole + r["x"], distinct + r["y"], width + r["z"]
+        save(spelt(vocab, max(16, width // SPELT_BYTES)), logs_path)
+        save(word_answers(spark.read.parquet(f"{vocab_path}/kind=1").select(*SHAPE.names), vocab, spark.read.parquet(logs_path), first), vocab_path + "-answers")
+        move(spark, f"{vocab_path}-answers/kind=0", f"{answer_path}/level=0")
+        for p in (vocab_path, logs_path):
+            remove_path(spark, p)
 
     blocks = spark.read.parquet(f"{path}/kind=0")
-    pair = lambda: blocks.groupBy("block").cogroup(spark.read.parquet(answer_path).groupBy("block"))
-    for m in range(1, tokens + 1):
+    answers = lambda: spark.read.schema(f"{BLOBS}, level int").parquet(answer_path) if vocab else spark.createDataFrame([], f"{BLOBS}, level int")
+    for m in range(1, tokens + 1 if vocab else 1):
         next_path = shared_path(spark, "next-answers")
-        for turn in range(ROUNDS):
-            save(pair().applyInArrow(asker(whole, parts, m, turn), BLOBS).groupBy("part").applyInArrow(answered, BLOBS), next_path, "append")
+
+        save(blocks.groupBy("block").cogroup(answers().groupBy("block")).applyInArrow(asker(whole, ends, parts, m), BLOBS).groupBy("part").applyInArrow(answered, BLOBS), next_path)
         move(spark, next_path, f"{answer_path}/level={m}")
+    if vocab:
+        move(spark, f"{vocab_path}-answers/kind=1", f"{answer_path}/level=-1")
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        view = View(left, right, whole, tokens)
+        view = View(left, right, whole, ends, tokens if right.num_rows else 0)
         known, base, own = view.score(distinct)
         ids = left.column("ids").combine_chunks().flatten()
         return pa.table({"_id": ids, "held_out": view.held, "n_tokens": view.size, "n_known": known, "train_tokens": np.full(len(known), whole), "base_score": base, "score": own})
 
     with freeing(spark):
-        pair().applyInArrow(judge, f"_id {kind}, {rest}").write.parquet(result)
-    for p in (path, answer_path):
+        blocks.groupBy("block").cogroup(answers().groupBy("block")).applyInArrow(judge, f"_id {kind}, {rest}").write.parquet(result)
+    for p in (path, answer_path, f"{vocab_path}-answers"):
         remove_path(spark, p)
     return spark.read.parquet(result)
+
+
+def asker(whole: int, ends: int, parts: int, m: int):
+    """A block's questions of level m."""
+
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        view = View(left, right, whole, ends, m - 1)
+        return pa.Table.from_batches([*Asked(view, m).rows(view, edges_of(parts))], SHAPE)
+
+    return ask
