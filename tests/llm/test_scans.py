@@ -117,8 +117,47 @@ def test_lines_tell_quality_on_unseen_documents(spark):
     field = lines.fit(docs.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 0"))
     seen = lines.judge(docs, field).withColumnRenamed("_id", "doc_id").join(labels, "doc_id").where("doc_id % 2 = 1 and not base_failed")
     count = {(r["quality"], r["kept"]): r["count"] for r in seen.groupBy("quality", "kept").count().collect()}
-    assert count[1, True] >= 0.99 * (count[1, True] + count.get((1, False), 0))
-    assert count[0, False] >= 0.6 * (count[0, False] + count.get((0, True), 0))
+    assert count[1, True] >= 0.998 * (count[1, True] + count.get((1, False), 0))
+    assert count[0, False] >= 0.95 * (count[0, False] + count.get((0, True), 0))
+    mixed = lines.judge(docs, field).selectExpr("count_if(array_min(labels) < array_max(labels)) AS n").first()["n"]
+    assert mixed > 1000  # both labels in one document
+
+
+MARKED = [  # lines by hand, 1: boilerplate
+    ("The tide had turned before the boats came in, and nobody on the quay spoke of it.", 0),
+    ("Home | News | About | Contact | Login | Register | Help", 1),
+    ("Nothing in the letter told him where she had gone, or why.", 0),
+    ("### *** SALE!! SALE!! *** $$$ BUY!! NOW!! $$$ ###", 1),
+    ("Terms | Privacy | Cookies | Careers | Press | Sitemap | RSS | Partners", 1),
+    ("They walked on through the rain until the lights of the town were behind them.", 0),
+    ("In the morning the snow was gone and the road lay open to the south.", 0),
+    ("CLICK!! HERE!! FREE!! PRIZES!! WIN!! NOW!!", 1),
+    ("buy buy buy buy buy buy buy buy buy buy buy buy", 1),
+    ("He read the page twice, folded it with care and put it in his coat.", 0),
+]
+
+
+def test_lines_by_hand(spark):
+    field = lines.fit(documents(spark, "/root/testdata/sf0.1"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
+    rng = np.random.default_rng(3)
+    docs = [[MARKED[k] for k in rng.permutation(len(MARKED))] for _ in range(20)]
+    docs = [sorted(d, key=lambda x: x[1]) if i % 2 else d for i, d in enumerate(docs)]  # boilerplate at the end, or anywhere
+    got = lines.judge(spark.createDataFrame([(i, "\n".join(t for t, _ in d)) for i, d in enumerate(docs)], "doc_id long, text string"), field)
+    pairs = [(a, y) for r in got.collect() for a, (_, y) in zip(r["labels"], docs[r["_id"]], strict=True)]
+    hit = sum(a and y for a, y in pairs)
+    assert hit >= 0.9 * sum(a for a, _ in pairs) and hit >= 0.9 * sum(y for _, y in pairs), Counter(pairs)
+
+
+def test_line_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, "good line of words here")] * 3000 + [(k, f"a b {k}\n| | {k}") for k in range(2, 30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (2, 0), (None, 1), (3, None), *[(k, k % 2) for k in range(4, 30)]], "doc_id long, quality int")
+    field = lines.fit(docs, labels, most=5, runs=1, run_lines=1)
+    assert np.isfinite(field.emit).all() and 0 <= field.share <= 1
+
+
+def test_recurring_lines_stand_between_others():
+    doc, line = np.repeat(np.arange(6), 3), np.array([1, 9, 2, 3, 9, 4, 5, 9, 6, 7, 8, 7, 7, 8, 7, 7, 8, 7], np.uint64)
+    assert lines.recurring_lines(doc, line).tolist() == [9]  # copies of a document aren't evidence
 
 
 @settings(max_examples=60, deadline=None)
