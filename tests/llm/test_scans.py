@@ -283,11 +283,33 @@ def test_secrets_awkward(spark, sf_dir):
     assert secrets.scan(empty(spark), secrets.fit(empty(spark))).count() == 0
 
 
-def test_models_tell_random_from_ordinary(spark, sf_dir):
-    models = secrets.fit(documents(spark, sf_dir))
-    rng = np.random.default_rng(9)
-    chars = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
-    made = ["".join(rng.choice(chars, 24)) for _ in range(200)]
-    assert sum(models.score(s) > secrets.PRIOR for s in made) >= 195
-    words = [w for _, t in texts_of(spark, sf_dir) for w in re.findall(r"[A-Za-z]{16,}", t)]
-    assert words and sum(models.score(w) > secrets.PRIOR for w in words) <= 0.001 * len(words)
+def test_secrets_out_of_their_patterns(spark):
+    """Secrets that no base rule matches, in texts the models haven't seen: found by ratio; and false spans by words."""
+    docs = documents(spark, "/root/testdata/sf0.1").select("doc_id", "text")
+    models = secrets.fit(docs.where("doc_id % 2 = 0"))
+    assert models.recall >= 0.9 and models.false_share <= 1e-4
+    rng, made = np.random.default_rng(9), []
+    for alphabet, low in (("0123456789abcdef", 24), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20), ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 20), ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 20)):
+        made += ["".join(rng.choice(list(alphabet), rng.integers(low, 32))) for _ in range(100)]
+    known = [r["text"] for r in docs.where("doc_id % 2 = 1 and text rlike '[0-9a-f]{40}'").collect()]
+    taken = [m[2][:31] for t in known for m in secrets.ASSIGN.finditer(t)]  # without the keyword, and shorter than the rule for hex
+    assert len(taken) > 30
+    texts = [f"see the line {x} in the file" for x in made + taken]
+    got = secrets.scan(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), models).collect()
+    hits = {r["_id"] for r in got if r["spans"] == f"markov:13:{13 + len((made + taken)[r['_id']])}"}
+    assert all(r["n_assign"] == r["n_access"] == r["n_hex"] == 0 for r in got)
+    assert sum(k in hits for k in range(len(made))) >= 0.9 * len(made) and sum(k + len(made) in hits for k in range(len(taken))) >= 0.9 * len(taken)
+    clean = secrets.scan(docs.where("doc_id % 2 = 1"), models)
+    words = docs.where("doc_id % 2 = 1").selectExpr("sum(size(split(text, ' '))) AS n").first()["n"]
+    assert clean.agg({"n_markov": "sum"}).first()[0] <= words / 1e6
+    words = " ".join(r["text"] for r in docs.where("doc_id % 2 = 1").limit(300).collect()).split()
+    joined = ["_".join(words[k : k + 3]) + "(" + words[k + 3].title() + words[k + 4].title() + ")" for k in range(0, len(words) - 5, 5)]
+    assert len(secrets.spans_of(" ".join(joined), models)[1]) <= 1e-3 * len(joined)
+
+
+def test_threshold():
+    models = secrets.Models(Counter(), Counter())
+    models.set_threshold(Counter({40: 95, 20: 5}), Counter({-8: 99_999, 8: 1}))
+    assert 8 * secrets.BIN <= models.threshold <= 40 * secrets.BIN and models.recall >= 0.95 and models.false_share <= 1e-4
+    models.set_threshold(Counter({4: 10}), Counter({-8: 9, 8: 1}))  # no place keeps both: ordinary tokens come first
+    assert models.threshold > 8 * secrets.BIN and models.false_share == 0

@@ -2,7 +2,8 @@
 
 Two first-order Markov models over the characters of tokens, one of random strings and one
 of ordinary identifiers, are trained from labelled samples. A long token is a secret if its
-log-likelihood ratio exceeds the prior odds of an ordinary one.
+log-likelihood ratio exceeds a threshold, which is set on labelled samples held out from the
+training: random strings taken out of the base rules' patterns, and tokens that aren't secrets.
 """
 
 from __future__ import annotations
@@ -35,8 +36,12 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
 ORDINARY = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{6,}")
 #: The sample: documents, and random strings that are made for it.
 TRAIN_DOCS, MADE = 3000, 400
-#: Natural log of the odds of ordinary to random tokens before looking at one.
+#: Share of ordinary tokens that may be taken for secrets, and of secrets that may be missed, where the threshold can be set so.
+FALSE_SHARE, MISSED_SHARE = 1e-4, 0.05
+#: Threshold without a sample of ordinary tokens.
 PRIOR = 12.0
+#: Ratios are counted in steps of so many nats.
+BIN = 0.25
 PLACE = {ord(c): k for k, c in enumerate(CHARS)}
 START = len(CHARS)
 
@@ -69,15 +74,31 @@ def steps(token: str) -> Counter:
     return Counter(zip(codes[:-1], codes[1:], strict=True))
 
 
-def made_strings() -> list[str]:
+def made_strings(seed: int = 20) -> list[str]:
     """Labelled random strings over the usual alphabets of secrets, the same ones each time."""
-    rng = random.Random(20)
+    rng = random.Random(seed)
     alphabets = ["0123456789abcdef", string.ascii_uppercase + string.digits, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"]
     return ["".join(rng.choices(a, k=rng.randint(16, 48))) for a in alphabets for _ in range(MADE)]
 
 
+def identifiers(words: list[str]) -> Iterator[str]:
+    """Labelled ordinary tokens as code and links have them, joined from words of a text."""
+    for k in range(0, len(words) - 2, 3):
+        a, b, c = (w.strip("._=-/+").lower() for w in words[k : k + 3])
+        yield (f"{a}_{b}_{c}", f"{a}{b.title()}{c.title()}", f"{a}-{b}-{c}", f"{a}/{b}/{c}.html", f"{a}_{b}".upper())[k // 3 % 5]
+
+
+def candidate(token: str) -> str:
+    """What the models judge of a token: without punctuation at its ends; empty if it's too short."""
+    token = token.strip("._=-/+")
+    return token if len(token) >= 16 else ""
+
+
 class Models:
-    """Log-likelihood ratio of each pair of characters: random strings against ordinary identifiers."""
+    """Log-likelihood ratio of each pair of characters: random strings against ordinary identifiers. threshold: of a secret's ratio;
+    recall and false_share: of held-out samples above it."""
+
+    threshold, recall, false_share = PRIOR, float("nan"), float("nan")
 
     def __init__(self, random_pairs: Counter, ordinary_pairs: Counter):
         self.ratio = np.zeros((START + 1, START + 1))
@@ -92,29 +113,72 @@ class Models:
         return float(self.ratio[codes[:-1], codes[1:]].sum())
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Models:
-    """Train on at most ``most`` documents (least hashes of their ids): strings in base spans are labelled random, beside
-    those of ``made_strings``; other tokens of six characters or more are labelled ordinary."""
-    chosen = F.broadcast(docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(most).distinct())
+    def set_threshold(self, secret: Counter, ordinary: Counter) -> None:
+        """From numbers of held-out tokens by bin of their ratio: in the middle of where both shares of errors are met; if there is
+        no such place, where that of ordinary tokens is."""
+        bins = np.arange(min([*secret, *ordinary, 0]), max([*secret, *ordinary, 0]) + 2)
+        above = lambda c: np.cumsum([c[k] for k in bins[::-1].tolist()])[::-1] / max(c.total(), 1)
+        false, found = above(ordinary), above(secret)
+        good = np.flatnonzero(false <= FALSE_SHARE)
+        both = good[found[good] >= 1 - MISSED_SHARE]
+        k = both[len(both) // 2] if len(both) else good[0]
+        if ordinary.total():
+            self.threshold = float(bins[k] * BIN)
+        at = min(int(np.searchsorted(bins, self.threshold / BIN)), len(bins) - 1)
+        self.recall, self.false_share = float(found[at]), float(false[at])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Models:
+    """Train on at most ``most`` documents (least hashes of their ids; of a repeated id one): strings in base spans are labelled
+    random, beside those of ``made_strings``; other tokens of six characters or more, and ``identifiers`` of them, are
+    labelled ordinary. Half of the documents, by hash, and strings of another seed are held out, to set the threshold."""
+    known = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"))
+    chosen = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(most).distinct())
+    source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
+    one = source.join(chosen, "_id", "left_semi").groupBy("_id").agg(F.max("_text").alias("_text"))
+    fold = lambda k: one.where(F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(2)) == k).select("_text")
+
+    def tokens(text: str) -> Iterator[tuple[int, str]]:
+        """Labelled tokens, 1: random."""
+        spans, words = base_spans(text), []
+        for s in spans:
+            yield 1, "".join(c for c in secret_part(text, s) if ord(c) in PLACE)
+        for m in ORDINARY.finditer(text):
+            if clear(spans, m.start(), m.end()):
+                words.append(m.group())
+                yield 0, m.group()
+        for x in identifiers(words):
+            yield 0, x
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for batch in slices(batches, "_text"):
             for text in batch.column("_text").to_pylist():
-                spans = base_spans(text)
-                for s in spans:
-                    counts[1].update(steps("".join(c for c in secret_part(text, s) if ord(c) in PLACE)))
-                for m in ORDINARY.finditer(text):
-                    if clear(spans, m.start(), m.end()):
-                        counts[0].update(steps(m.group()))
+                for label, token in tokens(text):
+                    counts[label].update(steps(token))
         rows = [(k, a, b, n) for k, c in counts.items() for (a, b), n in c.items()]
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (list(zip(*rows, strict=True)) or [()] * 4)], names=["k", "a", "b", "n"])
 
-    source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull()).join(chosen, "_id", "left_semi").select("_text")
     pairs: dict[int, Counter] = {0: Counter(), 1: sum(map(steps, made_strings()), Counter())}
-    for r in source.mapInArrow(run, "k long, a long, b long, n long").groupBy("k", "a", "b").agg(F.sum("n").alias("n")).collect():  # pairs of characters
+    for r in fold(0).mapInArrow(count, "k long, a long, b long, n long").groupBy("k", "a", "b").agg(F.sum("n").alias("n")).collect():  # pairs of characters
         pairs[r["k"]][r["a"], r["b"]] += r["n"]
-    return Models(pairs[1], pairs[0])
+    models = Models(pairs[1], pairs[0])
+    state = docs.sparkSession.sparkContext.broadcast(models)
+
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in slices(batches, "_text"):
+            for text in batch.column("_text").to_pylist():
+                for label, token in tokens(text):
+                    if token := candidate(token):
+                        seen[label, int(state.value.score(token) // BIN)] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.int64()), pa.array([k[1] for k in seen], pa.int64()), pa.array([*seen.values()], pa.int64())], names=["k", "bin", "n"])
+
+    held: dict[int, Counter] = {0: Counter(), 1: Counter(int(models.score(x) // BIN) for x in made_strings(21))}
+    for r in fold(1).mapInArrow(judge, "k long, bin long, n long").groupBy("k", "bin").agg(F.sum("n").alias("n")).collect():  # bins of ratios
+        held[r["k"]][r["bin"]] += r["n"]
+    models.set_threshold(held[1], held[0])
+    return models
 
 
 def spans_of(text: str, models: Models) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], float]:
@@ -122,12 +186,12 @@ def spans_of(text: str, models: Models) -> tuple[list[tuple[int, int, int]], lis
     base = base_spans(text)
     extra, top = [], 0.0
     for m in CANDIDATE.finditer(text):
-        token = m.group().strip("._=-/+")
+        token = candidate(m.group())
         start = m.start() + m.group().index(token) if token else 0
-        if len(token) >= 16 and clear(base, start, start + len(token)):
+        if token and clear(base, start, start + len(token)):
             value = models.score(token)
             top = max(top, value)
-            if value > PRIOR:
+            if value > models.threshold:
                 extra.append((start, 3, start + len(token)))
     return base, sorted(base + extra), top
 
@@ -140,7 +204,8 @@ SCHEMA = "_id {id}, n_assign long, n_access long, n_hex long, base_sha256 string
 
 
 def scan(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans of each whole text as kind:start:end in code points, by start, then kind. Null is the empty text; a row for each row."""
+    """Spans of each whole text as kind:start:end in code points, by start, then kind. Null is the empty text; a row for each
+    row, repeated or not; a text of any length is scanned at once."""
     source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     state = docs.sparkSession.sparkContext.broadcast(models)
 
