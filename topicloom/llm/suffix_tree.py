@@ -45,6 +45,8 @@ GAIN_NATS = 3.0
 TOP = 2
 #: Text bytes of a block, and of what a part of the questions stands for; bytes of distinct words whose places a part spells.
 BLOCK_BYTES, PART_BYTES, SPELT_BYTES = 4 << 20, 8 << 20, 1 << 20
+#: Rounds in which a level's questions are asked, at most; those about longer contexts are more. What is shuffled at once is so much less.
+ROUNDS = 2
 #: Words of more bytes are hashed by themselves.
 LONG = 4096
 START, STOP = 0x20, 0x0A
@@ -240,15 +242,18 @@ def spelt(vocab: DataFrame, groups: int) -> DataFrame:
     spark = vocab.sparkSession
 
     def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.zeros(0, np.int64),) * 2] * (TOP + 1)  # bounded by the alphabet
         for batch in batches:
             for _, _, _, size, data, count in columns(pa.Table.from_batches([batch]), "bibi"):
                 s = Spelt(size, data)
-                c = np.bincount(s.where, (count > 0)[s.word], len(s.at))
+                c = np.bincount(s.where, (count > 0)[s.word], len(s.at)).astype(np.int64)
                 for d in range(TOP + 1):
                     on = (s.back >= d) & (c > 0)
-                    pair = s.at[on] & ((1 << 8 * (d + 1)) - 1)
+                    pair, n = np.append(held[d][0], s.at[on] & ((1 << 8 * (d + 1)) - 1)), np.append(held[d][1], c[on])
                     one, number = grouped(pair)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), d)), pa.array(pair[one]), pa.array(np.bincount(number, c[on], len(one)).astype(np.int64))], names=["depth", "pair", "n"])
+                    held[d] = pair[one], np.bincount(number, n, len(one)).astype(np.int64)
+        for d, (pair, n) in enumerate(held):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), d)), pa.array(pair), pa.array(n)], names=["depth", "pair", "n"])
 
     blobs = vocab.select("block", "part", "a", "b", "c", "d")
     counted = blobs.mapInArrow(first, "depth long, pair long, n long").groupBy("depth", "pair").agg(F.sum("n").alias("n")).toPandas()  # bounded by the alphabet
@@ -309,12 +314,15 @@ def word_answers(index: DataFrame, vocab: DataFrame, logs: DataFrame, first: dic
 
 
 class Asked:
-    """A level's questions of a block: the places of contexts, their distinct contexts by hash, and what follows them."""
+    """A level's questions of a block: the places of contexts, their distinct contexts by hash, and what follows them.
+    mine: of the runs before, those that are asked about in this round (none given: all)."""
 
-    def __init__(self, view: View, m: int):
+    def __init__(self, view: View, m: int, mine: np.ndarray | None = None):
         run, key, count = view.runs[m - 1]
         # contexts: runs of m tokens, ended by none of the ends, that are learnt often enough
         before = np.append(-1, run[:-1])
+        if mine is not None and len(mine):
+            before = np.where(mine[before] & (before >= 0), before, -1)
         self.on = np.flatnonzero(before >= 0)
         context = before[self.on]
         used = np.zeros(len(key), bool)
@@ -463,8 +471,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", token
     answers = lambda: spark.read.schema(f"{BLOBS}, level int").parquet(answer_path) if vocab else spark.createDataFrame([], f"{BLOBS}, level int")
     for m in range(1, tokens + 1 if vocab else 1):
         next_path = shared_path(spark, "next-answers")
-
-        save(blocks.groupBy("block").cogroup(answers().groupBy("block")).applyInArrow(asker(whole, ends, parts, m), BLOBS).groupBy("part").applyInArrow(answered, BLOBS), next_path)
+        for turn in range(rounds := min(m, ROUNDS)):
+            asked = blocks.groupBy("block").cogroup(answers().groupBy("block")).applyInArrow(asker(whole, ends, parts, m, turn, rounds), BLOBS)
+            save(asked.groupBy("part").applyInArrow(answered, BLOBS), next_path, "append")
         move(spark, next_path, f"{answer_path}/level={m}")
     if vocab:
         move(spark, f"{vocab_path}-answers/kind=1", f"{answer_path}/level=-1")
@@ -482,11 +491,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", token
     return spark.read.parquet(result)
 
 
-def asker(whole: int, ends: int, parts: int, m: int):
-    """A block's questions of level m."""
+def asker(whole: int, ends: int, parts: int, m: int, turn: int, rounds: int):
+    """A block's questions of level m, in a round those of each ``rounds``th part."""
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-        view = View(left, right, whole, ends, m - 1)
-        return pa.Table.from_batches([*Asked(view, m).rows(view, edges_of(parts))], SHAPE)
+        view, least = View(left, right, whole, ends, m - 1), edges_of(parts)
+        mine = (np.searchsorted(least, view.runs[m - 1][1], "right") - 1) % rounds == turn if rounds > 1 else None
+        return pa.Table.from_batches([*Asked(view, m, mine).rows(view, least)], SHAPE)
 
     return ask
