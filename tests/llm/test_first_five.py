@@ -344,7 +344,37 @@ def test_forward_sums_all_segmentations():
     words = ["the", "nation", "ß", "日本x", "été"]
     assert np.allclose(language.word_log(vocab, prob, words), [np.log(brute(language.SPACE + w)) for w in words])
     # expected uses: each forward-backward pass explains a word wholly
-    parts, owner = language.parts_of(words)
-    uses = language.Lattice(vocab, parts).expected(prob, np.ones((len(parts), 2)))
+    marked = [language.SPACE + w for w in words]
+    uses = language.Lattice(vocab, marked).expected(prob, np.ones((len(words), 2)))
     length = np.array([*map(len, vocab.names), 1])
-    assert np.allclose((uses * length[:, None]).sum(axis=0), sum(map(len, parts)))
+    assert np.allclose((uses * length[:, None]).sum(axis=0), sum(map(len, marked)))
+    one_by_one = np.zeros_like(prob)
+    for w in marked:
+        language.LongWord(vocab, prob, w).expected(np.ones(2), one_by_one)
+        assert np.allclose(language.LongWord(vocab, prob, w).log(), np.log(brute(w)))
+    assert np.allclose(one_by_one, uses)
+
+
+def test_long_words_are_summed_whole():
+    """Words over LONG letters, up to thousands, against sums in logs letter by letter: no segmentation is left out."""
+    vocab = language.pieces(language.vocabulary_path())
+    rng = np.random.default_rng(2)
+    prob = rng.random((len(vocab.names) + 1, 3)) / 1000
+    place = {p: k for k, p in enumerate(vocab.names)}
+
+    def slow(word):
+        total = np.full((len(word) + 1, 3), -np.inf)
+        total[0] = 0
+        for i in range(len(word)):
+            for n in range(1, min(vocab.longest, len(word) - i) + 1):
+                k = place.get(word[i : i + n], -1 if n == 1 else None)
+                if k is not None:
+                    total[i + n] = np.logaddexp(total[i + n], total[i] + np.log(prob[k]))
+        return total[-1]
+
+    words = ["international" * 3, "donaudampfschifffahrtsgesellschaft", "日本語の文は空白がない" * 4, "the" * 1500, "x"]
+    assert np.allclose(language.word_log(vocab, prob, words), [slow(language.SPACE + w) for w in words])
+    uses = np.zeros_like(prob)
+    word = language.SPACE + words[3]
+    language.LongWord(vocab, prob, word).expected(np.ones(3), uses)
+    assert np.allclose((uses * np.array([*map(len, vocab.names), 1])[:, None]).sum(axis=0), len(word))

@@ -22,8 +22,11 @@ from topicloom.llm.common import Ids, bounded, cut, slices
 
 #: Letter runs; digits and underscores part words.
 WORD = re.compile(r"[^\W\d_]+")
-#: Words are scored in parts of so many characters, so that products stay above the least double.
-PART = 30
+#: Words of more characters, start mark included, are summed one by one and rescaled on the way: products of so many stay above
+#: the least double.
+LONG = 30
+#: Characters of a long word whose arcs are held together, and after how many it is rescaled.
+RUN, RESCALE = 1024, 16
 #: Text bytes that are scored at once.
 PIECE = 2 << 20
 #: Words, and bytes of words, whose lattices are held together.
@@ -78,7 +81,7 @@ def pieces(path: str) -> Pieces:
 
 
 class Lattice:
-    """All segmentations of a list of word parts: arcs by (offset of their start, length)."""
+    """All segmentations of a list of words: arcs by (offset of their start, length)."""
 
     def __init__(self, vocab: Pieces, parts: list[str]):
         self.flat = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -137,25 +140,85 @@ class Lattice:
         return out
 
 
-def parts_of(words: Iterable[str]) -> tuple[list[str], list[int]]:
-    """Words with the mark of a word's start, cut into parts of PART characters; parts by word."""
-    parts, owner = [], []
-    for k, w in enumerate(words):
-        w = SPACE + w
-        for i in range(0, len(w), PART):
-            parts.append(w[i : i + PART])
-            owner.append(k)
-    return parts, owner
+class LongWord:
+    """All segmentations of one word of any length; a letter is a step."""
+
+    def __init__(self, vocab: Pieces, prob: np.ndarray, word: str):
+        self.vocab, self.code = vocab, np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        self.prob = np.vstack([prob, np.zeros(prob.shape[1])])
+        self.none = len(prob)
+
+    def pieces(self, at: int, to: int) -> np.ndarray:
+        """Pieces by start and length; rows of ``prob``, the last for no piece."""
+        start = np.arange(at, to)
+        out = np.full((to - at, self.vocab.longest), self.none)
+        node, live = np.zeros(to - at, np.int64), np.arange(to - at)
+        for n in range(1, self.vocab.longest + 1):
+            live = live[start[live] + n <= len(self.code)]
+            node[live] = self.vocab.step(node[live], self.code[start[live] + n - 1])
+            live = live[node[live] >= 0]
+            piece = self.vocab.piece[node[live]]
+            out[live[piece >= 0], n - 1] = piece[piece >= 0]
+        bare = out[:, 0] == self.none
+        out[bare, 0] = self.none - 1
+        return out
+
+    def forward(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each place from the first to the end: the sum over segmentations before it, and the log of its scale."""
+        ahead, scale = np.zeros((self.vocab.longest + 1, self.prob.shape[1])), np.zeros(self.prob.shape[1])
+        ahead[0] = 1
+        for at in range(0, len(self.code), RUN):
+            arcs = self.prob[self.pieces(at, min(at + RUN, len(self.code)))]
+            for k, arc in enumerate(arcs):
+                yield ahead[0], scale
+                here = ahead[0].copy()
+                ahead[:-1] = ahead[1:]
+                ahead[-1] = 0
+                ahead[:-1] += here * arc
+                if k % RESCALE == 0:
+                    top = ahead.max(axis=0)
+                    ahead, scale = ahead / top, scale + np.log(top)
+        yield ahead[0], scale
+
+    def log(self) -> np.ndarray:
+        """Natural log of the word's probability, by language."""
+        for here, scale in self.forward():  # noqa: B007
+            pass
+        return np.log(here) + scale
+
+    def expected(self, weight: np.ndarray, out: np.ndarray) -> None:
+        """Add the expected uses of each piece. Words of the training sample only: all places are held."""
+        n, longest = len(self.code), self.vocab.longest
+        before = np.stack([np.log(np.maximum(here, 1e-300)) + scale for here, scale in self.forward()])
+        index = self.pieces(0, n)
+        behind, scale = np.zeros((longest, self.prob.shape[1])), np.zeros(self.prob.shape[1])
+        behind[0] = 1
+        after = np.zeros_like(before)
+        for i in range(n - 1, -1, -1):
+            here = (behind * self.prob[index[i]]).sum(axis=0)
+            behind = np.concatenate([here[None], behind[:-1]])
+            after[i] = np.log(here) + scale
+            if i % RESCALE == 0:
+                top = behind.max(axis=0)
+                behind, scale = behind / top, scale + np.log(top)
+        for k in range(min(longest, n)):
+            there = np.flatnonzero(index[:, k] != self.none)
+            there = there[there + k + 1 <= n]
+            piece = index[there, k]
+            np.add.at(out, piece, weight * self.prob[piece] * np.exp(before[there] + after[there + k + 1] - before[-1]))
 
 
 def word_log(vocab: Pieces, prob: np.ndarray, words: list[str]) -> np.ndarray:
     """Natural log of each word's probability, by language."""
     out = np.zeros((len(words), prob.shape[1]))
     for at in range(0, len(words), TOGETHER):
-        parts, owner = parts_of(words[at : at + TOGETHER])
-        lattice = Lattice(vocab, parts)
-        starts = np.flatnonzero(np.diff(np.array([-1, *owner])))
-        out[at : at + TOGETHER] = np.add.reduceat(np.log(np.maximum(lattice.forward(prob)[lattice.stop], 1e-300)), starts)
+        some = [SPACE + w for w in words[at : at + TOGETHER]]
+        short = [k for k, w in enumerate(some) if len(w) <= LONG]
+        lattice = Lattice(vocab, [some[k] for k in short])
+        out[[at + k for k in short]] = np.log(np.maximum(lattice.forward(prob)[lattice.stop], 1e-300))
+        for k, w in enumerate(some):
+            if len(w) > LONG:
+                out[at + k] = LongWord(vocab, prob, w).log()
     return out
 
 
@@ -201,10 +264,14 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
         def expect(batches: Iterable[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             total = np.zeros((size, len(place)))
             for batch in slices(batches, "word", WORD_BYTES):
-                parts, owner = parts_of(batch.column("word").to_pylist())
+                words = [SPACE + w for w in batch.column("word").to_pylist()]
                 weight = np.zeros((batch.num_rows, len(place)))
                 weight[np.arange(batch.num_rows), [place[x] for x in batch.column("lang").to_pylist()]] = batch.column("n").to_numpy()
-                total += Lattice(pieces(path), parts).expected(state.value, weight[owner])
+                short = [k for k, w in enumerate(words) if len(w) <= LONG]
+                total += Lattice(pieces(path), [words[k] for k in short]).expected(state.value, weight[short])
+                for k, w in enumerate(words):
+                    if len(w) > LONG:
+                        LongWord(pieces(path), state.value, w).expected(weight[k], total)
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int64()), pa.array(lang, pa.int64()), pa.array(total[piece, lang], pa.float64())], names=["piece", "lang", "n"])
 
