@@ -219,11 +219,11 @@ def test_suffix_array(flat, depth):
 # SimHash
 
 
-def expected_prints(docs):
+def expected_prints(docs, size=4):
     out = []
     for text in docs:
         words = SPACE.findall((text or "").translate(LOWER))
-        grams = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+        grams = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
         hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
         out.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
     return out
@@ -262,10 +262,32 @@ def test_simhash_awkward(spark):
     found = simhash.near_duplicates(frame(spark))
     assert sorted(map(repr, ((r["doc_id"], r["component_id"]) for r in found.collect()))) == sorted(map(repr, want))
     kept = simhash.drop_near_duplicates(frame(spark))
-    assert kept.columns == frame(spark).columns and kept.count() == found.select("_root").distinct().count()
+    near = simhash.near_duplicates(frame(spark), size=simhash.NEAR_SIZE, radius=simhash.NEAR_RADIUS, bands=simhash.NEAR_BANDS)
+    assert kept.columns == frame(spark).columns and kept.count() == near.select("_root").distinct().count()
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.drop_near_duplicates(empty(spark)).count() == 0
 
 
+def test_near_copies_are_caught(spark):
+    """Texts that share 80 % of their five-word shingles with another one: one of each such group stays, and others are left alone."""
+    docs = [(r["doc_id"], r["text"]) for r in documents(spark, "/root/testdata/sf0.1").where("doc_id < 1500 and length(text) > 600").collect()]
+    rng, made, at = np.random.default_rng(4), [], 10**6
+    for doc, text in docs[::5]:
+        words = text.split()
+        for k in rng.choice(len(words), max(1, len(words) // 60), replace=False):
+            words[k] = "changed"
+        grams = lambda ws: {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
+        a, b = grams(text.lower().split()), grams([w.lower() for w in words])
+        if len(a & b) >= 0.8 * len(a | b):
+            made.append((at, " ".join(words)))
+            at += 1
+    assert len(made) > 100
+    before = {r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(docs + made, "doc_id long, text string")).collect()}
+    assert sum(k in kept for k, _ in made) <= 0.1 * len(made) and before <= kept
+    exact = {t for _, t in docs}
+    assert len(before) >= 0.9 * len(exact)
+
+
 @pytest.mark.parametrize("tile", [simhash.TILE, 40])
 @pytest.mark.parametrize("many", [1, 10**9])
 def test_links_are_whole(spark, monkeypatch, tile, many):
@@ -276,7 +298,7 @@ def test_links_are_whole(spark, monkeypatch, tile, many):
     for _ in range(6):
         near = near ^ (np.uint64(1) << rng.integers(0, 64, 400).astype(np.uint64))
     prints = np.unique(np.concatenate([base, near, base[0] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))]))
-    edges = simhash.links(spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "_fp long"), 4, simhash.block_tables(many, 4))
+    edges = simhash.links(simhash.in_tables(spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "_fp long"), simhash.block_tables(many, 4)), 4)
     roots = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
     signed = prints.view(np.int64).tolist()
     got = [roots.get(x, x) for x in signed]
@@ -285,7 +307,7 @@ def test_links_are_whole(spark, monkeypatch, tile, many):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=150), st.integers(0, 7))
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=150), st.integers(0, 15))
 def test_near_pairs(prints, radius):
     prints = [*prints, *[p ^ 5 for p in prints[:20]]]
     fp = np.array(prints, np.uint64)

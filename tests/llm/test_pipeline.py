@@ -4,22 +4,33 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from tests.llm import cases
 from tests.llm.test_first_five import expected_components, expected_hits, expected_prints, expected_records
-from topicloom.llm import mixing, queries
+from topicloom.llm import language, mixing, queries, simhash
 
 
-def brute_language(docs):
-    return [d for d in docs if any(map(str.isalpha, d["text"] or ""))]
+def brute_language(docs, model):
+    """Languages by sums of words' probabilities, which have a brute-force test of their own."""
+    out = []
+    vocab = language.pieces(model.path)
+    for d in docs:
+        words = language.WORD.findall((d["text"] or "").lower())
+        if any(map(str.isalpha, d["text"] or "")):
+            logs = language.word_log(vocab, model.prob, words).sum(axis=0) + model.prior
+            odds = np.exp(logs - logs.max())
+            if odds.max() / odds.sum() >= corpus_pipeline.SURE:
+                out.append(d | {"lang": model.langs[int(odds.argmax())]})
+    return out
 
 
 def brute_dedup(docs):
     ids = list(range(len(docs)))
-    group = expected_components(ids, expected_prints([d["text"] for d in docs]))
+    group = expected_components(ids, expected_prints([d["text"] for d in docs], simhash.NEAR_SIZE), simhash.NEAR_RADIUS)
     heads = {}
     for d, g in zip(docs, group, strict=True):
         rank = (d["doc_id"] is None, d["doc_id"] or 0)
@@ -81,7 +92,8 @@ def test_stage_list():
 def test_whole_pipeline(spark, sf_dir):
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     docs = dicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    kept = brute_mix(brute_decontaminate(brute_dedup(brute_language(docs)), items))
+    model = language.fit(spark.read.parquet(f"{sf_dir}/documents.parquet").where(~language.held_out()))
+    kept = brute_mix(brute_decontaminate(brute_dedup(brute_language(docs, model)), items))
     want = expected_records(sorted(((d["doc_id"], d["text"]) for d in kept), key=lambda d: d[0]))
     got = corpus_pipeline.run(spark, sf_dir).orderBy("start").select("doc_id", "start", "n_tokens", "ids_crc32").collect()
     assert [tuple(r) for r in got] == want
@@ -100,7 +112,8 @@ def awkward(spark):
 def test_stages_awkward(spark, sf_dir, awkward):
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     docs = dicts(awkward)
-    for stage, brute in ((corpus_pipeline.language_stage, brute_language), (corpus_pipeline.decontaminate_stage, lambda d: brute_decontaminate(d, items))):
+    model = language.fit(awkward.where(~language.held_out()))
+    for stage, brute in ((corpus_pipeline.language_stage, lambda d: brute_language(d, model)), (corpus_pipeline.decontaminate_stage, lambda d: brute_decontaminate(d, items))):
         out = stage(spark, awkward, sf_dir)
         assert out.columns == awkward.columns
         same(dicts(out), brute(docs))
@@ -113,6 +126,15 @@ def test_stages_awkward(spark, sf_dir, awkward):
     assert corpus_pipeline.records_stage(spark, awkward, sf_dir).count() == len(docs)
 
 
+def test_language_stage_rejects_by_the_model(spark):
+    """Texts in no one language go, and labels that the model contradicts are set right."""
+    words = {"en": "the of and that with from house water", "fr": "le la des une avec pour maison eau"}
+    rows = [(i, " ".join(sorted(words[x].split() * 3, key=lambda w: hash((w, i)))), x, "s", 0) for i, x in enumerate(["en", "fr"] * 30)]
+    rows += [(900, rows[0][1], "fr", "s", 0), (901, rows[1][1], None, "s", 0), (902, "12 34 !!", "en", "s", 0), (903, None, "en", "s", 0)]
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "").collect()}
+    assert got == {r[0]: r[2] for r in rows[:60]} | {900: "en", 901: "fr"}
+
+
 def test_mix_like_brute_force(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     same(dicts(mixing.mix(df).drop("epoch")), brute_mix(dicts(df)))

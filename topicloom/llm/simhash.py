@@ -5,6 +5,10 @@ at least m - r of them, so each choice of m - r blocks is a table of exact bucke
 bucket, fingerprints lie in lanes of 64 with vertical bit planes; a query's distances to
 64 others are counted together in carry-save bitwise counters, and a lane word is
 abandoned once all its counters exceed the radius.
+
+A wide radius would need blocks too short to tell buckets apart. For it, buckets can be bands
+of least shingle hashes instead: texts that share 80 % of their shingles meet in one of them
+with a probability of 99.7 %, and fingerprints are compared there in the same way.
 """
 
 from __future__ import annotations
@@ -17,45 +21,62 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
-from topicloom.llm.common import bounded, cut, slices, texts
+from topicloom.llm.common import bounded, cut, mix64, slices, texts
 
 BITS, SEED = 64, 42
 #: Fingerprints of a bucket that are compared in one piece; larger buckets are split into pairs of tiles.
 TILE = 8192
 #: Query-by-lane pairs held at once.
 CHUNK = 1 << 16
+#: Near copies: shingles of five words, 80 % of them shared. Such texts differ in about 10 bits, with a deviation of 3; unrelated ones
+#: in 32, with one of 4. Bands of two least hashes each.
+NEAR_SIZE, NEAR_RADIUS, NEAR_BANDS = 5, 14, 6
 
 
-def fingerprint(words: list[bytes], size: int = 4) -> int:
-    """Bits set in over half of the shingles' XXH64; zero for no words."""
-    if not words:
-        return 0
+def shingles(words: list[bytes], size: int) -> np.ndarray:
+    """XXH64 of the shingles; of fewer words, that of the whole sequence."""
     joined = b" ".join(words)
     if len(words) <= size:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-        starts = [0, *(gaps[: len(words) - size] + 1).tolist()]
-        ends = [*gaps[size - 1 :].tolist(), len(joined)]
-        hashes = list(map(xxhash.xxh64_intdigest, map(joined.__getitem__, map(slice, starts, ends)), repeat(SEED)))
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+    gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+    starts = [0, *(gaps[: len(words) - size] + 1).tolist()]
+    ends = [*gaps[size - 1 :].tolist(), len(joined)]
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, map(slice, starts, ends)), repeat(SEED)), np.uint64, len(starts))
+
+
+def band_keys(hashes: np.ndarray, bands: int) -> np.ndarray:
+    """Keys of bands of two least hashes, each under a permutation of its own (a product with an odd number)."""
+    with np.errstate(over="ignore"):
+        least = [(hashes * (mix64(np.uint64(k + 1)) | np.uint64(1))).min() for k in range(2 * bands)]
+        return np.array([mix64(mix64(a) + b) for a, b in zip(least[::2], least[1::2], strict=True)], np.uint64)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """Bits set in over half of the hashes."""
     ones = np.zeros(BITS, np.int64)
-    packed = np.array(hashes, "<u8").view(np.uint8)
+    packed = hashes.astype("<u8").view(np.uint8)
     for at in range(0, len(packed), 8 << 14):
         ones += np.unpackbits(packed[at : at + (8 << 14)], bitorder="little").reshape(-1, BITS).sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4) -> DataFrame:
-    """(doc id, hash of the text, fingerprint) of each row; null and wordless texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, bands: int = 0) -> DataFrame:
+    """(doc id, hash of the text, fingerprint, keys of bands) of each row; null and wordless texts have fingerprint and keys 0."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            prints = np.array([fingerprint(t.lower().split(), size) for t in texts(batch, "_text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(prints)], names=["_id", "_th", "_fp"])
+            prints, keys = np.zeros(batch.num_rows, np.uint64), np.zeros((batch.num_rows, bands), np.uint64)
+            for k, words in enumerate(t.lower().split() for t in texts(batch, "_text")):
+                if words:
+                    hashes = shingles(words, size)
+                    prints[k], keys[k] = fingerprint(hashes), band_keys(hashes, bands)
+            lists = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * bands, pa.array(keys.ravel().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(prints.view(np.int64)), lists], names=["_id", "_th", "_fp", "_bands"])
 
     source = bounded(docs).select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).alias("_text"))
-    return source.mapInArrow(run, source.select("_id", "_th").schema.add("_fp", "long"))
+    return source.mapInArrow(run, source.select("_id", "_th").schema.add("_fp", "long").add("_bands", ArrayType(LongType())))
 
 
 def block_tables(count: int, radius: int, per_bucket: int = 2048) -> list[list[tuple[int, int]]]:
@@ -103,26 +124,27 @@ def near_pairs(fp: np.ndarray, group: np.ndarray, radius: int, tile: np.ndarray
         pair = np.arange(lo, min(lo + CHUNK, int(ends[-1])))
         query = np.searchsorted(ends, pair, "right")
         lane = lane_first[which[query]] + rank[query] // 64 + pair - (ends[query] - span[query])
-        ones, twos, fours, over = (np.zeros(len(pair), np.uint64) for _ in range(4))
+        counters, over = [np.zeros(len(pair), np.uint64) for _ in range(max(1, radius.bit_length()))], np.zeros(len(pair), np.uint64)
         q = fp[query]
         for p in range(0, BITS, 2):
             a = planes[p][lane] ^ (np.uint64(0) - (q >> np.uint64(p) & np.uint64(1)))
             b = planes[p + 1][lane] ^ (np.uint64(0) - (q >> np.uint64(p + 1) & np.uint64(1)))
             half = a ^ b
-            carry = a & b | half & ones
-            ones ^= half
-            more = twos & carry
-            twos ^= carry
-            over |= fours & more
-            fours ^= more
+            carry = a & b | half & counters[0]
+            counters[0] ^= half
+            for k in range(1, len(counters)):
+                more = counters[k] & carry
+                counters[k] ^= carry
+                carry = more
+            over |= carry
             if p % 8 == 6 and p >= 14:
-                live = beyond(ones, twos, fours, over, radius) != ~np.uint64(0)
+                live = beyond(counters, over, radius) != ~np.uint64(0)
                 if not live.all():  # abandoned: all 64 of the word are beyond the radius
-                    query, lane, q, ones, twos, fours, over = (x[live] for x in (query, lane, q, ones, twos, fours, over))
+                    query, lane, q, over, *counters = (x[live] for x in (query, lane, q, over, *counters))
                 if not len(query):
                     break
         if len(query):
-            near = ~beyond(ones, twos, fours, over, radius) & used[lane]
+            near = ~beyond(counters, over, radius) & used[lane]
             hit = np.flatnonzero(near)
             k, s = np.nonzero(np.unpackbits(near[hit].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
             i, j = query[hit[k]], owner[lane[hit[k]] * 64 + s]
@@ -133,12 +155,16 @@ def near_pairs(fp: np.ndarray, group: np.ndarray, radius: int, tile: np.ndarray
                 yield i[right], j[right]
 
 
-def beyond(ones: np.ndarray, twos: np.ndarray, fours: np.ndarray, over: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes whose counter exceeds the radius (0 to 7)."""
-    r = [~np.uint64(0) if radius >> k & 1 else np.uint64(0) for k in range(3)]
-    more4, same4 = fours & ~r[2], ~(fours ^ r[2])
-    more2, same2 = twos & ~r[1], ~(twos ^ r[1])
-    return over | more4 | same4 & (more2 | same2 & ones & ~r[0])
+def beyond(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+    """Lanes whose counter, lowest bits first, exceeds the radius."""
+    more, same = over, ~over
+    for k in range(len(counters) - 1, -1, -1):
+        if radius >> k & 1:
+            same = same & counters[k]
+        else:
+            more = more | same & counters[k]
+            same = same & ~counters[k]
+    return more
 
 
 def forest(n: int, pairs: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -156,9 +182,13 @@ def forest(n: int, pairs: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return label
 
 
-def links(prints: DataFrame, radius: int, tables: list[list[tuple[int, int]]]) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints ``_fp``: in each bucket a spanning forest of all links there."""
-    keyed = prints.select("_fp", F.posexplode(F.array(*[table_key(F.col("_fp"), t) for t in tables])).alias("_t", "_key"))
+def in_tables(prints: DataFrame, tables: list[list[tuple[int, int]]]) -> DataFrame:
+    """Distinct fingerprints ``_fp`` by the buckets (table ``_t``, ``_key``) of their blocks."""
+    return prints.select("_fp", F.posexplode(F.array(*[table_key(F.col("_fp"), t) for t in tables])).alias("_t", "_key"))
+
+
+def links(keyed: DataFrame, radius: int) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints ``_fp`` of buckets (``_t``, ``_key``): in each one a spanning forest of all links there."""
     hot = keyed.groupBy("_t", "_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > TILE).withColumn("_parts", F.ceil(F.col("_n") / TILE).cast("int"))
     keyed = keyed.join(hot.select("_t", "_key", "_parts"), ["_t", "_key"], "left")
     parts = F.coalesce("_parts", F.lit(1))
@@ -207,23 +237,29 @@ def components(edges: DataFrame) -> DataFrame:
         mark = seen
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = 4, bands: int = 0) -> DataFrame:
     """(id, text hash ``_th``, ``_fp``, ``_root``: the component's least fingerprint, ``component_id``): the least id reachable over links of at most ``radius`` bits.
 
     Exact copies share a fingerprint and meet once. A null id never names a component with another id in it; a
-    component of null ids only has a null name. Empty table: no rows; repeated rows: a row each."""
-    prints = cut(fingerprints(docs, id_col, text_col, size))
+    component of null ids only has a null name. Empty table: no rows; repeated rows: a row each; a text of any length is
+    hashed whole. Without ``bands`` no link is missed; with them, fingerprints are compared that share one."""
+    prints = cut(fingerprints(docs, id_col, text_col, size, bands))
     nodes = cut(prints.groupBy("_fp").agg(F.min("_id").alias("_low")))
-    roots = components(links(nodes.select("_fp"), radius, block_tables(nodes.count(), radius)))
+    if bands:
+        keyed = prints.select("_fp", F.posexplode("_bands").alias("_t", "_key")).distinct()
+    else:
+        keyed = in_tables(nodes.select("_fp"), block_tables(nodes.count(), radius))
+    roots = components(links(keyed, radius))
     named = nodes.join(roots, nodes["_fp"] == roots["node"], "left").select("_fp", "_low", F.coalesce("root", "_fp").alias("_root"))
-    least = named.groupBy("_root").agg(F.min("_low").alias("component_id"))
+    named = cut(named)
+    least = cut(named.groupBy("_root").agg(F.min("_low").alias("component_id")))  # apart from the join, which can then split a hot root
     names = named.join(least, "_root").select("_fp", "_root", "component_id")
     return prints.join(names, "_fp").select(F.col("_id").alias(id_col), "_th", "_fp", "_root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = 4) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = NEAR_SIZE, radius: int = NEAR_RADIUS, bands: int = NEAR_BANDS) -> DataFrame:
     """Keep one row of each component, with all columns: the one with the least id (nulls last, then by text hash); of repeated rows one."""
-    found = near_duplicates(docs, id_col, text_col, size, radius)
+    found = near_duplicates(docs, id_col, text_col, size, radius, bands)
     order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("_th").alias("t"))
     heads = found.groupBy("_root").agg(F.min(order).alias("o"))
     counts = found.groupBy(F.col(id_col).alias("i"), F.col("_th").alias("t")).agg(F.count(F.lit(1)).alias("_copies"))
