@@ -17,14 +17,20 @@ from topicloom.llm.common import remove_path, shared_path, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+#: Least probability of the language that a document is taken to be in.
+SURE = 0.6
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told go; the others stay as they are."""
+    """Documents without a letter, or in no one language to the model (its probability is under SURE), go; ``lang`` of the others is
+    what the model says, in place of what is missing or wrong."""
     model = language.fit(docs.where(~language.held_out()))
-    return language.predict(docs, model, add=("_lang", "_odds")).where(F.col("_lang") != language.UNDETERMINED).select(*docs.columns)
+    found = language.predict(docs, model, add=("_lang", "_odds")).where((F.col("_lang") != language.UNDETERMINED) & (F.col("_odds") >= SURE))
+    return found.withColumn("lang", F.col("_lang")).select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays: shingles of five words, fingerprints up to 14 bits apart."""
     return simhash.drop_near_duplicates(docs)
 
 
