@@ -3,7 +3,8 @@
 All rolling word trigrams of the documents are hashed and joined to the trigrams of license
 notices. A match votes for its diagonal (document position less template position). Votes
 of neighbouring diagonals are merged, so that a word more or less doesn't part a notice,
-and a span is verified by the share of its template's trigrams that stand there word by word.
+and a span is verified by the share of its template's trigrams, each counted once, that stand there word by
+word. Templates are sentences and paragraphs of notices and license texts.
 """
 
 from __future__ import annotations
@@ -11,24 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from topicloom.llm.license_texts import NOTICES
+
 #: Phrases of the base rules, and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: Opening words of public license notices, and their labels.
-TEMPLATES = (
-    ("mit", "Released under the MIT License"),
-    ("mit", "Licensed under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("apache", "Licensed under the Apache License, Version 2.0"),
-    ("apache", "you may not use this file except in compliance with the License"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
-    ("cc", "Licensed under CC BY NC 4.0"),
-    ("cc", "Licensed under CC BY SA 4.0"),
-    ("cc", "This work is licensed under a Creative Commons Attribution"),
-    ("copyright", "All rights reserved"),
-)
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 K = 3
@@ -48,7 +35,7 @@ def trigrams(words: Column) -> Column:
     return F.arrays_zip(words.alias("a"), rest(1).alias("b"), rest(2).alias("c"))
 
 
-def template_grams(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
+def template_grams(spark: SparkSession, templates=NOTICES) -> DataFrame:
     """(template, label, total trigrams, position, hash, words) of the templates."""
     base = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(templates)], "template int, label string, text string")
     split = base.select("template", "label", words(F.col("text")).alias("w"))
@@ -56,11 +43,11 @@ def template_grams(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     return grams.where("g.c is not null").select("template", "label", "total", F.col("at").alias("t_at"), F.xxhash64("g.a", "g.b", "g.c").alias("h"), F.col("g").alias("t_g"))
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=NOTICES) -> DataFrame:
     """Verified spans: ``_id``, ``_th`` (hash of the text), template, label, first and last word (from 0), votes, share.
 
-    Equal rows have their spans once. The template table is a constant of a few hundred rows, so it is broadcast;
-    only matches leave a scan's task."""
+    Equal rows have their spans once. The template table is a constant of some 2,000 rows, so it is broadcast;
+    only matches leave a scan's task. A text of any length is scanned whole, as an array of its words."""
     source = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), words(F.col(text_col)).alias("w"))
     grams = source.select("_id", "_th", F.posexplode(trigrams(F.col("w"))).alias("at", "g")).where("g.c is not null")
     known = F.broadcast(template_grams(docs.sparkSession, templates))
@@ -70,9 +57,10 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templ
     in_order = Window.partitionBy("_id", "_th", "template").orderBy("diagonal")
     new = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(in_order) > SLACK).cast("int"), F.lit(1))
     runs = votes.withColumn("new", new).withColumn("run", F.sum("new").over(in_order))
-    place = runs.select("_id", "_th", "template", "label", "total", "run", F.explode("places").alias("at")).distinct()
-    merged = place.groupBy("_id", "_th", "template", "label", "total", "run").agg(F.count(F.lit(1)).alias("votes"), F.min("at").alias("first"), (F.max("at") + (K - 1)).alias("last"))
-    share = F.least(F.lit(1.0), F.col("votes") / F.col("total"))
+    place = runs.select("_id", "_th", "template", "label", "total", "run", "diagonal", F.explode("places").alias("at"))
+    voted = F.size(F.collect_set(F.col("at") - F.col("diagonal"))).cast("long")  # positions in the template
+    merged = place.groupBy("_id", "_th", "template", "label", "total", "run").agg(voted.alias("votes"), F.min("at").alias("first"), (F.max("at") + (K - 1)).alias("last"))
+    share = F.col("votes") / F.col("total")
     return merged.withColumn("share", share).where(F.col("share") >= SHARE).drop("run", "total")
 
 
@@ -100,10 +88,11 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_id``, n_words, n_base, first_word, last_word, base_labels, labels, score (share of the fullest span).
+    """``_id``, n_words, n_base, first_word, last_word, base_labels, labels, score (the best span's share, times v / (v + 1) for
+    its v votes: one trigram proves less than twenty).
 
     Null and wordless texts have no words, labels or places (null), and score 0. Every row has a row, repeated ones too."""
-    found = spans(docs, id_col, text_col).groupBy("_id", "_th").agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
+    found = spans(docs, id_col, text_col).groupBy("_id", "_th").agg(F.collect_set("label").alias("found"), F.max(F.col("share") * (F.col("votes") / (F.col("votes") + 1))).alias("share"))
     found = found.select(F.col("_id").alias("_i"), F.col("_th").alias("_t"), "found", "share")
     base = base_counts(docs, id_col, text_col)
     rows = base.join(found, base["_id"].eqNullSafe(found["_i"]) & (base["_th"] == found["_t"]), "left")
@@ -126,7 +115,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def template_rows() -> str:
     """The templates as SQL values."""
-    return ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+    return ", ".join("({}, '{}', '{}')".format(i, label, text.replace("'", "''")) for i, (label, text) in enumerate(NOTICES))
 
 
 SQL = rf"""
@@ -138,8 +127,8 @@ votes AS (SELECT DISTINCT r, t, label, total, d.pos, d.pos - g.pos AS diagonal F
 diagonals AS (SELECT DISTINCT r, t, diagonal FROM votes),
 starts AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, t ORDER BY diagonal) <= {SLACK} THEN 0 ELSE 1 END AS brk FROM diagonals),
 runs AS (SELECT *, sum(brk) OVER (PARTITION BY r, t ORDER BY diagonal) AS run FROM starts),
-spans AS (SELECT r, label, least(1.0, count(DISTINCT pos) / total::DOUBLE) AS share FROM votes JOIN runs USING (r, t, diagonal) GROUP BY r, t, label, total, run),
-found AS (SELECT r, list(DISTINCT label) AS found, max(share) AS share FROM spans WHERE share >= {SHARE} GROUP BY r),
+spans AS (SELECT r, label, count(DISTINCT pos - diagonal) AS n, count(DISTINCT pos - diagonal) / total::DOUBLE AS share FROM votes JOIN runs USING (r, t, diagonal) GROUP BY r, t, label, total, run),
+found AS (SELECT r, list(DISTINCT label) AS found, max(share * (n / (n + 1)::DOUBLE)) AS share FROM spans WHERE share >= {SHARE} GROUP BY r),
 places AS (SELECT r, i AS pos, CASE WHEN w[i+1] = 'mit' THEN 'mit' WHEN w[i+1] = 'apache' THEN 'apache' ELSE 'gpl' END AS label FROM docs, unnest(range(len(w))) AS u(i)
   WHERE (w[i+1] IN ('mit', 'apache') AND w[i+2] = 'license') OR (w[i+1] = 'general' AND w[i+2] = 'public' AND w[i+3] = 'license')),
 base AS (SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM places GROUP BY r)
