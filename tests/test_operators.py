@@ -47,8 +47,8 @@ def test_lookup(spark):
     assert kept == {0: ("x", 2), 1: ("x", None), 2: ("y", None), 3: (None, 2), 4: ("x", 3), 5: ("z", 3), 6: ("x", None)}
     over = {r["pos"]: r["tag"] for r in rows.lookup(frame(spark), right, "url", "pos", ["tag"], override=True).collect()}
     assert over == {0: None, 1: "x", 2: "y", 3: None, 4: "new", 5: "new", 6: "x"}
-    with pytest.raises(rows.IntegrityError, match="c"):
-        rows.checked_lookup(frame(spark).where("url in ('a', 'c')"), right, "url", "pos", ["extra"])
+    with pytest.raises(Exception, match="IntegrityError: a row without a match, c"):
+        rows.checked_lookup(frame(spark).where("url in ('a', 'c')"), right, "url", "pos", ["extra"]).collect()
     assert rows.checked_lookup(frame(spark).where("url = 'a'"), right, "url", "pos", ["extra"]).count() == 2
 
 

@@ -7,33 +7,41 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.text import trim
 
-#: The anchored forms of dates that are read.
-MAIL = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun), (\d{1,2} [A-Z][a-z]{2} \d{4}) (\d{2}:\d{2}:\d{2}) ([+-]\d{4}|GMT|UTC)$"
-ISO = r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
-PLAIN = r"^(\d{4}-\d{2}-\d{2})(?: (\d{2}:\d{2}:\d{2}))?$"
-
-
-def _parts(value: Column) -> tuple[Column, Column, Column]:
-    """(day, time, offset like +0000) of a date string; null where no form fits."""
-    text = trim(value)
-    mail, iso, plain = (F.regexp_like(text, F.lit(p)) for p in (MAIL, ISO, PLAIN))
-    get = lambda p, k: F.regexp_extract(text, p, k)
-    day = F.when(mail, F.to_date(F.try_to_timestamp(get(MAIL, 1), F.lit("d MMM yyyy")))).when(iso, F.to_date(F.try_to_timestamp(get(ISO, 1), F.lit("yyyy-MM-dd")))).when(plain, F.to_date(F.try_to_timestamp(get(PLAIN, 1), F.lit("yyyy-MM-dd"))))
-    time = F.when(mail, get(MAIL, 2)).when(iso, get(ISO, 2)).when(plain, F.coalesce(F.nullif(get(PLAIN, 2), F.lit("")), F.lit("00:00:00")))
-    zone = F.when(mail, get(MAIL, 3)).when(iso, get(ISO, 3)).when(plain, F.lit("+0000"))
-    zone = F.when(zone.isin("GMT", "UTC", "Z"), F.lit("+0000")).otherwise(F.replace(zone, F.lit(":"), F.lit("")))
-    return day, time, zone
+#: Names in dates, and the anchored forms that are read, in any case, with one or two digits.
+WEEKDAYS = "mon|tue|wed|thu|fri|sat|sun"
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+CLOCK, OFFSET = r"(\d{1,2}:\d{1,2}:\d{1,2})", r"[+-]\d{2}:?\d{2}"
+FORMS = (
+    (rf"^(?:{WEEKDAYS}),\s+(\d{{1,2}})\s+({'|'.join(MONTHS)})\s+(\d{{4}})\s+{CLOCK}\s+({OFFSET}|z|gmt|utc)$", "@$3-$2-$1 $4 $5"),
+    (rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}})t{CLOCK}({OFFSET}|z)$", "@$1 $2 $3"),
+    (rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}})\s+{CLOCK}$", "@$1 $2 z"),
+    (r"^(\d{4}-\d{1,2}-\d{1,2})$", "@$1 0:0:0 z"),
+)
+
+
+def _plain(value: Column) -> Column:
+    """A date string as ``@2024-1-2 3:4:5 +0000``; one of no known form has no such start. The forms exclude each other, so each
+    is one pass over a short string."""
+    text = F.lower(trim(value))
+    out = F.when(~F.startswith(text, F.lit("@")), text)
+    for form, plain in FORMS:
+        out = F.regexp_replace(out, form, plain)
+    for k, name in enumerate(MONTHS, 1):
+        out = F.replace(out, F.lit(f"-{name}-"), F.lit(f"-{k}-"))
+    return F.regexp_replace(F.regexp_replace(out, "(?:z|gmt|utc)$", "+0000"), r"([+-]\d{2}):(\d{2})$", "$1$2")
 
 
 def instant(value: Column) -> Column:
     """The moment that a date string names; no offset means UTC; null if it can't be read."""
-    day, time, zone = _parts(value)
-    return F.try_to_timestamp(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), time, zone), F.lit("yyyy-MM-dd HH:mm:ss Z"))
+    return F.try_to_timestamp(_plain(value), F.lit("'@'yyyy-M-d H:m:s Z"))
 
 
 def wall_date(value: Column) -> Column:
     """The day on the writer's own clock, as text; null if the moment can't be read."""
-    return F.when(instant(value).isNotNull(), F.date_format(_parts(value)[0], "yyyy-MM-dd"))
+    plain = _plain(value)
+    day = F.try_to_timestamp(F.concat(F.substring_index(plain, " ", 1), F.lit(" 0:0:0 +0000")), F.lit("'@'yyyy-M-d H:m:s Z"))
+    moment = F.try_to_timestamp(plain, F.lit("'@'yyyy-M-d H:m:s Z"))
+    return F.when(moment.isNotNull(), F.date_format(F.to_utc_timestamp(day, F.current_timezone()), "yyyy-MM-dd"))
 
 
 def recent(value: Column, cutoff: Column) -> Column:

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: All white space of the Unicode standard and the four ASCII separators, for Java's regular expressions.
 SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-#: Entities that are decoded by replacement, the ampersand last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
-
 #: Parts of outlets' names that aren't shown, in the order of their removal.
 ENDINGS = ("www.", ".com", ".org", ".co.uk", ".net")
 
@@ -42,9 +38,10 @@ def word_count(value: Column) -> Column:
 
 
 def truncate_words(value: Column, most: int = 50) -> Column:
-    """A text of more than ``most`` words is cut and gets three full stops; a shorter one stays as it is."""
-    w = words(value)
-    return F.when(F.size(w) <= most, value).otherwise(F.concat(F.array_join(F.slice(w, 1, most), " "), F.lit("...")))
+    """A text of more than ``most`` words is cut and gets three full stops; a shorter one stays as it is. Only the head is split."""
+    w = F.split(F.regexp_replace(F.coalesce(value, F.lit("")), f"^{SPACE}+", ""), f"{SPACE}+", most + 1)
+    longer = (F.size(w) > most) & (F.element_at(w, -1) != "")
+    return F.when(longer, F.concat(F.array_join(F.slice(w, 1, most), " "), F.lit("..."))).otherwise(value)
 
 
 def occurrences(value: Column, keyword: str) -> Column:
@@ -53,14 +50,18 @@ def occurrences(value: Column, keyword: str) -> Column:
     return ((F.length(value) - gone) / F.lit(len(keyword))).cast("long")
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))
+def _either(patterns: list[str]) -> str:
+    return "(?s)" + "|".join(patterns)
+
+
+def _quoted(keyword: str) -> str:
+    """A keyword in lower case as a pattern for itself."""
+    return re.sub(r"([^\w\s])", r"\\\1", keyword.lower())
 
 
 def loose_match(keywords: list[str], *columns: Column) -> Column:
-    """Any keyword as a substring of the columns. Literal predicates, so that they stay in generated code."""
-    text = text_of(*columns)
-    return _any([F.contains(text, F.lit(k.lower())) for k in keywords])
+    """Any keyword as a substring of the columns: one pattern, so that a text is put in lower case once."""
+    return F.regexp_like(text_of(*columns), F.lit(_either([_quoted(k) for k in keywords]))) if keywords else F.lit(False)
 
 
 def broad_match(include: list[str], exclude: list[str] | None, title: Column, description: Column) -> Column:
@@ -70,11 +71,11 @@ def broad_match(include: list[str], exclude: list[str] | None, title: Column, de
 
 
 def strict_match(keywords: list[str], title: Column, description: Column, empty: bool = True) -> Column:
-    """A keyword in the title, or one keyword twice in the description. ``empty``: the verdict without keywords."""
+    """A keyword in the title, or one keyword twice in the description, without overlaps. ``empty``: the verdict without keywords."""
     if not keywords:
         return F.lit(empty)
-    head, body = text_of(title), text_of(description)
-    return _any([F.contains(head, F.lit(k.lower())) | (occurrences(body, k.lower()) >= 2) for k in keywords])
+    twice = F.regexp_like(text_of(description), F.lit(_either([f"{_quoted(k)}.*?{_quoted(k)}" for k in keywords])))
+    return loose_match(keywords, title) | twice
 
 
 def first_match(value: Column, keys: list[str]) -> Column:
@@ -96,10 +97,11 @@ def display_name(outlet: Column) -> Column:
 
 
 def strip_html(value: Column) -> Column:
-    """Tags become spaces, then the common entities are decoded, then white space is collapsed."""
+    """Tags become spaces, then all entities are decoded, then white space is collapsed. Only texts with an ampersand leave the JVM."""
+    from topicloom.functions.udf import unescape
+
     out = F.regexp_replace(value, "<[^>]+>", " ")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
+    out = F.coalesce(unescape(F.when(F.contains(out, F.lit("&")), out)), out)
     return trim(F.regexp_replace(out, f"{SPACE}+", " "))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.functions.text import query_hash
+
 
 def date_grid(spark: SparkSession, start: str, end: str) -> DataFrame:
     """All days from start to end; none if end is before start."""
@@ -69,6 +71,62 @@ def manifest(topic: str, start: str, runs: DataFrame, collected: DataFrame, reco
     return row.select(F.lit(topic).alias("topic"), F.struct(F.lit(start).alias("start_date"), F.col("_end").alias("end_date"), F.lit(updated).alias("last_updated")).alias("coverage"), "dates_collected", "daily_runs", F.lit(records).alias("record_count"), "gaps")
 
 
+def update_manifest(old: DataFrame, topic: str, start: str, days: DataFrame, records: int, now: str, mode: str = "adhoc") -> DataFrame:
+    """A manifest (no rows: the empty one) after one more run: its days added, the run counted under its own day, ``records`` more.
+
+    days: day (date or text) of the run; now: an ISO stamp in UTC. The first run of a day sets its mode and first time."""
+    spark = days.sparkSession
+    empty = manifest(topic, start, spark.createDataFrame([], "day date, time string, mode string"), spark.createDataFrame([], "day date"), 0, now)
+    own = old.unionByName(empty.withColumn("_new", F.lit(1)), allowMissingColumns=True).orderBy(F.col("_new").asc_nulls_first()).limit(1).drop("_new")
+    added = days.agg(F.collect_set(F.col("day").cast("string")).alias("_added"))
+    today, clock = F.lit(now[:10]), F.lit(now[11:19] + "Z")
+    row = own.join(added).withColumn("dates_collected", F.array_sort(F.array_union("dates_collected", "_added")))
+    had = F.try_element_at("daily_runs", today)
+    run = F.struct((F.coalesce(had["count"], F.lit(0)) + 1).alias("count"), F.coalesce(had["first"], clock).alias("first"), clock.alias("last"), F.coalesce(had["mode"], F.lit(mode)).alias("mode"))
+    others = F.map_filter("daily_runs", lambda k, v: k != today)
+    row = row.withColumn("daily_runs", F.map_concat(others, F.map_from_arrays(F.array(today), F.array(run))))
+    end = F.coalesce(F.array_max("dates_collected"), F.col("coverage.end_date"))
+    row = row.withColumn("coverage", F.struct(F.col("coverage.start_date").alias("start_date"), end.alias("end_date"), F.lit(now).alias("last_updated")))
+    first, last = F.col("coverage.start_date").cast("date"), F.col("coverage.end_date").cast("date")
+    every = F.transform(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<date>")), lambda d: d.cast("string"))
+    holes = F.when(F.size("dates_collected") > 0, F.array_except(every, "dates_collected")).otherwise(F.col("gaps"))
+    return row.withColumn("gaps", holes).withColumn("record_count", (F.col("record_count") + records).cast("long")).drop("_added")
+
+
+CHECKPOINT = "topic string, query_hash string, outlet string, day string, complete boolean, expected long"
+
+
+def current_state(state: DataFrame, topic: str, query: Column) -> DataFrame:
+    """The collection state of a topic (rows of CHECKPOINT) for its query: rows of another query's hash are forgotten; a missing
+    hash is taken to be this query's."""
+    own = query_hash(query)
+    return state.where((F.col("topic") == topic) & F.coalesce(F.col("query_hash") == own, F.lit(True))).withColumn("query_hash", own)
+
+
+def mark_complete(state: DataFrame, topic: str, query: Column, done: DataFrame) -> DataFrame:
+    """The state with the pairs in ``done`` (outlet, day) complete; pairs are kept once, counts stay known."""
+    more = done.select(F.lit(topic).alias("topic"), query_hash(query).alias("query_hash"), "outlet", F.col("day").cast("string").alias("day"), F.lit(True).alias("complete"), F.lit(None).cast("long").alias("expected"))
+    return _once(current_state(state, topic, query).unionByName(more))
+
+
+def known_counts(state: DataFrame, topic: str, query: Column, counted: DataFrame) -> DataFrame:
+    """The state with new expected counts (outlet, day, expected); failed ones (negative) aren't kept, known ones stay."""
+    more = counted.where("expected >= 0").select(F.lit(topic).alias("topic"), query_hash(query).alias("query_hash"), "outlet", F.col("day").cast("string").alias("day"), F.lit(False).alias("complete"), "expected")
+    own = current_state(state, topic, query)
+    fresh = more.join(own.where("expected is not null").select("outlet", "day"), ["outlet", "day"], "left_anti")
+    return _once(own.unionByName(fresh.select(*own.columns)))
+
+
+def to_count(state: DataFrame, topic: str, query: Column, pairs: DataFrame) -> DataFrame:
+    """Pairs (outlet, day) whose expected count isn't known yet."""
+    known = current_state(state, topic, query).where("expected is not null").select("outlet", F.col("day"))
+    return pairs.select("outlet", F.col("day").cast("string").alias("day")).join(known, ["outlet", "day"], "left_anti")
+
+
+def _once(state: DataFrame) -> DataFrame:
+    return state.groupBy("topic", "query_hash", "outlet", "day").agg(F.max("complete").alias("complete"), F.max("expected").alias("expected"))
+
+
 def header(df: DataFrame, topic: str, day: Column, updated: str) -> DataFrame:
     """The header row of a store: records, days, their range."""
     days = F.sort_array(F.collect_set(day))
@@ -97,6 +155,28 @@ def nth_revision(log: DataFrame, order: str, n: int) -> DataFrame:
     return log.orderBy(order).offset(n).limit(1)
 
 
+def revisions_between(log: DataFrame, moment: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Revisions of days from start to end, both included; a missing bound is open."""
+    day = F.to_date(moment)
+    return log.where((day >= F.lit(start).cast("date") if start else F.lit(True)) & (day <= F.lit(end).cast("date") if end else F.lit(True)))
+
+
+def restored(revisions: DataFrame, version: str) -> DataFrame:
+    """All files (file, content) as they were at a version. revisions: version, file, content."""
+    return revisions.where(F.col("version") == version).select("file", "content")
+
+
+def line_changes(revisions: DataFrame, order: str) -> DataFrame:
+    """(version, file, added, deleted): lines that a revision has more or less often than the one before it (``order``: 0 is the
+    newest). Lines are counted by content, so a moved line is no change."""
+    lines = revisions.select("file", order, F.explode(F.split("content", "\n")).alias("line")).groupBy("file", order, "line").agg(F.count(F.lit(1)).alias("n"))
+    older = lines.select("file", (F.col(order) - 1).alias(order), "line", F.col("n").alias("old"))
+    present = revisions.select("file", F.col(order), "version").distinct()
+    both = lines.join(older, ["file", order, "line"], "full").join(present, ["file", order])
+    more = F.coalesce("n", F.lit(0)) - F.coalesce("old", F.lit(0))
+    return both.groupBy("version", "file").agg(F.sum(F.greatest(more, F.lit(0))).alias("added"), F.sum(F.greatest(-more, F.lit(0))).alias("deleted"))
+
+
 def change_stats(revisions: DataFrame) -> DataFrame:
     """Lines and bytes of each file of each revision. revisions: version, file, content."""
     lines = F.length("content") - F.length(F.replace("content", F.lit("\n"), F.lit("")))

@@ -2,7 +2,8 @@
 
 Winners are found by a grouped minimum or maximum of whole rows by position: one scan and
 one shuffle, combined before it, so a key that holds a large share of all rows doesn't land
-in one task. Select the columns that are needed before.
+in one task. Of rows with one position the least (first wins) or largest (last wins) counts, so
+results don't depend on the order of tasks. Select the columns that are needed before.
 """
 
 from __future__ import annotations
@@ -10,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-class IntegrityError(RuntimeError):
-    """Rows that a lookup must find are missing."""
+from topicloom.functions.text import sha256_id
 
 
 def present(key: Column) -> Column:
@@ -21,10 +20,17 @@ def present(key: Column) -> Column:
 
 def _winner(df: DataFrame, key: str, pos: str, pick) -> DataFrame:
     others = [c for c in df.columns if c != key]
-    best = df.groupBy(key).agg(pick(F.struct(*others), F.struct(pos)).alias("_row"))
+    ties = [c for c, kind in df.dtypes if c not in (key, pos) and "map<" not in kind and "variant" not in kind]
+    best = df.groupBy(key).agg(pick(F.struct(*others), F.struct(pos, *ties)).alias("_row"))
     return best.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in df.columns])
 
 
+def _spread(df: DataFrame, key: str) -> Column:
+    """A join key that equals ``key``, and for rows without one is their own, so that these don't meet in one task."""
+    others = [c for c, kind in df.dtypes if c != key and "map<" not in kind and "variant" not in kind]
+    return F.when(present(F.col(key).cast("string")), F.col(key).cast("string")).otherwise(F.concat(F.lit("\0"), F.xxhash64(*others).cast("string")))
+
+
 def first_wins(df: DataFrame, key: str, pos: str, blank: bool = False) -> DataFrame:
     """The first row of each key; rows without a key are dropped unless ``blank``."""
     return _winner(df if blank else df.where(present(F.col(key))), key, pos, F.min_by)
@@ -58,10 +64,16 @@ def accepted_first(df: DataFrame, passes: Column, key: str, pos: str, existing:
     return kept if existing is None else unseen(kept, existing, key)
 
 
+def _looked_up(left: DataFrame, right: DataFrame, key: str, pos: str, columns: list[str]) -> DataFrame:
+    """Left rows with ``_found`` and ``_r_`` columns of the last right row of their key. An empty key is one like others."""
+    index = last_wins(right, key, pos).select(F.col(key).cast("string").alias("_rk"), F.lit(True).alias("_found"), *[F.col(c).alias(f"_r_{c}") for c in columns])
+    own = F.when(F.col(key).cast("string") == "", F.lit("")).otherwise(_spread(left, key))
+    return left.withColumn("_lk", own).join(index, F.col("_lk") == index["_rk"], "left").drop("_lk", "_rk")
+
+
 def lookup(left: DataFrame, right: DataFrame, key: str, pos: str, columns: list[str], override: bool = False) -> DataFrame:
     """Left rows with ``columns`` of the last right row of their key; override: right values count even where they are null."""
-    index = last_wins(right, key, pos).select(F.col(key).alias("_rk"), F.lit(True).alias("_found"), *[F.col(c).alias(f"_r_{c}") for c in columns])
-    joined = left.join(index, left[key] == index["_rk"], "left")
+    joined = _looked_up(left, right, key, pos, columns)
     found = F.coalesce("_found", F.lit(False))
     merged = [F.when(found, F.col(f"_r_{c}")).otherwise(F.col(c) if c in left.columns else F.lit(None)).alias(c) if override or c not in left.columns else F.col(c) for c in columns]
     return joined.select(*[left[c] for c in left.columns if c not in columns], *merged)
@@ -74,11 +86,11 @@ def missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def checked_lookup(left: DataFrame, right: DataFrame, key: str, pos: str, columns: list[str]) -> DataFrame:
-    """An inner lookup that raises if a left row has no match."""
-    lost = missing(left, right, key).select(key).limit(5).collect()
-    if lost:
-        raise IntegrityError(f"rows without a match, such as {[r[0] for r in lost]}")
-    return lookup(left, right, key, pos, columns)
+    """A lookup, in one join, that raises when a left row without a match is read."""
+    joined = _looked_up(left, right, key, pos, columns)
+    failed = F.raise_error(F.concat(F.lit("IntegrityError: a row without a match, "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    joined = joined.where(F.when(F.col("_found"), F.lit(True)).otherwise(failed.cast("boolean")))
+    return joined.select(*[left[c] for c in left.columns if c not in columns], *[F.col(f"_r_{c}").alias(c) for c in columns])
 
 
 def merge_maps(*maps: Column) -> Column:
@@ -100,7 +112,8 @@ def filter_reasons(df: DataFrame, url: str, pos: str, success: Column, indexed:
     df = df.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()})
     passes = F.col("_ok") & present(F.col(url)) & ~F.col("_old") & F.col("_in") & F.col("_en") & F.col("_broad") & F.col("_strict")
     first = df.where(passes).groupBy(F.col(url).alias("_u")).agg(F.min(pos).alias("_first"))
-    df = df.join(first, df[url] == first["_u"], "left")
+    df = df.withColumn("_lk", F.when(present(F.col(url)), F.col(url)).otherwise(F.concat(F.lit("\0"), F.col(pos).cast("string"))))
+    df = df.join(first, df["_lk"] == first["_u"], "left").drop("_lk")
     reason = (
         F.when(~F.col("_ok"), "not_success")
         .when(~present(F.col(url)), "missing_url")
@@ -139,3 +152,27 @@ def pending(urls: DataFrame, done: DataFrame, key: str, retry_failed: bool = Fal
     if retry_failed:
         done = done.where(F.coalesce("success", F.lit(False)))
     return unseen(urls, done, key)
+
+
+def store_record(stories: DataFrame, collected_at: str) -> DataFrame:
+    """A feed's stories (domain, publish_date, title, url, summary) as records of the store, with all of their columns."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    none = F.lit(None).cast("string")
+    return stories.select(
+        sha256_id(F.col("url")).alias("id"),
+        none.alias("indexed_date"),
+        F.lit("en").alias("language"),
+        text("domain").alias("media_name"),
+        text("domain").alias("media_url"),
+        "publish_date",
+        text("title").alias("title"),
+        text("url").alias("url"),
+        text("summary").alias("description"),
+        F.lit("rss").alias("collected_with"),
+        F.lit(collected_at).alias("collected_at"),
+        text("url").alias("final_url"),
+        F.lit(None).cast("int").alias("http_status"),
+        F.lit(True).alias("success"),
+        none.alias("error"),
+        none.alias("scraped_at"),
+    )

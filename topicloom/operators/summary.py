@@ -55,6 +55,16 @@ def most_frequent(df: DataFrame, key: Column, name: str, top: int | None = None,
     return (ordered.limit(top) if top else ordered).drop("_first")
 
 
+def top_and_more(df: DataFrame, key: Column, name: str, top: int) -> DataFrame:
+    """(name, n, rank from 1) of the most frequent keys, and a last row ``+k more`` with the count of the k others, if there are any."""
+    counts = df.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias("n"))
+    head = counts.orderBy(F.desc("n"), name).limit(top)
+    head = head.select(name, "n", F.row_number().over(Window.orderBy(F.desc("n"), name)).alias("rank"))  # top rows at most
+    whole = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("all")).join(head.agg(F.sum("n").alias("shown")))
+    rest = whole.where(F.col("k") > top).select(F.format_string("+%d more", F.col("k") - top).alias(name), (F.col("all") - F.col("shown")).alias("n"), F.lit(top + 1).alias("rank"))
+    return head.unionByName(rest)
+
+
 def day_order(day: Column) -> Column:
     """Order of days with 'unknown' first."""
     return F.when(day == "unknown", F.lit("0000-00-00")).otherwise(day)

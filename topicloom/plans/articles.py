@@ -15,6 +15,19 @@ TOPICS = {
 }
 
 
+def topic(name: str, topics: dict = TOPICS) -> dict:
+    """A topic's settings with its name; ValueError names those there are."""
+    if name not in topics:
+        raise ValueError(f"Unknown topic '{name}'. Available: {', '.join(sorted(topics))}")
+    return topics[name] | {"name": name}
+
+
+def active(wanted: list[str] | None, known: dict) -> tuple[dict, list[str]]:
+    """The settings that are wanted, in their order (all if none are named), and the wanted names that are unknown."""
+    names = list(known) if not wanted else wanted
+    return {n: known[n] for n in names if n in known}, [n for n in names if n not in known]
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,14 +46,14 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clean(found: DataFrame, topic: str) -> DataFrame:
+def clean(found: DataFrame, name: str) -> DataFrame:
     """A topic's clean articles: English, broad match, description cut, strict match, first accepted of each URL."""
-    t = TOPICS[topic]
+    t = TOPICS[name]
     broad = T.broad_match(t["broad"], t["exclude"], F.col("title"), F.col("description"))
     english = F.lower(F.coalesce("language", F.lit(""))) == "en"
     kept = found.where(english & broad).withColumn("description", T.truncate_words(F.col("description")))
     kept = kept.where(T.strict_match(t["strict"], F.col("title"), F.col("description")))
-    return rows.first_wins(kept, "url", "pos").withColumn("my_topic", F.lit(topic))
+    return rows.first_wins(kept, "url", "pos").withColumn("my_topic", F.lit(name))
 
 
 def ranked(kept: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import dates as D
@@ -10,7 +10,7 @@ from topicloom.functions import text as T
 from topicloom.functions import udf
 from topicloom.operators import coverage, rows, summary
 from topicloom.plans.articles import TOPICS, articles, clean, ranked, read
-from topicloom.sources import jsonl
+from topicloom.sources import jsonl, sinks
 
 LONG = "long"
 THIN = "NOT (event_type = 'click' AND day(ts) IN (3, 4, 17)) AND NOT day(ts) = 20"
@@ -63,9 +63,10 @@ def dedupe_first_wins(spark, sf_dir):
 
 
 def dedupe_after_filter(spark, sf_dir):
-    found = articles(spark, sf_dir).select("pos", "url")
-    existing = found.where("pos % 10 = 3").select("url")
-    return rows.accepted_first(found, F.col("pos") % 3 == 1, "url", "pos", existing)
+    """English articles not by an outlet that is published already."""
+    found = articles(spark, sf_dir).select("pos", "url", "language", "media_url")
+    existing = found.where("media_url = 'src0'").select("url")
+    return rows.accepted_first(found, F.col("language") == "en", "url", "pos", existing).select("pos", "url")
 
 
 def distinct_urls(spark, sf_dir):
@@ -75,7 +76,7 @@ def distinct_urls(spark, sf_dir):
 def lookup_last_wins(spark, sf_dir):
     """Articles with the day of the last listing of their URL."""
     found = articles(spark, sf_dir)
-    listing = found.where("pos % 4 <> 0").select("pos", "url", F.col("publish_date").alias("listed"), F.col("pos").alias("listing"))
+    listing = found.where("language <> 'fr'").select("pos", "url", F.col("publish_date").alias("listed"), F.col("pos").alias("listing"))
     return rows.lookup(found.select("pos", "url"), listing, "url", "pos", ["listed", "listing"])
 
 
@@ -230,7 +231,9 @@ def page_title(spark, sf_dir):
 
 
 def strip_html(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", T.strip_html(F.col("html")).alias("body"))
+    """Pages with entities of each kind put in: named, in decimal and in hexadecimal digits, escaped twice."""
+    more = F.lit("<p>Caf&eacute; &#8217;&mdash; it&#x27;s &amp;lt; &nbsp;&frac12;</p>")
+    return read(spark, sf_dir, "pages").select("page_id", T.strip_html(F.concat("html", more)).alias("body"))
 
 
 def _versions(spark, sf_dir):
@@ -261,18 +264,21 @@ def query_hash(spark, sf_dir):
 
 
 def recency_cutoff(spark, sf_dir):
-    """Feed dates in two forms, one of them unreadable for some rows, against a fixed cutoff."""
+    """Feed dates in many forms, some of them unreadable, against a fixed cutoff."""
     mail = F.concat(F.lit("Mon, "), F.date_format("ts", "dd MMM yyyy HH:mm:ss"), F.lit(" -0500"))
-    plain = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    date = F.when(F.col("event_id") % 3 == 0, mail).when(F.col("event_id") % 3 == 1, plain).otherwise("yesterday")
+    small = F.concat(F.lit("tue, "), F.lower(F.date_format("ts", "d MMM yyyy H:m:s")), F.lit(" gmt"))
+    iso = F.concat(F.date_format("ts", "yyyy-M-d"), F.lit("T"), F.date_format("ts", "HH:mm:ss"), F.lit("+05:30"))
+    kind = F.col("event_id") % 6
+    date = F.when(kind == 0, mail).when(kind == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(kind == 2, "yesterday").when(kind == 3, small).when(kind == 4, iso).otherwise(F.date_format("ts", "yyyy-M-d"))
     found = read(spark, sf_dir, "events").select("event_id", date.alias("date"))
     kept = found.where(D.recent(F.col("date"), F.lit("2024-01-20 00:00:00").cast("timestamp")))
     return kept.select("event_id", D.wall_date(F.col("date")).alias("publish_date"))
 
 
 def recovery_merge(spark, sf_dir):
-    found = articles(spark, sf_dir).select("pos", "url")
-    return rows.recover(found.where("pos % 3 = 0"), found.where("pos % 2 = 0"), "url", "pos")
+    """A store of English articles, recovered from all of them."""
+    found = articles(spark, sf_dir)
+    return rows.recover(found.where("language = 'en'").select("pos", "url"), found.select("pos", "url"), "url", "pos")
 
 
 def outlet_attribution(spark, sf_dir):
@@ -282,13 +288,13 @@ def outlet_attribution(spark, sf_dir):
 
 def raw_records(spark, sf_dir):
     """Feed stories as store records."""
-    found = articles(spark, sf_dir)
-    return found.select(T.sha256_id(F.col("url")).alias("id"), F.lit("en").alias("language"), F.col("media_url").alias("media_name"), "media_url", "publish_date", "title", "url", "description", F.lit("rss").alias("collected_with"), F.col("url").alias("final_url"), F.lit(True).alias("success"))
+    found = articles(spark, sf_dir).select(F.col("media_url").alias("domain"), "publish_date", "title", "url", F.col("description").alias("summary"))
+    return rows.store_record(found, "2024-02-01T00:00:00+00:00")
 
 
 def pending_urls(spark, sf_dir):
     found = articles(spark, sf_dir).select("pos", "url")
-    return rows.pending(found, found.where("pos % 5 = 1"), "url")
+    return rows.pending(found, articles(spark, sf_dir).where("language = 'de'"), "url")
 
 
 def conversation_roles(spark, sf_dir):
@@ -330,6 +336,187 @@ def html_meta(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", udf.html_metadata(F.col("html")).alias("m")).select("page_id", "m.title", "m.description")
 
 
+def _lines(spark, sf_dir):
+    """events as lines of a file: their properties, some of them cut, headers, lists, numbers or blank."""
+    line = F.when(F.col("event_id") % 10 == 0, F.lit('{"k":')).when(F.col("event_id") % 10 == 1, F.lit('{"_manifest": true, "k": 5}')).when(F.col("event_id") % 10 == 2, F.lit("[1]")).when(F.col("event_id") % 10 == 3, F.lit("  ")).when(F.col("event_id") % 10 == 4, F.lit('{"_meta": false, "k": 7}'))
+    lines = read(spark, sf_dir, "events").select(F.col("event_id").alias("pos"), line.otherwise(F.col("props")).alias("line"))
+    return lines.where(F.trim("line") != "")
+
+
+def jsonl_modes(spark, sf_dir):
+    """Bad lines and values that aren't objects are kept apart; headers are skipped."""
+    return jsonl.parse(_lines(spark, sf_dir), "k int", on_bad="keep", non_dict="keep").select("pos", F.col("k").cast(LONG).alias("k"), F.col("_corrupt").alias("corrupt"), F.col("_value").alias("value"))
+
+
+def jsonl_dropped(spark, sf_dir):
+    """The same lines by the reader that swallows errors and knows one header only."""
+    return jsonl.parse(_lines(spark, sf_dir), "k int", flags=("_meta",)).select("pos", F.col("k").cast(LONG).alias("k"))
+
+
+def jsonl_bad_lines(spark, sf_dir):
+    return jsonl.bad_lines(_lines(spark, sf_dir)).select("pos", "number", "line")
+
+
+def jsonl_files(spark, sf_dir):
+    """Articles through a store: written, appended to, and read again by the reader that fails on bad lines."""
+    found, path = articles(spark, sf_dir).select("pos", "url", "title"), sinks.scratch(spark, "store")
+    sinks.write_jsonl(found.where("pos % 2 = 0"), path, {"_meta": True, "topic": "a"})
+    sinks.write_jsonl(found.where("pos % 2 = 1"), path, mode="append")
+    return jsonl.read_large(spark, path, "pos long, url string, title string", fail=True)
+
+
+def jsonl_ordered(spark, sf_dir):
+    """Articles in the order of publication, written, and numbered by the order of the files' lines."""
+    found, path = articles(spark, sf_dir), sinks.scratch(spark, "ordered")
+    sinks.write_ordered(found.select("url", "publish_date"), path, summary.publication_order(F.col("publish_date"), F.col("url")))
+    files = jsonl.read(spark, path, "url string, publish_date string")
+    before = files.select("url", "publish_date", F.struct("path", "pos").alias("at"))
+    return before.groupBy("publish_date").agg(F.count(F.lit(1)).alias("n"), F.min_by("url", "at").alias("first_url"), F.max_by("url", "at").alias("last_url"))
+
+
+def jsonl_split(spark, sf_dir):
+    """Texts as files: lines by line feeds, blank ones skipped."""
+    texts = read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    return jsonl.split_lines(texts).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("pos").cast(LONG).alias("first_pos"), F.max("pos").cast(LONG).alias("last_pos"))
+
+
+def header_line(spark, sf_dir):
+    """The header of a file whose first line is one."""
+    lines = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("pos"), F.concat(F.lit('{"_manifest": true, "topic": "'), "n_name", F.lit('"}')).alias("line"))
+    return jsonl.first_header(lines, "topic string")
+
+
+def story_document(spark, sf_dir):
+    """nation as one document of stories."""
+    document = read(spark, sf_dir, "nation").agg(F.to_json(F.struct(F.sort_array(F.collect_list(F.struct(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")))).alias("stories"))).alias("value"))
+    return jsonl.stories(document, "k long, name string").select(F.col("pos").cast(LONG).alias("pos"), "k", "name")
+
+
+def input_urls(spark, sf_dir):
+    """Inputs of each accepted shape, one for each page."""
+    pages = read(spark, sf_dir, "pages")
+    link = F.concat(F.lit('"'), F.replace("url", F.lit('"'), F.lit("")), F.lit('"'))
+    shape = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('{"urls": ['), link, F.lit("]}"))).when(F.col("page_id") % 3 == 1, F.concat(F.lit("["), link, F.lit("]"))).otherwise(F.concat(F.lit('{"url": "", "link": '), link, F.lit("}")))
+    return jsonl.normalised_urls(pages.select(shape.alias("value"))).select("url")
+
+
+def listed_ids(spark, sf_dir):
+    """Distinct ids in a column of lines, blank and missing ones left out."""
+    line = F.to_json(F.struct(F.when(F.col("user_id") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("id")))
+    return jsonl.keys_of(read(spark, sf_dir, "events").select(line.alias("line")), "id")
+
+
+def merged_header(spark, sf_dir):
+    """The text of a store after its header has been replaced, line by line."""
+    text = sinks.with_header('{"_manifest": true, "old": 1}\n{"k": 1}\n', {"topic": "a"})
+    lines = spark.createDataFrame([(text,)], "value string")
+    return jsonl.split_lines(lines).select(F.col("pos").cast(LONG).alias("pos"), "line")
+
+
+def date_labels(spark, sf_dir):
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'.5+00:00'")
+    start = D.window_start(F.lit("2024-01-10").cast("date"), F.to_date("ts"), 7)
+    return read(spark, sf_dir, "events").select("event_id", D.utc_label(F.col("ts")).alias("utc"), D.stamp_label(stamp).alias("stamp"), F.date_format(start, "yyyy-MM-dd").alias("window_start"))
+
+
+def frequent_first_seen(spark, sf_dir):
+    """Counts, ties by first position."""
+    return summary.most_frequent(read(spark, sf_dir, "events"), F.col("user_id") % 100, "bucket", 30, pos="event_id")
+
+
+def outlets_and_more(spark, sf_dir):
+    return summary.top_and_more(read(spark, sf_dir, "events"), F.concat(F.lit("u"), F.col("user_id").cast("string")), "outlet", 10)
+
+
+def day_ranks(spark, sf_dir):
+    """Days with 'unknown' first, by their place in the order; and the newest first."""
+    days = read(spark, sf_dir, "events").select(F.when(F.col("user_id") % 19 == 0, "unknown").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("day")).distinct()
+    order = Window.orderBy(summary.day_order(F.col("day")))  # a row for each day
+    return days.select("day", F.row_number().over(order).cast(LONG).alias("place"), F.row_number().over(Window.orderBy(F.desc("day"))).cast(LONG).alias("newest"))
+
+
+def first_rows(spark, sf_dir):
+    return summary.head(read(spark, sf_dir, "events").select("event_id", "user_id"), "event_id", 25)
+
+
+def latest_snapshot(spark, sf_dir):
+    """The version with the latest date in it, then of most records."""
+    log = coverage.snapshot_counts(_versions(spark, sf_dir), "version", "idx")
+    return coverage.best_snapshot(log.withColumn("latest", F.col("version")), "version", "idx", "latest").select("version")
+
+
+def third_revision(spark, sf_dir):
+    log = coverage.snapshot_counts(_versions(spark, sf_dir), "version", "idx")
+    return coverage.nth_revision(log, "idx", 2).select("version", "n")
+
+
+def checked_positions(spark, sf_dir):
+    """Revisions to look at, of histories of each length up to 30."""
+    return spark.createDataFrame([(n, p) for n in range(31) for p in summary.positions_to_check(n)], "n long, position long")
+
+
+def revision_range(spark, sf_dir):
+    log = read(spark, sf_dir, "events").select("event_id", "ts")
+    return coverage.revisions_between(log, "ts", "2024-01-05", "2024-01-09").select("event_id")
+
+
+def line_changes(spark, sf_dir):
+    """Turns of a conversation as revisions of a file, a word to a line."""
+    turns = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("file"), (-F.col("turn")).cast("int").alias("age"), F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("version"), F.replace(F.coalesce("text", F.lit("")), F.lit(" "), F.lit("\n")).alias("content"))
+    return coverage.line_changes(turns, "age").select("version", "file", "added", "deleted")
+
+
+def file_at_version(spark, sf_dir):
+    """All files of one version of a history, and one of them."""
+    history = read(spark, sf_dir, "conversations").select(F.col("turn").cast("string").alias("version"), F.col("conv_id").cast("string").alias("file"), F.col("text").alias("content"))
+    return coverage.restored(history, "1").select("file", F.length("content").cast(LONG).alias("size"))
+
+
+def manifest_update(spark, sf_dir):
+    """A manifest after two more runs of a topic, the second on the same day."""
+    days = days_of(spark, sf_dir).where("outlet = 'click'").select("day").distinct()
+    first = coverage.update_manifest(spark.createDataFrame([], "topic string"), "a", "2024-01-01", days.where("day(day) < 12"), 40, "2024-01-12T06:00:00+00:00", "automated")
+    second = coverage.update_manifest(first, "a", "2024-01-01", days, 2, "2024-01-12T18:30:00+00:00")
+    run = F.col("daily_runs")["2024-01-12"]
+    return second.select("topic", "record_count", F.col("coverage.end_date").alias("end_day"), F.array_join("dates_collected", ",").alias("days"), F.array_join("gaps", ",").alias("gaps"), run["count"].cast(LONG).alias("runs"), run["first"].alias("first_run"), run["last"].alias("last_run"), run["mode"].alias("mode"))
+
+
+def manifest_empty(spark, sf_dir):
+    none = spark.createDataFrame([], "day date, time string, mode string")
+    found = coverage.manifest("a", "2024-01-01", none, none.select("day"), 0, "2024-01-01T00:00:00+00:00")
+    return found.select("topic", "record_count", F.size("dates_collected").cast(LONG).alias("n_days"), F.col("coverage.start_date").alias("start_day"), F.size("gaps").cast(LONG).alias("n_gaps"))
+
+
+def checkpoint_state(spark, sf_dir):
+    """Pairs marked complete and expected counts, under the query that they were collected for; those of another query are forgotten."""
+    pairs = completed_pairs(spark, sf_dir)
+    empty, query = spark.createDataFrame([], coverage.CHECKPOINT), F.lit("storm AND coast")
+    old = coverage.mark_complete(empty, "a", F.lit("storm"), pairs)
+    state = coverage.mark_complete(old, "a", query, pairs.where("outlet = 'click'"))
+    state = coverage.known_counts(state, "a", query, _expected(spark, sf_dir))
+    return state.select("outlet", "day", "complete", "expected")
+
+
+def pairs_to_count(spark, sf_dir):
+    """Pairs whose expected count isn't cached."""
+    query = F.lit("storm")
+    state = coverage.known_counts(spark.createDataFrame([], coverage.CHECKPOINT), "a", query, _expected(spark, sf_dir))
+    return coverage.to_count(state, "a", query, read(spark, sf_dir, "events").select(F.col("event_type").alias("outlet"), F.to_date("ts").alias("day")).distinct())
+
+
+def enriched(spark, sf_dir):
+    """Records with scraped fields over their own; one without a URL is a failure."""
+    found = articles(spark, sf_dir).select("pos", F.when(F.col("pos") % 13 != 0, F.col("url")).alias("url"), F.lit(True).alias("success"), "title")
+    scraped = articles(spark, sf_dir).where("language = 'en'").select("pos", "url", F.upper("title").alias("title"))
+    return rows.enrich(found, scraped, "url", "pos", ["title"]).select("pos", "url", "success", "title", "error")
+
+
+def outlet_success(spark, sf_dir):
+    """Totals and failures by outlet."""
+    found = labelled(spark, sf_dir)
+    return found.groupBy(F.col("media_url").alias("outlet")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("ok"), F.count_if(~F.coalesce(F.col("quality") == 1, F.lit(False))).alias("failed"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -339,5 +526,8 @@ QUERIES = {
         histogram_rows, outlet_day_counts, coverage_gaps, dates_to_collect, completeness_status, completed_pairs, work_left, manifest_daily_runs, store_header,
         page_domain, page_title, strip_html, snapshot_argmax, data_loss, truncate_words, keyword_counts, query_hash, recency_cutoff, recovery_merge,
         outlet_attribution, raw_records, pending_urls, conversation_roles, top_terms, revision_stats, jsonl_props, rss_items, lang_detect, html_meta,
+        jsonl_modes, jsonl_dropped, jsonl_bad_lines, jsonl_files, jsonl_ordered, jsonl_split, header_line, story_document, input_urls, listed_ids, merged_header,
+        date_labels, frequent_first_seen, outlets_and_more, day_ranks, first_rows, latest_snapshot, third_revision, checked_positions, revision_range,
+        line_changes, file_at_version, manifest_update, manifest_empty, checkpoint_state, pairs_to_count, enriched, outlet_success,
     )
 }

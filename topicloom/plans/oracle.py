@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from topicloom.functions.text import ENTITIES, SPACE
 from topicloom.plans.articles import TOPICS
 
+#: What counts as white space, for RE2: the Unicode spaces, line ends and the four separators of ASCII.
+SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The entities that the pages of the registered queries have.
+DECODED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&nbsp;": " ", "&eacute;": "é", "&mdash;": "—", "&#8217;": "’", "&frac12;": "½", "&middot;": "·", "&copy;": "©", "&amp;": "&"}
+
 ARTICLES = """articles AS (SELECT doc_id AS pos, 'https://www.' || source || '.example/' || md5(text) AS url,
   CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, 1, instr(text, chr(10)) - 1) ELSE text END AS title,
   CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END AS description,
@@ -45,11 +49,14 @@ def trim(text: str) -> str:
 
 
 def decoded(text: str) -> str:
-    for entity, char in ENTITIES:
+    for entity, char in DECODED.items():
         text = f"replace({text}, '{entity.replace(chr(39), chr(39) * 2)}', '{char.replace(chr(39), chr(39) * 2)}')"
     return text
 
 
+LINES = """lines AS (SELECT event_id AS pos, event_id % 10 AS kind, CASE event_id % 10 WHEN 0 THEN '{"k":' WHEN 1 THEN '{"_manifest": true, "k": 5}' WHEN 2 THEN '[1]' WHEN 4 THEN '{"_meta": false, "k": 7}' ELSE props END AS line
+  FROM events WHERE event_id % 10 <> 3)"""
+MARKED_UP = "regexp_replace(html || '<p>Caf&eacute; &#8217;&mdash; it&#x27;s &amp;lt; &nbsp;&frac12;</p>', '<[^>]+>', ' ', 'g')"
 BOTH = "lower(title || ' ' || description)"
 A, B = TOPICS["a"], TOPICS["b"]
 INVERTED = "translate({}, '0123456789', '9876543210')"
@@ -83,9 +90,9 @@ ORACLES = {
     "strict_title_only": f"WITH {ARTICLES} SELECT pos, url FROM articles WHERE {any_of(A['strict'], 'lower(title)')}",
     "strict_documented": f"WITH {ARTICLES} SELECT pos, url FROM articles WHERE {strict(A['strict'])}",
     "dedupe_first_wins": f"WITH {ARTICLES} SELECT min(pos) AS pos, url FROM articles GROUP BY url",
-    "dedupe_after_filter": f"WITH {ARTICLES} SELECT min(pos) AS pos, url FROM articles WHERE pos % 3 = 1 AND url NOT IN (SELECT url FROM articles WHERE pos % 10 = 3) GROUP BY url",
+    "dedupe_after_filter": f"WITH {ARTICLES} SELECT min(pos) AS pos, url FROM articles WHERE language = 'en' AND url NOT IN (SELECT url FROM articles WHERE media_url = 'src0') GROUP BY url",
     "distinct_urls": f"WITH {ARTICLES} SELECT url, min(pos) AS first_pos FROM articles GROUP BY url",
-    "lookup_last_wins": f"WITH {ARTICLES}, listing AS (SELECT url, max(pos) AS listing, arg_max(publish_date, pos) AS listed FROM articles WHERE pos % 4 <> 0 GROUP BY url) SELECT pos, url, listed, listing FROM articles LEFT JOIN listing USING (url)",
+    "lookup_last_wins": f"WITH {ARTICLES}, listing AS (SELECT url, max(pos) AS listing, arg_max(publish_date, pos) AS listed FROM articles WHERE language <> 'fr' GROUP BY url) SELECT pos, url, listed, listing FROM articles LEFT JOIN listing USING (url)",
     "integrity_missing": f"WITH {ARTICLES} SELECT pos, url FROM articles WHERE pos NOT IN (SELECT doc_id FROM labels)",
     "anti_new_records": f"WITH {ARTICLES} SELECT pos, url, title FROM articles a WHERE pos % 2 = 0 OR (pos % 2 = 1 AND NOT EXISTS (SELECT 1 FROM articles b WHERE b.pos % 2 = 0 AND b.url = a.url))",
     "merge_override": f"WITH {ARTICLES} SELECT pos, media_url, CASE WHEN l.doc_id IS NULL THEN language WHEN quality = 1 THEN 'good' END AS quality_text FROM articles LEFT JOIN labels l ON l.doc_id = pos",
@@ -117,7 +124,7 @@ UNION ALL SELECT NULL, sum(downloaded)::BIGINT, sum(available)::BIGINT, 'total'
     "store_header": f"WITH {ARTICLES} SELECT 'a' AS topic, count(*) AS record_count, string_agg(DISTINCT publish_date, ',' ORDER BY publish_date) AS dates_collected, min(publish_date) AS start_day, max(publish_date) AS end_day FROM articles",
     "page_domain": "SELECT page_id, coalesce(nullif(replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), 'www.', ''), ''), 'unknown') AS domain FROM pages",
     "page_title": f"SELECT page_id, {trim(chr(39).join(['regexp_extract(html, ', '<title>([^<]*)</title>', ', 1)']))} AS title FROM pages",
-    "strip_html": f"""SELECT page_id, {trim(f"regexp_replace({decoded(chr(39).join(['regexp_replace(html, ', '<[^>]+>', ', ', ' ', ', ', 'g', ')']))}, '{SPACE}+', ' ', 'g')")} AS body FROM pages""",
+    "strip_html": f"""SELECT page_id, {trim(f"regexp_replace({decoded(MARKED_UP)}, '{SPACE}+', ' ', 'g')")} AS body FROM pages""",
     "snapshot_argmax": f"WITH {VERSIONS} SELECT version, n FROM versions ORDER BY n DESC, idx LIMIT 1",
     "data_loss": f"WITH {VERSIONS}, c AS (SELECT arg_min(n, idx) AS current, max(n) AS largest FROM versions) SELECT current, largest, largest > 2 * current AS lost, (SELECT min(idx) FROM versions WHERE n > 1.5 * current) AS first_larger FROM c",
     "truncate_words": f"WITH {ARTICLES} SELECT pos, {short('description')} AS short, len({words('description')}) AS n_words FROM articles",
@@ -125,13 +132,56 @@ UNION ALL SELECT NULL, sum(downloaded)::BIGINT, sum(available)::BIGINT, 'total'
     "query_hash": f"""WITH {ARTICLES}, named AS (SELECT *, replace(replace(replace(replace(replace(url, 'www.', ''), '.com', ''), '.org', ''), '.co.uk', ''), '.net', '') AS name_ FROM articles)
 SELECT pos, substr(md5(title), 1, 12) AS query, sha256(url) AS id, CASE WHEN length(title) > 100 THEN substr(title, 1, 100) || '...' ELSE title END AS preview,
 CASE WHEN length(name_) > 25 THEN substr(name_, 1, 22) || '...' ELSE name_ END AS name FROM named""",
-    "recency_cutoff": "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN strftime(ts, '%Y-%m-%d') END AS publish_date FROM events WHERE event_id % 3 = 2 OR date_trunc('second', ts) + (CASE WHEN event_id % 3 = 0 THEN 5 ELSE 0 END) * INTERVAL 1 HOUR >= TIMESTAMP '2024-01-20 00:00:00'",
-    "recovery_merge": f"WITH {ARTICLES}, both_ AS (SELECT pos, url, 0 AS src FROM articles WHERE pos % 3 = 0 UNION ALL SELECT pos, url, 1 FROM articles WHERE pos % 2 = 0) SELECT pos, url, src FROM both_ QUALIFY row_number() OVER (PARTITION BY url ORDER BY src, pos) = 1",
+    "recency_cutoff": """SELECT event_id, CASE WHEN event_id % 6 <> 2 THEN strftime(ts, '%Y-%m-%d') END AS publish_date FROM events WHERE event_id % 6 = 2 OR
+  CASE WHEN event_id % 6 = 5 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END + (CASE event_id % 6 WHEN 0 THEN 300 WHEN 4 THEN -330 ELSE 0 END) * INTERVAL 1 MINUTE >= TIMESTAMP '2024-01-20 00:00:00'""",
+    "recovery_merge": f"WITH {ARTICLES}, both_ AS (SELECT pos, url, 0 AS src FROM articles WHERE language = 'en' UNION ALL SELECT pos, url, 1 FROM articles) SELECT pos, url, src FROM both_ QUALIFY row_number() OVER (PARTITION BY url ORDER BY src, pos) = 1",
     "outlet_attribution": f"WITH {ARTICLES} SELECT pos, CASE WHEN contains(media_url, 'src1') THEN 'src1' WHEN contains(media_url, 'src15') THEN 'src15' WHEN contains(media_url, '5') THEN '5' END AS outlet FROM articles",
-    "raw_records": f"WITH {ARTICLES} SELECT sha256(url) AS id, 'en' AS language, media_url AS media_name, media_url, publish_date, title, url, description, 'rss' AS collected_with, url AS final_url, true AS success FROM articles",
-    "pending_urls": f"WITH {ARTICLES} SELECT pos, url FROM articles WHERE url NOT IN (SELECT url FROM articles WHERE pos % 5 = 1)",
+    "raw_records": f"""WITH {ARTICLES} SELECT sha256(url) AS id, NULL::VARCHAR AS indexed_date, 'en' AS language, media_url AS media_name, media_url, publish_date, title, url, description, 'rss' AS collected_with,
+  '2024-02-01T00:00:00+00:00' AS collected_at, url AS final_url, NULL::INTEGER AS http_status, true AS success, NULL::VARCHAR AS error, NULL::VARCHAR AS scraped_at FROM articles""",
+    "pending_urls": f"WITH {ARTICLES} SELECT pos, url FROM articles WHERE url NOT IN (SELECT url FROM articles WHERE language = 'de')",
     "conversation_roles": f"SELECT role, count(*) AS n, sum(len({words('text')}))::BIGINT AS n_words, count(*) FILTER (turn = 0) AS n_first FROM conversations GROUP BY role",
     "revision_stats": "SELECT doc_id::VARCHAR AS version, 'clean.jsonl' AS file, length(text) - length(replace(text, chr(10), '')) AS lines, octet_length(encode(text)) AS bytes FROM documents",
     "jsonl_props": "SELECT event_id AS pos, (props->>'k')::BIGINT AS k FROM events",
     "rss_items": f"SELECT page_id AS source, i AS pos, 'Story ' || (i + 1) AS title, url || '#' || (i + 1) AS url, '2024-01-02' AS publish_date, 'Text' AS summary FROM pages, unnest(range(CASE WHEN page_id % 2 = 0 THEN 2 ELSE 1 END)) AS u(i)",
+    "jsonl_modes": f"""WITH {LINES} SELECT pos, CASE WHEN kind = 4 THEN 7 WHEN kind > 4 THEN (line->>'k')::BIGINT END AS k, CASE WHEN kind = 0 THEN line END AS corrupt, CASE WHEN kind = 2 THEN line END AS value
+  FROM lines WHERE kind <> 1""",
+    "jsonl_dropped": f"WITH {LINES} SELECT pos, CASE kind WHEN 1 THEN 5 WHEN 4 THEN 7 ELSE (line->>'k')::BIGINT END AS k FROM lines WHERE kind NOT IN (0, 2)",
+    "jsonl_bad_lines": f"WITH {LINES} SELECT pos, pos + 1 AS number, line FROM lines WHERE kind = 0",
+    "jsonl_files": f"WITH {ARTICLES} SELECT pos, url, title FROM articles",
+    "jsonl_ordered": f"WITH {ARTICLES} SELECT publish_date, count(*) AS n, arg_min(url, md5(url)) AS first_url, arg_max(url, md5(url)) AS last_url FROM articles GROUP BY publish_date",
+    "jsonl_split": """WITH l AS (SELECT doc_id, i - 1 AS pos, string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10))[i] AS line FROM documents, unnest(range(1, length(text) - length(replace(text, chr(10), '')) + 2)) AS u(i))
+SELECT doc_id, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos FROM l WHERE trim(line) <> '' GROUP BY doc_id""",
+    "header_line": "SELECT n_name AS topic FROM nation WHERE n_nationkey = 0",
+    "story_document": "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS pos, n_nationkey::BIGINT AS k, n_name AS name FROM nation",
+    "input_urls": "SELECT replace(url, '\"', '') AS url FROM pages",
+    "listed_ids": "SELECT DISTINCT 'u' || user_id AS id FROM events WHERE user_id % 7 <> 0",
+    "merged_header": """SELECT * FROM (VALUES (0::BIGINT, '{"_manifest": true, "topic": "a"}'), (1, '{"k": 1}')) AS v(pos, line)""",
+    "date_labels": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M UTC') AS utc, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp, strftime(greatest(DATE '2024-01-10', ts::DATE - 6), '%Y-%m-%d') AS window_start FROM events",
+    "frequent_first_seen": "SELECT bucket, n FROM (SELECT user_id % 100 AS bucket, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1 ORDER BY n DESC, first LIMIT 30)",
+    "outlets_and_more": """WITH c AS (SELECT 'u' || user_id AS outlet, count(*) AS n FROM events GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, outlet)::INTEGER AS rank FROM c)
+SELECT outlet, n, rank FROM r WHERE rank <= 10 UNION ALL SELECT '+' || (count(*)) || ' more', sum(n)::BIGINT, 11 FROM r WHERE rank > 10 HAVING count(*) > 0""",
+    "day_ranks": """WITH d AS (SELECT DISTINCT CASE WHEN user_id % 19 = 0 THEN 'unknown' ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events)
+SELECT day, row_number() OVER (ORDER BY day <> 'unknown', day) AS place, row_number() OVER (ORDER BY day DESC) AS newest FROM d""",
+    "first_rows": "SELECT event_id, user_id FROM events ORDER BY event_id LIMIT 25",
+    "latest_snapshot": f"WITH {VERSIONS} SELECT version FROM versions ORDER BY version DESC, idx LIMIT 1",
+    "third_revision": f"WITH {VERSIONS} SELECT version, n FROM versions ORDER BY idx LIMIT 1 OFFSET 2",
+    "checked_positions": """SELECT n, p AS position FROM range(31) AS t(n), range(30) AS u(p)
+WHERE p < n AND (n <= 5 OR p IN (0, n - 1) OR (n <= 10 AND p = 5) OR (n > 10 AND p IN (10, n // 2)))""",
+    "revision_range": "SELECT event_id FROM events WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-10'",
+    "line_changes": """WITH l AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(string_split(replace(coalesce(text, ''), chr(10), ' '), ' ')) AS w FROM conversations) GROUP BY ALL),
+pairs AS (SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn + 1) AS turn, coalesce(a.n, 0) - coalesce(b.n, 0) AS more FROM l a FULL JOIN l b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1 AND a.w = b.w)
+SELECT conv_id || '/' || turn AS version, conv_id::VARCHAR AS file, sum(greatest(more, 0))::BIGINT AS added, sum(greatest(-more, 0))::BIGINT AS deleted FROM pairs JOIN (SELECT DISTINCT conv_id, turn FROM conversations) USING (conv_id, turn) GROUP BY conv_id, turn""",
+    "file_at_version": "SELECT conv_id::VARCHAR AS file, length(text) AS size FROM conversations WHERE turn = 1",
+    "manifest_update": f"""WITH {DAYS}, d AS (SELECT DISTINCT day FROM days WHERE outlet = 'click'), ends AS (SELECT max(day) AS b FROM d)
+SELECT 'a' AS topic, 42::BIGINT AS record_count, (SELECT strftime(b, '%Y-%m-%d') FROM ends) AS end_day, (SELECT string_agg(strftime(day, '%Y-%m-%d'), ',' ORDER BY day) FROM d) AS days,
+  (SELECT coalesce(string_agg(strftime(g, '%Y-%m-%d'), ',' ORDER BY g), '') FROM ends, unnest(generate_series(DATE '2024-01-01', b, INTERVAL 1 DAY)) AS s(g) WHERE g::DATE NOT IN (SELECT day FROM d)) AS gaps,
+  2::BIGINT AS runs, '06:00:00Z' AS first_run, '18:30:00Z' AS last_run, 'automated' AS mode""",
+    "manifest_empty": "SELECT 'a' AS topic, 0::INTEGER AS record_count, 0::BIGINT AS n_days, '2024-01-01' AS start_day, 0::BIGINT AS n_gaps",
+    "checkpoint_state": f"""WITH {EXPECTED}, done AS (SELECT outlet, strftime(day, '%Y-%m-%d') AS day FROM completed WHERE outlet = 'click'), known AS (SELECT outlet, strftime(day, '%Y-%m-%d') AS day, expected FROM expected WHERE expected >= 0)
+SELECT coalesce(d.outlet, k.outlet) AS outlet, coalesce(d.day, k.day) AS day, d.day IS NOT NULL AS complete, expected FROM done d FULL JOIN known k ON d.outlet = k.outlet AND d.day = k.day""",
+    "pairs_to_count": f"WITH {EXPECTED} SELECT DISTINCT event_type AS outlet, strftime(ts, '%Y-%m-%d') AS day FROM events e WHERE NOT EXISTS (SELECT 1 FROM expected x WHERE x.outlet = e.event_type AND x.day = e.ts::DATE AND x.expected >= 0)",
+    "enriched": f"""WITH {ARTICLES}, last AS (SELECT url, arg_max(upper(title), pos) AS title_ FROM articles WHERE language = 'en' GROUP BY url)
+SELECT pos, CASE WHEN pos % 13 <> 0 THEN a.url END AS url, pos % 13 <> 0 AS success, CASE WHEN pos % 13 <> 0 AND last.url IS NOT NULL THEN title_ ELSE title END AS title, CASE WHEN pos % 13 = 0 THEN 'missing url' END AS error FROM articles a LEFT JOIN last ON last.url = a.url""",
+    "outlet_success": f"WITH {LABELLED} SELECT media_url AS outlet, count(*) AS n, count(*) FILTER (coalesce(quality = 1, false)) AS ok, count(*) FILTER (NOT coalesce(quality = 1, false)) AS failed FROM labelled GROUP BY 1",
+    "top_terms": "SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS term FROM benchmark) GROUP BY term ORDER BY n DESC, term LIMIT 25",
 }

@@ -56,6 +56,19 @@ def parse(lines: DataFrame, schema: str, flags: tuple[str, ...] = HEADERS, on_ba
     return rows.select(*others, *extra, F.when(F.col("_kind") == "dict", fields).alias("_r")).select(*others, *[c for c in ("_corrupt", "_value") if (c == "_corrupt" and on_bad == "keep") or (c == "_value" and non_dict == "keep")], "_r.*")
 
 
+def bad_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """(all other columns, ``number`` from 1, the line) of lines that aren't JSON, as warnings name them."""
+    rows = lines.withColumn("number", F.col("pos") + 1)
+    return rows.where(F.try_parse_json(line).isNull())
+
+
+def read_any(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
+    """Rows of a file by its suffix: ``.json`` is one document with stories or a list, all others are JSON lines."""
+    if path.lower().endswith(".json"):
+        return stories(spark.read.text(path, wholetext=True), schema)
+    return read(spark, path, schema, **options)
+
+
 def as_maps(lines: DataFrame, line: str = "line") -> DataFrame:
     """Each object as a map of text, in which present nulls stay apart from missing keys."""
     return lines.withColumn("record", F.from_json(F.col(line), "map<string,string>"))

@@ -47,26 +47,36 @@ class DayOutlet(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, fetch: Callable, pairs: list[tuple[str, str]], count: bool):
-        self.fetch, self.pairs, self.count = fetch, pairs, count
+    def __init__(self, fetch: Callable, pairs: list[tuple[str, str]], count: bool, tries: int, waits: tuple[int, int]):
+        self.fetch, self.pairs, self.count, self.tries, self.waits = fetch, pairs, count, tries, waits
 
     def partitions(self):
         return [DayOutlet(d, o) for d, o in self.pairs]
 
     def read(self, part: DayOutlet) -> Iterator[tuple]:
         if self.count:
-            yield part.day, part.outlet, self.fetch(part.day, part.outlet)
+            try:
+                found = with_retries(lambda: self.fetch(part.day, part.outlet), self.tries, self.waits)
+                yield part.day, part.outlet, counted(found)
+            except Exception:  # an unknown count, which is asked for again another time
+                yield part.day, part.outlet, -1
             return
         names = [f.split()[0] for f in URL_LISTING.split(", ")]
         page = 0
         while page is not None:  # a fetcher gives a page's records and the next page's token
-            records, page = self.fetch(part.day, part.outlet, page)
+            records, page = with_retries(lambda page=page: self.fetch(part.day, part.outlet, page), self.tries, self.waits)
             for r in records:
                 yield tuple(r.get(n) for n in names)
 
 
-def listing_source(name: str, fetch: Callable, pairs: list[tuple[str, str]], count: bool = False) -> type[DataSource]:
-    """A data source with a partition for each (day, outlet) of ``pairs``: listings page by page, or counts (-1: unknown)."""
+def counted(found: dict | int) -> int:
+    """A count as services give it: a number, or an object with ``relevant`` or ``count``."""
+    return int(found.get("relevant") or found.get("count") or 0) if isinstance(found, dict) else int(found)
+
+
+def listing_source(name: str, fetch: Callable, pairs: list[tuple[str, str]], count: bool = False, tries: int = 3, waits: tuple[int, int] = LISTING_WAITS) -> type[DataSource]:
+    """A data source with a partition for each (day, outlet) of ``pairs``: listings page by page, or counts (-1: unknown). A page or
+    count that fails is asked for ``tries`` times in all."""
 
     class Listing(DataSource):
         @classmethod
@@ -77,7 +87,7 @@ def listing_source(name: str, fetch: Callable, pairs: list[tuple[str, str]], cou
             return "day string, outlet string, expected long" if count else URL_LISTING
 
         def reader(self, schema) -> DataSourceReader:
-            return _Reader(fetch, pairs, count)
+            return _Reader(fetch, pairs, count, tries, waits)
 
     return Listing
 
@@ -105,6 +115,17 @@ def scrape(urls: DataFrame, fetch: Callable[[str], tuple[str, str, int]], topic:
     return urls.select("url").mapInPandas(run, SCRAPED_ARTICLE)
 
 
+def whole_content(revisions: DataFrame, fetch: Callable[[str], str]) -> DataFrame:
+    """Revisions whose cut content (``truncated``) is fetched whole from ``raw_url``; other rows, and their columns, stay as they are."""
+
+    @F.pandas_udf("string")
+    def follow(urls: pd.Series) -> pd.Series:
+        return urls.map(lambda u: None if u is None else with_retries(lambda: fetch(u), 3, PAGE_WAITS))
+
+    cut = F.coalesce("truncated", F.lit(False)) & F.col("raw_url").isNotNull()
+    return revisions.withColumn("content", F.coalesce(follow(F.when(cut, F.col("raw_url"))), F.col("content")))
+
+
 def at_version(revisions: DataFrame, version: str, file: str) -> DataFrame:
     """A file's content at a version of a snapshot table."""
     return revisions.where((F.col("version") == version) & (F.col("file") == file))

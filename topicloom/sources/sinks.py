@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share (spark.checkpoint.dir); on one machine without it, a temporary one."""
+    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not place:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir isn't set: executors and driver share no folder")
+        place = tempfile.mkdtemp(prefix="store-")
+    return f"{place.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _write_text(df: DataFrame, text: str, path: str) -> None:
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
