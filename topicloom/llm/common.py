@@ -69,11 +69,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; where that is unset, a temporary one on a single
+    machine, and an error on a cluster."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
-        known = spark.sparkContext.getCheckpointDir()
-        place = known or tempfile.mkdtemp(prefix="corpus-checkpoint-")
+        place = spark.sparkContext.getCheckpointDir()
+    if not place:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir isn't set: executors and driver share no folder")
+        place = tempfile.mkdtemp(prefix="corpus-checkpoint-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(place)
     return place

@@ -7,8 +7,9 @@ bucket, fingerprints lie in lanes of 64 with vertical bit planes; a query's dist
 abandoned once all its counters exceed the radius.
 
 A wide radius would need blocks too short to tell buckets apart. For it, buckets can be bands
-of least shingle hashes instead: texts that share 80 % of their shingles meet in one of them
-with a probability of 99.7 %, and fingerprints are compared there in the same way.
+of three least shingle hashes instead: texts that share 80 % of their shingles meet in one of
+them with a probability of 99.7 %, those that share 10 % with one of 1 %; fingerprints are
+compared there in the same way.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ TILE = 8192
 #: Query-by-lane pairs held at once.
 CHUNK = 1 << 16
 #: Near copies: shingles of five words, 80 % of them shared. Such texts differ in about 10 bits, with a deviation of 3; unrelated ones
-#: in 32, with one of 4. Bands of two least hashes each.
-NEAR_SIZE, NEAR_RADIUS, NEAR_BANDS = 5, 14, 6
+#: in 32, with one of 4. Bands, of so many least hashes each.
+NEAR_SIZE, NEAR_RADIUS, NEAR_BANDS, BAND_ROWS = 5, 14, 8, 3
 
 
 def shingles(words: list[bytes], size: int) -> np.ndarray:
@@ -47,10 +48,13 @@ def shingles(words: list[bytes], size: int) -> np.ndarray:
 
 
 def band_keys(hashes: np.ndarray, bands: int) -> np.ndarray:
-    """Keys of bands of two least hashes, each under a permutation of its own (a product with an odd number)."""
+    """Keys of bands of least hashes, each under a permutation of its own (a product with an odd number)."""
+    keys = np.zeros(bands, np.uint64)
     with np.errstate(over="ignore"):
-        least = [(hashes * (mix64(np.uint64(k + 1)) | np.uint64(1))).min() for k in range(2 * bands)]
-        return np.array([mix64(mix64(a) + b) for a, b in zip(least[::2], least[1::2], strict=True)], np.uint64)
+        for k in range(bands * BAND_ROWS):
+            least = (hashes * (mix64(np.uint64(k + 1)) | np.uint64(1))).min()
+            keys[k // BAND_ROWS] = mix64(keys[k // BAND_ROWS] + least)
+    return keys
 
 
 def fingerprint(hashes: np.ndarray) -> int:
