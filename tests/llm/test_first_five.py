@@ -206,6 +206,23 @@ def test_decontaminate_empty(spark):
     assert len(found) == len(rows()) and not any(r["contaminated"] for r in found)
 
 
+def test_decontaminate_repeated_items(spark):
+    """Thousands of equal items, and items that share a long preamble, are searched for together; longest matches by brute force."""
+    rng = np.random.default_rng(8)
+    word = lambda: f"w{rng.integers(0, 40)}"
+    head = [word() for _ in range(40)]
+    items = [(k, " ".join(head)) for k in range(3000)] + [(4000 + k, " ".join([*head, *[word() for _ in range(30)]])) for k in range(300)]
+    texts = [" ".join([word(), *items[3000 + k][1].split()[: 20 + k % 50], word()]) for k in range(40)] + [" ".join(head * 3)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = decontaminate.judged(decontaminate.matches(docs, spark.createDataFrame(items, "item_id long, text string"))).collect()
+    assert sorted(tuple(r[c] for c in ("_id", *COLUMNS)) for r in found) == sorted(expected_hits([*enumerate(texts)], items))
+    grams = {tuple(w[i:]) for w in {tuple(t.split()) for _, t in items} for i in range(len(w) - 12)}
+    same = lambda a, b: next((n for n in range(min(len(a), len(b))) if a[n] != b[n]), min(len(a), len(b)))
+    for r in found[:12]:
+        w = tuple(texts[r["_id"]].split())
+        assert r["longest"] == max(same(w[i:], g) for i in range(len(w)) for g in grams) and r["longest_item"] is not None
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(-1, 2), min_size=1, max_size=60), st.integers(1, 8))
 def test_suffix_array(flat, depth):

@@ -1,10 +1,11 @@
 """Benchmark decontamination by training suffix arrays.
 
 Each slice of the documents is a shard: its words, numbered by the benchmark's vocabulary,
-are indexed by a suffix array, and every suffix of every benchmark item is binary-searched
-in it. That gives each suffix's longest verbatim match and all places where its window
-starts. A suffix that begins with fewer words of the benchmark's vocabulary than the
-shortest window has can match no window and is left out of the array.
+are indexed by a suffix array, and every suffix of every benchmark item that has a window's
+words is binary-searched in it. That gives all places where its window starts; from there the
+longest verbatim match is found by binary search among the benchmark's suffixes. Parts of a
+shard with fewer words of the benchmark's vocabulary in a row than the shortest window has can
+match no window and are left out of the array.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicloom.llm.blobs import grouped, spread
 from topicloom.llm.common import alnum_words, bounded, slices, texts
 
 WINDOW = 13
@@ -27,59 +29,59 @@ SCHEMA = "_id {id}, _th long, n_words long, hits array<struct<start:long,stop:lo
 
 
 class Queries:
-    """Windows and suffixes of a block of benchmark items."""
+    """Windows and suffixes of a block of benchmark items; items of the same words are searched for once."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
         self.vocab: dict[bytes, int] = {}
-        self.window, flat, suffix, size, left, owner, self.names = window, [], [], [], [], [], []
+        self.window, flat, suffix, size, left, owner = window, [], [], [], [], []
+        names: dict[tuple[int, ...], list[str]] = {}
         for name, text in items:
-            words = [self.vocab.setdefault(w, len(self.vocab)) for w in alnum_words(text)]
+            words = tuple(self.vocab.setdefault(w, len(self.vocab)) for w in alnum_words(text))
+            if words:
+                names.setdefault(words, []).append(name)
+        self.names = [sorted(set(x)) for x in names.values()]
+        for k, words in enumerate(names):
             n = min(window, len(words))
-            for i in range(len(words) - n + 1 if words else 0):
+            for i in range(len(words) - n + 1):
                 suffix.append(len(flat) + i)
                 size.append(n)
                 left.append(len(words) - i)
-                owner.append(len(self.names))
+                owner.append(k)
             flat += [*words, -2]
-            self.names.append(name)
         self.flat = np.array([*flat, *[-2] * window], np.int64)
-        self.suffix, self.size, self.left, self.owner = (np.array(x, np.int64) for x in (suffix, size, left, owner))
-        self.least = int(self.size.min(initial=window))
-        self.deepest = int(self.left.max(initial=0))
-        # equal windows are searched for once; of each, the suffixes that begin with it
-        keys: dict[tuple, list[int]] = {}
-        for k in range(len(suffix)):
-            keys.setdefault(tuple(self.flat[suffix[k] : suffix[k] + size[k]].tolist()), []).append(k)
-        self.groups = list(keys.values())
-        self.heads = np.array([g[0] for g in self.groups], np.int64)
-        self.items = [sorted({owner[k] for k in g}) for g in self.groups]
+        suffix, size, left, owner = (np.array(x, np.int64) for x in (suffix, size, left, owner))
+        self.least, self.deepest = int(size.min(initial=window)), int(left.max(initial=0))
+        # the suffixes in order; those that begin with one window lie together
+        order = np.argsort(_ranks(self.flat, self.deepest)[suffix], kind="stable") if len(suffix) else suffix
+        self.suffix, self.size, self.left, self.owner = suffix[order], size[order], left[order], owner[order]
+        keys: dict[tuple, int] = {}
+        self.group = np.array([keys.setdefault(tuple(self.flat[p : p + n].tolist()), len(keys)) for p, n in zip(self.suffix, self.size, strict=True)], np.int64)
+        _, self.heads = np.unique(self.group, return_index=True)
+        owners: list[set[int]] = [set() for _ in keys]
+        for g, k in zip(self.group.tolist(), self.owner.tolist(), strict=True):
+            owners[g].add(k)
+        self.items = [sorted(x) for x in owners]
 
     def words(self, text: bytes) -> np.ndarray:
         found = alnum_words(text)
         return np.fromiter(map(self.vocab.get, found, repeat(-1)), np.int64, len(found))
 
 
+def _ranks(flat: np.ndarray, depth: int) -> np.ndarray:
+    """Of each place the rank of the suffix that starts there, compared over ``depth`` words at least, by doubling. A negative word
+    ends a suffix; suffixes that end alike are in some order."""
+    name, run = grouped(np.maximum(flat, -1))[1], 1
+    while run < min(depth, len(name)):
+        code = name << 32
+        code[: len(name) - run] |= name[run:]
+        name = grouped(code)[1]
+        run *= 2
+    return name
+
+
 def suffix_array(flat: np.ndarray, start: np.ndarray, depth: int) -> np.ndarray:
-    """``start`` in the order of the suffixes of ``flat`` there, compared over ``depth`` words; a negative word ends a suffix.
-
-    Suffixes are told apart word by word; a rank is the place where its group of equals begins."""
-    n = len(start)
-    rank, live = np.zeros(n, np.int64), np.arange(n)
-    for k in range(depth):
-        word = flat[np.minimum(start[live] + k, len(flat) - 1)]
-        order = np.lexsort((word, rank[live]))
-        live, word = live[order], word[order]
-        old = rank[live]
-        place = np.arange(len(live))
-        group = np.flatnonzero(np.diff(old, prepend=-1))
-        first = np.repeat(group, np.diff(np.append(group, len(live))))
-        parts = np.flatnonzero((np.diff(old, prepend=-1) != 0) | (np.diff(word, prepend=-9) != 0))
-        size = np.diff(np.append(parts, len(live)))
-        rank[live] = old + np.repeat(place[parts], size) - first
-        live = live[(np.repeat(size, size) > 1) & (word >= 0)]
-        if not len(live):
-            break
-    return start[np.argsort(rank, kind="stable")]
+    """``start`` in the order of the suffixes of ``flat`` there, compared over ``depth`` words at least."""
+    return start[np.argsort(_ranks(flat, depth)[start], kind="stable")]
 
 
 def search(flat: np.ndarray, array: np.ndarray, query: np.ndarray, start: np.ndarray, size: np.ndarray, after: bool) -> np.ndarray:
@@ -94,8 +96,8 @@ def search(flat: np.ndarray, array: np.ndarray, query: np.ndarray, start: np.nda
             open_ = np.flatnonzero((sign == 0) & (k < size))
             if not len(open_):
                 break
-            a, b = flat[np.minimum(at[open_] + k, len(flat) - 1)], query[start[open_] + k]
-            sign[open_] = np.sign(np.maximum(a, -1) - b)
+            a, b = flat[np.minimum(at[open_] + k, len(flat) - 1)], query[np.minimum(start[open_] + k, len(query) - 1)]
+            sign[open_] = np.where(b < 0, 1, np.sign(np.maximum(a, -1) - b))  # a query that has ended comes first
         up = (sign < 0) | ((sign == 0) & after)
         open_ = low < high
         low = np.where(open_ & up, mid + 1, low)
@@ -122,37 +124,36 @@ def shard_hits(q: Queries, docs: list[np.ndarray]) -> list[tuple[list[tuple[int,
     flat = np.full(int((size + 1).sum()), -1, np.int64)
     for b, d in zip(base, docs, strict=True):
         flat[b : b + len(d)] = d
-    known = flat >= 0
-    gaps = np.flatnonzero(~known)
-    run = gaps[np.searchsorted(gaps, np.arange(len(flat)))] - np.arange(len(flat)) if len(gaps) else np.zeros(0, np.int64)
-    start = np.flatnonzero(run >= q.least)
-    if not len(start) or not len(q.heads):
+    # only runs of known words that can hold a window, each with the end after it
+    ends = np.flatnonzero(flat < 0)
+    run = np.diff(ends, prepend=-1) - 1
+    long = np.flatnonzero(run >= max(q.least, 1))
+    place = spread(ends[long] - run[long], run[long] + 1)
+    if not len(place) or not len(q.heads):
         return out
-    array = suffix_array(flat, start, q.deepest)
+    some = flat[place]
+    ahead = np.repeat(ends[long], run[long] + 1) - place
+    array = suffix_array(some, np.flatnonzero(ahead >= q.least), min(q.deepest, int(run.max())))
     first, n = q.suffix[q.heads], q.size[q.heads]
-    low = search(flat, array, q.flat, first, n, False)
-    high = search(flat, array, q.flat, first, n, True)
+    low = search(some, array, q.flat, first, n, False)
+    high = search(some, array, q.flat, first, n, True)
     found = np.flatnonzero(high > low)
     if not len(found):
         return out
     count = (high - low)[found]
-    window = np.repeat(found, count)
-    place = array[np.repeat(low[found] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+    window, at = np.repeat(found, count), array[spread(low[found], count)]
+    # the longest match of each place is with one of its neighbours among the benchmark's suffixes
+    starts, number = np.unique(at, return_inverse=True)
+    near = search(q.flat, q.suffix, some, starts, np.full(len(starts), q.deepest), False)
+    best = np.zeros((2, len(starts)), np.int64)
+    for other in (near - 1, near):
+        other = np.clip(other, 0, len(q.suffix) - 1)
+        lengths = common_length(some, starts, q.flat, q.suffix[other], q.left[other])
+        best = np.where(lengths > best[0], np.stack([lengths, q.owner[other]]), best)
+    place = place[at]
     doc = np.searchsorted(base, place, "right") - 1
     order = np.lexsort((place, doc))
-    window, place, doc = window[order], place[order], doc[order]
-    # every suffix of a window against every place of it: the longest one by document
-    best: dict[int, tuple[int, int, int]] = {}
-    for g in range(max(map(len, (q.groups[w] for w in found)))):
-        pick = np.array([q.groups[w][g] if g < len(q.groups[w]) else -1 for w in range(len(q.groups))])[window]
-        has = np.flatnonzero(pick >= 0)
-        lengths = common_length(flat, place[has], q.flat, q.suffix[pick[has]], q.left[pick[has]])
-        top = np.lexsort((q.owner[pick[has]], place[has], -lengths, doc[has]))
-        top = top[np.flatnonzero(np.diff(doc[has][top], prepend=-1))]
-        for k in top:
-            d = int(doc[has[k]])
-            one = (-int(lengths[k]), int(place[has[k]] - base[d]), int(q.owner[pick[has[k]]]))
-            best[d] = min(best.get(d, one), one)
+    window, place, doc, number = window[order], place[order], doc[order], number[order]
     for part in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1):
         d = int(doc[part[0]])
         spans: list[tuple[int, int]] = []
@@ -162,8 +163,8 @@ def shard_hits(q: Queries, docs: list[np.ndarray]) -> list[tuple[list[tuple[int,
             else:
                 spans.append((a, b))
         items = sorted({i for w in np.unique(window[part]) for i in q.items[w]})
-        length, at, item = best[d]
-        out[d] = (spans, items, -length, at, item)
+        k = part[np.argmax(best[0][number[part]])]
+        out[d] = (spans, items, int(best[0][number[k]]), int(place[k] - base[d]), int(best[1][number[k]]))
     return out
 
 
@@ -183,10 +184,12 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, parts: int) -> Iter
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each document: ``_id``, ``_th`` (hash of the text), n_words, hits (spans of hit words, merged), items
-    (ids as sorted distinct strings; null is the empty string), longest match (words, start, item).
+    (ids as sorted distinct strings; null is the empty string), longest match (words, start, one of its items), which has a
+    window's words at least.
 
     Null and wordless texts have no words and no hits; items with a null or wordless text have no windows. Repeated
-    documents are rows of their own, repeated item ids count once. No shuffle for a benchmark of one block."""
+    documents are rows of their own, repeated item ids count once. A text of any length is searched whole. No shuffle for a
+    benchmark of one block."""
     source = bounded(docs).select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).alias("_text"))
     schema = SCHEMA.format(id=source.schema["_id"].dataType.simpleString())
     found = [source.mapInArrow(_scanner(docs, Queries(items, window)), schema) for items in blocks(benchmark, item_col, item_text_col, block_count(benchmark, item_text_col, block_bytes))]
@@ -213,8 +216,8 @@ def _scanner(docs: DataFrame, queries: Queries):
             words = [q.words(t) for t in texts(batch, "_text")]
             rows = shard_hits(q, words)
             hits = pa.array([[{"start": a, "stop": b} for a, b in r[0]] for r in rows], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
-            items = pa.array([sorted({q.names[i] for i in r[1]}) for r in rows], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(list(map(len, words)), pa.int64()), hits, items, pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] if r[2] else None for r in rows], pa.int64()), pa.array([q.names[r[4]] if r[2] else None for r in rows], pa.string())], names=["_id", "_th", "n_words", "hits", "items", "longest", "longest_at", "longest_item"])
+            items = pa.array([sorted({x for i in r[1] for x in q.names[i]}) for r in rows], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_th"), pa.array(list(map(len, words)), pa.int64()), hits, items, pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] if r[2] else None for r in rows], pa.int64()), pa.array([q.names[r[4]][0] if r[2] else None for r in rows], pa.string())], names=["_id", "_th", "n_words", "hits", "items", "longest", "longest_at", "longest_item"])
 
     return run
 
@@ -252,3 +255,18 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "do
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return source.mapInArrow(run, source.schema).toDF(*docs.columns)
+
+
+SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wanted AS (SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i + 1:i + least(13, len(w))], ' ') AS k FROM items, unnest(range(len(w) - least(13, len(w)) + 1)) AS u(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM wanted),
+places AS (SELECT r, n, i, array_to_string(w[i + 1:i + n], ' ') AS k FROM docs, sizes, unnest(range(len(w) - n + 1)) AS u(i)),
+found AS (SELECT r, n, i, item FROM places JOIN wanted USING (n, k)),
+hit AS (SELECT r, count(DISTINCT i + j) AS n_hit FROM (SELECT DISTINCT r, n, i FROM found), unnest(range(n)) AS u(j) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM found GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""

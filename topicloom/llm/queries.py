@@ -35,7 +35,7 @@ def op5_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
-    return found.select(F.col("_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_at", "longest_item")
+    return found.select(F.col("_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op7_secret_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,4 +87,4 @@ SELECT doc_id, source, n AS n_tokens, epoch, before::BIGINT AS before,
 FROM placed WHERE epoch < full_passes OR (n_tokens > 0 AND budget > full_passes * n_tokens AND before < budget)
 """
 
-ORACLES = {"op1_temperature_mix": OP1_SQL, "op3_license_diagonals": licenses.SQL}
+ORACLES = {"op1_temperature_mix": OP1_SQL, "op3_license_diagonals": licenses.SQL, "op5_relative_parse": substrings.SQL, "op6_decontaminate": decontaminate.SQL}

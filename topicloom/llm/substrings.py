@@ -358,3 +358,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     factors = spark.read.schema(BLOBS).parquet(factor_path)
     answers = known.withColumn("factor", F.lit(False)).unionByName(factors.withColumn("factor", F.lit(True)))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(cut, schema)
+
+
+SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT r, i, array_to_string(w[i + 1:i + 35], ' ') AS k FROM docs, unnest(range(len(w) - 34)) AS u(i)),
+often AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, i + j AS spot FROM windows JOIN often USING (k), range(35) AS u(j)),
+words AS (SELECT r, i AS spot, w[i + 1] AS word FROM docs, unnest(range(len(w))) AS u(i)),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY spot) AS text FROM words ANTI JOIN gone USING (r, spot) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (r)
+"""
