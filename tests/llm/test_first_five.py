@@ -37,7 +37,7 @@ def test_words_on_bytes(text):
 
 def test_mix_keeps_every_row_and_meets_budgets(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    shares = mixing.plan(docs, repetition=1.1).collect()
+    shares = mixing.plan(mixing.slim_rows(docs, "doc_id", "text", "source"), repetition=1.1).collect()
     mixed = mixing.mixed_order(docs, repetition=1.1).collect()
     assert {r["doc_id"] for r in mixed} == {r["doc_id"] for r in docs.collect()}
     read = Counter()
@@ -48,7 +48,7 @@ def test_mix_keeps_every_row_and_meets_budgets(spark, sf_dir):
         assert s["budget"] <= read[s["source"]] < s["budget"] + max(r["n_tokens"] for r in mixed)
     assert 1.1 - 1e-3 < max(s["budget"] / s["n_tokens"] for s in shares) <= 1.1 + 1e-3 and min(s["budget"] / s["n_tokens"] for s in shares) > 1 - 1e-3
     twice = 2 * sum(s["n_tokens"] for s in shares)
-    bounded = mixing.plan(docs, repetition=2.1, budget=twice).collect()
+    bounded = mixing.plan(mixing.slim_rows(docs, "doc_id", "text", "source"), repetition=2.1, budget=twice).collect()
     assert max(s["budget"] / s["n_tokens"] for s in bounded) <= 2.1 + 1e-3 and abs(sum(s["budget"] for s in bounded) - twice) <= len(bounded)
     whole = mixing.mix(docs, repetition=1.1)
     assert sorted((r["doc_id"], r["epoch"]) for r in whole.collect()) == sorted((r["doc_id"], r["epoch"]) for r in mixed)

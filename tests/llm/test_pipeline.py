@@ -43,6 +43,10 @@ def brute_decontaminate(docs, items):
     return [d for d, h in zip(docs, expected_hits([(d["doc_id"], d["text"]) for d in docs], items), strict=True) if not h[-1]]
 
 
+def ident(d):
+    return f"null-{hashlib.md5((d['text'] or '').encode()).hexdigest()}" if d["doc_id"] is None else str(d["doc_id"])
+
+
 def brute_mix(docs, limit=1.25):
     tokens = lambda d: len(re.findall(r"[^\x20\x09-\x0D]+", d["text"] or ""))
     sizes = Counter()
@@ -66,7 +70,7 @@ def brute_mix(docs, limit=1.25):
             continue
         budget = int(scale * (sizes[s] / total) ** alpha + 0.5)
         passes, rest = divmod(budget, sizes[s])
-        key = lambda d: hashlib.md5(f"mix|{passes}|{'null' if d['doc_id'] is None else d['doc_id']}".encode()).hexdigest()  # noqa: B023, E731
+        key = lambda d: hashlib.md5(f"mix|{passes}|{ident(d)}".encode()).hexdigest()  # noqa: B023, E731
         ahead, head = 0, []
         for d in sorted(rows, key=key):
             if ahead >= rest:

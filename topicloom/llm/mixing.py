@@ -109,9 +109,19 @@ def budgets(totals: DataFrame, alpha: float, budget: int | None = None) -> DataF
     return out.withColumn("passes", passes).withColumn("rest", F.col("budget") - F.col("passes") * F.col("n_tokens"))
 
 
-def key_of(epoch: Column, id_col: str, seed: str) -> Column:
+def key_of(epoch: Column, ident: Column, seed: str) -> Column:
     """A document's place in the permutation of an epoch."""
-    return F.md5(F.concat_ws("|", F.lit(seed), epoch.cast("string"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
+    return F.md5(F.concat_ws("|", F.lit(seed), epoch.cast("string"), ident).cast("binary"))
+
+
+def ident(id_col: str, text_col: str) -> Column:
+    """What a document's places are drawn by: its id, or without one a hash of its text."""
+    return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null-"), F.md5(F.coalesce(text_col, F.lit("")).cast("binary"))))
+
+
+def slim_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(id, source ``_s``, ``_i``: see ``ident``, ``n``: tokens), computed in one scan of the text and kept."""
+    return cut(docs.select(F.col(id_col), F.col(source_col).alias("_s"), ident(id_col, text_col).alias("_i"), word_count(F.col(text_col)).alias("n")))
 
 
 def before(keyed: DataFrame) -> DataFrame:
@@ -127,41 +137,46 @@ def before(keyed: DataFrame) -> DataFrame:
     return rows.join(sums, same).withColumn("before", F.col("_ahead") + F.col("_in")).drop("_s2", "_e2", "_b2", "_ahead", "_in", "_bucket")
 
 
-def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy_share: float | None = None, repetition: float | None = 1.25, budget: int | None = None, seed: str = "mix") -> DataFrame:
-    """By source: alpha, weight, budget, passes, and ``last_key``: the last key of the head that is read once more (null: none)."""
-    slim = cut(docs.select(F.col(id_col).alias("_i"), F.col(source_col).alias("_s"), word_count(F.col(text_col)).alias("n")))
+def plan(slim: DataFrame, entropy_share: float | None = None, repetition: float | None = 1.25, budget: int | None = None, seed: str = "mix") -> DataFrame:
+    """By source: alpha, weight, budget, passes, and ``last_key``: the last key of the head that is read once more (null: none).
+    slim: see ``slim_rows``."""
     totals = source_tokens(slim, "_s", F.col("n"))
     totals = cut(totals)
     alpha = exponent(totals, entropy_share, None if entropy_share is not None else repetition, budget)
     shares = budgets(totals, alpha, budget)
     more = slim.join(held(shares.where("rest > 0").select(F.col("source").alias("_q"), "passes", "rest")), F.col("_s").eqNullSafe(F.col("_q")))
-    head = before(more.withColumn("epoch", F.col("passes")).withColumn("key", key_of(F.col("epoch"), "_i", seed))).where("before < rest")
+    head = before(more.withColumn("epoch", F.col("passes")).withColumn("key", key_of(F.col("epoch"), F.col("_i"), seed))).where("before < rest")
     last = head.groupBy("_s").agg(F.max("key").alias("last_key"))
     return shares.join(last, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumn("alpha", F.lit(alpha))
 
 
+def epochs(seed: str, ident: Column) -> Column:
+    """The epochs in which a row is read, beside its source's ``_passes`` and ``_last``."""
+    more = F.coalesce(key_of(F.col("_passes"), ident, seed) <= F.col("_last"), F.lit(False)).cast("long")
+    return F.filter(F.sequence(F.lit(0).cast("long"), F.col("_passes") + more), lambda e: e < F.col("_passes") + more)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", epoch_col: str = "epoch", **options) -> DataFrame:
     """All columns of the documents and ``epoch_col``, a row for each time that a document is read.
 
     The head of the last pass ends with the document that reaches the budget. Documents without words are read with
-    their keys' neighbours. Null ids share a place in each permutation; repeated rows stay together."""
-    shares = held(plan(docs, id_col, text_col, source_col, seed=seed, **options).select(F.col("source").alias("_q"), F.col("passes").alias("_passes"), F.col("last_key").alias("_last")))
+    their keys' neighbours. A null id has places by its text; repeated rows stay together; a text of any length counts whole.
+    Null is a source of its own; an empty table has no rows."""
+    slim = slim_rows(docs, id_col, text_col, source_col)
+    shares = held(plan(slim, seed=seed, **options).select(F.col("source").alias("_q"), F.col("passes").alias("_passes"), F.col("last_key").alias("_last")))
     rows = docs.join(shares, F.col(source_col).eqNullSafe(F.col("_q")))
-    more = F.coalesce(key_of(F.col("_passes"), id_col, seed) <= F.col("_last"), F.lit(False)).cast("long")
-    epochs = F.filter(F.sequence(F.lit(0).cast("long"), F.col("_passes") + more), lambda e: e < F.col("_passes") + more)
-    return rows.select(*[docs[c] for c in docs.columns], F.explode(epochs).alias(epoch_col))
+    return rows.select(*[docs[c] for c in docs.columns], F.explode(epochs(seed, ident(id_col, text_col))).alias(epoch_col))
 
 
 def mixed_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", blocks: int = 1000, seed: str = "mix", **options) -> DataFrame:
     """The mixture's rows with their places: doc id, source, n_tokens, epoch, ``before`` (tokens of its source ahead of it),
-    ``block`` of the mixture (each holds every source by its weight), ``key`` (the order inside a source's epoch)."""
-    slim = docs.select(F.col(id_col), F.col(source_col).alias("_s"), word_count(F.col(text_col)).alias("n"))
-    shares = plan(docs, id_col, text_col, source_col, seed=seed, **options)
+    ``block`` of the mixture (each holds every source by its weight), ``key`` (the order inside a source's epoch). The text is
+    scanned once."""
+    slim = slim_rows(docs, id_col, text_col, source_col)
+    shares = plan(slim, seed=seed, **options)
     sizes = held(shares.select(F.col("source").alias("_q"), "budget", "n_tokens", F.col("passes").alias("_passes"), F.col("last_key").alias("_last")))
-    rows = slim.join(sizes, F.col("_s").eqNullSafe(F.col("_q")))
-    more = F.coalesce(key_of(F.col("_passes"), id_col, seed) <= F.col("_last"), F.lit(False)).cast("long")
-    rows = rows.withColumn("epoch", F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("_passes") + more), lambda e: e < F.col("_passes") + more)))
-    rows = before(rows.withColumn("key", key_of(F.col("epoch"), id_col, seed)))
+    rows = slim.join(sizes, F.col("_s").eqNullSafe(F.col("_q"))).withColumn("epoch", F.explode(epochs(seed, F.col("_i"))))
+    rows = before(rows.withColumn("key", key_of(F.col("epoch"), F.col("_i"), seed)))
     start = F.col("epoch") * F.col("n_tokens") + F.col("before")
     block = F.when(F.col("budget") > 0, F.least(F.lit(blocks - 1).cast("long"), F.floor(start * F.lit(blocks) / F.col("budget")))).otherwise(0).cast("long")
     return rows.select(F.col(id_col), F.col("_s").alias("source"), F.col("n").alias("n_tokens"), "epoch", start.alias("before"), block.alias("block"), "key")

@@ -65,7 +65,7 @@ def queries() -> dict:
 
 OP1_SQL = r"""
 WITH RECURSIVE slim AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n FROM documents),
+  SELECT doc_id, source, coalesce(doc_id::VARCHAR, 'null-' || md5(coalesce(text, ''))) AS ident, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n FROM documents),
 totals AS (SELECT source, sum(n)::BIGINT AS n_tokens FROM slim GROUP BY source),
 known AS (SELECT n_tokens, n_tokens / (SELECT sum(n_tokens) FROM totals)::DOUBLE AS p FROM totals WHERE n_tokens > 0),
 search(step, low, high) AS (
@@ -79,7 +79,7 @@ powers AS (SELECT source, n_tokens, CASE WHEN n_tokens > 0 THEN pow(n_tokens / (
 shares AS (SELECT source, n_tokens, round((SELECT max(n_tokens / w) FROM powers WHERE n_tokens > 0) * w)::BIGINT AS budget FROM powers),
 passes AS (SELECT *, CASE WHEN n_tokens > 0 THEN budget // n_tokens ELSE 1 END AS full_passes FROM shares),
 emitted AS (SELECT s.doc_id, s.source, s.n, p.n_tokens, p.budget, p.full_passes, e.epoch,
-    md5('mix|' || e.epoch || '|' || coalesce(s.doc_id::VARCHAR, 'null')) AS key
+    md5('mix|' || e.epoch || '|' || s.ident) AS key
   FROM slim s JOIN passes p ON s.source IS NOT DISTINCT FROM p.source, unnest(range(p.full_passes + 1)) AS e(epoch)),
 placed AS (SELECT *, epoch * n_tokens + sum(n) OVER (PARTITION BY source, epoch ORDER BY key) - n AS before FROM emitted)
 SELECT doc_id, source, n AS n_tokens, epoch, before::BIGINT AS before,
