@@ -158,3 +158,21 @@ def test_streaming_counts(spark, tmp_path, sf_dir):
     query.processAllAvailable()
     query.stop()
     assert spark.table("counts_by_day").agg({"n": "sum"}).first()[0] == events.count()
+
+
+def test_lines_of_split_files_are_numbered(spark, tmp_path):
+    """Files cut into many blocks: a line's number is its place in the file, blank lines counted."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    want = []
+    for f, end in enumerate(("\n", "\r\n")):
+        lines = [json.dumps({"k": i, "pad": "x" * (i * 7 % 50)}) if i % 11 else "" for i in range(1500)]
+        (tmp_path / f"f{f}.jsonl").write_bytes(end.join(lines).encode())
+        want += [(f, i, i) for i in range(1500) if i % 11]
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        got = jsonl.read(spark, [f"{tmp_path}/f{f}.jsonl" for f in range(2)], "k int").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((int(r["path"][-7]), r["pos"], r["k"]) for r in got) == want

@@ -7,7 +7,7 @@ skipped, and where lines end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HEADERS = ("_meta", "_manifest")
@@ -75,9 +75,20 @@ def as_maps(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def read(spark: SparkSession, paths: str | list[str], schema: str, **options) -> DataFrame:
-    """Rows of JSONL files with ``path`` and ``pos``. Each file is read whole for its line order: for files of moderate size."""
-    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return parse(split_lines(files), schema, **options)
+    """Rows of JSONL files with ``path`` and ``pos`` (the line's number in its file, from 0). Files of any size are split among tasks:
+    a line's number is that in its block, after the lines of the file's earlier blocks."""
+    return parse(numbered_lines(spark, paths), schema, **options)
+
+
+def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, pos, line) of text files; lines end at line feeds, blank ones are skipped."""
+    lines = spark.read.text(paths, lineSep="\n").select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value")
+    blocks = lines.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_from"))
+    ahead = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block
+    blocks = blocks.select("path", "_block", "_from", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_ahead"))
+    # a block is read by one task, one line after another
+    found = lines.join(blocks, ["path", "_block"]).select("path", (F.col("_ahead") + F.col("_id") - F.col("_from")).cast("int").alias("pos"), F.regexp_replace("value", r"\r$", "").alias("line"))
+    return found.where(F.trim("line") != "")
 
 
 def read_large(spark: SparkSession, paths: str | list[str], schema: str, fail: bool = False) -> DataFrame:
