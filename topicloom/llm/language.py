@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.llm.common import Ids, bounded, cut, slices
@@ -222,10 +222,18 @@ def word_log(vocab: Pieces, prob: np.ndarray, words: list[str]) -> np.ndarray:
     return out
 
 
-def sample_rows(train: DataFrame, by: str, per_group: int, key) -> DataFrame:
-    """At most ``per_group`` rows of each group, those with the least hash of ``key``; the rank limit is applied before the shuffle too."""
+def sample_rows(train: DataFrame, by: str, per_group: int, key: Column, counts: dict) -> DataFrame:
+    """At most ``per_group`` rows of each group, those with the least hash of ``key``. counts: rows by group; hashes that are surely
+    too large are left out where they are read, so that few rows meet in a group's task."""
     order = Window.partitionBy(by).orderBy(F.xxhash64(key), key)
-    return train.select(key, by).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_group).select(key, by)
+    least, rows = F.lit(None).cast("long"), train.select(key, by)
+    for group, n in counts.items():
+        bound = (1 << 63) - 1 if n <= 8 * per_group else -(1 << 63) + (1 << 64) * 4 * per_group // n
+        least = F.when(F.col(by) == group, F.lit(bound)).otherwise(least)
+    ranked = lambda df: cut(df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_group).select(key, by))
+    found = ranked(rows.where(F.xxhash64(key) <= least))
+    have = {r[by]: r["count"] for r in found.groupBy(by).count().collect()}
+    return found if all(have.get(g, 0) >= min(n, per_group) for g, n in counts.items()) else ranked(rows)  # else ids repeat
 
 
 class LanguageModel:
@@ -244,7 +252,7 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     size = len(vocab.names) + 1
     if not langs:
         return LanguageModel(path, [], np.zeros((size, 0)), np.zeros(0))
-    chosen = F.broadcast(sample_rows(known, "_lang", per_lang, F.col("_id")))  # at most per_lang ids a language
+    chosen = F.broadcast(sample_rows(known, "_lang", per_lang, F.col("_id"), counts))  # at most per_lang ids a language
 
     def count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):

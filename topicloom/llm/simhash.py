@@ -230,9 +230,10 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        # what is joined is written first, apart from the sums: so Spark can split the edges of a hub
+        least = cut(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
+        large = cut(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        down = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(down, "u")
         now = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(small.select("u", F.col("m").alias("v"))).distinct())
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
