@@ -333,7 +333,12 @@ def lang_detect(spark, sf_dir):
 
 
 def html_meta(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", udf.html_metadata(F.col("html")).alias("m")).select("page_id", "m.title", "m.description")
+    """Pages with tags of both kinds in some, blank ones among them: the first that isn't blank counts, else the title element."""
+    n = F.col("page_id").cast("string")
+    tags = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<meta property="og:title" content="Story '), n, F.lit('"><meta name="description" content=" About '), n, F.lit(' &amp; more ">')))
+    tags = tags.when(F.col("page_id") % 3 == 1, F.concat(F.lit('<meta name="twitter:title" content=" "><meta name="description" content=""/><meta property="og:description" content="On '), n, F.lit('">'))).otherwise("")
+    pages = read(spark, sf_dir, "pages").select("page_id", F.replace("html", F.lit("<head>"), F.concat(F.lit("<head>"), tags)).alias("html"))
+    return pages.select("page_id", udf.html_metadata(F.col("html")).alias("m")).select("page_id", "m.title", "m.description")
 
 
 def _lines(spark, sf_dir):

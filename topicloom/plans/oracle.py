@@ -54,6 +54,20 @@ def decoded(text: str) -> str:
     return text
 
 
+#: Common words of the languages that the default detector knows.
+COMMON = {
+    "en": "the of and to in is that for it was on with as are be this by at from or",
+    "fr": "le la les de des du et en un une que qui dans pour est sur au aux par pas",
+    "de": "der die das und ist von zu den mit des auf für im nicht ein eine dem als auch",
+    "es": "el la los las de y en un una que es por con para del se al como su más",
+}
+
+
+def seen(lang: str) -> str:
+    """How many words of the list w are common in a language."""
+    return "len(list_filter(w, lambda x: x IN (" + ", ".join(f"'{x}'" for x in COMMON[lang].split()) + ")))"
+
+
 LINES = """lines AS (SELECT event_id AS pos, event_id % 10 AS kind, CASE event_id % 10 WHEN 0 THEN '{"k":' WHEN 1 THEN '{"_manifest": true, "k": 5}' WHEN 2 THEN '[1]' WHEN 4 THEN '{"_meta": false, "k": 7}' ELSE props END AS line
   FROM events WHERE event_id % 10 <> 3)"""
 MARKED_UP = "regexp_replace(html || '<p>Caf&eacute; &#8217;&mdash; it&#x27;s &amp;lt; &nbsp;&frac12;</p>', '<[^>]+>', ' ', 'g')"
@@ -184,4 +198,8 @@ SELECT coalesce(d.outlet, k.outlet) AS outlet, coalesce(d.day, k.day) AS day, d.
 SELECT pos, CASE WHEN pos % 13 <> 0 THEN a.url END AS url, pos % 13 <> 0 AS success, CASE WHEN pos % 13 <> 0 AND last.url IS NOT NULL THEN title_ ELSE title END AS title, CASE WHEN pos % 13 = 0 THEN 'missing url' END AS error FROM articles a LEFT JOIN last ON last.url = a.url""",
     "outlet_success": f"WITH {LABELLED} SELECT media_url AS outlet, count(*) AS n, count(*) FILTER (coalesce(quality = 1, false)) AS ok, count(*) FILTER (NOT coalesce(quality = 1, false)) AS failed FROM labelled GROUP BY 1",
     "top_terms": "SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS term FROM benchmark) GROUP BY term ORDER BY n DESC, term LIMIT 25",
+    "lang_detect": f"""WITH {ARTICLES}, found AS (SELECT pos, {trim("title || ' ' || description")} AS t FROM articles), words AS (SELECT pos, length(t) AS n, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}_]+') AS w FROM found)
+SELECT pos, n < 20 OR {seen("en")} >= greatest({seen("fr")}, {seen("de")}, {seen("es")}) AS english FROM words""",
+    "html_meta": f"""WITH p AS (SELECT page_id, {trim(decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)"))} AS t FROM pages)
+SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'Story ' || page_id ELSE nullif(t, '') END AS title, CASE page_id % 3 WHEN 0 THEN 'About ' || page_id || ' & more' WHEN 1 THEN 'On ' || page_id END AS description FROM p""",
 }
