@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from topicloom.operators import coverage, rows, summary
+from topicloom.plans import articles as plans
 
 SLOW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 ROWS = [(0, "a", "x"), (1, "", "x"), (2, None, "y"), (3, "a", None), (4, "b", "x"), (5, "b", "z"), (6, "c", "x")]
@@ -205,3 +206,32 @@ def test_snapshots(spark):
     texts = spark.createDataFrame([("v", "f", "é\nb\n")], "version string, file string, content string")
     assert tuple(coverage.change_stats(texts).first()) == ("v", "f", 2, 5)
     assert Counter(r["version"] for r in coverage.snapshot_counts(counts.union(counts), "version", "idx").collect()) == Counter(["v0", "v1", "v2", "v3"])
+
+
+def test_topics_by_name():
+    known = {"a": {"broad": ["x"]}, "b": {"broad": []}}
+    assert plans.topic("a", known) == {"broad": ["x"], "name": "a"}
+    with pytest.raises(ValueError, match="Unknown topic 'c'. Available: a, b"):
+        plans.topic("c", known)
+    assert plans.active(["b", "z", "a"], known) == ({"b": known["b"], "a": known["a"]}, ["z"]) and plans.active(None, known) == (known, [])
+
+
+def test_blank_keys_in_lookups(spark):
+    """Rows without a key find nothing, and are all kept; an empty key is one like others."""
+    left = spark.createDataFrame([(None, i) for i in range(50)] + [("", 60), ("a", 61)], "url string, pos long")
+    right = spark.createDataFrame([(None, 1, "n"), ("", 2, "e"), ("a", 3, "x"), ("a", 4, "y")], "url string, pos long, extra string")
+    got = {r["pos"]: r["extra"] for r in rows.lookup(left, right, "url", "pos", ["extra"]).collect()}
+    assert got == dict.fromkeys(range(50)) | {60: "e", 61: "y"}
+
+
+def test_collection_state(spark):
+    """A hash that is missing is this query's; another query's state is forgotten; known counts stay."""
+    q, day = F.lit("storm"), "2024-01-01"
+    old = spark.createDataFrame([("t", None, "o", day, True, 4), ("t", "other", "p", day, True, 9), ("u", None, "o", day, True, 1)], coverage.CHECKPOINT)
+    assert [r["outlet"] for r in coverage.current_state(old, "t", q).collect()] == ["o"]
+    counted = spark.createDataFrame([("o", day, 7), ("p", day, 5), ("q", day, -1)], "outlet string, day string, expected long")
+    state = coverage.known_counts(old, "t", q, counted)
+    assert sorted((r["outlet"], r["complete"], r["expected"]) for r in state.collect()) == [("o", True, 4), ("p", False, 5)]
+    state = coverage.mark_complete(state, "t", q, counted.where("outlet = 'p'"))
+    assert sorted((r["outlet"], r["complete"], r["expected"]) for r in state.collect()) == [("o", True, 4), ("p", True, 5)]
+    assert [r["outlet"] for r in coverage.to_count(state, "t", q, counted).collect()] == ["q"]

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import pathlib
 
 import pytest
 from pyspark.errors import PySparkException
@@ -108,6 +109,43 @@ def test_remote_sources(spark):
     assert sorted(map(tuple, spark.read.format("count_test").load().collect())) == [("d1", "a", 4), ("d1", "b", -1)]
 
 
+def test_listings_are_tried_again(spark, tmp_path):
+    """A page or count that fails is asked for again; a count that goes on failing is unknown, objects count by their fields."""
+    marks = str(tmp_path)
+
+    def flaky(name):
+        """True on the first call for a name."""
+        path = pathlib.Path(marks, name)
+        if path.exists():
+            return False
+        path.touch()
+        return True
+
+    def page(day, outlet, page):
+        if flaky(f"{outlet}{page}"):
+            raise OSError("429")
+        return [{"id": f"{outlet}{page}"}], None
+
+    def count(day, outlet):
+        if outlet == "never" or flaky(f"count-{outlet}"):
+            raise OSError("429")
+        return {"a": {"relevant": 3}, "b": {"relevant": 0, "count": 2}, "c": 5}[outlet]
+
+    spark.dataSource.register(remote.listing_source("flaky_pages", page, [("d", "a"), ("d", "b")], waits=(0, 0)))
+    assert sorted(r["id"] for r in spark.read.format("flaky_pages").load().collect()) == ["a0", "b0"]
+    spark.dataSource.register(remote.listing_source("flaky_counts", count, [("d", x) for x in ("a", "b", "c", "never")], count=True, waits=(0, 0)))
+    assert sorted((r["outlet"], r["expected"]) for r in spark.read.format("flaky_counts").load().collect()) == [("a", 3), ("b", 2), ("c", 5), ("never", -1)]
+
+
+def test_cut_payloads_and_suffixes(spark, tmp_path):
+    files = spark.createDataFrame([("a", "cut", True, "u1"), ("b", "whole", False, "u2"), ("c", "kept", True, None)], "file string, content string, truncated boolean, raw_url string")
+    assert {r["file"]: r["content"] for r in remote.whole_content(files, lambda u: f"all of {u}").collect()} == {"a": "all of u1", "b": "whole", "c": "kept"}
+    (tmp_path / "x.json").write_text('{"stories": [{"url": "a"}, {"url": "b"}]}')
+    (tmp_path / "x.jsonl").write_text('{"url": "c"}\n')
+    assert [r["url"] for r in jsonl.read_any(spark, str(tmp_path / "x.json"), "url string").collect()] == ["a", "b"]
+    assert [r["url"] for r in jsonl.read_any(spark, str(tmp_path / "x.jsonl"), "url string").collect()] == ["c"]
+
+
 def test_scrape(spark):
     def fetch(url):
         if url == "bad":
