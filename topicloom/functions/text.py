@@ -34,7 +34,7 @@ def words(value: Column) -> Column:
 
 
 def word_count(value: Column) -> Column:
-    return F.size(words(value)).cast("long")
+    return F.regexp_count(F.coalesce(value, F.lit("")), F.lit(f"[^{SPACE[1:-1]}]+")).cast("long")
 
 
 def truncate_words(value: Column, most: int = 50) -> Column:
