@@ -214,6 +214,12 @@ def test_substrings_awkward(spark):
     assert substrings.remove_repeats(empty(spark)).count() == 0
 
 
+def test_texts_without_windows(spark):
+    docs = [(1, "a b c"), (2, None), (None, ""), (1, "a b c")]
+    got = substrings.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
+    match(got.select("_id", "n_words", "n_removed", "kept_sha256").collect(), expected_kept(docs))
+
+
 def test_thousands_of_equal_rows(spark):
     text = " ".join(f"w{k}" for k in range(400))
     docs = [(None, text)] * 5000 + [(1, "x " + text[:-9] + " y")] * 3

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.blobs import BLOBS, SHAPE, columns, edges_of, grouped, planes, row, save, spread, unplanes
+from topicloom.llm.blobs import BLOBS, SHAPE, columns, edges_of, exists, grouped, planes, row, save, spread, unplanes
 from topicloom.llm.common import SLICE_BYTES, bounded, mix64, remove_path, shared_path, slices, texts
 
 WINDOW, GRAM = 35, 8
@@ -269,8 +269,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = max(-(-size // PART_BYTES), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     path, known_path, factor_path = (shared_path(spark, x) for x in ("texts", "known-phrases", "factors"))
     blocks_of(source, path, parts, window, gram)
-    save(spark.read.parquet(f"{path}/kind=1").groupBy("part").applyInArrow(comparer(hot), BLOBS), known_path)
-    remove_path(spark, f"{path}/kind=1")
+    none = spark.createDataFrame([], BLOBS)
+    some = exists(spark, f"{path}/kind=1")  # no phrases: no text has a window
+    if some:
+        save(spark.read.parquet(f"{path}/kind=1").groupBy("part").applyInArrow(comparer(hot), BLOBS), known_path)
+        remove_path(spark, f"{path}/kind=1")
 
     def show(left: pa.Table, right: pa.Table) -> pa.Table:
         """A block's phrases, by part: a: words, b: words by phrase, c: place of the phrase, d: window that it begins with, e: keys."""
@@ -353,9 +356,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lists = pa.array(factors, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())])))
         return pa.table({"_id": ids, "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": digests, "kept": pa.array(kept_texts, pa.string()), "factors": lists})
 
-    blocks, known = spark.read.parquet(f"{path}/kind=0"), spark.read.schema(BLOBS).parquet(known_path)
-    save(blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(show, BLOBS).groupBy("part").applyInArrow(match, BLOBS), factor_path)
-    factors = spark.read.schema(BLOBS).parquet(factor_path)
+    blocks, known, factors = spark.read.parquet(f"{path}/kind=0"), none, none
+    if some:
+        known = spark.read.schema(BLOBS).parquet(known_path)
+        save(blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(show, BLOBS).groupBy("part").applyInArrow(match, BLOBS), factor_path)
+        factors = spark.read.schema(BLOBS).parquet(factor_path)
     answers = known.withColumn("factor", F.lit(False)).unionByName(factors.withColumn("factor", F.lit(True)))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(cut, schema)
 
