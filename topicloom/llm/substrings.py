@@ -37,7 +37,7 @@ PLACE_BITS = 24
 #: Text bytes that a part of the questions stands for.
 PART_BYTES = 4 << 20
 #: Distinct phrases of an anchor that are indexed together.
-HOT = 4096
+HOT = 512
 #: What is known of a phrase: it occurs elsewhere as a whole; its words are shown to its block; its block is split.
 WHOLE, SHOWN, SPLIT = 1, 2, 4
 
