@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -47,7 +48,14 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = S
             to = max(at + 1, int(np.searchsorted(end, done + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
-    pa.default_memory_pool().release_unused()  # workers outlive their tasks
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, where the C library can do so: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def texts(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:
