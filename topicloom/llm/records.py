@@ -27,14 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import bounded, remove_path, shared_path, slices, texts
+from topicloom.llm.blobs import grouped
+from topicloom.llm.common import bounded, eights, remove_path, shared_path, slices, texts, word_keys, word_spans
 
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
 #: Chunks of text whose ids a worker remembers.
-MEMORY = 700_000
+MEMORY = 500_000
 #: ASCII punctuation that no pattern of the splitter joins to letters: all but the apostrophe.
-PUNCTUATION = string.punctuation.replace("'", "")
+PUNCTUATION = string.punctuation.replace("'", "").encode()
 #: Text bytes that are encoded at once.
 PIECE = 2 << 20
 HEAD, TAIL, DOC = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<BqB")
@@ -80,9 +81,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def parted(texts: list[bytes]) -> list[bytes]:
-    """The texts in ASCII lower case, with a space between an ASCII letter and a full stop or comma after it. Texts with
-    combining marks (U+0300 to U+037F) keep their case: a small letter may compose with a mark where a capital doesn't."""
+def parted(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
+    """The texts in ASCII lower case, with a space between an ASCII letter and a full stop or comma after it, one after another, a
+    line feed after each; and where each ends. Texts with combining marks (U+0300 to U+037F) keep their case: a small letter may
+    compose with a mark where a capital doesn't."""
     whole = b"\n".join([*texts, b""])
     if b"\xcc" in whole or b"\xcd" in whole:
         whole = b"\n".join([*[t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts], b""])
@@ -93,9 +95,12 @@ def parted(texts: list[bytes]) -> list[bytes]:
     letter = (data | 0x20 >= 0x61) & (data | 0x20 <= 0x7A)
     place = np.flatnonzero(stop[1:] & letter[:-1]) + 1
     ends = np.cumsum([len(t) + 1 for t in texts])
-    ends += np.searchsorted(place, ends)
-    out = np.insert(data, place, 0x20).tobytes()
-    return [out[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+    return np.insert(data, place, 0x20).tobytes(), ends + np.searchsorted(place, ends)
+
+
+def first_bytes(eight: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The lowest n bytes of each number."""
+    return eight & np.where(n < 8, (np.uint64(1) << (8 * np.minimum(n, 7)).astype(np.uint64)) - np.uint64(1), ~np.uint64(0))
 
 
 class Encoder:
@@ -131,7 +136,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[int, int] = {}  # chunks' numbers by their hashes; beside a hash, a chunk's bytes and first eight of them are compared
+        self.bytes, self.head = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, f"<u{self.width}")  # by chunk: first id, ids; all ids
 
     def _each(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -165,23 +171,29 @@ class Encoder:
         letters = list(map(bytes.isalpha, chunks))
         runs, more, split, other = list(compress(chunks, letters)), set(), [], []
         for chunk in compress(chunks, map(not_, letters)):
-            text = chunk.decode()
-            core = text.rstrip(PUNCTUATION)
-            if core and not self.lettered(core):
+            if chunk.isascii():
+                head = chunk.rstrip(PUNCTUATION)
+                plain = not head or head.isalpha()
+            else:
+                core = chunk.decode().rstrip(PUNCTUATION.decode())
+                head = core.encode()
+                plain = not core or self.lettered(core)
+            if not plain:
                 other.append(chunk)
-            elif not core or len(core) == len(text):
+            elif not head or len(head) == len(chunk):
                 more.add(chunk)
             else:
-                head = core.encode()
                 split.append((chunk, head, chunk[len(head) :]))
-        more.update(part for _, *parts in split for part in parts if part not in self.known)
+        parts = list({part for _, *parts in split for part in parts})
+        more.update(part for part, known in zip(parts, self.numbers(parts), strict=True) if known < 0)
         runs += more.difference(runs)
         for encode, part, all_of in ((self._joined, 20_000, runs), (self._each, 5_000, other)):
             for at in range(0, len(all_of), part):
                 some = all_of[at : at + part]
                 self._store(some, *encode(some))
         if split:
-            parts = np.array([[self.known[core], self.known[tail]] for _, core, tail in split]).ravel()
+            place = dict(zip(parts, self.numbers(parts).tolist(), strict=True))
+            parts = np.array([[place[core], place[tail]] for _, core, tail in split]).ravel()
             self._store([chunk for chunk, _, _ in split], self._ids(parts), self.size[parts].reshape(-1, 2).sum(axis=1))
 
     def _ids(self, index: np.ndarray) -> np.ndarray:
@@ -190,29 +202,42 @@ class Encoder:
         return self.flat[np.repeat(self.start[index] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
 
     def _store(self, chunks: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
+        data = b" ".join([*chunks, b""])
+        start, width = word_spans(data)
+        self.known.update(zip(word_keys(data, start, width).tolist(), range(len(self.start), len(self.start) + len(chunks)), strict=True))
         self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
         self.size = np.append(self.size, size)
         self.flat = np.append(self.flat, ids)
+        self.bytes, self.head = np.append(self.bytes, width), np.append(self.head, eights(data)[start])
+
+    def numbers(self, chunks: list[bytes]) -> np.ndarray:
+        """Numbers of chunks; -1 for those that aren't known."""
+        data = b" ".join([*chunks, b""])
+        return np.fromiter(map(self.known.get, word_keys(data, *word_spans(data)).tolist(), repeat(-1)), np.int64, len(chunks))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        chunks = [t.split() for t in parted(texts)]
-        n = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        flat = list(chain.from_iterable(chunks))
-        del chunks
+        data, ends = parted(texts)
+        start, width = word_spans(data)
+        if not len(start):
+            return [b""] * len(texts)
         if len(self.known) > MEMORY:
             self.forget()
-        index = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
-        new = np.flatnonzero(index < 0).tolist()
-        if new:
-            new_chunks = [flat[k] for k in new]
-            self.learn(list(set(new_chunks)))
-            index[new] = np.fromiter(map(self.known.__getitem__, new_chunks), np.int64, len(new))
+        keys, head = word_keys(data, start, width), eights(data)[start]
+        one, number = grouped(keys)
+        index = np.fromiter(map(self.known.get, keys[one].tolist(), repeat(-1)), np.int64, len(one))
+        new = np.flatnonzero(index < 0)
+        if len(new):
+            chunks = [data[a:b] for a, b in zip(start[one[new]].tolist(), (start + width)[one[new]].tolist(), strict=True)]
+            self.learn(chunks)
+            index[new] = self.numbers(chunks)
+        index = index[number]
+        shown = np.minimum(width, 8)
+        if (self.bytes[index] != width).any() or (first_bytes(self.head[index], shown) != first_bytes(head, shown)).any():  # one hash, two chunks
+            return [np.array(e.ids, self.flat.dtype).tobytes() for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
         ids = self._ids(index)
-        edges = np.append(0, np.cumsum(self.size[index]))[np.append(0, np.cumsum(n))]
+        edges = np.append(0, np.cumsum(self.size[index]))[np.append(0, np.searchsorted(start, ends))]
         return [ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
-
     def whole(self, texts: list[bytes]) -> list[bytes]:
         """The ids that the library gives to texts by default: the exact strings of special tokens part a text, before its
         case is dropped, and have their own ids."""

@@ -26,13 +26,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.llm.blobs import BLOBS, SHAPE, columns, edges_of, exists, grouped, move, planes, row, save, spread, unplanes
-from topicloom.llm.common import bounded, freeing, mix64, remove_path, shared_path, slices, texts
+from topicloom.llm.common import bounded, freeing, mix64, remove_path, shared_path, slices, texts, word_keys, word_spans
 
 #: Bytes, and preceding tokens, that a context has at most.
 DEPTH, TOKENS = 6, 2
@@ -47,8 +46,6 @@ TOP = 2
 BLOCK_BYTES, PART_BYTES, SPELT_BYTES = 4 << 20, 8 << 20, 1 << 20
 #: Rounds in which a level's questions are asked, at most; those about longer contexts are more. What is shuffled at once is so much less.
 ROUNDS = 2
-#: Words of more bytes are hashed by themselves.
-LONG = 4096
 START, STOP = 0x20, 0x0A
 #: Bytes that lower-cased words, or their stop, are made of.
 ALPHABET = np.array([b for b in range(256) if b not in b" \t\v\f\r" and not 0x41 <= b <= 0x5A])
@@ -68,37 +65,12 @@ def joined_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return mix64(mix64(left) * np.uint64(0x9FB21C651E98DF25) + right)
 
 
-def word_keys(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Hashes of words in UTF-8 bytes, eight bytes at a time, all words at once."""
-    eights = np.ndarray((len(data) + 1,), "<u8", buffer=data + bytes(8), strides=(1,))
-    factor = np.uint64(0x9FB21C651E98DF25)
-    with np.errstate(over="ignore"):
-        key = mix64(size.astype(np.uint64) + np.uint64(1))
-        live, at = np.flatnonzero(size <= LONG), 0
-        while len(live):
-            left = size[live] - at
-            some = eights[start[live] + at]
-            short = left < 8
-            some[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
-            key[live] = mix64((key[live] ^ some) * factor)
-            live, at = live[left > 8], at + 8
-    for k in np.flatnonzero(size > LONG):
-        key[k] = xxhash.xxh3_64_intdigest(data[start[k] : start[k] + size[k]])
-    return key
-
-
 def words_of(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """The texts in lower case, where their words begin, the words' bytes, and words by text."""
     data = b"\n".join([*texts, b""]).lower()
-    solid = np.ones(256, bool)
-    solid[list(b" \t\n\v\f\r")] = False
-    inside = solid[np.frombuffer(data, np.uint8)]
-    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    if len(inside) and inside[0]:
-        edge = np.append(0, edge)
-    start, stop = edge[::2], edge[1::2]
+    start, size = word_spans(data)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-    return data, start, stop - start, np.diff(np.searchsorted(start, ends), prepend=0)
+    return data, start, size, np.diff(np.searchsorted(start, ends), prepend=0)
 
 
 def training(id_col: Column) -> Column:
