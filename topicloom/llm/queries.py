@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import decontaminate, language, licenses, lines, mixing, records, secrets, simhash, substrings, suffix_tree
+from topicloom.llm import decontaminate, infill, language, licenses, lines, mixing, privacy, records, secrets, simhash, substrings, suffix_tree, treaps
 from topicloom.llm.common import table
 
 
@@ -59,8 +59,24 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = privacy.scan(docs, privacy.fit(docs))
+    return found.select(F.col("_id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term")
+
+
+def op12_inverted_treaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treaps.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.transform(table(spark, sf_dir, "documents"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return found.select(F.col("_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_temperature_mix, op2_token_records, op3_license_diagonals, op4_line_labels, op5_relative_parse, op6_decontaminate, op7_secret_models, op8_simhash, op9_suffix_tree, op10_language)}
+    return {f.__name__: f for f in (op1_temperature_mix, op2_token_records, op3_license_diagonals, op4_line_labels, op5_relative_parse, op6_decontaminate, op7_secret_models, op8_simhash, op9_suffix_tree, op10_language, op11_disclosure, op12_inverted_treaps, op13_infill)}
 
 
 OP1_SQL = r"""
@@ -87,4 +103,4 @@ SELECT doc_id, source, n AS n_tokens, epoch, before::BIGINT AS before,
 FROM placed WHERE epoch < full_passes OR (n_tokens > 0 AND budget > full_passes * n_tokens AND before < budget)
 """
 
-ORACLES = {"op1_temperature_mix": OP1_SQL, "op3_license_diagonals": licenses.SQL, "op5_relative_parse": substrings.SQL, "op6_decontaminate": decontaminate.SQL}
+ORACLES = {"op1_temperature_mix": OP1_SQL, "op3_license_diagonals": licenses.SQL, "op5_relative_parse": substrings.SQL, "op6_decontaminate": decontaminate.SQL, "op12_inverted_treaps": treaps.SQL, "op13_infill": infill.SQL}
