@@ -7,7 +7,7 @@ import pathlib
 import pytest
 from pyspark.errors import PySparkException
 
-from topicloom.sources import jsonl, remote, sinks
+from topicloom.sources import commits, jsonl, remote, sinks
 from topicloom.streaming import store
 
 LINES = ['{"_meta": true, "n": 1}', '{"url": "u1", "k": 1}', "", "{bad", "[1, 2]", "7", '{"url": "a b", "k": null}', '{"_manifest": true}', '{"_meta": false, "url": "u2"}', '{"url": " u1 "}']
@@ -83,9 +83,10 @@ def test_sinks(spark, tmp_path):
     assert '{"url":"b","t":null}' in back and "é" in back
     sinks.write_jsonl(df, path, mode="append")
     assert spark.read.json(path).where("url is not null").count() == 4
-    kept = sinks.backup_then_write(spark.read.json(path).where("url = 'b'"), path)
-    assert spark.read.json(path).count() == 2 and spark.read.json(kept).where("url is not null").count() == 4
-    assert sinks.backup_then_write(df, str(tmp_path / "fresh")) == ""
+    place = str(tmp_path / "store")
+    assert sinks.backup_then_write(df, place) is None
+    kept = sinks.backup_then_write(commits.read(spark, place, "url string, t string").where("url = 'b'").select("url", "t"), place)
+    assert kept == 1 and commits.read(spark, place, "url string").count() == 1 and commits.read(spark, place, "url string", kept).count() == 2
     sinks.write_ordered(df, str(tmp_path / "ordered"), [df["url"].desc()])
     assert [json.loads(x)["url"] for p in sorted((tmp_path / "ordered").glob("part-*")) for x in p.read_text().split("\n") if x] == ["é", "b"]
     assert json.loads(sinks.as_document(df, run="r"))["stories"][0] == {"url": "b", "t": None}
@@ -185,6 +186,90 @@ def test_streaming_store(spark, tmp_path):
     put(3, [(6, None), (7, "d")])
     store.accumulate(stream(), place, check, pos="pos").awaitTermination()
     assert sorted(r["pos"] for r in store.read_store(spark, place).collect()) == [0, 1, 4, 5, 7]
+    assert commits.numbers(spark, place) == [1, 2, 3]
+    assert sorted(r["pos"] for r in store.read_store(spark, place, 1).collect()) == [0, 1]
+
+
+def urls_frame(spark, numbers, prefix="u"):
+    return spark.createDataFrame([(k, f"{prefix}{k}") for k in numbers], "pos long, url string")
+
+
+def test_store_reads_touched_buckets_only(spark, tmp_path):
+    place = str(tmp_path / "store")
+    assert store.append(urls_frame(spark, range(400)), place, 0, buckets=64)
+    head = commits.pointer(spark, place)
+    batch = urls_frame(spark, [7, 1000])
+    where = store.touched(batch, head, "url")
+    assert 1 <= len(where) <= 3 and store.touched(urls_frame(spark, range(400)), head, "url") == sorted({int(p.name[7:]) for p in pathlib.Path(head["folders"][0]).glob("bucket=*")})
+    read = store.rows_of(spark, head, where)
+    assert {p.split("bucket=")[1].split("/")[0] for p in read.inputFiles()} > set(map(str, where))  # before planning, all
+    plan = read._jdf.queryExecution().executedPlan()
+    plan.execute()
+    assert f"bucket IN ({','.join(map(str, where))})" in plan.toString() or len(where) == 1
+    assert "PartitionFilters: []" not in plan.toString()
+    assert read.count() < 40
+    store.append(batch, place, 1)
+    assert sorted(r["pos"] for r in store.read_store(spark, place).where("pos > 399 or pos = 7").collect()) == [7, 1000]
+
+
+def test_store_never_misses_a_key(spark, tmp_path):
+    """Batches that overlap, filters put together, a compaction with more segments; against a set."""
+    place, seen = str(tmp_path / "store"), set()
+    before = store.APART, store.FULL
+    store.APART, store.FULL = 2, 20
+    try:
+        for number in range(5):
+            keys = range(number * 60, number * 60 + 150)
+            store.append(urls_frame(spark, keys), place, number, buckets=4)
+            seen |= set(keys)
+            if number == 2:
+                store.compact(spark, place)
+                assert commits.pointer(spark, place)["segments"] == 4
+    finally:
+        store.APART, store.FULL = before
+    got = [r["pos"] for r in store.read_store(spark, place).collect()]
+    assert sorted(got) == sorted(seen)
+
+
+def test_store_survives_a_batch_that_dies(spark, tmp_path, monkeypatch):
+    place = str(tmp_path / "store")
+    store.append(urls_frame(spark, range(5)), place, 0)
+
+    def dies(*a, **b):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", dies)
+        with pytest.raises(OSError):
+            store.append(urls_frame(spark, range(3, 9)), place, 1)
+    assert store.read_store(spark, place).count() == 5
+    assert store.append(urls_frame(spark, range(3, 9)), place, 1) and not store.append(urls_frame(spark, range(3, 9)), place, 1)
+    assert sorted(r["pos"] for r in store.read_store(spark, place).collect()) == list(range(9))
+    assert store.append(urls_frame(spark, range(20, 22)), place, 0, source="other") and store.read_store(spark, place).count() == 11
+
+
+def test_versions_of_a_store(spark, tmp_path, monkeypatch):
+    """A write that fails before its pointer leaves the old version readable; old versions can be read and restored."""
+    place = str(tmp_path / "v")
+    with pytest.raises(ValueError, match="no version"):
+        commits.read(spark, place, "url string")
+    urls_of = lambda version=None: sorted(r["url"] for r in commits.read(spark, place, "k long, url string", version).collect())
+    assert commits.replace(urls_frame(spark, [1, 2]).withColumnRenamed("pos", "k"), place, {"record_count": 2}) == 1
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", lambda *a, **b: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            commits.replace(urls_frame(spark, [3]).withColumnRenamed("pos", "k"), place)
+    assert urls_of() == ["u1", "u2"]
+    assert commits.replace(urls_frame(spark, [3]).withColumnRenamed("pos", "k"), place, {"record_count": 3}, append=True) == 2 and urls_of() == ["u1", "u2", "u3"]
+    kept = commits.read(spark, place, "k long, url string").where("k = 3").select("k", "url")
+    assert commits.replace(kept, place) == 3 and urls_of() == ["u3"] and urls_of(2) == ["u1", "u2", "u3"]
+    assert commits.restore(spark, place, 1) == 4 and urls_of() == ["u1", "u2"]
+    with pytest.raises(commits.Conflict):
+        commits.commit(spark, place, commits.pointer(spark, place, 2), [])
+    with pytest.raises(ValueError):
+        commits.restore(spark, place, 9)
+    assert [tuple(r)[0:1] + tuple(r)[2:] for r in commits.history(spark, place).collect()] == [(4, 1, 2, 1), (3, 1, None, None), (2, 2, 3, None), (1, 1, 2, None)]
+    assert not [p for p in pathlib.Path(place, "_versions").iterdir() if p.name.startswith(".") and not p.name.endswith(".crc")]
 
 
 def test_streaming_counts(spark, tmp_path, sf_dir):

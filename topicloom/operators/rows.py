@@ -31,6 +31,11 @@ def _spread(df: DataFrame, key: str) -> Column:
     return F.when(present(F.col(key).cast("string")), F.col(key).cast("string")).otherwise(F.concat(F.lit("\0"), F.xxhash64(*others).cast("string")))
 
 
+def _apart(df: DataFrame, key: str) -> DataFrame:
+    """The rows with ``_lk``, the key as text; a row without one has a text that no key is."""
+    return df.withColumn("_lk", F.when(F.col(key).cast("string") == "", F.lit("")).otherwise(_spread(df, key)))
+
+
 def first_wins(df: DataFrame, key: str, pos: str, blank: bool = False) -> DataFrame:
     """The first row of each key; rows without a key are dropped unless ``blank``."""
     return _winner(df if blank else df.where(present(F.col(key))), key, pos, F.min_by)
@@ -47,9 +52,12 @@ def distinct_in_order(df: DataFrame, key: str, pos: str) -> DataFrame:
 
 
 def unseen(new: DataFrame, store: DataFrame, key: str) -> DataFrame:
-    """Rows whose key isn't in the store; null is a key like others."""
-    seen = store.select(F.col(key).alias("_seen")).distinct()
-    return new.join(seen, new[key].eqNullSafe(seen["_seen"]), "left_anti")
+    """Rows whose key isn't in the store; null is a key like others, but rows with it aren't gathered: one row tells whether
+    the store has it."""
+    seen = store.select(F.col(key).cast("string").alias("_seen")).where("_seen is not null").distinct()
+    fresh = _apart(new, key).join(seen, F.col("_lk") == seen["_seen"], "left_anti").drop("_lk")
+    null = store.where(F.col(key).isNull()).select(F.lit(True).alias("_null")).limit(1)
+    return fresh.join(F.broadcast(null), F.col(key).isNull() & F.col("_null"), "left_anti")
 
 
 def append_unseen(store: DataFrame, new: DataFrame, key: str, dedupe_pos: str | None = None) -> DataFrame:
@@ -67,8 +75,7 @@ def accepted_first(df: DataFrame, passes: Column, key: str, pos: str, existing:
 def _looked_up(left: DataFrame, right: DataFrame, key: str, pos: str, columns: list[str]) -> DataFrame:
     """Left rows with ``_found`` and ``_r_`` columns of the last right row of their key. An empty key is one like others."""
     index = last_wins(right, key, pos).select(F.col(key).cast("string").alias("_rk"), F.lit(True).alias("_found"), *[F.col(c).alias(f"_r_{c}") for c in columns])
-    own = F.when(F.col(key).cast("string") == "", F.lit("")).otherwise(_spread(left, key))
-    return left.withColumn("_lk", own).join(index, F.col("_lk") == index["_rk"], "left").drop("_lk", "_rk")
+    return _apart(left, key).join(index, F.col("_lk") == index["_rk"], "left").drop("_lk", "_rk")
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, pos: str, columns: list[str], override: bool = False) -> DataFrame:
@@ -81,8 +88,8 @@ def lookup(left: DataFrame, right: DataFrame, key: str, pos: str, columns: list[
 
 def missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left rows that a lookup wouldn't find."""
-    keys = right.select(key).distinct()
-    return left.join(keys, key, "left_anti")
+    keys = right.select(F.col(key).cast("string").alias("_seen")).where("_seen is not null").distinct()
+    return _apart(left, key).join(keys, F.col("_lk") == keys["_seen"], "left_anti").drop("_lk")
 
 
 def checked_lookup(left: DataFrame, right: DataFrame, key: str, pos: str, columns: list[str]) -> DataFrame:

@@ -6,11 +6,12 @@ import json
 import tempfile
 import uuid
 from collections.abc import Callable
-from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.sources import commits
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share (spark.checkpoint.dir); on one machine without it, a temporary one."""
@@ -65,19 +66,12 @@ def placeholder(df: DataFrame, path: str, topic: str) -> None:
     write_jsonl(df.limit(0), path, {"_meta": True, "topic": topic, "record_count": 0})
 
 
-def backup_then_write(df: DataFrame, path: str, header: dict | None = None, now: Callable[[], datetime] = lambda: datetime.now(UTC)) -> str:
-    """Keep what is at ``path`` under a stamped name, then overwrite it; the backup's path, or an empty string."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    kept = f"{path}.{now():%Y%m%dT%H%M%S%f}" if store.exists(target) else ""
-    fresh = f"{path}.new"
-    write_jsonl(df, fresh, header)  # df may read the store that it replaces
-    if kept:
-        store.rename(target, jvm.org.apache.hadoop.fs.Path(kept))
-    store.rename(jvm.org.apache.hadoop.fs.Path(fresh), target)
-    return kept
+def backup_then_write(df: DataFrame, store: str, header: dict | None = None) -> int | None:
+    """Replace a store's rows and keep those it had: the number of the version that is the backup now, None for a new store. Readers see
+    the old rows or the new ones, whenever this ends. Read either with ``commits.read``."""
+    before = commits.pointer(df.sparkSession, store)
+    commits.replace(df, store, header)
+    return before["version"] if before else None
 
 
 def publish(path: str, publisher: Callable[[str], None] | None = None) -> bool:
