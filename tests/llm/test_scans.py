@@ -295,32 +295,94 @@ def test_secrets_awkward(spark, sf_dir):
 
 
 def test_secrets_out_of_their_patterns(spark):
-    """Secrets that no base rule matches, in texts the models haven't seen: found by ratio; and false spans by words."""
+    """Secrets that no base rule matches, in texts the models haven't seen: found by ratio, by length; and false spans by words."""
     docs = documents(spark, "/root/testdata/sf0.1").select("doc_id", "text")
     models = secrets.fit(docs.where("doc_id % 2 = 0"))
-    assert models.recall >= 0.9 and models.false_share <= 1e-4
-    rng, made = np.random.default_rng(9), []
-    for alphabet, low in (("0123456789abcdef", 24), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20), ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 20), ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 20)):
-        made += ["".join(rng.choice(list(alphabet), rng.integers(low, 32))) for _ in range(100)]
+    rng, made = np.random.default_rng(9), defaultdict(list)
+    for size in range(8, 32):
+        for alphabet in ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+            made[size] += [x for x in ("".join(rng.choice(list(alphabet), size)) for _ in range(100)) if x[0] not in "+/" and x[-1] not in "+/"]
     known = [r["text"] for r in docs.where("doc_id % 2 = 1 and text rlike '[0-9a-f]{40}'").collect()]
-    taken = [m[2][:31] for t in known for m in secrets.ASSIGN.finditer(t)]  # without the keyword, and shorter than the rule for hex
+    taken = [m[2][:31].decode() for t in known for m in secrets.ASSIGN.finditer(t.encode())]  # without the keyword, and shorter than the rule for hex
     assert len(taken) > 30
-    texts = [f"see the line {x} in the file" for x in made + taken]
-    got = secrets.scan(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), models).collect()
-    hits = {r["_id"] for r in got if r["spans"] == f"markov:13:{13 + len((made + taken)[r['_id']])}"}
+    every = [*[x for xs in made.values() for x in xs], *taken]
+    got = secrets.scan(spark.createDataFrame([(k, f"see the line {x} in the file") for k, x in enumerate(every)], "doc_id long, text string"), models).collect()
+    hits = {every[r["_id"]] for r in got if r["spans"] == f"markov:13:{13 + len(every[r['_id']])}"}
     assert all(r["n_assign"] == r["n_access"] == r["n_hex"] == 0 for r in got)
-    assert sum(k in hits for k in range(len(made))) >= 0.9 * len(made) and sum(k + len(made) in hits for k in range(len(taken))) >= 0.9 * len(taken)
+    recall = {size: sum(x in hits for x in xs) / len(xs) for size, xs in made.items()}
+    print({k: round(v, 2) for k, v in recall.items()})
+    assert min(recall[size] for size in range(12, 32)) >= 0.9 and min(recall.values()) >= 0.5
+    assert sum(x in hits for x in taken) >= 0.9 * len(taken)
+    assert (models.false_share <= 1e-4).all() and (models.recall[2:] >= 0.9).all()
     clean = secrets.scan(docs.where("doc_id % 2 = 1"), models)
     words = docs.where("doc_id % 2 = 1").selectExpr("sum(size(split(text, ' '))) AS n").first()["n"]
-    assert clean.agg({"n_markov": "sum"}).first()[0] <= words / 1e6
+    assert clean.agg({"n_markov": "sum"}).first()[0] <= 20 * words / 1e6
     words = " ".join(r["text"] for r in docs.where("doc_id % 2 = 1").limit(300).collect()).split()
     joined = ["_".join(words[k : k + 3]) + "(" + words[k + 3].title() + words[k + 4].title() + ")" for k in range(0, len(words) - 5, 5)]
-    assert len(secrets.spans_of(" ".join(joined), models)[1]) <= 1e-3 * len(joined)
+    text = " ".join(joined)
+    wrong = {text[a:b] for a, k, b in secrets.spans_of(text, models) if k == 3 and not re.fullmatch("[0-9A-Fa-f]{32,}", text[a:b])}
+    assert len(wrong) <= 1e-3 * len(set(joined))  # of all lengths
+
+
+def test_spans_by_a_plain_loop(spark, sf_dir):
+    """The array form against a token at a time."""
+    models = secrets.fit(documents(spark, sf_dir))
+    models.thresholds = models.thresholds - 20  # so that many are over it
+    given = [t or "" for _, t in texts_of(spark, sf_dir)[:60]] + [t or "" for t in SECRET_TEXTS] + ["é==aB3dE5gH7é--Zx9Qw2Lp8._", "." * 50, "password=aB3dE5gH7jK", ""]
+    for text, spans in zip(given, secrets.Scanned([t.encode() for t in given], models).spans, strict=True):
+        data, want = text.encode(), []
+        base = secrets.base_spans(data)
+        for m in re.finditer(rb"[A-Za-z0-9+/_.=-]+", data):
+            token = m.group().strip(b"._=-/+")
+            start = m.start() + m.group().index(token)
+            if len(token) >= 8 and secrets.clear(base, start, start + len(token)):
+                codes = [secrets.START, *[secrets.PLACE[c] for c in token]]
+                value = sum(models.ratio[a, b] for a, b in zip(codes, codes[1:], strict=False))
+                if value > models.thresholds[max(k for k, n in enumerate(secrets.LENGTHS) if len(token) >= n)]:
+                    want.append((start, 3, start + len(token)))
+        want = [(len(data[:a].decode()), k, len(data[:b].decode())) for a, k, b in sorted(base + want)]
+        assert spans == want
+
+
+def test_fit_by_a_plain_loop(spark):
+    """Ratios and thresholds of a small corpus, counted without Spark; an id that's repeated doesn't fill the sample."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(3, 14))) for _ in range(400)]
+    given = [(k, " ".join(rng.choice(words, 60)) + f" token={'aB3' * 5}{k} ") for k in range(30)]
+    docs = spark.createDataFrame([*given, *[given[0]] * 50], "doc_id long, text string")
+    models = secrets.fit(docs, most=30)
+    folds = {r["doc_id"]: r["f"] for r in docs.selectExpr("doc_id", "pmod(xxhash64(cast(doc_id AS string)), 2) AS f").distinct().collect()}
+    assert len(folds) == 30
+
+    def labelled(text):
+        data = text.encode()
+        spans = secrets.base_spans(data)
+        ordinary = [m.group() for m in re.finditer(rb"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{6,}", data) if secrets.clear(spans, m.start(), m.end())]
+        return [(1, secrets.secret_part(data, s)) for s in spans] + [(0, x) for x in [*ordinary, *secrets.identifiers(ordinary)]]
+
+    pairs = {0: Counter(), 1: Counter(c for x in secrets.made_strings() for c in secrets.steps(x).elements())}
+    for k, text in given:
+        if folds[k] == 0:
+            for label, token in labelled(text):
+                pairs[label] += secrets.steps(token)
+    want = secrets.Models(pairs[1], pairs[0])
+    assert np.allclose(want.ratio, models.ratio)
+    held = defaultdict(list)
+    for label, token in [*[(1, x) for x in secrets.made_strings(21)], *[x for k, text in given if folds[k] == 1 for x in labelled(text)]]:
+        token = token.strip(b"._=-/+")
+        if len(token) >= 8:
+            held[label, max(k for k, n in enumerate(secrets.LENGTHS) if len(token) >= n)].append(want.score(token))
+    for k in range(len(secrets.LENGTHS)):
+        if held[0, k]:
+            assert sum(x >= models.thresholds[k] for x in held[0, k]) <= 1e-4 * len(held[0, k])
+        else:
+            assert models.thresholds[k] == secrets.PRIOR
+        assert abs(models.recall[k] - sum(x >= models.thresholds[k] for x in held[1, k]) / len(held[1, k])) < 1e-9
 
 
 def test_threshold():
     models = secrets.Models(Counter(), Counter())
-    models.set_threshold(Counter({40: 95, 20: 5}), Counter({-8: 99_999, 8: 1}))
-    assert 8 * secrets.BIN <= models.threshold <= 40 * secrets.BIN and models.recall >= 0.95 and models.false_share <= 1e-4
-    models.set_threshold(Counter({4: 10}), Counter({-8: 9, 8: 1}))  # no place keeps both: ordinary tokens come first
-    assert models.threshold > 8 * secrets.BIN and models.false_share == 0
+    models.set_threshold(2, Counter({40: 95, 20: 5}), Counter({-8: 99_999, 8: 1}))
+    assert 8 * secrets.BIN <= models.thresholds[2] <= 40 * secrets.BIN and models.recall[2] >= 0.95 and models.false_share[2] <= 1e-4
+    models.set_threshold(2, Counter({4: 10}), Counter({-8: 9, 8: 1}))  # no place keeps both: ordinary tokens come first
+    assert models.thresholds[2] > 8 * secrets.BIN and models.false_share[2] == 0 and models.thresholds[3] == secrets.PRIOR

@@ -75,16 +75,16 @@ def test_secret_spans(spark, tables):
     seen = Counter()
     for doc, text in given:
         text = text or ""
-        spans = [(m.start(), 0, m.end()) for m in secrets.ASSIGN.finditer(text) if len(m[2]) >= 8]
+        spans = [(m.start(), 0, m.end()) for m in re.finditer(secrets.ASSIGN.pattern.decode(), text, re.IGNORECASE | re.ASCII) if len(m[2]) >= 8]
         spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
         spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
         more = []
         for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", text):
             token = m[0].strip("._=-/+")
             a = m.start() + m[0].index(token) if token else 0
-            if len(m[0]) >= 16 and len(token) >= 16 and not any(s < a + len(token) and a < e for s, _, e in spans):
+            if len(token) >= 8 and not any(s < a + len(token) and a < e for s, _, e in spans):
                 pairs = zip([secrets.START, *[place[c] for c in token]], [place[c] for c in token], strict=False)
-                if sum(models.ratio[x, y] for x, y in pairs) > models.threshold:
+                if sum(models.ratio[x, y] for x, y in pairs) > models.thresholds[max(k for k, n in enumerate(secrets.LENGTHS) if len(token) >= n)]:
                     more.append((a, 3, a + len(token)))
         assert got[doc] == ",".join(f"{('assign', 'access', 'hex', 'markov')[k]}:{s}:{e}" for s, k, e in sorted(spans + more)), doc
         seen.update(k for _, k, _ in spans + more)

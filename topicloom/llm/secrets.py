@@ -1,8 +1,8 @@
 """Secrets by patterns and by character Markov models.
 
 Two first-order Markov models over the characters of tokens, one of random strings and one
-of ordinary identifiers, are trained from labelled samples. A long token is a secret if its
-log-likelihood ratio exceeds a threshold, which is set on labelled samples held out from the
+of ordinary identifiers, are trained from labelled samples. A token of 8 characters or more is a secret if its
+log-likelihood ratio exceeds the threshold for its length. Thresholds are set on labelled samples held out from the
 training: random strings taken out of the base rules' patterns, and tokens that aren't secrets.
 """
 
@@ -20,23 +20,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import bounded, slices
+from topicloom.llm.blobs import spread
+from topicloom.llm.common import bounded, slices, texts
 
-#: The patterns of the base rules.
-ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
-ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-HEX = re.compile(r"[0-9a-f]+")
-#: Runs of hexadecimal digits of 32 or more, which are HEX's matches of that length.
-LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+#: The patterns of the base rules, on UTF-8 bytes; all that they match is ASCII.
+ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
+ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
+#: Runs of hexadecimal digits of 32 or more, which are the rule's matches of that length.
+LONG_HEX = re.compile(rb"(?<![0-9a-f])[0-9a-f]{32,}")
+KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 KINDS = ("assign", "access", "hex", "markov")
 CHARS = string.ascii_letters + string.digits + "+/_.=-"
-#: Tokens that the models judge, and the ordinary ones that they learn from.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
-ORDINARY = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{6,}")
-#: The sample: documents, and random strings that are made for it.
+#: Punctuation that isn't judged at a token's ends.
+EDGES = "._=-/+"
+#: Ordinary tokens that the models learn from.
+ORDINARY = re.compile(rb"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{6,}")
+#: Least lengths of the classes that have a threshold of their own; shorter tokens aren't judged, as the base rules take none.
+LENGTHS = (8, 10, 12, 14, 16, 20, 24)
+#: The sample: documents, and random strings that are made for it, of each alphabet and class of lengths.
 TRAIN_DOCS, MADE = 3000, 400
-#: Share of ordinary tokens that may be taken for secrets, and of secrets that may be missed, where the threshold can be set so.
+#: Share of ordinary tokens that may be taken for secrets, and of secrets that may be missed, where a threshold can be set so.
 FALSE_SHARE, MISSED_SHARE = 1e-4, 0.05
 #: Threshold without a sample of ordinary tokens.
 PRIOR = 12.0
@@ -44,15 +47,19 @@ PRIOR = 12.0
 BIN = 0.25
 PLACE = {ord(c): k for k, c in enumerate(CHARS)}
 START = len(CHARS)
+CODE = np.full(256, -1, np.int64)
+CODE[list(PLACE)] = list(PLACE.values())
+EDGE = np.zeros(256, bool)
+EDGE[list(EDGES.encode())] = True
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the base rules, by start, then kind."""
+def base_spans(text: bytes) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the base rules, by start, then kind, in bytes."""
     found = []
     low = text.lower()
     if any(k in low for k in KEYWORDS):
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
-    if "AKIA" in text:
+    if b"AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(m.start(), 2, m.end()) for m in LONG_HEX.finditer(text)]
     return sorted(found)
@@ -62,87 +69,100 @@ def clear(spans: list[tuple[int, int, int]], start: int, end: int) -> bool:
     return all(e <= start or s >= end for s, _, e in spans)
 
 
-def secret_part(text: str, span: tuple[int, int, int]) -> str:
+def secret_part(text: bytes, span: tuple[int, int, int]) -> bytes:
     """The random string in a base span."""
     start, kind, end = span
     return ASSIGN.match(text, start).group(2) if kind == 0 else text[start:end]
 
 
-def steps(token: str) -> Counter:
+def steps(token: bytes) -> Counter:
     """Pairs of characters, the first after the start mark."""
-    codes = [START, *[PLACE[ord(c)] for c in token]]
+    codes = [START, *[PLACE[c] for c in token]]
     return Counter(zip(codes[:-1], codes[1:], strict=True))
 
 
-def made_strings(seed: int = 20) -> list[str]:
-    """Labelled random strings over the usual alphabets of secrets, the same ones each time."""
+def made_strings(seed: int = 20) -> list[bytes]:
+    """Labelled random strings over the usual alphabets of secrets, of all lengths, the same ones each time."""
     rng = random.Random(seed)
     alphabets = ["0123456789abcdef", string.ascii_uppercase + string.digits, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"]
-    return ["".join(rng.choices(a, k=rng.randint(16, 48))) for a in alphabets for _ in range(MADE)]
+    ends = [*[n - 1 for n in LENGTHS[1:]], 48]
+    return ["".join(rng.choices(a, k=rng.randint(low, high))).encode() for low, high in zip(LENGTHS, ends, strict=True) for a in alphabets for _ in range(MADE)]
 
 
-def identifiers(words: list[str]) -> Iterator[str]:
+def identifiers(words: list[bytes]) -> Iterator[bytes]:
     """Labelled ordinary tokens as code and links have them, joined from words of a text."""
     for k in range(0, len(words) - 2, 3):
-        a, b, c = (w.strip("._=-/+").lower() for w in words[k : k + 3])
-        yield (f"{a}_{b}_{c}", f"{a}{b.title()}{c.title()}", f"{a}-{b}-{c}", f"{a}/{b}/{c}.html", f"{a}_{b}".upper())[k // 3 % 5]
+        a, b, c = (w.strip(EDGES.encode()).lower() for w in words[k : k + 3])
+        yield (a + b"_" + b + b"_" + c, a + b.title() + c.title(), a + b"-" + b + b"-" + c, a + b"/" + b + b"/" + c + b".html", (a + b"_" + b).upper(), a.title() + b.title(), a + b.title())[k // 3 % 7]
 
 
-def candidate(token: str) -> str:
+def candidate(token: bytes) -> bytes:
     """What the models judge of a token: without punctuation at its ends; empty if it's too short."""
-    token = token.strip("._=-/+")
-    return token if len(token) >= 16 else ""
+    token = token.strip(EDGES.encode())
+    return token if len(token) >= LENGTHS[0] else b""
 
 
-class Models:
-    """Log-likelihood ratio of each pair of characters: random strings against ordinary identifiers. threshold: of a secret's ratio;
-    recall and false_share: of held-out samples above it."""
+def length_class(size: np.ndarray | int) -> np.ndarray | int:
+    return np.searchsorted(LENGTHS, size, "right") - 1
+
 
-    threshold, recall, false_share = PRIOR, float("nan"), float("nan")
+class Models:
+    """Log-likelihood ratio of each pair of characters: random strings against ordinary identifiers. thresholds: of a secret's ratio, by class of
+    lengths; recall and false_share: of held-out samples above them, by class."""
 
     def __init__(self, random_pairs: Counter, ordinary_pairs: Counter):
         self.ratio = np.zeros((START + 1, START + 1))
+        self.thresholds = np.full(len(LENGTHS), PRIOR)
+        self.recall, self.false_share = np.full(len(LENGTHS), np.nan), np.full(len(LENGTHS), np.nan)
         for sign, pairs in ((1, random_pairs), (-1, ordinary_pairs)):
             table = np.full((START + 1, START), 0.5)
             for (a, b), n in pairs.items():
                 table[a, b] += n
             self.ratio[:, :START] += sign * np.log(table / table.sum(axis=1, keepdims=True))
 
-    def score(self, token: str) -> float:
-        codes = np.array([START, *[PLACE[ord(c)] for c in token]])
-        return float(self.ratio[codes[:-1], codes[1:]].sum())
-
-
-    def set_threshold(self, secret: Counter, ordinary: Counter) -> None:
-        """From numbers of held-out tokens by bin of their ratio: in the middle of where both shares of errors are met; if there is
-        no such place, where that of ordinary tokens is."""
+    def scores(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Ratios of tokens in bytes, all at once."""
+        if not len(start):
+            return np.zeros(0)
+        code = CODE[data[spread(start, size)]]
+        before = np.append(START, code[:-1])
+        first = np.cumsum(size) - size
+        before[first] = START
+        return np.add.reduceat(self.ratio[before, code], first)
+
+    def score(self, token: bytes) -> float:
+        return float(self.scores(np.frombuffer(token, np.uint8), np.array([0]), np.array([len(token)]))[0])
+
+    def set_threshold(self, k: int, secret: Counter, ordinary: Counter) -> None:
+        """Of class ``k`` from numbers of held-out tokens by bin of their ratio: in the middle of where both shares of errors are met;
+        if there is no such place, where that of ordinary tokens is."""
         bins = np.arange(min([*secret, *ordinary, 0]), max([*secret, *ordinary, 0]) + 2)
-        above = lambda c: np.cumsum([c[k] for k in bins[::-1].tolist()])[::-1] / max(c.total(), 1)
+        above = lambda c: np.cumsum([c[x] for x in bins[::-1].tolist()])[::-1] / max(c.total(), 1)
         false, found = above(ordinary), above(secret)
         good = np.flatnonzero(false <= FALSE_SHARE)
         both = good[found[good] >= 1 - MISSED_SHARE]
-        k = both[len(both) // 2] if len(both) else good[0]
+        at = both[len(both) // 2] if len(both) else good[0]
         if ordinary.total():
-            self.threshold = float(bins[k] * BIN)
-        at = min(int(np.searchsorted(bins, self.threshold / BIN)), len(bins) - 1)
-        self.recall, self.false_share = float(found[at]), float(false[at])
+            self.thresholds[k] = float(bins[at] * BIN)
+        at = min(int(np.searchsorted(bins, self.thresholds[k] / BIN)), len(bins) - 1)
+        self.recall[k], self.false_share[k] = float(found[at]), float(false[at])
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Models:
     """Train on at most ``most`` documents (least hashes of their ids; of a repeated id one): strings in base spans are labelled
     random, beside those of ``made_strings``; other tokens of six characters or more, and ``identifiers`` of them, are
-    labelled ordinary. Half of the documents, by hash, and strings of another seed are held out, to set the threshold."""
-    known = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"))
-    chosen = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(most).distinct())
+    labelled ordinary. Half of the documents, by hash, and strings of another seed are held out, to set the thresholds."""
+    known = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
+    chosen = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(most))
     source = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
     one = source.join(chosen, "_id", "left_semi").groupBy("_id").agg(F.max("_text").alias("_text"))
     fold = lambda k: one.where(F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(2)) == k).select("_text")
 
-    def tokens(text: str) -> Iterator[tuple[int, str]]:
+    def tokens(text: bytes) -> Iterator[tuple[int, bytes]]:
         """Labelled tokens, 1: random."""
         spans, words = base_spans(text), []
         for s in spans:
-            yield 1, "".join(c for c in secret_part(text, s) if ord(c) in PLACE)
+            yield 1, bytes(c for c in secret_part(text, s) if c in PLACE)
         for m in ORDINARY.finditer(text):
             if clear(spans, m.start(), m.end()):
                 words.append(m.group())
@@ -153,7 +173,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: i
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for batch in slices(batches, "_text"):
-            for text in batch.column("_text").to_pylist():
+            for text in texts(batch, "_text"):
                 for label, token in tokens(text):
                     counts[label].update(steps(token))
         rows = [(k, a, b, n) for k, c in counts.items() for (a, b), n in c.items()]
@@ -168,32 +188,66 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: i
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in slices(batches, "_text"):
-            for text in batch.column("_text").to_pylist():
+            for text in texts(batch, "_text"):
                 for label, token in tokens(text):
                     if token := candidate(token):
-                        seen[label, int(state.value.score(token) // BIN)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.int64()), pa.array([k[1] for k in seen], pa.int64()), pa.array([*seen.values()], pa.int64())], names=["k", "bin", "n"])
-
-    held: dict[int, Counter] = {0: Counter(), 1: Counter(int(models.score(x) // BIN) for x in made_strings(21))}
-    for r in fold(1).mapInArrow(judge, "k long, bin long, n long").groupBy("k", "bin").agg(F.sum("n").alias("n")).collect():  # bins of ratios
-        held[r["k"]][r["bin"]] += r["n"]
-    models.set_threshold(held[1], held[0])
+                        seen[label, int(length_class(len(token))), int(state.value.score(token) // BIN)] += 1
+        yield pa.RecordBatch.from_arrays([*[pa.array([x[k] for x in seen], pa.int64()) for k in range(3)], pa.array([*seen.values()], pa.int64())], names=["k", "size", "bin", "n"])
+
+    held = {(label, k): Counter() for label in (0, 1) for k in range(len(LENGTHS))}
+    for x in filter(None, map(candidate, made_strings(21))):
+        held[1, int(length_class(len(x)))][int(models.score(x) // BIN)] += 1
+    for r in fold(1).mapInArrow(judge, "k long, size long, bin long, n long").groupBy("k", "size", "bin").agg(F.sum("n").alias("n")).collect():  # bins of ratios
+        held[r["k"], r["size"]][r["bin"]] += r["n"]
+    for k in range(len(LENGTHS)):
+        models.set_threshold(k, held[1, k], held[0, k])
     return models
 
 
-def spans_of(text: str, models: Models) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], float]:
-    """Base spans, all spans, and the largest log-likelihood ratio of a candidate outside base spans (0: none)."""
-    base = base_spans(text)
-    extra, top = [], 0.0
-    for m in CANDIDATE.finditer(text):
-        token = candidate(m.group())
-        start = m.start() + m.group().index(token) if token else 0
-        if token and clear(base, start, start + len(token)):
-            value = models.score(token)
-            top = max(top, value)
-            if value > models.threshold:
-                extra.append((start, 3, start + len(token)))
-    return base, sorted(base + extra), top
+class Scanned:
+    """Several texts joined by line feeds, which no token and no base span passes: spans by text, in code points."""
+
+    def __init__(self, docs: list[bytes], models: Models):
+        size = np.array([len(d) for d in docs], np.int64)
+        start = np.cumsum(size + 1) - size - 1
+        data = np.frombuffer(b"\n".join([*docs, b""]), np.uint8)
+        base = [(s + a, k, s + b) for s, d in zip(start.tolist(), docs, strict=True) for a, k, b in base_spans(d)]
+        left, kind, right = (np.array([b[k] for b in base], np.int64) for k in range(3))
+        # tokens, without punctuation at their ends
+        inside = np.concatenate([[False], CODE[data] >= 0, [False]])
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        at, end = edge[::2], edge[1::2]
+        some = end - at >= LENGTHS[0]
+        at, end = at[some], end[some]
+        solid = np.flatnonzero(~EDGE[data])
+        low, high = np.searchsorted(solid, at), np.searchsorted(solid, end)
+        at, end, some = at[low < high], end[low < high], np.flatnonzero(low < high)
+        at, end = solid[low[some]], solid[high[some] - 1] + 1
+        # those of a judged length outside of base spans
+        cover = np.zeros(len(data) + 2, np.int32)
+        np.add.at(cover, left, 1)
+        np.add.at(cover, right, -1)
+        covered = np.append(0, np.cumsum(np.cumsum(cover)[:-1] > 0))
+        good = (end - at >= LENGTHS[0]) & (covered[end] == covered[at])
+        at, end = at[good], end[good]
+        value = models.scores(data, at, end - at)
+        self.doc_of = np.searchsorted(start, at, "right") - 1
+        self.value = value
+        hit = value > models.thresholds[length_class(end - at)]
+        points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+        every = [np.concatenate(x) for x in ((left, at[hit]), (kind, np.full(hit.sum(), 3)), (right, end[hit]))]
+        doc = np.searchsorted(start, every[0], "right") - 1
+        order = np.lexsort((every[1], every[0]))
+        self.spans: list[list[tuple[int, int, int]]] = [[] for _ in docs]
+        for d, a, k, b in zip(*(x[order].tolist() for x in (doc, points[every[0]] - points[start[doc]], every[1], points[every[2]] - points[start[doc]])), strict=True):
+            self.spans[d].append((a, k, b))
+        self.top = np.zeros(len(docs))
+        np.maximum.at(self.top, self.doc_of, value)
+
+
+def spans_of(text: str, models: Models) -> list[tuple[int, int, int]]:
+    """All spans of a text."""
+    return Scanned([text.encode()], models).spans[0]
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -211,16 +265,12 @@ def scan(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            counts, digests, spans, extra, tops = [[], [], []], [], [], [], []
-            for text in batch.column("_text").to_pylist():
-                base, every, top = spans_of(text or "", state.value)
-                for k in range(3):
-                    counts[k].append(sum(s[1] == k for s in base))
-                digests.append(hashlib.sha256(written(base).encode()).hexdigest())
-                spans.append(written(every))
-                extra.append(len(every) - len(base))
-                tops.append(top)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), *[pa.array(c, pa.int64()) for c in counts], pa.array(digests), pa.array(spans), pa.array(extra, pa.int64()), pa.array(tops, pa.float64())], names=["_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov", "top_ratio"])
+            found = Scanned(texts(batch, "_text"), state.value)
+            base = [[s for s in spans if s[1] < 3] for spans in found.spans]
+            counts = [[sum(s[1] == k for s in spans) for spans in found.spans] for k in range(4)]
+            digests = [hashlib.sha256(written(spans).encode()).hexdigest() for spans in base]
+            columns = [*[pa.array(c, pa.int64()) for c in counts[:3]], pa.array(digests, pa.string()), pa.array(list(map(written, found.spans)), pa.string()), pa.array(counts[3], pa.int64()), pa.array(found.top)]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), *columns], names=["_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov", "top_ratio"])
 
     return source.mapInArrow(run, SCHEMA.format(id=source.schema["_id"].dataType.simpleString()))
 
@@ -238,7 +288,7 @@ def redact(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: st
             for text in batch.column("_text").to_pylist():
                 if text:
                     parts, at = [], 0
-                    for start, _, end in spans_of(text, state.value)[1]:
+                    for start, _, end in spans_of(text, state.value):
                         if start >= at:
                             parts += [text[at:start], mark]
                         at = max(at, end)
