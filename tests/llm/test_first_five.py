@@ -1,7 +1,9 @@
 """Mixing, records, decontamination, SimHash and language ID against brute force."""
 
 import hashlib
+import pickle
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -223,6 +225,25 @@ def test_decontaminate_repeated_items(spark):
         assert r["longest"] == max(same(w[i:], g) for i in range(len(w)) for g in grams) and r["longest_item"] is not None
 
 
+def test_decontaminate_real_blocks(spark):
+    """Five blocks of half a megabyte each; the driver holds little for one."""
+    rng = np.random.default_rng(3)
+    vocab = np.array([f"v{k}" for k in range(20_000)])
+    items = [(k, " ".join(vocab[rng.integers(0, len(vocab), 100)])) for k in range(3400)]
+    texts = [" ".join([*vocab[rng.integers(0, len(vocab), 30)], *items[int(k)][1].split()[: 10 + n % 60], *vocab[rng.integers(0, len(vocab), 30)]]) for n, k in enumerate(rng.integers(0, 3400, 80))]
+    bench, docs = spark.createDataFrame(items, "item_id long, text string").repartition(4), spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    assert decontaminate.block_count(bench, "text", 1 << 19) == 5
+    want = sorted(expected_hits([*enumerate(texts)], items))
+    for block_bytes in (1 << 19, decontaminate.BLOCK_BYTES):
+        found = decontaminate.judged(decontaminate.matches(docs, bench, block_bytes=block_bytes)).collect()
+        assert sorted(tuple(r[c] for c in ("_id", *COLUMNS)) for r in found) == want
+    tracemalloc.start()
+    queries_ = decontaminate.Queries((str(k), t.encode()) for k, t in items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * sum(len(t) for _, t in items) and len(pickle.dumps(queries_)) < 5 * sum(len(t) for _, t in items)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(-1, 2), min_size=1, max_size=60), st.integers(1, 8))
 def test_suffix_array(flat, depth):

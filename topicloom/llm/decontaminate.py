@@ -11,56 +11,68 @@ match no window and are left out of the array.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from topicloom.llm.blobs import grouped, spread
-from topicloom.llm.common import alnum_words, bounded, slices, texts
+from topicloom.llm.common import alnum_words, bounded, shared_path, slices, texts
 
 WINDOW = 13
 #: Bytes of benchmark text sent to executors at once; a larger benchmark is searched in blocks of about this size.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SCHEMA = "_id {id}, _th long, n_words long, hits array<struct<start:long,stop:long>>, items array<string>, longest long, longest_at long, longest_item string"
 
 
 class Queries:
-    """Windows and suffixes of a block of benchmark items; items of the same words are searched for once."""
+    """Windows and suffixes of a block of benchmark items, as arrays; items of the same words are searched for once."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: Iterable[tuple[str, bytes]], window: int = WINDOW):
         self.vocab: dict[bytes, int] = {}
-        self.window, flat, suffix, size, left, owner = window, [], [], [], [], []
-        names: dict[tuple[int, ...], list[str]] = {}
+        self.window, every, known = window, [], {}
+        self.names: list[list[str]] = []
         for name, text in items:
-            words = tuple(self.vocab.setdefault(w, len(self.vocab)) for w in alnum_words(text))
-            if words:
-                names.setdefault(words, []).append(name)
-        self.names = [sorted(set(x)) for x in names.values()]
-        for k, words in enumerate(names):
-            n = min(window, len(words))
-            for i in range(len(words) - n + 1):
-                suffix.append(len(flat) + i)
-                size.append(n)
-                left.append(len(words) - i)
-                owner.append(k)
-            flat += [*words, -2]
-        self.flat = np.array([*flat, *[-2] * window], np.int64)
-        suffix, size, left, owner = (np.array(x, np.int64) for x in (suffix, size, left, owner))
+            found = alnum_words(text)
+            words = np.fromiter((self.vocab.setdefault(w, len(self.vocab)) for w in found), np.int32, len(found))
+            if len(words):
+                k = known.setdefault(words.tobytes(), len(every))
+                if k == len(every):
+                    every.append(words)
+                    self.names.append([])
+                self.names[k].append(name)
+        del known
+        self.names = [sorted(set(x)) for x in self.names]
+        length = np.array([len(x) for x in every], np.int64)
+        start = np.cumsum(length + 1) - length - 1
+        end = np.array([-2], np.int32)
+        self.flat = np.concatenate([*(y for x in every for y in (x, end)), np.full(window, -2, np.int32)])
+        size = np.minimum(window, length)
+        many = length - size + 1
+        owner = np.repeat(np.arange(len(every)), many)
+        suffix = spread(start, many)
+        left = start[owner] + length[owner] - suffix
+        size = size[owner]
         self.least, self.deepest = int(size.min(initial=window)), int(left.max(initial=0))
         # the suffixes in order; those that begin with one window lie together
-        order = np.argsort(_ranks(self.flat, self.deepest)[suffix], kind="stable") if len(suffix) else suffix
-        self.suffix, self.size, self.left, self.owner = suffix[order], size[order], left[order], owner[order]
-        keys: dict[tuple, int] = {}
-        self.group = np.array([keys.setdefault(tuple(self.flat[p : p + n].tolist()), len(keys)) for p, n in zip(self.suffix, self.size, strict=True)], np.int64)
-        _, self.heads = np.unique(self.group, return_index=True)
-        owners: list[set[int]] = [set() for _ in keys]
-        for g, k in zip(self.group.tolist(), self.owner.tolist(), strict=True):
-            owners[g].add(k)
-        self.items = [sorted(x) for x in owners]
+        order = np.argsort(_ranks(self.flat.astype(np.int64), self.deepest)[suffix], kind="stable") if len(suffix) else suffix
+        self.suffix, self.size, self.left, self.owner = (x[order].astype(np.int32) for x in (suffix, size, left, owner))
+        same = self.size[1:] == self.size[:-1]
+        for k in range(window):
+            inside = k < self.size[1:]
+            same &= ~inside | (self.flat[np.minimum(self.suffix[1:] + k, len(self.flat) - 1)] == self.flat[np.minimum(self.suffix[:-1] + k, len(self.flat) - 1)])
+        new = np.append(np.ones(min(1, len(suffix)), bool), ~same)
+        self.heads = np.flatnonzero(new).astype(np.int32)
+        self.group = np.cumsum(new, dtype=np.int32) - 1
+
+    def items(self, groups: np.ndarray) -> list[int]:
+        """Items that hold any of some windows, which are numbered in order."""
+        edge = np.append(self.heads, len(self.group))
+        return np.unique(self.owner[spread(edge[groups].astype(np.int64), (edge[groups + 1] - edge[groups]).astype(np.int64))]).tolist()
 
     def words(self, text: bytes) -> np.ndarray:
         found = alnum_words(text)
@@ -134,7 +146,7 @@ def shard_hits(q: Queries, docs: list[np.ndarray]) -> list[tuple[list[tuple[int,
     some = flat[place]
     ahead = np.repeat(ends[long], run[long] + 1) - place
     array = suffix_array(some, np.flatnonzero(ahead >= q.least), min(q.deepest, int(run.max())))
-    first, n = q.suffix[q.heads], q.size[q.heads]
+    first, n = q.suffix[q.heads].astype(np.int64), q.size[q.heads].astype(np.int64)
     low = search(some, array, q.flat, first, n, False)
     high = search(some, array, q.flat, first, n, True)
     found = np.flatnonzero(high > low)
@@ -148,7 +160,7 @@ def shard_hits(q: Queries, docs: list[np.ndarray]) -> list[tuple[list[tuple[int,
     best = np.zeros((2, len(starts)), np.int64)
     for other in (near - 1, near):
         other = np.clip(other, 0, len(q.suffix) - 1)
-        lengths = common_length(some, starts, q.flat, q.suffix[other], q.left[other])
+        lengths = common_length(some, starts, q.flat, q.suffix[other].astype(np.int64), q.left[other])
         best = np.where(lengths > best[0], np.stack([lengths, q.owner[other]]), best)
     place = place[at]
     doc = np.searchsorted(base, place, "right") - 1
@@ -162,7 +174,7 @@ def shard_hits(q: Queries, docs: list[np.ndarray]) -> list[tuple[list[tuple[int,
                 spans[-1] = (spans[-1][0], max(spans[-1][1], b))
             else:
                 spans.append((a, b))
-        items = sorted({i for w in np.unique(window[part]) for i in q.items[w]})
+        items = q.items(np.unique(window[part]))
         k = part[np.argmax(best[0][number[part]])]
         out[d] = (spans, items, int(best[0][number[k]]), int(place[k] - base[d]), int(best[1][number[k]]))
     return out
@@ -174,12 +186,12 @@ def block_count(benchmark: DataFrame, text_col: str, block_bytes: int) -> int:
     return max(1, -(-total // block_bytes))
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, parts: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark's items with a text, collected block by block."""
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, parts: int) -> Iterator[Iterator[tuple[str, bytes]]]:
+    """The benchmark's items with a text, block by block, read to the driver one after another."""
     source = benchmark.where(F.col(text_col).isNotNull()).select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text_col).alias("t"))
     for k in range(parts):
         block = source if parts == 1 else source.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k)
-        yield [(r["i"], r["t"].encode()) for r in block.orderBy("i", "t").collect()]
+        yield ((r["i"], r["t"].encode()) for r in block.orderBy("i", "t").toLocalIterator())
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -192,11 +204,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     benchmark of one block."""
     source = bounded(docs).select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).alias("_text"))
     schema = SCHEMA.format(id=source.schema["_id"].dataType.simpleString())
-    found = [source.mapInArrow(_scanner(docs, Queries(items, window)), schema) for items in blocks(benchmark, item_col, item_text_col, block_count(benchmark, item_text_col, block_bytes))]
-    if len(found) == 1:
-        return found[0]
-    # several blocks: equal rows have equal results, so those of all blocks are put together by (id, text hash)
-    every = reduce(DataFrame.unionByName, found)
+    spark, parts = docs.sparkSession, block_count(benchmark, item_text_col, block_bytes)
+    if parts == 1:
+        return source.mapInArrow(_scanner(spark.sparkContext.broadcast(Queries(next(blocks(benchmark, item_col, item_text_col, 1)), window))), schema)
+    # several blocks, one after another, so that the driver holds one: all documents with the first, then those that are hit
+    path = shared_path(spark, "hits")
+    for k, items in enumerate(blocks(benchmark, item_col, item_text_col, parts)):
+        state = spark.sparkContext.broadcast(Queries(items, window))
+        found = source.mapInArrow(_scanner(state), schema)
+        (found.where(F.size("hits") > 0) if k else found).write.mode("append").parquet(path)
+        state.destroy()
+    # equal rows have equal results, so those of all blocks are put together by (id, text hash)
+    every = spark.read.schema(StructType.fromDDL(schema)).parquet(path)
     best = F.min(F.struct((-F.col("longest")).alias("n"), "longest_at", "longest_item"))
     one = every.groupBy("_id", "_th").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("hits"))).alias("_hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), best.alias("_best"))
     merged = F.expr("""aggregate(_hits, cast(array() as array<struct<start:bigint,stop:bigint>>), (a, x) -> CASE
@@ -207,9 +226,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return rows.join(one, rows["_id"].eqNullSafe(one["_i"]) & (rows["_th"] == one["_t"])).select("_id", "_th", "n_words", "hits", "items", "longest", "longest_at", "longest_item")
 
 
-def _scanner(docs: DataFrame, queries: Queries):
-    state = docs.sparkSession.sparkContext.broadcast(queries)
-
+def _scanner(state: Broadcast):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = state.value
         for batch in slices(batches, "_text"):
