@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import query_hash
+from topicloom.operators.summary import positions_to_check
 
 
 def date_grid(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -103,10 +104,15 @@ def current_state(state: DataFrame, topic: str, query: Column) -> DataFrame:
     return state.where((F.col("topic") == topic) & F.coalesce(F.col("query_hash") == own, F.lit(True))).withColumn("query_hash", own)
 
 
+def _others(state: DataFrame, topic: str) -> DataFrame:
+    """Other topics' rows, which stay as they are."""
+    return state.where(~F.coalesce(F.col("topic") == topic, F.lit(False)))
+
+
 def mark_complete(state: DataFrame, topic: str, query: Column, done: DataFrame) -> DataFrame:
     """The state with the pairs in ``done`` (outlet, day) complete; pairs are kept once, counts stay known."""
     more = done.select(F.lit(topic).alias("topic"), query_hash(query).alias("query_hash"), "outlet", F.col("day").cast("string").alias("day"), F.lit(True).alias("complete"), F.lit(None).cast("long").alias("expected"))
-    return _once(current_state(state, topic, query).unionByName(more))
+    return _others(state, topic).unionByName(_once(current_state(state, topic, query).unionByName(more)))
 
 
 def known_counts(state: DataFrame, topic: str, query: Column, counted: DataFrame) -> DataFrame:
@@ -114,7 +120,7 @@ def known_counts(state: DataFrame, topic: str, query: Column, counted: DataFrame
     more = counted.where("expected >= 0").select(F.lit(topic).alias("topic"), query_hash(query).alias("query_hash"), "outlet", F.col("day").cast("string").alias("day"), F.lit(False).alias("complete"), "expected")
     own = current_state(state, topic, query)
     fresh = more.join(own.where("expected is not null").select("outlet", "day"), ["outlet", "day"], "left_anti")
-    return _once(own.unionByName(fresh.select(*own.columns)))
+    return _others(state, topic).unionByName(_once(own.unionByName(fresh.select(*own.columns))))
 
 
 def to_count(state: DataFrame, topic: str, query: Column, pairs: DataFrame) -> DataFrame:
@@ -150,6 +156,12 @@ def data_loss(counts: DataFrame, order: str) -> DataFrame:
     return found.select("current", "largest", (F.col("largest") > 2 * F.col("current")).alias("lost"), "first_larger")
 
 
+def checked_positions(revisions: DataFrame, file: str) -> DataFrame:
+    """(file, n, position) of the revisions of each file to look at."""
+    counts = revisions.groupBy(file).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(file, "n", F.explode(positions_to_check(F.col("n"))).alias("position"))
+
+
 def nth_revision(log: DataFrame, order: str, n: int) -> DataFrame:
     """The n-th newest revision."""
     return log.orderBy(order).offset(n).limit(1)

@@ -8,7 +8,7 @@ results don't depend on the order of tasks. Select the columns that are needed b
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import sha256_id
@@ -138,6 +138,20 @@ def waterfall(reasons: DataFrame) -> DataFrame:
     return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+REASONS = ("added", "not_success", "missing_url", "already_exists", "missing_in_index", "non_english", "off_topic", "not_relevant")
+
+
+def counted(reasons: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, and what counts them by ``reason`` while they are written: no job of its own. Its ``get`` waits for that."""
+    seen = Observation()
+    return reasons.observe(seen, *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS]), seen
+
+
+def counters(spark: SparkSession, seen: Observation) -> DataFrame:
+    """(reason, n) of what was counted, reasons that occurred only."""
+    return spark.createDataFrame([(r, n) for r, n in seen.get.items() if n], "reason string, n long")
+
+
 def recover(current: DataFrame, recovered: DataFrame, key: str, pos: str) -> DataFrame:
     """Current rows, then recovered ones, the first of each key; ``src`` tells them apart."""
     both = current.withColumn("src", F.lit(0)).unionByName(recovered.withColumn("src", F.lit(1)), allowMissingColumns=True)

@@ -80,16 +80,34 @@ def head_by_group(df: DataFrame, group: str, pos: str, n: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def sample(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """n random rows."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def _chance(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
-def positions_to_check(n: int) -> list[int]:
-    """Which of n revisions to look at: all of five, else the first, the sixth and the last, of more than ten also the middle."""
-    if n > 10:
-        return sorted({0, 10, n // 2, n - 1})
-    return sorted({0, 5, n - 1}) if n > 5 else list(range(n))
+def sample(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
+    """n random rows: those of the least hashes of seed and key, so a seed gives the same rows however they are partitioned. Tasks keep n rows
+    each before these meet; samples of parts, put together and sampled again, are a sample of the whole. Rows of one key are taken by their
+    other columns."""
+    return df.orderBy(_chance(key, seed), *_others(df, key)).limit(n)
+
+
+def sample_by(df: DataFrame, group: str, n: int, key: str, seed: int = 0) -> DataFrame:
+    """n random rows of each group, in the same way."""
+    order = Window.partitionBy(group).orderBy(_chance(key, seed), *_others(df, key))
+    return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n).drop("_rank")
+
+
+def _others(df: DataFrame, key: str) -> list[str]:
+    return [key, *[c for c, kind in df.dtypes if c != key and "map<" not in kind and "variant" not in kind]]
+
+
+def positions_to_check(n: Column) -> Column:
+    """Which of n revisions to look at, in order: all of five, else the first, the sixth and the last, of more than ten the first, the
+    eleventh, the middle and the last."""
+    n = n.cast("int")
+    of_ten, of_more = F.array(F.lit(0), F.lit(5), n - 1), F.array(F.lit(0), F.lit(10), F.floor(n / 2).cast("int"), n - 1)
+    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_sort(F.array_distinct(F.when(n > 10, of_more).when(n > 5, of_ten).otherwise(every)))
 
 
 def histogram(counts: DataFrame, key: str, width: int = 40) -> DataFrame:

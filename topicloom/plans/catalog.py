@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from topicloom.functions import dates as D
 from topicloom.functions import text as T
 from topicloom.functions import udf
-from topicloom.operators import coverage, rows, summary
+from topicloom.operators import coverage, diffs, languages, rows, summary, within
 from topicloom.plans.articles import TOPICS, articles, clean, ranked, read
-from topicloom.sources import jsonl, sinks
+from topicloom.sources import commits, jsonl, sinks
+from topicloom.streaming import collection, store
 
 LONG = "long"
 THIN = "NOT (event_type = 'click' AND day(ts) IN (3, 4, 17)) AND NOT day(ts) = 20"
@@ -328,8 +329,15 @@ def rss_items(spark, sf_dir):
     return found.select("source", F.col("pos").cast(LONG).alias("pos"), T.trim(F.col("title")).alias("title"), "url", D.wall_date(F.col("pub_date")).alias("publish_date"), T.strip_html(F.col("summary")).alias("summary"))
 
 
+def _judged(spark, sf_dir):
+    """Articles with title and description as one text, as languages are detected in."""
+    return articles(spark, sf_dir).select("pos", "language", T.trim(F.concat_ws(" ", "title", "description")).alias("words"))
+
+
 def lang_detect(spark, sf_dir):
-    return articles(spark, sf_dir).select("pos", udf.is_english(F.col("title"), F.col("description")).alias("english"))
+    """English by the n-grams of the languages that the articles declare."""
+    found = _judged(spark, sf_dir)
+    return languages.english(found, "pos", "words", languages.profile(found, "words", "language"))
 
 
 def html_meta(spark, sf_dir):
@@ -412,10 +420,11 @@ def listed_ids(spark, sf_dir):
 
 
 def merged_header(spark, sf_dir):
-    """The text of a store after its header has been replaced, line by line."""
-    text = sinks.with_header('{"_manifest": true, "old": 1}\n{"k": 1}\n', {"topic": "a"})
-    lines = spark.createDataFrame([(text,)], "value string")
-    return jsonl.split_lines(lines).select(F.col("pos").cast(LONG).alias("pos"), "line")
+    """Nations as files of two lines, every other one with a header, which is replaced or put first."""
+    header = F.concat(F.lit('{"_manifest": true, "n": '), F.col("n_nationkey").cast("string"), F.lit("}"))
+    lines = F.when(F.col("n_nationkey") % 2 == 0, F.array(F.lit('{"_manifest": true, "old": 1}'), F.col("n_name"))).otherwise(F.array("n_name", F.upper("n_name")))
+    found = read(spark, sf_dir, "nation").select("n_nationkey", F.posexplode(lines).alias("pos", "line"))
+    return sinks.with_header(found, header, "n_nationkey").select(F.col("n_nationkey").cast(LONG).alias("file"), F.col("pos").cast(LONG).alias("pos"), "line")
 
 
 def date_labels(spark, sf_dir):
@@ -456,8 +465,8 @@ def third_revision(spark, sf_dir):
 
 
 def checked_positions(spark, sf_dir):
-    """Revisions to look at, of histories of each length up to 30."""
-    return spark.createDataFrame([(n, p) for n in range(31) for p in summary.positions_to_check(n)], "n long, position long")
+    """Revisions to look at: of each user's events as revisions, by how many there are."""
+    return coverage.checked_positions(read(spark, sf_dir, "events"), "user_id").select("user_id", "n", F.col("position").cast(LONG).alias("position"))
 
 
 def revision_range(spark, sf_dir):
@@ -487,7 +496,8 @@ def manifest_update(spark, sf_dir):
 
 
 def manifest_empty(spark, sf_dir):
-    none = spark.createDataFrame([], "day date, time string, mode string")
+    """The manifest of an outlet that has no events."""
+    none = days_of(spark, sf_dir).where("outlet = 'nowhere'").select("day", F.date_format("ts", "HH:mm:ss").alias("time"), F.col("outlet").alias("mode"))
     found = coverage.manifest("a", "2024-01-01", none, none.select("day"), 0, "2024-01-01T00:00:00+00:00")
     return found.select("topic", "record_count", F.size("dates_collected").cast(LONG).alias("n_days"), F.col("coverage.start_date").alias("start_day"), F.size("gaps").cast(LONG).alias("n_gaps"))
 
@@ -522,6 +532,105 @@ def outlet_success(spark, sf_dir):
     return found.groupBy(F.col("media_url").alias("outlet")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("ok"), F.count_if(~F.coalesce(F.col("quality") == 1, F.lit(False))).alias("failed"))
 
 
+def store_batches(spark, sf_dir):
+    """Events through the growing store in four batches, the third one tried twice, with a compaction in between."""
+    events = read(spark, sf_dir, "events").select(F.concat(F.lit("https://e/"), (F.col("user_id") % 700).cast("string"), F.lit("/"), "event_type").alias("url"), F.col("event_id").alias("pos"), F.expr("(day(ts) - 1) div 8").alias("batch"))
+    place = sinks.scratch(spark, "buckets")
+    for number in range(4):
+        batch = events.where(F.col("batch") == number).select("url", "pos")
+        store.append(batch, place, number, pos="pos", buckets=16)
+        if number == 2:
+            store.append(batch, place, number, pos="pos")
+            store.compact(spark, place)
+    return store.read_store(spark, place)
+
+
+def store_versions(spark, sf_dir):
+    """Rows of each version of a store that was written, added to, replaced by what it held and restored."""
+    found, place = articles(spark, sf_dir).select("url", "language"), sinks.scratch(spark, "versions")
+    commits.replace(found.where("language = 'en'"), place, {"topic": "a"})
+    commits.replace(found.where("language <> 'en'"), place, append=True)
+    sinks.backup_then_write(commits.read(spark, place, "url string, language string").where("language = 'de'").select("url", "language"), place)
+    commits.restore(spark, place, 2)
+    every = None
+    for number in commits.numbers(spark, place):
+        one = commits.read(spark, place, "url string, language string", number).groupBy(F.lit(number).cast(LONG).alias("version"), "language").agg(F.count(F.lit(1)).alias("n"))
+        every = one if every is None else every.unionByName(one)
+    return every
+
+
+def collection_stream(spark, sf_dir):
+    """The state of two topics' collections after three batches of reports: topic a's query changes, b's stays."""
+    pairs = completed_pairs(spark, sf_dir).select("outlet", F.date_format("day", "yyyy-MM-dd").alias("day"))
+    counts = _expected(spark, sf_dir).select("outlet", F.date_format("day", "yyyy-MM-dd").alias("day"), "expected")
+    report = lambda rows, topic, query, kind, at: rows.select(F.lit(topic).alias("topic"), F.lit(query).alias("query"), "outlet", "day", F.lit(kind).alias("kind"), (F.col("expected") if kind == "count" else F.lit(None)).cast(LONG).alias("expected"), F.lit(at).cast("timestamp").alias("at"))
+    batches = [
+        report(pairs, "a", "storm", "complete", "2024-02-01 00:00:00").unionByName(report(counts, "b", "rain", "count", "2024-02-01 01:00:00")),
+        report(pairs.where("outlet = 'click'"), "a", "storm AND coast", "complete", "2024-02-02 00:00:00"),
+        report(counts, "a", "storm AND coast", "count", "2024-02-02 01:00:00").unionByName(report(counts, "a", "storm", "count", "2024-02-01 23:00:00")),
+    ]
+    given, out, check = (sinks.scratch(spark, n) for n in ("reports", "changes", "offsets"))
+    for number, batch in enumerate(batches):
+        batch.coalesce(1).write.mode("append").parquet(given)
+        stream = spark.readStream.schema(collection.REPORT).parquet(given)
+        collection.follow(stream, out, check, late="7 days").awaitTermination()
+    return collection.standing(collection.changes(spark, out)).select("topic", "outlet", "day", "complete", "expected")
+
+
+def _turns(spark, sf_dir):
+    """Turns of a conversation as revisions of a file, a word to a line, the newest first."""
+    turns = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("file"), "turn", F.replace(F.coalesce("text", F.lit("")), F.lit(" "), F.lit("\n")).alias("content"))
+    last = turns.groupBy("file").agg(F.max("turn").alias("_last"))
+    return turns.join(last, "file").select(F.concat_ws("/", "file", F.col("turn").cast("string")).alias("version"), "file", (F.col("_last") - F.col("turn")).cast("int").alias("age"), "content")
+
+
+def revision_diffs(spark, sf_dir):
+    return diffs.line_diffs(_turns(spark, sf_dir), "age")
+
+
+def history_at(spark, sf_dir):
+    """A version of each file, rebuilt from whole contents every other revision and edits."""
+    return diffs.at_place(diffs.packed(_turns(spark, sf_dir), "age", 2), "age", 2, 2).select("file", "version", F.md5("content").alias("digest"))
+
+
+def keys_within(spark, sf_dir):
+    """Which words of the benchmark stand in which titles."""
+    keys = read(spark, sf_dir, "benchmark").select(F.explode(F.split(F.coalesce("text", F.lit("")), " ")).alias("word"))
+    return within.contained(articles(spark, sf_dir).select("pos", "title"), keys, "pos", "title", "word")
+
+
+def sampled_rows(spark, sf_dir):
+    return summary.sample(read(spark, sf_dir, "events").select("event_id", "user_id"), 50, "event_id", 7)
+
+
+def sampled_by_type(spark, sf_dir):
+    return summary.sample_by(read(spark, sf_dir, "events").select("event_type", "event_id"), "event_type", 20, "event_id", 7)
+
+
+def filter_counters(spark, sf_dir):
+    """The waterfall's counts, taken while the rows are written."""
+    found, seen = rows.counted(_reasons(spark, sf_dir))
+    found.select("pos", "reason").write.parquet(sinks.scratch(spark, "reasons"))
+    return rows.counters(spark, seen)
+
+
+def day_folders(spark, sf_dir):
+    """Events in a folder for each day, read for three days."""
+    place = sinks.scratch(spark, "days")
+    jsonl.write_day_table(read(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_id", "event_type"), place)
+    found = jsonl.read_day_table(spark, place, "event_id long, event_type string").where("day BETWEEN DATE '2024-01-05' AND DATE '2024-01-07'")
+    return found.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
+
+
+def json_documents(spark, sf_dir):
+    """Documents of each form that a file of records may have, one for each page."""
+    link = F.concat(F.lit('"'), F.replace("url", F.lit('"'), F.lit("")), F.lit('"'))
+    record = F.concat(F.lit('{"title": "t", "url": '), link, F.lit("}"))
+    kind = F.col("page_id") % 5
+    shape = F.when(kind == 0, F.concat(F.lit('{"stories": ['), record, F.lit("]}"))).when(kind == 1, F.concat(F.lit("["), link, F.lit(", "), record, F.lit("]"))).when(kind == 2, F.concat(F.lit('{"urls": ['), link, F.lit("]}"))).when(kind == 3, record).otherwise("[]")
+    return jsonl.documents(read(spark, sf_dir, "pages").select(shape.alias("value")), "url string, title string").select(F.col("pos").cast(LONG).alias("pos"), "url", "title")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -534,5 +643,7 @@ QUERIES = {
         jsonl_modes, jsonl_dropped, jsonl_bad_lines, jsonl_files, jsonl_ordered, jsonl_split, header_line, story_document, input_urls, listed_ids, merged_header,
         date_labels, frequent_first_seen, outlets_and_more, day_ranks, first_rows, latest_snapshot, third_revision, checked_positions, revision_range,
         line_changes, file_at_version, manifest_update, manifest_empty, checkpoint_state, pairs_to_count, enriched, outlet_success,
+        store_batches, store_versions, collection_stream, revision_diffs, history_at, keys_within, sampled_rows, sampled_by_type, filter_counters, day_folders,
+        json_documents,
     )
 }

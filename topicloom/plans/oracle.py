@@ -54,20 +54,6 @@ def decoded(text: str) -> str:
     return text
 
 
-#: Common words of the languages that the default detector knows.
-COMMON = {
-    "en": "the of and to in is that for it was on with as are be this by at from or",
-    "fr": "le la les de des du et en un une que qui dans pour est sur au aux par pas",
-    "de": "der die das und ist von zu den mit des auf für im nicht ein eine dem als auch",
-    "es": "el la los las de y en un una que es por con para del se al como su más",
-}
-
-
-def seen(lang: str) -> str:
-    """How many words of the list w are common in a language."""
-    return "len(list_filter(w, lambda x: x IN (" + ", ".join(f"'{x}'" for x in COMMON[lang].split()) + ")))"
-
-
 LINES = """lines AS (SELECT event_id AS pos, event_id % 10 AS kind, CASE event_id % 10 WHEN 0 THEN '{"k":' WHEN 1 THEN '{"_manifest": true, "k": 5}' WHEN 2 THEN '[1]' WHEN 4 THEN '{"_meta": false, "k": 7}' ELSE props END AS line
   FROM events WHERE event_id % 10 <> 3)"""
 MARKED_UP = "regexp_replace(html || '<p>Caf&eacute; &#8217;&mdash; it&#x27;s &amp;lt; &nbsp;&frac12;</p>', '<[^>]+>', ' ', 'g')"
@@ -169,7 +155,8 @@ SELECT doc_id, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos FROM l
     "story_document": "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS pos, n_nationkey::BIGINT AS k, n_name AS name FROM nation",
     "input_urls": "SELECT replace(url, '\"', '') AS url FROM pages",
     "listed_ids": "SELECT DISTINCT 'u' || user_id AS id FROM events WHERE user_id % 7 <> 0",
-    "merged_header": """SELECT * FROM (VALUES (0::BIGINT, '{"_manifest": true, "topic": "a"}'), (1, '{"k": 1}')) AS v(pos, line)""",
+    "merged_header": """SELECT n_nationkey::BIGINT AS file, 0::BIGINT AS pos, '{"_manifest": true, "n": ' || n_nationkey || '}' AS line FROM nation UNION ALL SELECT n_nationkey, 1, n_name FROM nation
+UNION ALL SELECT n_nationkey, 2, upper(n_name) FROM nation WHERE n_nationkey % 2 = 1""",
     "date_labels": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M UTC') AS utc, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp, strftime(greatest(DATE '2024-01-10', ts::DATE - 6), '%Y-%m-%d') AS window_start FROM events",
     "frequent_first_seen": "SELECT bucket, n FROM (SELECT user_id % 100 AS bucket, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1 ORDER BY n DESC, first LIMIT 30)",
     "outlets_and_more": """WITH c AS (SELECT 'u' || user_id AS outlet, count(*) AS n FROM events GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, outlet)::INTEGER AS rank FROM c)
@@ -179,8 +166,8 @@ SELECT day, row_number() OVER (ORDER BY day <> 'unknown', day) AS place, row_num
     "first_rows": "SELECT event_id, user_id FROM events ORDER BY event_id LIMIT 25",
     "latest_snapshot": f"WITH {VERSIONS} SELECT version FROM versions ORDER BY version DESC, idx LIMIT 1",
     "third_revision": f"WITH {VERSIONS} SELECT version, n FROM versions ORDER BY idx LIMIT 1 OFFSET 2",
-    "checked_positions": """SELECT n, p AS position FROM range(31) AS t(n), range(30) AS u(p)
-WHERE p < n AND (n <= 5 OR p IN (0, n - 1) OR (n <= 10 AND p = 5) OR (n > 10 AND p IN (10, n // 2)))""",
+    "checked_positions": """WITH c AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1) SELECT user_id, n, p AS position FROM c, unnest(range(n)) AS u(p)
+WHERE n <= 5 OR p IN (0, n - 1) OR (n <= 10 AND p = 5) OR (n > 10 AND p IN (10, n // 2))""",
     "revision_range": "SELECT event_id FROM events WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-10'",
     "line_changes": """WITH l AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(string_split(replace(coalesce(text, ''), chr(10), ' '), ' ')) AS w FROM conversations) GROUP BY ALL),
 pairs AS (SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn + 1) AS turn, coalesce(a.n, 0) - coalesce(b.n, 0) AS more FROM l a FULL JOIN l b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1 AND a.w = b.w)
@@ -198,8 +185,34 @@ SELECT coalesce(d.outlet, k.outlet) AS outlet, coalesce(d.day, k.day) AS day, d.
 SELECT pos, CASE WHEN pos % 13 <> 0 THEN a.url END AS url, pos % 13 <> 0 AS success, CASE WHEN pos % 13 <> 0 AND last.url IS NOT NULL THEN title_ ELSE title END AS title, CASE WHEN pos % 13 = 0 THEN 'missing url' END AS error FROM articles a LEFT JOIN last ON last.url = a.url""",
     "outlet_success": f"WITH {LABELLED} SELECT media_url AS outlet, count(*) AS n, count(*) FILTER (coalesce(quality = 1, false)) AS ok, count(*) FILTER (NOT coalesce(quality = 1, false)) AS failed FROM labelled GROUP BY 1",
     "top_terms": "SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS term FROM benchmark) GROUP BY term ORDER BY n DESC, term LIMIT 25",
-    "lang_detect": f"""WITH {ARTICLES}, found AS (SELECT pos, {trim("title || ' ' || description")} AS t FROM articles), words AS (SELECT pos, length(t) AS n, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}_]+') AS w FROM found)
-SELECT pos, n < 20 OR {seen("en")} >= greatest({seen("fr")}, {seen("de")}, {seen("es")}) AS english FROM words""",
+    "lang_detect": f"""WITH {ARTICLES}, t AS (SELECT pos, language, {trim("title || ' ' || description")} AS w FROM articles),
+l AS (SELECT pos, language, length(w) AS n, lower(regexp_replace(w, '[\\t\\n\\x0B\\f\\r ]+', ' ', 'g')) AS w FROM t),
+c3 AS (SELECT pos, language, n, string_split(w, '') AS c FROM l),
+g AS (SELECT pos, language, n, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM c3),
+counts AS (SELECT language, gram, count(*) AS n FROM g WHERE language IS NOT NULL GROUP BY ALL), totals AS (SELECT language, sum(n) AS total FROM counts GROUP BY 1),
+best AS (SELECT DISTINCT gram FROM (SELECT gram FROM counts QUALIFY row_number() OVER (PARTITION BY language ORDER BY n DESC, gram) <= 2000)),
+shares AS (SELECT b.gram, x.language, ln((coalesce(c.n, 0) + 1) / (x.total + 2000)) AS s FROM best b CROSS JOIN totals x LEFT JOIN counts c ON c.gram = b.gram AND c.language = x.language),
+scores AS (SELECT pos, s.language, sum(s) AS score FROM g JOIN shares s USING (gram) WHERE g.n >= 20 GROUP BY ALL),
+found AS (SELECT pos, arg_max(language, (round(score, 6), language)) AS language FROM scores GROUP BY pos)
+SELECT pos, coalesce(found.language, 'en') = 'en' AS english FROM t LEFT JOIN found USING (pos)""",
+    "store_batches": """SELECT 'https://e/' || (user_id % 700) || '/' || event_type AS url, arg_min(event_id, ((day(ts) - 1) // 8, event_id)) AS pos FROM events GROUP BY 1""",
+    "store_versions": f"""WITH {ARTICLES}, c AS (SELECT language, count(*) AS n FROM articles GROUP BY 1)
+SELECT v::BIGINT AS version, language, n FROM c, (VALUES (1), (2), (3), (4)) AS t(v) WHERE v IN (2, 4) OR (v = 1 AND language = 'en') OR (v = 3 AND language = 'de')""",
+    "collection_stream": f"""WITH {EXPECTED}, known AS (SELECT outlet, strftime(day, '%Y-%m-%d') AS day, expected FROM expected WHERE expected >= 0), done AS (SELECT outlet, strftime(day, '%Y-%m-%d') AS day FROM completed WHERE outlet = 'click')
+SELECT 'a' AS topic, coalesce(d.outlet, k.outlet) AS outlet, coalesce(d.day, k.day) AS day, d.day IS NOT NULL AS complete, expected FROM done d FULL JOIN known k ON d.outlet = k.outlet AND d.day = k.day
+UNION ALL SELECT 'b', outlet, day, false, expected FROM known""",
+    "revision_diffs": """WITH l AS (SELECT conv_id, turn, string_split(replace(coalesce(text, ''), ' ', chr(10)), chr(10)) AS w FROM conversations),
+p AS (SELECT b.conv_id, b.turn, coalesce(a.w, []) AS a, b.w AS b FROM l b LEFT JOIN l a ON a.conv_id = b.conv_id AND a.turn = b.turn - 1),
+d AS (SELECT *, list_last(list_reduce(b, lambda before, y: list_reduce(range(1, len(a) + 1), lambda acc, i: list_append(acc, CASE WHEN a[i] = y THEN before[i] + 1 ELSE greatest(before[i + 1], acc[len(acc)]) END), [0]::BIGINT[]), list_transform(range(len(a) + 1), lambda i: 0::BIGINT))) AS same FROM p)
+SELECT conv_id || '/' || turn AS version, conv_id::VARCHAR AS file, len(b) - same AS added, len(a) - same AS deleted FROM d""",
+    "history_at": "SELECT conv_id::VARCHAR AS file, conv_id || '/' || turn AS version, md5(replace(coalesce(text, ''), ' ', chr(10))) AS digest FROM conversations QUALIFY max(turn) OVER (PARTITION BY conv_id) - turn = 2",
+    "keys_within": f"WITH {ARTICLES}, k AS (SELECT DISTINCT unnest(string_split(coalesce(text, ''), ' ')) AS word FROM benchmark) SELECT DISTINCT pos, word FROM articles, k WHERE word <> '' AND contains(title, word)",
+    "sampled_rows": "SELECT event_id, user_id FROM events ORDER BY md5('7|' || event_id), event_id LIMIT 50",
+    "sampled_by_type": "SELECT event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5('7|' || event_id), event_id) <= 20",
+    "filter_counters": f"{REASONS} SELECT reason, count(*) AS n FROM reasons GROUP BY reason",
+    "day_folders": "SELECT ts::DATE AS day, event_type, count(*) AS n, min(event_id) AS first_id FROM events WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-08' GROUP BY ALL",
+    "json_documents": """SELECT 0::BIGINT AS pos, replace(url, '"', '') AS url, CASE WHEN page_id % 5 IN (0, 3) THEN 't' END AS title FROM pages WHERE page_id % 5 < 4
+UNION ALL SELECT 1, replace(url, '"', ''), 't' FROM pages WHERE page_id % 5 = 1""",
     "html_meta": f"""WITH p AS (SELECT page_id, {trim(decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)"))} AS t FROM pages)
 SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'Story ' || page_id ELSE nullif(t, '') END AS title, CASE page_id % 3 WHEN 0 THEN 'About ' || page_id || ' & more' WHEN 1 THEN 'On ' || page_id END AS description FROM p""",
 }

@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HEADERS = ("_meta", "_manifest")
-#: JSON values that count as false.
-FALSE = ("false", "null", "0", "0.0", '""', "[]", "{}")
 
 
 def split_lines(df: DataFrame, text: str = "value", unicode: bool = False) -> DataFrame:
@@ -63,10 +61,22 @@ def bad_lines(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def read_any(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
-    """Rows of a file by its suffix: ``.json`` is one document with stories or a list, all others are JSON lines."""
-    if path.lower().endswith(".json"):
-        return stories(spark.read.text(path, wholetext=True), schema)
-    return read(spark, path, schema, **options)
+    """Rows of a file by its suffix: ``.jsonl`` and ``.ndjson`` (with or without ``.gz``) are JSON lines, anything else is one JSON
+    document in any accepted form: stories, a list of objects or of URLs, ``{"urls": [...]}``, or one object."""
+    if path.lower().removesuffix(".gz").endswith((".jsonl", ".ndjson")):
+        return read(spark, path, schema, **options)
+    return documents(spark.read.text(path, wholetext=True), schema)
+
+
+def documents(texts: DataFrame, schema: str, text: str = "value") -> DataFrame:
+    """(pos, fields of ``schema``) of JSON documents: objects are rows, strings are rows with that ``url`` alone; another form is an error."""
+    value = F.col(text)
+    inner = F.coalesce(F.get_json_object(value, "$.stories"), F.get_json_object(value, "$.urls"))
+    start = F.substring(F.trim(value), 1, 1)
+    listed = F.when(inner.isNotNull(), inner).when(start == "[", value).when(start == "{", F.concat(F.lit("["), value, F.lit("]"))).otherwise(F.raise_error(F.lit("input is neither a list nor an object")).cast("string"))
+    rows = texts.select(F.posexplode(F.from_json(listed, "array<string>")).alias("pos", "_item"))
+    record = F.when(F.substring(F.trim("_item"), 1, 1) == "{", F.col("_item")).otherwise(F.to_json(F.struct(F.col("_item").alias("url"))))
+    return rows.select("pos", F.from_json(record, F.lit(schema)).alias("_r")).select("pos", "_r.*")
 
 
 def as_maps(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -97,15 +107,23 @@ def read_large(spark: SparkSession, paths: str | list[str], schema: str, fail: b
     return parse(found, schema, on_bad="fail" if fail else "drop")
 
 
-def read_days(spark: SparkSession, root: str, name: str, schema: str, **options) -> DataFrame:
-    """Files ``{root}/{day}/{name}`` of all days, with ``day`` (folders that begin with an underscore are skipped); no files: no rows."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [s.getPath().toString() for s in store.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/[^_]*/{name}")) or []] if store.exists(folder) else []
-    if not found:
+def read_days(spark: SparkSession, root: str, name: str, schema: str, first: str | None = None, last: str | None = None, **options) -> DataFrame:
+    """Files ``{root}/{day}/{name}`` of all days, or of those from ``first`` to ``last``, with ``day`` (folders that begin with an underscore
+    are skipped); no files: no rows. Only folders of wanted days are looked into."""
+    days = [d for d in days_collected(spark, root, name) if (first is None or d >= first) and (last is None or d <= last)]
+    if not days:
         return spark.createDataFrame([], f"path string, pos int, {schema}, day string")
-    return read(spark, sorted(found), schema, **options).withColumn("day", F.element_at(F.split("path", "/"), -2))
+    return read(spark, [f"{root}/{d}/{name}" for d in days], schema, **options).withColumn("day", F.element_at(F.split("path", "/"), -2))
+
+
+def write_day_table(df: DataFrame, root: str, day: str = "day", mode: str = "append") -> None:
+    """JSON lines in a folder ``day=...`` for each day, as tables are read with their filters."""
+    df.write.mode(mode).option("ignoreNullFields", "false").partitionBy(day).json(root)
+
+
+def read_day_table(spark: SparkSession, root: str, schema: str, day: str = "day") -> DataFrame:
+    """Rows with their day. A filter on the day leaves all other folders alone."""
+    return spark.read.schema(f"{schema}, {day} date").json(root)
 
 
 def days_collected(spark: SparkSession, root: str, name: str = "articles.jsonl") -> list[str]:

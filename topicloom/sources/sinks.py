@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.sources import commits
+from topicloom.sources.jsonl import is_header
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -50,15 +51,15 @@ def as_document(df: DataFrame, **meta) -> str:
     return json.dumps({"_meta": meta, "stories": stories}, ensure_ascii=False, indent=2)
 
 
-def with_header(text: str, header: dict, flag: str = "_manifest") -> str:
-    """JSONL text with its header line replaced, or put first if there is none."""
-    lines = text.split("\n")
-    try:
-        first = json.loads(lines[0])
-    except ValueError:
-        first = None
-    rest = lines[1:] if isinstance(first, dict) and first.get(flag) else lines if text else []
-    return "\n".join([json.dumps({flag: True, **header}, ensure_ascii=False), *rest])
+def with_header(lines: DataFrame, header: Column, file: str, flag: str = "_manifest") -> DataFrame:
+    """Lines (file, pos, line) of files with their header line replaced, or put first where the first line is none: ``header`` is JSON from
+    the file's columns, the same on all of its lines."""
+    old = (F.col("pos") == 0) & is_header(F.col("line"), (flag,))
+    has = lines.where(old).select(F.col(file).alias("_f")).distinct()
+    rest = lines.where(~old).join(has.withColumn("_had", F.lit(True)), F.col(file) == F.col("_f"), "left")
+    rest = rest.select(file, (F.col("pos") + F.when(F.col("_had"), 0).otherwise(1)).cast("int").alias("pos"), "line")
+    first = lines.groupBy(file).agg(F.min(header).alias("line")).select(file, F.lit(0).alias("pos"), "line")
+    return first.unionByName(rest)
 
 
 def placeholder(df: DataFrame, path: str, topic: str) -> None:
