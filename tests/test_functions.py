@@ -1,6 +1,8 @@
 """Text and date expressions against Python's own behaviour."""
 
 import html
+import html.entities
+import random
 from datetime import UTC, datetime
 
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from topicloom.functions import dates as D
 from topicloom.functions import text as T
 from topicloom.functions import udf
+from topicloom.functions.entities import unescape
 
 TEXTS = ["", " ", "a", "Ice police", "a b c \x1c d", "İstanbul ΟΔΟΣ", "x " * 50, "x " * 51, "a  b\tc\n" * 20, "w " * 60, "&amp;lt; &lt;b&gt; &#39;", None]
 
@@ -70,7 +73,7 @@ def test_urls_and_names(spark):
 def test_markup(spark):
     pages = ["<p>a&amp;b</p>  <b>c</b>", "a &lt;b&gt; c", "&amp;lt;", "x<br>y&nbsp;z"]
     assert column(spark, pages, T.strip_html) == [" ".join(html.unescape(__import__("re").sub("<[^>]+>", " ", p)).split()) for p in pages]
-    assert column(spark, ["&eacute;&#x41;&amp;", None], udf.unescape) == ["éA&", None]
+    assert column(spark, ["&eacute;&#x41;&amp;", None], unescape) == ["éA&", None]
     assert column(spark, ["<html><title> T </title>"], T.html_title) == ["T"]
 
 
@@ -92,9 +95,23 @@ def test_page_metadata(spark):
 def test_language_is_pluggable(spark):
     texts = ["The cat is in the house and it was on the mat", "Le chat est dans la maison et il est sur le lit", "short", "zzzz qqqq xxxx wwww vvvv"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string")
-    run = lambda **o: [r[0] for r in df.orderBy("k").select(udf.is_english(F.col("t"), F.lit(None).cast("string"), **o)).collect()]
-    assert run() == [True, False, True, True]
-    assert run(detector=lambda t: "fr") == [False, False, True, False]
+    run = lambda detector: [r[0] for r in df.orderBy("k").select(udf.is_english(F.col("t"), F.lit(None).cast("string"), detector)).collect()]
+    assert run(lambda t: "en" if "the" in t else None if "zz" in t else "fr") == [True, False, True, True]
+    assert run(lambda t: "fr") == [False, False, True, False]
+
+
+REFERENCES = [
+    "&amp;lt; &lt &ltx &notit; &notin; &nosuch; & && &; &#; &#x; &#65 &#x41;B &#x110000; &#xD800; &#0; &#128; &#x81; &#13; &#1; &#11; &#xFDD0; &#x1FFFF; &#000000000000065; &#99999999999;",
+    "&Eacute;&eacute &NotEqualTilde; &acE; &frac12;&frac34 &AMP &amp&amp;&amp &CounterClockwiseContourIntegral; &a.b; &lt.foo é&日; &#X1F600;",
+    "no reference", "", "&", "a&b", "&#38;amp;", "&copy\n&reg\t&nbsp;x", "&\u00e9; &<&gt;>",
+]
+
+
+def test_references_as_the_standard_has_them(spark):
+    rng = random.Random(1)
+    some = rng.sample(sorted(html.entities.html5), 300)
+    texts = [*REFERENCES, *["".join(rng.choice(["&", ";", "#", "x", "amp", "lt", "not", "1", "41", " ", *rng.sample(some, 2)]) for _ in range(12)) for _ in range(300)], *[f"&{n} &{n}x &#{k};&#x{k:x} " for k, n in enumerate(some)]]
+    assert column(spark, texts, unescape) == [html.unescape(t) for t in texts]
 
 
 #: Date strings, the second (UTC, from 1970) and the writer's day that they name; None where they can't be read.

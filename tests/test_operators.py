@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from topicloom.operators import coverage, rows, summary
+from topicloom.operators import coverage, languages, rows, summary, within
 from topicloom.plans import articles as plans
 
 SLOW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -125,7 +125,12 @@ def test_summaries(spark):
     assert (stats["min_description"], stats["max_description"]) == (0, 1) and abs(stats["avg_description"] - 6 / 7) < 1e-12
     assert positions(summary.head(df, "pos", 2)) == [0, 1]
     assert positions(summary.head_by_group(df, "tag", "pos", 1)) == [0, 2, 3, 5]
-    assert summary.sample(df, 3, 1).count() == 3
+    parts = [df.repartition(n) for n in (1, 5)]
+    one, two = (sorted(map(repr, summary.sample(x, 3, "pos", 1).collect())) for x in parts)
+    assert one == two and len(one) == 3 and one != sorted(map(repr, summary.sample(df, 3, "pos", 2).collect()))
+    halves = [summary.sample(df.where(c), 3, "pos", 1) for c in ("pos % 2 = 0", "pos % 2 = 1")]
+    assert sorted(map(repr, summary.sample(halves[0].union(halves[1]), 3, "pos", 1).collect())) == one
+    assert sorted(r["n"] for r in summary.sample_by(df, "tag", 2, "pos").groupBy("tag").count().withColumnRenamed("count", "n").collect()) == [1, 1, 1, 2]
     days = spark.createDataFrame([("2024-01-02T03",), ("",), (None,), ("2024-01-02",)], "d string")
     assert {r["day"]: r["n"] for r in summary.count_by_date(days, F.col("d")).collect()} == {"2024-01-02": 2, "unknown": 2}
     assert {r["day"]: r["n"] for r in summary.count_by_date(days, F.col("d"), prefix=False).collect()} == {"2024-01-02T03": 1, "2024-01-02": 1, "": 1, "unknown": 1}
@@ -148,7 +153,8 @@ def test_histogram_and_terms(spark):
     assert {r["k"]: len(r["bar"]) for r in summary.histogram(counts, "k", 8).collect()} == {"a": 8, "b": 1, "c": 4}
     terms = spark.createDataFrame([("A b, a",), (None,), ("b a!",)], "t string")
     assert [tuple(r) for r in summary.top_terms(terms, F.col("t"), 1).collect()] == [("a", 3)]
-    assert [summary.positions_to_check(n) for n in (0, 3, 5, 6, 11, 30)] == [[], [0, 1, 2], [0, 1, 2, 3, 4], [0, 5], [0, 5, 10], [0, 10, 15, 29]]
+    sizes = spark.createDataFrame([(n,) for n in (0, 3, 5, 6, 11, 30)], "n long")
+    assert [r[0] for r in sizes.orderBy("n").select(summary.positions_to_check(F.col("n"))).collect()] == [[], [0, 1, 2], [0, 1, 2, 3, 4], [0, 5], [0, 5, 10], [0, 10, 15, 29]]
 
 
 def day_frame(spark, days):
@@ -211,7 +217,7 @@ def test_snapshots(spark):
 def test_topics_by_name():
     known = {"a": {"broad": ["x"]}, "b": {"broad": []}}
     assert plans.topic("a", known) == {"broad": ["x"], "name": "a"}
-    with pytest.raises(ValueError, match="Unknown topic 'c'. Available: a, b"):
+    with pytest.raises(ValueError, match="no settings for topic 'c'"):
         plans.topic("c", known)
     assert plans.active(["b", "z", "a"], known) == ({"b": known["b"], "a": known["a"]}, ["z"]) and plans.active(None, known) == (known, [])
 
@@ -230,8 +236,58 @@ def test_collection_state(spark):
     old = spark.createDataFrame([("t", None, "o", day, True, 4), ("t", "other", "p", day, True, 9), ("u", None, "o", day, True, 1)], coverage.CHECKPOINT)
     assert [r["outlet"] for r in coverage.current_state(old, "t", q).collect()] == ["o"]
     counted = spark.createDataFrame([("o", day, 7), ("p", day, 5), ("q", day, -1)], "outlet string, day string, expected long")
+    other = ("u", "o", True, 1)  # stays, whatever happens to t
+    seen = lambda df: sorted((r["topic"], r["outlet"], r["complete"], r["expected"]) for r in df.collect())
     state = coverage.known_counts(old, "t", q, counted)
-    assert sorted((r["outlet"], r["complete"], r["expected"]) for r in state.collect()) == [("o", True, 4), ("p", False, 5)]
+    assert seen(state) == [("t", "o", True, 4), ("t", "p", False, 5), other]
     state = coverage.mark_complete(state, "t", q, counted.where("outlet = 'p'"))
-    assert sorted((r["outlet"], r["complete"], r["expected"]) for r in state.collect()) == [("o", True, 4), ("p", True, 5)]
+    assert seen(state) == [("t", "o", True, 4), ("t", "p", True, 5), other]
     assert [r["outlet"] for r in coverage.to_count(state, "t", q, counted).collect()] == ["q"]
+
+
+def test_rows_without_a_key_dont_meet(spark):
+    """Half of all rows have no key: no task gets them all."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("url"), F.col("id").alias("pos"))
+    seen = df.where("id % 4 = 0" if "id" in df.columns else "pos % 4 = 0")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        for found, n in ((rows.unseen(df, seen.where("url is not null"), "url"), 30_000), (rows.missing(df, seen, "url"), 30_000)):
+            sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+            assert sum(sizes) == n and max(sizes) < 2 * n / 16
+        assert rows.unseen(df, df.where("pos = 1"), "url").count() == 20_000 and rows.unseen(df, df.limit(0), "url").count() == 40_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_languages_held_out(spark):
+    """Profiles of one half of the documents name the language of the other; short texts and unknown letters aren't judged."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and length(text) >= 20")
+    known = languages.profile(docs.where("doc_id % 2 = 0"), "text", "lang")
+    found = languages.detected(docs.where("doc_id % 2 = 1"), "doc_id", "text", known).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.where("language = lang").count() >= 0.95 * found.count() > 300
+    odd = spark.createDataFrame([(1, "short"), (2, None), (3, "日" * 40), (4, "")], "k long, t string")
+    assert {r["k"]: r["language"] for r in languages.detected(odd, "k", "t", known).collect()} == dict.fromkeys((1, 2, 3, 4))
+    assert all(r["english"] for r in languages.english(odd, "k", "t", known).collect())
+    assert languages.detected(odd, "k", "t", known.limit(0)).where("language is not null").count() == 0
+
+
+def test_contained_keys(spark):
+    texts = spark.createDataFrame([(1, "a storm at the coast"), (2, "coastal"), (3, None), (4, ""), (1, "a storm at the coast"), (5, "日本の海岸 coa")], "k long, t string")
+    keys = spark.createDataFrame([("coast",), ("storm at",), ("a",), ("",), (None,), ("coast",), ("日本",), ("nowhere",), ("oas",), ("海岸 coa",)], "w string")
+    want = {(k, w) for k, t in ((r["k"], r["t"]) for r in texts.collect()) for w in (r["w"] for r in keys.collect()) if t and w and w in t}
+    found = within.contained(texts, keys, "k", "t", "w")
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert "Cartesian" not in (plan := found._jdf.queryExecution().executedPlan().toString()) and "NestedLoop" not in plan
+    assert within.contained(texts, keys.limit(0), "k", "t", "w").count() == 0 and within.contained(texts.limit(0), keys, "k", "t", "w").count() == 0
+
+
+def test_counters_while_rows_are_written(spark, tmp_path):
+    reasons = spark.createDataFrame([("added",)] * 3 + [("off_topic",)], "reason string")
+    found, seen = rows.counted(reasons)
+    found.write.parquet(str(tmp_path / "r"))
+    assert sorted(map(tuple, rows.counters(spark, seen).collect())) == [("added", 3), ("off_topic", 1)]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Scan") == 1

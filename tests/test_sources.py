@@ -6,6 +6,7 @@ import pathlib
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from topicloom.sources import commits, jsonl, remote, sinks
 from topicloom.streaming import store
@@ -92,8 +93,6 @@ def test_sinks(spark, tmp_path):
     assert json.loads(sinks.as_document(df, run="r"))["stories"][0] == {"url": "b", "t": None}
     sinks.placeholder(df, str(tmp_path / "empty"), "t")
     assert spark.read.schema("url string").json(str(tmp_path / "empty" / "part-*")).count() == 0
-    text = sinks.with_header('{"url": 1}', {"a": 1})
-    assert sinks.with_header(text, {"a": 2}).split("\n") == ['{"_manifest": true, "a": 2}', '{"url": 1}'] and sinks.with_header("", {}) == '{"_manifest": true}'
     seen = []
     assert not sinks.publish("p") and sinks.publish("p", seen.append) and seen == ["p"]
 
@@ -145,6 +144,36 @@ def test_cut_payloads_and_suffixes(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"url": "c"}\n')
     assert [r["url"] for r in jsonl.read_any(spark, str(tmp_path / "x.json"), "url string").collect()] == ["a", "b"]
     assert [r["url"] for r in jsonl.read_any(spark, str(tmp_path / "x.jsonl"), "url string").collect()] == ["c"]
+    forms = {'{"urls": ["a", "b"]}': ["a", "b"], '["a"]': ["a"], '[{"url": "o"}, {"x": 1}]': ["o", None], '{"url": "one"}': ["one"], "[]": []}
+    for k, (text, want) in enumerate(forms.items()):
+        (tmp_path / f"y{k}.txt").write_text(text)
+        assert [r["url"] for r in jsonl.read_any(spark, str(tmp_path / f"y{k}.txt"), "url string").orderBy("pos").collect()] == want
+    (tmp_path / "z.ndjson").write_text('{"url": "n"}\n')
+    assert jsonl.read_any(spark, str(tmp_path / "z.ndjson"), "url string").first()["url"] == "n"
+    (tmp_path / "bad.json").write_text("7")
+    with pytest.raises(PySparkException, match="neither"):
+        jsonl.read_any(spark, str(tmp_path / "bad.json"), "url string").collect()
+
+
+def test_headers_are_replaced(spark):
+    lines = spark.createDataFrame([("a", 0, '{"_manifest": true, "n": 1}'), ("a", 1, "x"), ("b", 0, "y"), ("b", 1, "z"), ("c", 0, '{"_manifest": false}')], "f string, pos int, line string")
+    got = sinks.with_header(lines, F.concat(F.lit('{"_manifest": true, "of": "'), "f", F.lit('"}')), "f").orderBy("f", "pos").collect()
+    head = lambda f: (f, 0, f'{{"_manifest": true, "of": "{f}"}}')
+    assert [tuple(r) for r in got] == [head("a"), ("a", 1, "x"), head("b"), ("b", 1, "y"), ("b", 2, "z"), head("c"), ("c", 1, '{"_manifest": false}')]
+
+
+def test_day_filters_leave_folders_alone(spark, tmp_path):
+    rows = spark.createDataFrame([(f"2024-01-0{d}", k) for d in range(1, 6) for k in range(3)], "d string, k long").selectExpr("cast(d AS date) AS day", "k")
+    jsonl.write_day_table(rows, str(tmp_path / "t"))
+    found = jsonl.read_day_table(spark, str(tmp_path / "t"), "k long").where("day = DATE '2024-01-03'")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and found.count() == 3
+    for d in (1, 2):
+        (tmp_path / f"2024-02-0{d}").mkdir()
+        (tmp_path / f"2024-02-0{d}" / "x.jsonl").write_text('{"k": 1}\n')
+    (tmp_path / "2024-02-03").mkdir()
+    some = jsonl.read_days(spark, str(tmp_path), "x.jsonl", "k long", first="2024-02-02", last="2024-02-09")
+    assert [r["day"] for r in some.collect()] == ["2024-02-02"] and all("2024-02-02" in f for f in some.inputFiles())
 
 
 def test_scrape(spark):

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from topicloom.functions.entities import unescape
+
 #: All white space of the Unicode standard and the four ASCII separators, for Java's regular expressions.
 SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: Parts of outlets' names that aren't shown, in the order of their removal.
@@ -61,7 +63,12 @@ def _quoted(keyword: str) -> str:
 
 def loose_match(keywords: list[str], *columns: Column) -> Column:
     """Any keyword as a substring of the columns: one pattern, so that a text is put in lower case once."""
-    return F.regexp_like(text_of(*columns), F.lit(_either([_quoted(k) for k in keywords]))) if keywords else F.lit(False)
+    return holds_any(keywords, text_of(*columns))
+
+
+def holds_any(keywords: list[str], low: Column) -> Column:
+    """Any keyword as a substring of a text in lower case."""
+    return F.regexp_like(low, F.lit(_either([_quoted(k) for k in keywords]))) if keywords else F.lit(False)
 
 
 def broad_match(include: list[str], exclude: list[str] | None, title: Column, description: Column) -> Column:
@@ -72,10 +79,15 @@ def broad_match(include: list[str], exclude: list[str] | None, title: Column, de
 
 def strict_match(keywords: list[str], title: Column, description: Column, empty: bool = True) -> Column:
     """A keyword in the title, or one keyword twice in the description, without overlaps. ``empty``: the verdict without keywords."""
+    return strict_in(keywords, text_of(title), text_of(description), empty)
+
+
+def strict_in(keywords: list[str], low_title: Column, low_description: Column, empty: bool = True) -> Column:
+    """The same of texts in lower case."""
     if not keywords:
         return F.lit(empty)
-    twice = F.regexp_like(text_of(description), F.lit(_either([f"{_quoted(k)}.*?{_quoted(k)}" for k in keywords])))
-    return loose_match(keywords, title) | twice
+    twice = F.regexp_like(low_description, F.lit(_either([f"{_quoted(k)}.*?{_quoted(k)}" for k in keywords])))
+    return holds_any(keywords, low_title) | twice
 
 
 def first_match(value: Column, keys: list[str]) -> Column:
@@ -97,12 +109,8 @@ def display_name(outlet: Column) -> Column:
 
 
 def strip_html(value: Column) -> Column:
-    """Tags become spaces, then all entities are decoded, then white space is collapsed. Only texts with an ampersand leave the JVM."""
-    from topicloom.functions.udf import unescape
-
-    out = F.regexp_replace(value, "<[^>]+>", " ")
-    out = F.coalesce(unescape(F.when(F.contains(out, F.lit("&")), out)), out)
-    return trim(F.regexp_replace(out, f"{SPACE}+", " "))
+    """Tags become spaces, then all entities are decoded, then white space is collapsed."""
+    return trim(F.regexp_replace(unescape(F.regexp_replace(value, "<[^>]+>", " ")), f"{SPACE}+", " "))
 
 
 def html_title(html: Column) -> Column:

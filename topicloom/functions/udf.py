@@ -1,9 +1,7 @@
-"""Steps that need Python, as Arrow-batched UDFs: language detection, page metadata, all entities."""
+"""Steps that need Python, as Arrow-batched UDFs: detectors of the caller's, page metadata."""
 
 from __future__ import annotations
 
-import html
-import re
 from collections.abc import Callable
 from html.parser import HTMLParser
 
@@ -13,25 +11,8 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.text import trim
 
-#: Words by which the default detector tells a language.
-COMMON_WORDS = {
-    "en": "the of and to in is that for it was on with as are be this by at from or",
-    "fr": "le la les de des du et en un une que qui dans pour est sur au aux par pas",
-    "de": "der die das und ist von zu den mit des auf für im nicht ein eine dem als auch",
-    "es": "el la los las de y en un una que es por con para del se al como su más",
-}
-TABLE = {lang: set(words.split()) for lang, words in COMMON_WORDS.items()}
-
-
-def detect(text: str) -> str | None:
-    """The language with the most common words in a text; None if there are none."""
-    seen = re.findall(r"\w+", text.lower())
-    best = max(TABLE, key=lambda lang: (sum(w in TABLE[lang] for w in seen), lang == "en"))
-    return best if any(w in TABLE[best] for w in seen) else None
-
-
-def is_english(title: Column, description: Column, detector: Callable[[str], str | None] = detect) -> Column:
-    """Detected as English; texts under 20 characters, and those that no language is found for, pass."""
+def is_english(title: Column, description: Column, detector: Callable[[str], str | None]) -> Column:
+    """Detected as English by a detector of the caller's (``operators.languages`` has one without Python); texts under 20 characters, and those that no language is found for, pass."""
 
     @F.pandas_udf("boolean")
     def check(text: pd.Series) -> pd.Series:
@@ -87,13 +68,3 @@ def html_metadata(page: Column) -> Column:
         return pd.DataFrame([page_metadata(p) for p in pages], columns=["title", "description"])
 
     return read(page)
-
-
-def unescape(value: Column) -> Column:
-    """All named and numbered entities decoded."""
-
-    @F.pandas_udf("string")
-    def decode(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else html.unescape(v))
-
-    return decode(value)

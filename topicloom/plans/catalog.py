@@ -36,11 +36,12 @@ def topic_loose_any(spark, sf_dir):
 
 
 def topic_multi_counts(spark, sf_dir):
-    found = articles(spark, sf_dir)
+    low = {"_title": T.text_of(F.col("title")), "_body": T.text_of(F.col("description")), "_both": T.text_of(F.col("title"), F.col("description"))}
+    found = articles(spark, sf_dir).select("media_url", "language", *[c.alias(n) for n, c in low.items()])  # in lower case once, for all topics
     columns = []
     for name, t in TOPICS.items():
-        loose = T.loose_match(t["broad"], F.col("title"), F.col("description"))
-        strict = T.strict_match(t["strict"], F.col("title"), F.col("description"))
+        loose = T.holds_any(t["broad"], F.col("_both"))
+        strict = T.strict_in(t["strict"], F.col("_title"), F.col("_body"))
         kept = loose & strict & ~F.coalesce("media_url", F.lit("")).isin("src3") & (F.col("language") == "en")
         columns += [F.struct(F.lit(name).alias("topic"), *[c.cast("int").alias(n) for n, c in (("loose", loose), ("strict", loose & strict), ("kept", kept))])]
     flat = found.select(F.inline(F.array(*columns)))

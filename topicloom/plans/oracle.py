@@ -7,7 +7,7 @@ from topicloom.plans.articles import TOPICS
 #: What counts as white space, for RE2: the Unicode spaces, line ends and the four separators of ASCII.
 SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: The entities that the pages of the registered queries have.
-DECODED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&nbsp;": " ", "&eacute;": "é", "&mdash;": "—", "&#8217;": "’", "&frac12;": "½", "&middot;": "·", "&copy;": "©", "&amp;": "&"}
+DECODED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&nbsp;": " ", "&eacute;": "é", "&mdash;": "—", "&#8217;": "’", "&frac12;": "½", "&middot;": "·", "&copy;": "©", "&amp;": "\x01", "&amp": "&", "\x01": "&"}
 
 ARTICLES = """articles AS (SELECT doc_id AS pos, 'https://www.' || source || '.example/' || md5(text) AS url,
   CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, 1, instr(text, chr(10)) - 1) ELSE text END AS title,
