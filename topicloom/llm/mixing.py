@@ -125,13 +125,13 @@ def slim_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> D
 
 
 def before(keyed: DataFrame) -> DataFrame:
-    """Add ``before``: tokens ahead of each row in its (source, epoch)'s order of keys. First by bucket, then within
-    buckets, so that no task holds a source."""
+    """Add ``before``: tokens ahead of each row in its (source, epoch)'s order of keys; rows of one key (repeated rows) follow one another, the
+    shorter ones first. First by bucket, then within buckets, so that no task holds a source."""
     keyed = keyed.withColumn("_bucket", F.substring("key", 1, BUCKET_DIGITS))
     sums = keyed.groupBy("_s", "epoch", "_bucket").agg(F.sum("n").alias("_n"))
     ahead = Window.partitionBy("_s", "epoch").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("_s").alias("_s2"), F.col("epoch").alias("_e2"), F.col("_bucket").alias("_b2"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
-    inside = Window.partitionBy("_s", "epoch", "_bucket").orderBy("key")
+    inside = Window.partitionBy("_s", "epoch", "_bucket").orderBy("key", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = keyed.withColumn("_in", F.sum("n").over(inside) - F.col("n"))
     same = rows["_s"].eqNullSafe(sums["_s2"]) & (rows["epoch"] == sums["_e2"]) & (rows["_bucket"] == sums["_b2"])
     return rows.join(sums, same).withColumn("before", F.col("_ahead") + F.col("_in")).drop("_s2", "_e2", "_b2", "_ahead", "_in", "_bucket")

@@ -97,10 +97,11 @@ passes AS (SELECT *, CASE WHEN n_tokens > 0 THEN budget // n_tokens ELSE 1 END A
 emitted AS (SELECT s.doc_id, s.source, s.n, p.n_tokens, p.budget, p.full_passes, e.epoch,
     md5('mix|' || e.epoch || '|' || s.ident) AS key
   FROM slim s JOIN passes p ON s.source IS NOT DISTINCT FROM p.source, unnest(range(p.full_passes + 1)) AS e(epoch)),
-placed AS (SELECT *, epoch * n_tokens + sum(n) OVER (PARTITION BY source, epoch ORDER BY key) - n AS before FROM emitted)
+placed AS (SELECT *, epoch * n_tokens + sum(n) OVER (PARTITION BY source, epoch ORDER BY key, n ROWS UNBOUNDED PRECEDING) - n AS before FROM emitted),
+headed AS (SELECT *, max(CASE WHEN before < budget THEN key END) OVER (PARTITION BY source, epoch) AS last_key FROM placed)
 SELECT doc_id, source, n AS n_tokens, epoch, before::BIGINT AS before,
   (CASE WHEN budget > 0 THEN least(999, floor(before * 1000 / budget::DOUBLE)) ELSE 0 END)::BIGINT AS block, key
-FROM placed WHERE epoch < full_passes OR (n_tokens > 0 AND budget > full_passes * n_tokens AND before < budget)
+FROM headed WHERE epoch < full_passes OR (n_tokens > 0 AND budget > full_passes * n_tokens AND key <= last_key)
 """
 
 ORACLES = {"op1_temperature_mix": OP1_SQL, "op3_license_diagonals": licenses.SQL, "op5_relative_parse": substrings.SQL, "op6_decontaminate": decontaminate.SQL, "op12_inverted_treaps": treaps.SQL, "op13_infill": infill.SQL}
