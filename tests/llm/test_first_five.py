@@ -3,6 +3,7 @@
 import hashlib
 import pickle
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -80,6 +81,11 @@ def test_mix_awkward(spark):
     assert mixing.mix(empty(spark)).count() == 0 and mixing.mixed_order(empty(spark)).count() == 0
     placed = mixing.mixed_order(frame(spark)).collect()
     assert len(placed) == len(out)
+    ends: dict = {}
+    for r in sorted(placed, key=lambda r: (str(r["source"]), r["epoch"], r["key"], r["n_tokens"])):  # repeated rows follow one another
+        if (r["source"], r["epoch"]) in ends:
+            assert r["before"] == ends[r["source"], r["epoch"]]
+        ends[r["source"], r["epoch"]] = r["before"] + r["n_tokens"]
 
 
 # records
@@ -411,10 +417,21 @@ def test_forward_sums_all_segmentations():
     one_by_one = np.zeros_like(prob)
     for w in marked:
         language.LongWord(vocab, prob, w).expected(np.ones(2), one_by_one)
-        assert np.allclose(language.LongWord(vocab, prob, w).log(), np.log(brute(w)))
+        assert np.allclose(language.long_logs(vocab, prob, [w])[0], np.log(brute(w)))
     assert np.allclose(one_by_one, uses)
 
 
+def test_unspaced_text_is_fast():
+    """Sentences without a space: megabytes a second, not letters."""
+    vocab = language.pieces(language.vocabulary_path())
+    rng = np.random.default_rng(3)
+    prob = rng.random((len(vocab.names) + 1, 4)) / 1000
+    words = ["".join(chr(c) for c in rng.integers(0x4E00, 0x9FA5, rng.integers(31, 200))) for _ in range(4000)]
+    began = time.process_time()
+    language.word_log(vocab, prob, words)
+    assert sum(len(w.encode()) for w in words) / (time.process_time() - began) > 1e6
+
+
 def test_long_words_are_summed_whole():
     """Words over LONG letters, up to thousands, against sums in logs letter by letter: no segmentation is left out."""
     vocab = language.pieces(language.vocabulary_path())
@@ -434,6 +451,14 @@ def test_long_words_are_summed_whole():
 
     words = ["international" * 3, "donaudampfschifffahrtsgesellschaft", "日本語の文は空白がない" * 4, "the" * 1500, "x"]
     assert np.allclose(language.word_log(vocab, prob, words), [slow(language.SPACE + w) for w in words])
+    many = ["".join(rng.choice(list("日本語の文空白intera"), rng.integers(31, 90))) for _ in range(150)] + [words[3]]
+    before = language.CELLS
+    try:
+        for cells in (before, 5000):  # runs of one or a few letters too
+            language.CELLS = cells
+            assert np.allclose(language.word_log(vocab, prob, many), [slow(language.SPACE + w) for w in many])
+    finally:
+        language.CELLS = before
     uses = np.zeros_like(prob)
     word = language.SPACE + words[3]
     language.LongWord(vocab, prob, word).expected(np.ones(3), uses)

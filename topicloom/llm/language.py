@@ -18,15 +18,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicloom.llm.blobs import spread
 from topicloom.llm.common import Ids, bounded, cut, slices
 
 #: Letter runs; digits and underscores part words.
 WORD = re.compile(r"[^\W\d_]+")
-#: Words of more characters, start mark included, are summed one by one and rescaled on the way: products of so many stay above
+#: Words of more characters, start mark included, are summed by themselves and rescaled on the way: products of so many stay above
 #: the least double.
 LONG = 30
 #: Characters of a long word whose arcs are held together, and after how many it is rescaled.
 RUN, RESCALE = 1024, 16
+#: Long words that go forward together, and arcs that are held for them.
+ABREAST, CELLS = 2048, 1 << 20
 #: Text bytes that are scored at once.
 PIECE = 2 << 20
 #: Words, and bytes of words, whose lattices are held together.
@@ -141,7 +144,7 @@ class Lattice:
 
 
 class LongWord:
-    """All segmentations of one word of any length; a letter is a step."""
+    """All segmentations of one word of the training sample, of any length; a letter is a step."""
 
     def __init__(self, vocab: Pieces, prob: np.ndarray, word: str):
         self.vocab, self.code = vocab, np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -180,12 +183,6 @@ class LongWord:
                     ahead, scale = ahead / top, scale + np.log(top)
         yield ahead[0], scale
 
-    def log(self) -> np.ndarray:
-        """Natural log of the word's probability, by language."""
-        for here, scale in self.forward():  # noqa: B007
-            pass
-        return np.log(here) + scale
-
     def expected(self, weight: np.ndarray, out: np.ndarray) -> None:
         """Add the expected uses of each piece. Words of the training sample only: all places are held."""
         n, longest = len(self.code), self.vocab.longest
@@ -208,6 +205,53 @@ class LongWord:
             np.add.at(out, piece, weight * self.prob[piece] * np.exp(before[there] + after[there + k + 1] - before[-1]))
 
 
+def long_logs(vocab: Pieces, prob: np.ndarray, words: list[str]) -> np.ndarray:
+    """Natural log of the probability of each word of any length, by language: all words go forward a letter at a step, together."""
+    prob = np.vstack([prob, np.zeros(prob.shape[1])])
+    none, order = len(prob) - 1, sorted(range(len(words)), key=lambda k: -len(words[k]))
+    size = np.array([len(words[k]) for k in order], np.int64)
+    code = np.frombuffer("".join(words[k] for k in order).encode("utf-32-le"), np.uint32).astype(np.int64)
+    begin = np.cumsum(size) - size
+    ahead, scale = np.zeros((len(words), vocab.longest + 1, prob.shape[1])), np.zeros((len(words), prob.shape[1]))
+    ahead[:, 0] = 1
+    at = 0
+    while at < size.max(initial=0):
+        live = int(np.searchsorted(-size, -at))  # words that are longer than ``at``: the first ones
+        run = max(1, min(RUN, CELLS // (live * vocab.longest)))
+        here = np.minimum(size[:live] - at, run)
+        start = spread(begin[:live] + at, here)
+        end = np.repeat(begin[:live] + size[:live], here)
+        arcs = np.full((live, run, vocab.longest), none, np.int32)
+        row, column = np.repeat(np.arange(live), here), spread(np.zeros(live, np.int64), here)
+        node, open_ = np.zeros(len(start), np.int64), np.arange(len(start))
+        for n in range(1, vocab.longest + 1):
+            open_ = open_[start[open_] + n <= end[open_]]
+            node[open_] = vocab.step(node[open_], code[start[open_] + n - 1])
+            open_ = open_[node[open_] >= 0]
+            piece = vocab.piece[node[open_]]
+            whole = open_[piece >= 0]
+            arcs[row[whole], column[whole], n - 1] = piece[piece >= 0]
+        bare = arcs[row, column, 0] == none
+        arcs[row[bare], column[bare], 0] = none - 1
+        for k in range(run):
+            m = int(np.searchsorted(-size, -(at + k)))
+            if not m:
+                break
+            part = ahead[:m]
+            before = part[:, 0].copy()
+            part[:, :-1] = part[:, 1:]
+            part[:, -1] = 0
+            part[:, :-1] += before[:, None] * prob[arcs[:m, k]]
+            if k % RESCALE == 0:
+                top = part.max(axis=1)
+                part /= top[:, None]
+                scale[:m] += np.log(top)
+        at += run
+    out = np.empty((len(words), prob.shape[1]))
+    out[order] = np.log(ahead[:, 0]) + scale
+    return out
+
+
 def word_log(vocab: Pieces, prob: np.ndarray, words: list[str]) -> np.ndarray:
     """Natural log of each word's probability, by language."""
     out = np.zeros((len(words), prob.shape[1]))
@@ -216,9 +260,10 @@ def word_log(vocab: Pieces, prob: np.ndarray, words: list[str]) -> np.ndarray:
         short = [k for k, w in enumerate(some) if len(w) <= LONG]
         lattice = Lattice(vocab, [some[k] for k in short])
         out[[at + k for k in short]] = np.log(np.maximum(lattice.forward(prob)[lattice.stop], 1e-300))
-        for k, w in enumerate(some):
-            if len(w) > LONG:
-                out[at + k] = LongWord(vocab, prob, w).log()
+        long = [k for k, w in enumerate(some) if len(w) > LONG]
+        for a in range(0, len(long), ABREAST):
+            part = long[a : a + ABREAST]
+            out[[at + k for k in part]] = long_logs(vocab, prob, [some[k] for k in part])
     return out
 
 
