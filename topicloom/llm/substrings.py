@@ -282,7 +282,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         shown[t.shown] = True
         flat, sizes, places, firsts, keys = [], [], [], [], []
         edges = np.flatnonzero(np.diff(t.doc, prepend=-1))
-        for a, b in zip(edges, [*edges[1:], len(t.doc)], strict=True):
+        for a, b in zip(edges, np.append(edges[1:], len(t.doc)), strict=False):  # a block without a phrase has no edge
             if shown[a:b].any():
                 words = np.fromiter(map(xxhash.xxh3_64_intdigest, t.words(t.doc[a])), np.uint64)
                 stop = np.append(t.start[a + 1 : b], len(words) - window + 1)  # of the windows of each phrase
