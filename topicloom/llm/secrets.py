@@ -12,8 +12,10 @@ import hashlib
 import random
 import re
 import string
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +67,15 @@ def base_spans(text: bytes) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def clear(spans: list[tuple[int, int, int]], start: int, end: int) -> bool:
-    return all(e <= start or s >= end for s, _, e in spans)
+def apart(spans: list[tuple[int, int, int]]) -> Callable[[int, int], bool]:
+    """Whether a run touches none of some spans, which are ordered by their start."""
+    starts, ends = [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
+
+    def clear(start: int, end: int) -> bool:
+        k = bisect_left(starts, end)
+        return not k or ends[k - 1] <= start
+
+    return clear
 
 
 def secret_part(text: bytes, span: tuple[int, int, int]) -> bytes:
@@ -102,6 +111,14 @@ def candidate(token: bytes) -> bytes:
     return token if len(token) >= LENGTHS[0] else b""
 
 
+def before_and_after(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of characters of tokens in bytes, one token after another, the first after the start mark."""
+    code = CODE[data[spread(start, size)]]
+    before = np.append(START, code[:-1])
+    before[np.cumsum(size) - size] = START
+    return before, code
+
+
 def length_class(size: np.ndarray | int) -> np.ndarray | int:
     return np.searchsorted(LENGTHS, size, "right") - 1
 
@@ -124,11 +141,7 @@ class Models:
         """Ratios of tokens in bytes, all at once."""
         if not len(start):
             return np.zeros(0)
-        code = CODE[data[spread(start, size)]]
-        before = np.append(START, code[:-1])
-        first = np.cumsum(size) - size
-        before[first] = START
-        return np.add.reduceat(self.ratio[before, code], first)
+        return np.add.reduceat(self.ratio[before_and_after(data, start, size)], np.cumsum(size) - size)
 
     def score(self, token: bytes) -> float:
         return float(self.scores(np.frombuffer(token, np.uint8), np.array([0]), np.array([len(token)]))[0])
@@ -161,23 +174,33 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: i
     def tokens(text: bytes) -> Iterator[tuple[int, bytes]]:
         """Labelled tokens, 1: random."""
         spans, words = base_spans(text), []
+        clear = apart(spans)
         for s in spans:
             yield 1, bytes(c for c in secret_part(text, s) if c in PLACE)
         for m in ORDINARY.finditer(text):
-            if clear(spans, m.start(), m.end()):
+            if clear(m.start(), m.end()):
                 words.append(m.group())
                 yield 0, m.group()
         for x in identifiers(words):
             yield 0, x
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    def labelled(batches: Iterable[pa.RecordBatch], judged: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """The tokens of each text: labels, bytes, starts, sizes."""
         for batch in slices(batches, "_text"):
             for text in texts(batch, "_text"):
-                for label, token in tokens(text):
-                    counts[label].update(steps(token))
-        rows = [(k, a, b, n) for k, c in counts.items() for (a, b), n in c.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (list(zip(*rows, strict=True)) or [()] * 4)], names=["k", "a", "b", "n"])
+                found = [(label, x) for label, token in tokens(text) if (x := candidate(token) if judged else token)]
+                size = np.array([len(x) for _, x in found], np.int64)
+                yield np.array([label for label, _ in found], np.int64), np.frombuffer(b"".join(x for _, x in found), np.uint8), np.cumsum(size) - size, size
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = START + 1
+        total = np.zeros(2 * width * width, np.int64)
+        for label, data, start, size in labelled(batches, False):
+            if len(size):
+                before, code = before_and_after(data, start, size)
+                total += np.bincount((np.repeat(label, size) * width + before) * width + code, minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some // width**2, some // width % width, some % width, total[some])], names=["k", "a", "b", "n"])
 
     pairs: dict[int, Counter] = {0: Counter(), 1: sum(map(steps, made_strings()), Counter())}
     for r in fold(0).mapInArrow(count, "k long, a long, b long, n long").groupBy("k", "a", "b").agg(F.sum("n").alias("n")).collect():  # pairs of characters
@@ -187,11 +210,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: i
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for batch in slices(batches, "_text"):
-            for text in texts(batch, "_text"):
-                for label, token in tokens(text):
-                    if token := candidate(token):
-                        seen[label, int(length_class(len(token))), int(state.value.score(token) // BIN)] += 1
+        for label, data, start, size in labelled(batches, True):
+            value = np.floor_divide(state.value.scores(data, start, size), BIN).astype(np.int64)
+            found, n = np.unique(np.stack([label, length_class(size), value]), axis=1, return_counts=True)
+            seen.update(dict(zip(zip(*found.tolist(), strict=True), n.tolist(), strict=True)))
         yield pa.RecordBatch.from_arrays([*[pa.array([x[k] for x in seen], pa.int64()) for k in range(3)], pa.array([*seen.values()], pa.int64())], names=["k", "size", "bin", "n"])
 
     held = {(label, k): Counter() for label in (0, 1) for k in range(len(LENGTHS))}
