@@ -202,7 +202,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: i
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some // width**2, some // width % width, some % width, total[some])], names=["k", "a", "b", "n"])
 
-    pairs: dict[int, Counter] = {0: Counter(), 1: sum(map(steps, made_strings()), Counter())}
+    pairs: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    for x in made_strings():
+        pairs[1].update(steps(x))
     for r in fold(0).mapInArrow(count, "k long, a long, b long, n long").groupBy("k", "a", "b").agg(F.sum("n").alias("n")).collect():  # pairs of characters
         pairs[r["k"]][r["a"], r["b"]] += r["n"]
     models = Models(pairs[1], pairs[0])
