@@ -90,7 +90,11 @@ def test_sinks(spark, tmp_path):
     assert kept == 1 and commits.read(spark, place, "url string").count() == 1 and commits.read(spark, place, "url string", kept).count() == 2
     sinks.write_ordered(df, str(tmp_path / "ordered"), [df["url"].desc()])
     assert [json.loads(x)["url"] for p in sorted((tmp_path / "ordered").glob("part-*")) for x in p.read_text().split("\n") if x] == ["é", "b"]
-    assert json.loads(sinks.as_document(df, run="r"))["stories"][0] == {"url": "b", "t": None}
+    numbered = spark.range(50).select((F.col("id") * 3).alias("p"), F.when(F.col("id") % 2 == 0, F.lit("é\n")).alias("t"))
+    for rows, want in ((numbered.repartition(5), [{"t": "é\n" if k % 2 == 0 else None} for k in range(50)]), (numbered.limit(0), [])):
+        sinks.write_document(rows, str(tmp_path / "doc"), "p", run="r")
+        text = "".join(p.read_text() for p in sorted((tmp_path / "doc").glob("part-*")))
+        assert json.loads(text) == {"_meta": {"run": "r"}, "stories": want}
     sinks.placeholder(df, str(tmp_path / "empty"), "t")
     assert spark.read.schema("url string").json(str(tmp_path / "empty" / "part-*")).count() == 0
     seen = []

@@ -21,9 +21,9 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles(spark, sf_dir).join(read(spark, sf_dir, "labels").select(F.col("doc_id").alias("pos"), "quality", "toxic"), "pos", "left")
 
 
-def days_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events without some days, as rows by (day, outlet)."""
-    return read(spark, sf_dir, "events").where(THIN).select("event_id", F.to_date("ts").alias("day"), F.col("event_type").alias("outlet"), "ts", "user_id", "value")
+def days_of(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
+    """events as rows by (day, outlet); with gaps, without some days."""
+    return read(spark, sf_dir, "events").where(THIN if gaps else "true").select("event_id", F.to_date("ts").alias("day"), F.col("event_type").alias("outlet"), "ts", "user_id", "value")
 
 
 def topic_clean(spark, sf_dir):
@@ -179,7 +179,7 @@ def histogram_rows(spark, sf_dir):
 
 
 def outlet_day_counts(spark, sf_dir):
-    return coverage.day_outlet_counts(days_of(spark, sf_dir), "outlet", "day")
+    return coverage.day_outlet_counts(days_of(spark, sf_dir, gaps=False), "outlet", "day")
 
 
 def coverage_gaps(spark, sf_dir):
@@ -214,7 +214,7 @@ def work_left(spark, sf_dir):
 
 def manifest_daily_runs(spark, sf_dir):
     """events as runs; times are to the microsecond, ties fall to the least mode."""
-    runs = days_of(spark, sf_dir).select("day", F.struct("ts", "event_id").alias("time"), F.col("outlet").alias("mode"))
+    runs = days_of(spark, sf_dir, gaps=False).select("day", F.struct("ts", "event_id").alias("time"), F.col("outlet").alias("mode"))
     found = coverage.daily_runs(runs)
     return found.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "count", F.col("first.event_id").alias("first_run"), F.col("last.event_id").alias("last_run"), "mode")
 
@@ -238,10 +238,10 @@ def strip_html(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", T.strip_html(F.concat("html", more)).alias("body"))
 
 
-def _versions(spark, sf_dir):
-    """Days as versions of a store, the newest first in the log; the newest day lost most of its records."""
+def _versions(spark, sf_dir, lost: bool = True):
+    """Days as versions of a store, the newest first in the log; ``lost``: the newest day lost most of its records."""
     found = read(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("version"), (F.lit(30) - F.dayofmonth("ts")).cast(LONG).alias("idx"), "event_id")
-    return found.where("idx > 0 or event_id % 3 = 0")
+    return found.where("idx > 0 or event_id % 3 = 0") if lost else found
 
 
 def snapshot_argmax(spark, sf_dir):
@@ -456,12 +456,12 @@ def first_rows(spark, sf_dir):
 
 def latest_snapshot(spark, sf_dir):
     """The version with the latest date in it, then of most records."""
-    log = coverage.snapshot_counts(_versions(spark, sf_dir), "version", "idx")
+    log = coverage.snapshot_counts(_versions(spark, sf_dir, lost=False), "version", "idx")
     return coverage.best_snapshot(log.withColumn("latest", F.col("version")), "version", "idx", "latest").select("version")
 
 
 def third_revision(spark, sf_dir):
-    log = coverage.snapshot_counts(_versions(spark, sf_dir), "version", "idx")
+    log = coverage.snapshot_counts(_versions(spark, sf_dir, lost=False), "version", "idx")
     return coverage.nth_revision(log, "idx", 2).select("version", "n")
 
 
@@ -632,6 +632,14 @@ def json_documents(spark, sf_dir):
     return jsonl.documents(read(spark, sf_dir, "pages").select(shape.alias("value")), "url string, title string").select(F.col("pos").cast(LONG).alias("pos"), "url", "title")
 
 
+def written_document(spark, sf_dir):
+    """Articles as one JSON document in several files, read again line by line."""
+    place = sinks.scratch(spark, "document")
+    sinks.write_document(articles(spark, sf_dir).select("pos", "url", "language"), place, "pos", topic="a")
+    lines = spark.read.text(place).where("value not like '{\"_meta\"%' and value <> ']}'")
+    return lines.select(F.from_json(F.regexp_replace("value", "^,", ""), "url string, language string").alias("r")).select("r.*")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -645,6 +653,6 @@ QUERIES = {
         date_labels, frequent_first_seen, outlets_and_more, day_ranks, first_rows, latest_snapshot, third_revision, checked_positions, revision_range,
         line_changes, file_at_version, manifest_update, manifest_empty, checkpoint_state, pairs_to_count, enriched, outlet_success,
         store_batches, store_versions, collection_stream, revision_diffs, history_at, keys_within, sampled_rows, sampled_by_type, filter_counters, day_folders,
-        json_documents,
+        json_documents, written_document,
     )
 }

@@ -24,6 +24,9 @@ VERSIONS = """versions AS (SELECT strftime(ts, '%Y-%m-%d') AS version, 30 - day(
   WHERE 30 - day(ts) > 0 OR event_id % 3 = 0 GROUP BY ALL)"""
 
 
+ALL_VERSIONS = "versions AS (SELECT strftime(ts, '%Y-%m-%d') AS version, 30 - day(ts) AS idx, count(*) AS n FROM events GROUP BY ALL)"
+
+
 def any_of(keywords, text: str) -> str:
     return "(" + " OR ".join(f"contains({text}, '{k}')" for k in keywords) + ")" if keywords else "false"
 
@@ -110,7 +113,7 @@ ORACLES = {
     "top_n_outlets": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id ORDER BY n DESC, user_id LIMIT 20",
     "per_outlet_head": "SELECT event_type, event_id, user_id, (row_number() OVER (PARTITION BY event_type ORDER BY event_id))::INTEGER AS rank FROM events QUALIFY rank <= 3",
     "histogram_rows": "WITH c AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1) SELECT day, n, repeat('█', greatest(1, floor(n / (SELECT max(n) FROM c) * 40)::INTEGER)) AS bar FROM c",
-    "outlet_day_counts": f"WITH {HAVE} SELECT outlet, day, have FROM have",
+    "outlet_day_counts": "SELECT event_type AS outlet, ts::DATE AS day, count(*) AS have FROM events GROUP BY ALL",
     "coverage_gaps": f"WITH {DAYS}, ends AS (SELECT min(day) AS a, max(day) AS b FROM days WHERE outlet = 'click') SELECT d::DATE AS day FROM ends, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS g(d) WHERE d::DATE NOT IN (SELECT day FROM days WHERE outlet = 'click')",
     "dates_to_collect": f"WITH {DAYS} SELECT d::DATE AS day FROM unnest(generate_series(DATE '2023-12-28', DATE '2024-02-02', INTERVAL 1 DAY)) AS g(d) WHERE d::DATE NOT IN (SELECT day FROM days WHERE outlet = 'click')",
     "completeness_status": f"""WITH {EXPECTED}, grid AS (SELECT d::DATE AS day FROM unnest(generate_series(DATE '2023-12-30', DATE '2024-01-31', INTERVAL 1 DAY)) AS g(d)),
@@ -120,7 +123,7 @@ SELECT *, CASE WHEN available IS NULL THEN 'unknown' WHEN downloaded >= availabl
 UNION ALL SELECT NULL, sum(downloaded)::BIGINT, sum(available)::BIGINT, 'total' FROM rows_""",
     "completed_pairs": f"WITH {EXPECTED} SELECT day, outlet FROM completed",
     "work_left": f"WITH {EXPECTED} SELECT d::DATE AS day, outlet FROM unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS g(d), (VALUES ('click'), ('purchase'), ('nowhere')) AS v(outlet) WHERE (d::DATE, outlet) NOT IN (SELECT (day, outlet) FROM completed)",
-    "manifest_daily_runs": f"WITH {DAYS} SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS count, arg_min(event_id, (ts, event_id)) AS first_run, arg_max(event_id, (ts, event_id)) AS last_run, arg_min(outlet, (ts, event_id)) AS mode FROM days GROUP BY days.day",
+    "manifest_daily_runs": "SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS count, arg_min(event_id, (ts, event_id)) AS first_run, arg_max(event_id, (ts, event_id)) AS last_run, arg_min(outlet, (ts, event_id)) AS mode FROM (SELECT event_id, ts, ts::DATE AS day, event_type AS outlet FROM events) AS d GROUP BY d.day",
     "store_header": f"WITH {ARTICLES} SELECT 'a' AS topic, count(*) AS record_count, string_agg(DISTINCT publish_date, ',' ORDER BY publish_date) AS dates_collected, min(publish_date) AS start_day, max(publish_date) AS end_day FROM articles",
     "page_domain": "SELECT page_id, coalesce(nullif(replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), 'www.', ''), ''), 'unknown') AS domain FROM pages",
     "page_title": f"SELECT page_id, {trim(chr(39).join(['regexp_extract(html, ', '<title>([^<]*)</title>', ', 1)']))} AS title FROM pages",
@@ -164,8 +167,8 @@ SELECT outlet, n, rank FROM r WHERE rank <= 10 UNION ALL SELECT '+' || (count(*)
     "day_ranks": """WITH d AS (SELECT DISTINCT CASE WHEN user_id % 19 = 0 THEN 'unknown' ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events)
 SELECT day, row_number() OVER (ORDER BY day <> 'unknown', day) AS place, row_number() OVER (ORDER BY day DESC) AS newest FROM d""",
     "first_rows": "SELECT event_id, user_id FROM events ORDER BY event_id LIMIT 25",
-    "latest_snapshot": f"WITH {VERSIONS} SELECT version FROM versions ORDER BY version DESC, idx LIMIT 1",
-    "third_revision": f"WITH {VERSIONS} SELECT version, n FROM versions ORDER BY idx LIMIT 1 OFFSET 2",
+    "latest_snapshot": f"WITH {ALL_VERSIONS} SELECT version FROM versions ORDER BY version DESC, idx LIMIT 1",
+    "third_revision": f"WITH {ALL_VERSIONS} SELECT version, n FROM versions ORDER BY idx LIMIT 1 OFFSET 2",
     "checked_positions": """WITH c AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1) SELECT user_id, n, p AS position FROM c, unnest(range(n)) AS u(p)
 WHERE n <= 5 OR p IN (0, n - 1) OR (n <= 10 AND p = 5) OR (n > 10 AND p IN (10, n // 2))""",
     "revision_range": "SELECT event_id FROM events WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-10'",
@@ -211,6 +214,7 @@ SELECT conv_id || '/' || turn AS version, conv_id::VARCHAR AS file, len(b) - sam
     "sampled_by_type": "SELECT event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5('7|' || event_id), event_id) <= 20",
     "filter_counters": f"{REASONS} SELECT reason, count(*) AS n FROM reasons GROUP BY reason",
     "day_folders": "SELECT ts::DATE AS day, event_type, count(*) AS n, min(event_id) AS first_id FROM events WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-08' GROUP BY ALL",
+    "written_document": f"WITH {ARTICLES} SELECT url, language FROM articles",
     "json_documents": """SELECT 0::BIGINT AS pos, replace(url, '"', '') AS url, CASE WHEN page_id % 5 IN (0, 3) THEN 't' END AS title FROM pages WHERE page_id % 5 < 4
 UNION ALL SELECT 1, replace(url, '"', ''), 't' FROM pages WHERE page_id % 5 = 1""",
     "html_meta": f"""WITH p AS (SELECT page_id, {trim(decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)"))} AS t FROM pages)

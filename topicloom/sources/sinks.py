@@ -45,10 +45,16 @@ def write_ordered(df: DataFrame, path: str, order: list[Column], header: dict |
     write_jsonl(df.orderBy(*order), path, header, keep_nulls=False)
 
 
-def as_document(df: DataFrame, **meta) -> str:
-    """One JSON document {"_meta": ..., "stories": [...]}: for the rows of a run, which the caller knows to be few."""
-    stories = [json.loads(r[0]) for r in df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator()]
-    return json.dumps({"_meta": meta, "stories": stories}, ensure_ascii=False, indent=2)
+def write_document(df: DataFrame, path: str, pos: str, **meta) -> None:
+    """One JSON document {"_meta": ..., "stories": [...]} of all rows in the order of ``pos``, a row to a line, written in parallel: the files in the
+    order of their names, one after another, are the document. ``pos`` isn't among the rows' fields; it must be a number."""
+    first = df.agg(F.min(pos)).first()[0]
+    fields = [c for c in df.columns if c != pos]
+    record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    head = json.dumps({"_meta": meta}, ensure_ascii=False)[:-1] + ', "stories": ['
+    rows = df.select(F.lit(1).alias("part"), F.col(pos).cast("double").alias("pos"), F.concat(F.when(F.col(pos) == first, "").otherwise(","), record).alias("value"))
+    edges = df.sparkSession.createDataFrame([(0, None, head), (2, None, "]}")], "part int, pos double, value string")
+    edges.unionByName(rows).orderBy("part", "pos").select("value").write.mode("overwrite").text(path)
 
 
 def with_header(lines: DataFrame, header: Column, file: str, flag: str = "_manifest") -> DataFrame:
