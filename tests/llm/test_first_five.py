@@ -82,7 +82,7 @@ def test_mix_awkward(spark):
     placed = mixing.mixed_order(frame(spark)).collect()
     assert len(placed) == len(out)
     ends: dict = {}
-    for r in sorted(placed, key=lambda r: (str(r["source"]), r["epoch"], r["key"], r["n_tokens"])):  # repeated rows follow one another
+    for r in sorted(placed, key=lambda r: (str(r["source"]), r["epoch"], r["key"], r["n_tokens"], r["before"])):  # repeated rows follow one another
         if (r["source"], r["epoch"]) in ends:
             assert r["before"] == ends[r["source"], r["epoch"]]
         ends[r["source"], r["epoch"]] = r["before"] + r["n_tokens"]

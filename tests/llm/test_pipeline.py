@@ -152,7 +152,7 @@ def test_stages_on_nothing(spark, sf_dir):
 def test_queries_are_registered():
     found = contract.queries()
     numbers = {int(n[2:].split("_")[0]) for n in found if re.match(r"op\d+_", n)}
-    assert numbers == set(range(1, 11)) and "pipeline" in found and set(queries.queries()) <= set(found)
+    assert numbers == set(range(1, 14)) and "pipeline" in found and set(queries.queries()) <= set(found)
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
