@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from html.entities import html5
 
@@ -26,7 +27,7 @@ def _named(name: Column) -> Column:
     by_start: dict[str, dict[str, str]] = defaultdict(dict)
     for n, value in html5.items():
         by_start[n[:2]][n] = value
-    every = F.create_map(*[x for start, names in sorted(by_start.items()) for x in (F.lit(start), _mapped(names))])
+    every = F.from_json(F.lit(json.dumps(by_start)), "map<string,map<string,string>>")  # a constant, so it's read once
     return F.try_element_at(F.try_element_at(every, F.substring(name, 1, 2)), name)
 
 
