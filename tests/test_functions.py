@@ -157,3 +157,12 @@ def test_labels(spark):
 @pytest.mark.parametrize(("count", "width"), [(1, 1), (7, 3)])
 def test_bar(spark, count, width):
     assert column(spark, [count], lambda c: T.bar(c, F.lit(7), width), "int") == ["█" * max(1, int(count / 7 * width))]
+
+
+def test_capitals_are_letter_by_letter_as_in_sql(spark):
+    import duckdb
+
+    values = ["Straße", "ß", "ŉ\nﬁn ΐ ᾀ ᾈ ᾳ", "größer ẞ ǆ ı é a1", "plain", "", None, T.MANY]
+    want = [duckdb.execute("SELECT upper(?)", [v]).fetchone()[0] for v in values]
+    assert column(spark, values, T.capitals) == want
+    assert want[0] == "STRAẞE"
