@@ -1,11 +1,23 @@
 """What a step holds, and how long it takes, beside its results."""
 
+import glob
+import os
 import re
 import time
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from topicloom.llm import licenses
+from topicloom.llm import blobs, licenses
+
+
+def test_row_groups_of_blobs_hold_a_few_blocks(spark, tmp_path):
+    frame = spark.range(40, numPartitions=1).select(F.col("id").alias("block"), F.lit(0).alias("part"), *[F.lit(os.urandom(1 << 20)).alias(c) for c in "ab"])
+    blobs.save(frame, f"{tmp_path}/x")
+    (file,) = glob.glob(f"{tmp_path}/x/*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert max(meta.row_group(k).num_rows for k in range(meta.num_row_groups)) <= 8
+    assert spark.read.parquet(f"{tmp_path}/x").count() == 40
 
 
 def test_words_are_found_by_the_class_of_their_characters(spark):

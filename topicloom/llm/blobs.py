@@ -69,8 +69,13 @@ def columns(table: pa.Table, kinds: str) -> Iterator[tuple]:
 
 
 def save(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write rows of blobs, by kind if they have one; small row groups, so that a few blocks are a task."""
+    """Write rows of blobs, by kind if they have one; small row groups, so that a few blocks are a task.
+
+    Sizes are looked at from the first row on: by default a page and a row group have 100 rows at least, here hundreds of megabytes,
+    which the writer holds and every reader decodes at once."""
     writer = df.write.mode(mode).option("compression", "zstd").option("parquet.block.size", 8 << 20)
+    for what in ("parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
+        writer = writer.option(what, 1)
     with freeing(df.sparkSession):
         (writer.partitionBy("kind") if "kind" in df.columns else writer).parquet(path)
 
