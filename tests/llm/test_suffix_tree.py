@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.cases import empty, frame, rows
@@ -199,3 +200,45 @@ def test_words_and_their_hashes():
     assert found == [w for t in texts for w in t.lower().split()] and n.tolist() == [len(t.split()) for t in texts]
     keys = suffix_tree.word_keys(data, start, size).tolist()
     assert len({*zip(found, keys, strict=True)}) == len(set(found)) == len(set(keys))
+
+
+def test_places_in_order_of_keys():
+    rng = np.random.default_rng(3)
+    wide = rng.integers(0, 1 << 64, 5000, np.uint64, endpoint=False)
+    cases = [np.zeros(0, np.int64), np.array([7]), rng.integers(0, 50, 5000), rng.integers(-9, 9, 5000), rng.integers(0, 1 << 62, 5000), wide, wide >> np.uint64(2), rng.choice(wide, 5000)]
+    cases += [(rng.integers(0, 3, 5000) << 60) + rng.integers(0, 90, 5000), wide // np.uint64(4000) * np.uint64(4000) + np.arange(5000, dtype=np.uint64) % np.uint64(7)]  # alike in the upper bits
+    for key in cases:
+        order, ordered = suffix_tree.sort(key)
+        assert np.array_equal(order, np.argsort(key, kind="stable")) and np.array_equal(ordered, np.sort(key)) and ordered.dtype == key.dtype
+        one, number = suffix_tree.numbered(key)
+        distinct, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        assert np.array_equal(one, first) and np.array_equal(number, inverse) and np.array_equal(key[one], distinct)
+
+
+def test_questions_to_many_parts_are_few_batches():
+    # a batch for each part costs several times what its numbers do, and parts grow with the corpus
+    tokens = np.append(np.random.default_rng(4).integers(1, 2001, 50_000), 0)
+    block = lambda *blobs: suffix_tree.row(0, 0, *map(suffix_tree.planes, blobs))
+    left = pa.Table.from_batches([block(tokens, np.array([len(tokens)]), np.array([1]))])
+    right = pa.Table.from_batches([block(np.arange(2000), np.bincount(tokens)[1:])]).append_column("level", pa.array([0], pa.int32()))
+    found = suffix_tree.asker(len(tokens), 1, 500, 1, 0, 1)(left, right)
+    assert found.num_rows > 450 and len(found.to_batches()) == 1
+    answers = suffix_tree.answered(pa.concat_tables([found.slice(k, 1).set_column(1, "part", pa.array([0], pa.int32())).set_column(0, "block", pa.array([k])) for k in range(400)]))
+    assert answers.num_rows == 400 and len(answers.to_batches()) == 1
+
+
+def test_a_batch_just_over_a_block_is_one():
+    batch = pa.RecordBatch.from_pydict({"_text": ["x" * 100] * 41})
+    assert [b.num_rows for b in suffix_tree.slices([batch], "_text", 4000, even=True)] == [41]
+    assert [b.num_rows for b in suffix_tree.slices([batch], "_text", 1300, even=True)] == [13, 14, 14]
+    assert [b.num_rows for b in suffix_tree.slices([batch], "_text", 50, even=True)] == [1] * 41
+    nothing = pa.RecordBatch.from_pydict({"_text": pa.array([None, ""], pa.string())})
+    assert [b.num_rows for b in suffix_tree.slices([nothing], "_text", 4000, even=True)] == [2]
+
+
+def test_long_spellings_after_contexts(spark, small):
+    # what is less than the least double is added as a logarithm: each further letter of a run costs about the same
+    texts, model = small
+    short, longer, longest = scores(spark, texts, ["a b " + "q" * n for n in (60, 400, 740)])
+    assert math.isclose(short, model.score("a b " + "q" * 60), rel_tol=1e-6)
+    assert math.isclose(longest - longer, longer - short, rel_tol=1e-6) and short - longer > 340

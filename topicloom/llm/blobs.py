@@ -7,13 +7,13 @@ part, so the JVM handles few rows, and no key is hot.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from topicloom.llm.common import freeing
+from topicloom.llm.common import BATCH_BYTES, freeing
 
 BLOBS = "block long, part int, a binary, b binary, c binary, d binary, e binary"
 SHAPE = pa.schema([("block", pa.int64()), ("part", pa.int32()), *[(k, pa.binary()) for k in "abcde"]])
@@ -28,9 +28,10 @@ def planes(x: np.ndarray) -> bytes:
 def unplanes(data: bytes) -> np.ndarray:
     wide = data[0]
     some = np.frombuffer(data, np.uint8, offset=1).reshape(wide, -1)
-    out = np.zeros((some.shape[1], 8), np.uint8)
-    out[:, :wide] = some.T
-    return out.reshape(-1).view("<i8")
+    out = some[0].astype(np.int64)
+    for k in range(1, wide):
+        out |= some[k].astype(np.int64) << (8 * k)
+    return out
 
 
 def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +60,25 @@ def row(block: int | None, part: int | None, *blobs: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((block, part, *some), SHAPE.types, strict=True)], schema=SHAPE)
 
 
+def rows(found: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, part, blobs ...) in batches of megabytes: a batch costs several times what a small row does."""
+    held, size = [], 0
+    for block, part, *blobs in found:
+        held.append((block, part, *blobs, *[None] * (5 - len(blobs))))
+        size += sum(map(len, blobs))
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), SHAPE.types, strict=True)], schema=SHAPE)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), SHAPE.types, strict=True)], schema=SHAPE)
+
+
+def part_of(key: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each hash: equal ranges of their upper halves."""
+    part = (key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    return part.astype(np.uint16 if parts <= 1 << 16 else np.int64)  # small numbers are sorted digit by digit
+
+
 def columns(table: pa.Table, kinds: str) -> Iterator[tuple]:
     """(block, part, blobs ...) of each row, in the order of block and part. kinds: by column, u for hashes, i for planes, f for
     singles, d for doubles, b for bytes."""
